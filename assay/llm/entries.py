@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_rules
+from . import hyperminhash, mixing, quality_rules, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,8 +22,25 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("quality", 6).alias("quality"))
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = substring_dedup.remove_repeats(docs, ["doc_id"])
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
+
+
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
 QUERIES: dict[str, Query] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_quality_rules": op2_quality_rules,
+    "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op4_source_mixing": op4_source_mixing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
