@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hyperminhash, mixing, quality_rules, substring_dedup
+from . import decontaminate, hyperminhash, mixing, quality_rules, substring_dedup, tagpath
+from .storage import bound_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -36,11 +38,29 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"])
+    found = F.col("found")
+    return out.select(
+        "doc_id",
+        (F.size(found) > 0).alias("contaminated"),
+        F.array_sort(found["item_id"]).alias("item_ids"),
+        F.coalesce(F.array_max(found["n_words"]), F.lit(0)).alias("matched_words"),
+        F.exists(found, lambda x: x["kind"] == "reparameterised").alias("reparameterised"),
+    )
+
+
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tagpath.extract(table(spark, sf_dir, "pages"), ["page_id", "url"])
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_quality_rules": op2_quality_rules,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_source_mixing": op4_source_mixing,
+    "op7_benchmark_decontamination": op7_benchmark_decontamination,
+    "op10_html_extraction": op10_html_extraction,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -36,3 +36,12 @@ def release(spark: SparkSession, *paths: str) -> None:
     for path in paths:
         at = spark._jvm.org.apache.hadoop.fs.Path(path)
         at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession, limit: str = "16m") -> None:
+    """Bounds the bytes of an Arrow batch, as texts differ in length, unless the cluster has set a bound of its own."""
+    if not spark.sparkContext.getConf().contains(ARROW_BYTES):
+        spark.conf.set(ARROW_BYTES, limit)

@@ -11,8 +11,8 @@ is merge-joined with the buckets of the runs, candidates are verified on anchor
 the offset), the earliest owner of each window is kept, and the batch becomes the next run. When FAN_IN runs have gathered
 they are compacted into one.
 
-Skew: windows that repeat inside one Arrow batch are settled before the shuffle, so a passage that a third of all
-documents share costs one entry a batch, not one a document. Bucket sizes follow the corpus: their number grows with
+Skew: windows that repeat among a task's next UNIT_WINDOWS are settled before the shuffle, so a passage that a third of all
+documents share costs one entry a unit, not one a document. Bucket sizes follow the corpus: their number grows with
 the words.
 
 Defined results: a null text has no words; texts with fewer than WINDOW words lose none; a null doc_id counts as the
@@ -37,6 +37,8 @@ WINDOW, ANCHOR = 20, 8
 LAST = np.iinfo(np.int64).max
 #: Windows that one bucket should hold.
 BUCKET_WINDOWS = 1_000_000
+#: Windows of a task that are settled among themselves at once.
+UNIT_WINDOWS = 1_000_000
 FAN_IN = 4
 
 ENTRY = np.dtype([("anchor", "<u8"), ("doc", "<i8"), ("tag", "<u4"), ("start", "<i4"), ("offset", "u1"), ("count", "u1")])
@@ -186,9 +188,12 @@ def _join(parts: list[Entries]) -> Entries:
     return (np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])) if parts else (np.zeros(0, ENTRY), np.zeros(0, np.uint32))
 
 
-def _take(entries: Entries, which: np.ndarray) -> Entries:
+def _order(entries: Entries, by: np.ndarray) -> Entries:
+    """The entries in the order `by`."""
     head, prints = entries
-    return head[which], prints[np.repeat(which, head["count"])]
+    size = head["count"].astype(np.int64)
+    begin, size = (np.cumsum(size) - size)[by], size[by]
+    return head[by], prints[np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
 
 
 REMOVED = T.ArrayType(T.StructType([T.StructField("from_word", T.IntegerType()), T.StructField("to_word", T.IntegerType())]))
@@ -197,31 +202,35 @@ BLOBS = "bucket int, kind int, data binary"
 
 
 def batch_blobs(docs: DataFrame, buckets: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(bucket, kind, data): what a batch has for each bucket, with the repeats inside an Arrow batch settled."""
+    """(bucket, kind, data): what a batch has for each bucket, with the repeats inside each unit settled."""
+
+    def blobs(first: Entries, spans: np.ndarray) -> Iterator[pa.RecordBatch]:
+        bucket = (K.mix(first[0]["anchor"]) >> K.U(33)).astype(np.int64) % buckets
+        by = np.argsort(bucket, kind="stable")
+        heads, prints = _order(first, by)
+        bounds = np.append(0, np.cumsum(heads["count"], dtype=np.int64))
+        edge = np.append(np.flatnonzero(np.diff(bucket[by], prepend=-1)), len(by))
+        rows = [(int(bucket[by[i]]), NEW, _dump((heads[i:j], prints[bounds[i] : bounds[j]]))) for i, j in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)]
+        if len(spans):
+            rows.append((int(spans["doc"][0] % buckets), DONE, spans.tobytes()))
+        for i in range(0, len(rows), 256):
+            part = rows[i : i + 256]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in part], pa.int32()), pa.array([r[1] for r in part], pa.int32()), pa.array([r[2] for r in part], pa.binary())], names=["bucket", "kind", "data"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
             raw, offsets = K.string_parts(batch.column("text"))
             ids = batch.column("doc_id").fill_null(int(LAST)).to_numpy(zero_copy_only=False).astype(np.int64)
             tags = batch.column("tag").to_numpy(zero_copy_only=False).astype(np.uint32)
-            found = [text_entries(r, o, ids[i:j], tags[i:j]) for i, j, r, o in K.chunks(raw, offsets)]
-            first, spans = settle(_join(found))
-            del found
-            bucket = (K.mix(first[0]["anchor"]) >> K.U(33)).astype(np.int64) % buckets
-            rows: list[tuple[int, int, bytes]] = []
-            by = np.argsort(bucket, kind="stable")
-            edges = np.searchsorted(bucket[by], np.arange(buckets + 1))
-            bounds = np.cumsum(first[0]["count"], dtype=np.int64)
-            begins = bounds - first[0]["count"]
-            for b in np.flatnonzero(np.diff(edges)):
-                which = by[edges[b] : edges[b + 1]]
-                own = np.concatenate([np.arange(begins[k], bounds[k]) for k in which]) if len(which) < 64 else np.repeat(begins[which] - np.append(0, np.cumsum(first[0]["count"][which], dtype=np.int64)[:-1]), first[0]["count"][which]) + np.arange(first[0]["count"][which].sum(dtype=np.int64))
-                rows.append((int(b), NEW, _dump((first[0][which], first[1][own]))))
-            if len(spans):
-                rows.append((int(spans["doc"][0] % buckets), DONE, spans.tobytes()))
-            for i in range(0, len(rows), 64):
-                part = rows[i : i + 64]
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in part], pa.int32()), pa.array([r[1] for r in part], pa.int32()), pa.array([r[2] for r in part], pa.binary())], names=["bucket", "kind", "data"])
+            for i, j, r, o in K.chunks(raw, offsets):
+                held.append(text_entries(r, o, ids[i:j], tags[i:j]))
+                size += len(held[-1][1])
+                if size >= UNIT_WINDOWS:
+                    yield from blobs(*settle(_join(held)))
+                    held, size = [], 0
+        if size:
+            yield from blobs(*settle(_join(held)))
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), text_tag(text).alias("tag")).mapInArrow(run, BLOBS)
 
@@ -238,11 +247,8 @@ def merge_buckets(blobs: DataFrame) -> DataFrame:
                 parts[k].append(np.frombuffer(d, SPAN) if k == DONE else _load(d))
         first, spans = settle(_join(parts[NEW]), _join(parts[OLD]))
         by = np.argsort(first[0]["anchor"], kind="stable")
-        size = first[0]["count"].astype(np.int64)
-        begin = np.cumsum(size) - size
-        own = np.repeat(begin[by] - (np.cumsum(size[by]) - size[by]), size[by]) + np.arange(int(size.sum()))
         spans = np.concatenate([spans, *parts[DONE]])
-        yield pa.RecordBatch.from_arrays([pa.array([bucket] * 2, pa.int32()), pa.array([NEW, DONE], pa.int32()), pa.array([_dump((first[0][by], first[1][own])), spans.tobytes()], pa.binary())], names=["bucket", "kind", "data"])
+        yield pa.RecordBatch.from_arrays([pa.array([bucket] * 2, pa.int32()), pa.array([NEW, DONE], pa.int32()), pa.array([_dump(_order(first, by)), spans.tobytes()], pa.binary())], names=["bucket", "kind", "data"])
 
     return blobs.groupBy("bucket").applyInArrow(run, BLOBS)
 
@@ -287,10 +293,7 @@ class FingerprintIndex:
                     parts.append(_load(d))
             whole = _join(parts)
             by = np.argsort(whole[0]["anchor"], kind="stable")
-            size = whole[0]["count"].astype(np.int64)
-            begin = np.cumsum(size) - size
-            own = np.repeat(begin[by] - (np.cumsum(size[by]) - size[by]), size[by]) + np.arange(int(size.sum()))
-            yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([NEW], pa.int32()), pa.array([_dump((whole[0][by], whole[1][own]))], pa.binary())], names=["bucket", "kind", "data"])
+            yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([NEW], pa.int32()), pa.array([_dump(_order(whole, by))], pa.binary())], names=["bucket", "kind", "data"])
 
         path = new_path(self.spark, "window-run")
         old.groupBy("bucket").applyInArrow(run, BLOBS).write.option("compression", "zstd").parquet(path)
