@@ -10,9 +10,10 @@ threshold, and the others are confirmed on their full shingle sets.
 With 42 bands of 6 registers a pair at similarity 0.8 is missed with probability 3e-6, at 0.85 with 1e-9.
 
 Work is kept in proportion to the rows. Documents with equal sets are one class from the start, so copies are never paired.
-In a band's bucket every class is first paired with the least class only; pairs inside the components that these links
-make need no test. Only buckets that still span several components are looked at again: each class outside the bucket's
-first component is then paired with all classes of other components there. That is exact: every pair of a bucket is
+Then rounds follow: in each bucket that spans several components a centre is drawn, and every class outside the centre's
+component tries one centre of its buckets, later up to TRIES, so rounds test a few pairs a class, while links join large groups of near
+copies to one component within a few rounds. What is still open is then tested in full: in each bucket that spans several
+components each class outside the first one with all classes of other components. That is exact: every pair of a bucket is
 either tested or already connected.
 
 Defined results: null text, no words: n_shingles 0, linked with nothing, its own component. A null doc_id counts as the
@@ -35,6 +36,11 @@ from .storage import materialise, release
 
 REGISTERS, BANDS, ROWS = 252, 42, 6
 MANTISSA = 10
+#: Rounds that pair each open class with one class, later with up to TRIES, of other components before all that is left
+#: open is paired.
+ROUNDS, TRIES = 2, 8
+#: Shingles in a block, and classes that meet it in one group, when the rest is tested.
+BLOCK_SHINGLES, BLOCK_CLASSES = 500_000, 1000
 LAST = np.iinfo(np.int64).max
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
@@ -153,23 +159,8 @@ def _bands(classes: DataFrame) -> DataFrame:
     return classes.select("rep", "n", "registers").mapInArrow(run, "key long, rep long, n long")
 
 
-def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) whose estimate may reach the threshold."""
-    of = lambda name: classes.select(F.col("rep").alias(name), F.col("n").alias(f"n_{name}"), F.col("registers").alias(f"r_{name}"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                j, used = estimate(_matrix(batch.column("r_u")), _matrix(batch.column("r_v")), batch.column("n_u").to_numpy(), batch.column("n_v").to_numpy())
-                t = percent / 100
-                keep = pa.array(j + 6 * np.sqrt(t * (1 - t) / np.maximum(used, 1)) + 0.01 >= t)
-                yield batch.select(["u", "v"]).filter(keep)
-
-    return pairs.join(of("u"), "u").join(of("v"), "v").mapInArrow(run, "u long, v long")
-
-
 def _sets(docs: DataFrame, wanted: DataFrame, size: int, doc_id: str, text: str) -> DataFrame:
-    """(id, shingles) of the documents with an id in `wanted`."""
+    """(id, shingles, registers) of the documents with an id in `wanted`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -177,63 +168,134 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int, doc_id: str, text: str)
             for i, j, r, o in K.chunks(raw, offsets):
                 owner, value = shingles(r, o, size)
                 edge = np.searchsorted(owner, np.arange(j - i + 1))
-                yield pa.RecordBatch.from_arrays([batch.column("id").slice(i, j - i), pa.array([value[a:b].tobytes() for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)], pa.binary())], names=["id", "shingles"])
+                registers = sketch(owner, value, j - i)
+                yield pa.RecordBatch.from_arrays([batch.column("id").slice(i, j - i), pa.array([value[a:b].tobytes() for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)], pa.binary()), pa.array([x.tobytes() for x in registers], pa.binary())], names=["id", "shingles", "registers"])
 
     source = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(int(LAST))).alias("id"), F.col(text).alias("text"))
-    return source.join(wanted, "id", "left_semi").mapInArrow(run, "id long, shingles binary").dropDuplicates(["id"])
+    return source.join(wanted, "id", "left_semi").mapInArrow(run, "id long, shingles binary, registers binary").dropDuplicates(["id"])
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) with 100 * |intersection| >= percent * |union| on their full sets."""
-    of = lambda name: sets.select(F.col("id").alias(name), F.col("shingles").alias(f"s_{name}"))
+    """The pairs (u, v) with 100 * |intersection| >= percent * |union|.
+
+    The corrected estimate drops pairs that are six standard deviations below; the others are decided by their full sets.
+    """
+    of = lambda name: sets.select(F.col("id").alias(name), F.col("shingles").alias(f"s_{name}"), F.col("registers").alias(f"r_{name}"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for k in range(batch.num_rows):
-                a, b = (np.frombuffer(batch.column(c)[k].as_buffer(), np.uint64) for c in ("s_u", "s_v"))
-                both = np.concatenate([a, b])
-                both.sort()
-                common = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * common >= percent * (len(both) - common))
-            yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                a, b = ([np.frombuffer(x.as_buffer(), np.uint64) for x in part.column(c)] for c in ("s_u", "s_v"))
+                j, used = estimate(_matrix(part.column("r_u")), _matrix(part.column("r_v")), np.array([len(x) for x in a]), np.array([len(x) for x in b]))
+                t = percent / 100
+                keep = j + 6 * np.sqrt(t * (1 - t) / np.maximum(used, 1)) + 0.01 >= t
+                for k in np.flatnonzero(keep).tolist():
+                    both = np.concatenate([a[k], b[k]])
+                    both.sort()
+                    common = int((both[1:] == both[:-1]).sum())
+                    keep[k] = 100 * common >= percent * (len(both) - common)
+                yield part.select(["u", "v"]).filter(pa.array(keep))
 
     return pairs.join(of("u"), "u").join(of("v"), "v").mapInArrow(run, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def _tested_in_blocks(left: DataFrame, bucket: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) between components, from the buckets (key, rep, n, label, low) that still span several.
+
+    Classes are dealt to blocks of bounded size by the least class they share a bucket with. A class outside its bucket's
+    first component meets every block that has a member in one of its buckets, and there all members: a superset of its
+    candidates, tested without a row for each pair. The classes that meet a block are dealt to parts of bounded size, too.
+    """
+    least = bucket.groupBy("key").agg(F.min("rep").alias("family"))
+    family = bucket.join(least, "key").groupBy("rep", "n").agg(F.min("family").alias("family"))
+    parts = family.groupBy("family").agg(F.ceil(F.sum(F.col("n") + 64) / F.lit(float(BLOCK_SHINGLES))).alias("parts"))
+    block = family.join(parts, "family").select("rep", "n", F.xxhash64("family", F.pmod(F.xxhash64("rep"), "parts")).alias("block"))
+    label = left.select("rep", "label").distinct()
+    here = left.join(block.select("rep", "block"), "rep").select("key", "block").distinct()
+    meets = left.where("label <> low").select("key", "rep").join(here, "key").select("rep", "block").distinct()
+    salts = meets.groupBy("block").agg(F.ceil(F.count("*") / F.lit(float(BLOCK_CLASSES))).alias("salts"))
+    of = lambda d: d.join(label, "rep", "left").withColumn("label", F.coalesce("label", "rep")).join(sets.withColumnRenamed("id", "rep"), "rep").select(*[F.col(c).alias(c) for c in ("block", "salt", "rep", "label", "shingles", "registers")])
+    guests = of(meets.join(salts, "block").withColumn("salt", F.pmod(F.xxhash64("rep"), "salts")))
+    hosts = of(block.join(salts, "block").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1))))
+
+    def run(guest: pa.Table, host: pa.Table) -> pa.Table:
+        own = [np.frombuffer(x.as_buffer(), np.uint64) for x in host.column("shingles")]
+        size = np.array([len(x) for x in own])
+        value, owner = np.concatenate(own), np.repeat(np.arange(len(own)), size)
+        by = np.argsort(value)
+        value, owner = value[by], owner[by]
+        host_id, host_label = host.column("rep").to_numpy(), host.column("label").to_numpy()
+        matrix = _matrix(host.column("registers"))
+        t, u, v = percent / 100, [], []
+        for rep, lab, cell, row in zip(guest.column("rep").to_pylist(), guest.column("label").to_pylist(), guest.column("shingles"), _matrix(guest.column("registers")), strict=True):
+            x = np.frombuffer(cell.as_buffer(), np.uint64)
+            other = np.flatnonzero((host_label != lab) & (np.minimum(size, len(x)) * 100 >= np.maximum(size, len(x)) * percent))
+            j, used = estimate(matrix[other], np.broadcast_to(row, (len(other), REGISTERS)), size[other], np.full(len(other), len(x)))
+            other = other[j + 6 * np.sqrt(t * (1 - t) / np.maximum(used, 1)) + 0.01 >= t]
+            if not len(other):
+                continue
+            low, high = np.searchsorted(value, x, "left"), np.searchsorted(value, x, "right")
+            times = high - low
+            common = np.bincount(owner[np.repeat(low - (np.cumsum(times) - times), times) + np.arange(int(times.sum()))], minlength=len(own))[other]
+            other = other[100 * common >= percent * (len(x) + size[other] - common)]
+            one = other[np.unique(host_label[other], return_index=True)[1]]
+            u += [rep] * len(one)
+            v += host_id[one].tolist()
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    return guests.groupBy("block", "salt").cogroup(hosts.groupBy("block", "salt")).applyInArrow(_nonempty(run), "u long, v long").distinct()
+
+
+def _nonempty(run):
+    def guarded(guest: pa.Table, host: pa.Table) -> pa.Table:
+        if guest.num_rows and host.num_rows:
+            return run(guest, host)
+        return pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64())})
+
+    return guarded
+
+
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of docs."""
     spark = docs.sparkSession
-    rows, p_rows = materialise(sketches(docs, size, doc_id, text), "sketches")
-    classes, p_classes = materialise(rows.where("n > 0").groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep"), F.first("registers").alias("registers")), "sketch-classes")
+    rows, _ = materialise(sketches(docs, size, doc_id, text), "sketches")
+    classes = rows.where("n > 0").groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep"), F.first("registers").alias("registers"))
     bands, p_bands = materialise(_bands(classes), "sketch-bands")
-    least = bands.groupBy("key").agg(F.min(F.struct("rep", "n")).alias("c"), F.count("*").alias("k")).where("k > 1").select("key", F.col("c.rep").alias("v"), F.col("c.n").alias("n_v"))
+    shared = bands.groupBy("key").count().where("count > 1").select("key")
+    bucket, p_bucket = materialise(bands.join(shared, "key", "left_semi"), "sketch-buckets")
+    release(spark, p_bands)
+    sets, p_sets = materialise(_sets(docs, bucket.select(F.col("rep").alias("id")).distinct(), size, doc_id, text), "shingle-sets")
     fits = lambda a, b: F.least(a, b) * 100 >= F.greatest(a, b) * percent
-    pairs = bands.join(least, "key").where((F.col("rep") != F.col("v")) & fits(F.col("n"), F.col("n_v"))).select(F.col("rep").alias("u"), "v").distinct()
-    pairs, p_pairs = materialise(_likely(pairs, classes, percent), "sketch-pairs")
-    ids = lambda p: p.select(F.col("u").alias("id")).union(p.select("v")).distinct()
-    sets, p_sets = materialise(_sets(docs, ids(pairs), size, doc_id, text), "shingle-sets")
-    links, p_links = materialise(_confirmed(pairs, sets, percent), "near-links")
-    labels = components(links)
-    release(spark, p_sets)
-    # buckets that still span several components
-    placed = bands.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-    placed, p_placed = materialise(placed.join(bands.groupBy("key").count().where("count > 2").select("key"), "key", "left_semi"), "sketch-open")
+    place = lambda labels: bucket.withColumn("label", F.col("rep")) if labels is None else bucket.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    labels, links, paths = None, None, []
+    for r in range(rounds):
+        placed, p_placed = materialise(place(labels), "sketch-placed")
+        rank = F.col("rep") if r == 0 else F.xxhash64(F.lit(r), "rep")
+        center = placed.groupBy("key").agg(F.min(F.struct(rank.alias("rank"), "rep", "n", "label")).alias("c"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+        center = center.select("key", F.col("c.rep").alias("v"), F.col("c.n").alias("n_v"), F.col("c.label").alias("label_v"))
+        tries = placed.join(center, "key").where((F.col("label") != F.col("label_v")) & fits(F.col("n"), F.col("n_v"))).select(F.col("rep").alias("u"), "v")
+        rank = F.col("v") if r == 0 else F.xxhash64(F.lit(r), "u", "v")
+        some = F.slice(F.array_sort(F.collect_set(F.struct(rank.alias("rank"), "v"))), 1, 1 if r == 0 else TRIES)
+        tries = tries.groupBy("u").agg(some.alias("c")).select("u", F.explode(F.col("c.v")).alias("v"))
+        found, p_found = materialise(_confirmed(tries, sets, percent), "near-links")
+        release(spark, p_placed)
+        paths.append(p_found)
+        if not found.limit(1).count():
+            break
+        links = found if links is None else links.unionByName(found)
+        labels = components(links)
+    # what the rounds left open: every class outside a bucket's first component with all classes of other components there
+    placed, p_placed = materialise(place(labels), "sketch-placed")
     open_keys = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key", "low")
-    others = placed.join(open_keys, "key").where("label <> low").select("key", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("label_a"))
-    every = placed.select("key", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("label_b"))
-    more = others.join(every, (others["key"] == every["key"]) & (others["label_a"] != every["label_b"]) & fits(others["n_a"], every["n_b"]))
-    more = more.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct().join(pairs, ["u", "v"], "left_anti")
-    more, p_more = materialise(_likely(more, classes, percent), "sketch-pairs")
-    if more.limit(1).count():
-        sets, p_sets = materialise(_sets(docs, ids(more), size, doc_id, text), "shingle-sets")
-        found, p_found = materialise(_confirmed(more, sets, percent), "near-links")
-        if found.limit(1).count():
-            labels = components(links.unionByName(found))
-        release(spark, p_sets, p_found)
-    release(spark, p_bands, p_pairs, p_placed, p_more, p_links)
-    known = classes.select("f1", "f2", "n", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("f1", "f2", "n", F.coalesce("label", "rep").alias("label"))
-    out = rows.select("doc_id", "n", "f1", "f2").join(known, ["f1", "f2", "n"], "left").withColumn("label", F.coalesce("label", "doc_id"))
+    left, p_left = materialise(placed.join(open_keys, "key"), "sketch-open")
+    found, p_found = materialise(_tested_in_blocks(left, bucket, sets, percent), "near-links")
+    if found.limit(1).count():
+        labels = components(found if links is None else links.unionByName(found))
+    release(spark, p_bucket, p_sets, p_placed, p_left, p_found, *paths)
+    known = classes.select("f1", "f2", "n", "rep")
+    known = known.withColumn("label", F.col("rep")) if labels is None else known.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    out = rows.select("doc_id", "n", "f1", "f2").join(known.select("f1", "f2", "n", "label"), ["f1", "f2", "n"], "left").withColumn("label", F.coalesce("label", "doc_id"))
     real = lambda c: F.when(F.col(c) != int(LAST), F.col(c))
     return out.select(real("doc_id").alias("doc_id"), F.col("n").alias("n_shingles"), real("label").alias("component_id"), (F.col("doc_id") == F.col("label")).alias("kept"))
 
