@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, hyperminhash, mixing, quality_rules, substring_dedup, tagpath
+from . import compression_toxicity, decontaminate, hyperminhash, mixing, mixture_langid, quality_rules, substring_dedup, tagpath, token_attribution, warc
 from .storage import bound_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,44 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op5_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    out = warc.derive(warc.responses(pages, ["page_id"]), ["page_id"])
+    h = lambda name: F.element_at("headers", name)
+    return out.select(
+        "page_id",
+        h("WARC-Type").alias("warc_type"),
+        h("WARC-Record-ID").alias("record_id"),
+        h("WARC-Refers-To").alias("refers_to"),
+        h("X-Linked-Record").alias("linked_record"),
+        h("WARC-Target-URI").alias("target_uri"),
+        h("X-Source-Payload-Digest").alias("source_payload_digest"),
+        h("WARC-Block-Digest").alias("block_digest"),
+        h("Content-Type").alias("content_type"),
+        h("Content-Length").cast("long").alias("content_length"),
+    )
+
+
+def op6_token_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = token_attribution.count_tokens(table(spark, sf_dir, "documents"), ["doc_id"])
+    return out.withColumn("section_tokens", F.col("section_tokens").cast("array<bigint>"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    learn, held = mixture_langid.learnable("doc_id", 4, 2)
+    model = mixture_langid.fit(docs.where(learn))
+    return mixture_langid.identify(docs.select("doc_id", "text", held.alias("held_out")), model, ["doc_id", "held_out"])
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    learn, held = mixture_langid.learnable("doc_id", 5, 0)
+    model = compression_toxicity.fit(compression_toxicity.labelled(docs, table(spark, sf_dir, "labels").where(learn)))
+    out = compression_toxicity.score(docs.select("doc_id", "text", held.alias("held_out")), model, ["doc_id", "held_out"])
+    return out.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"])
     found = F.col("found")
@@ -59,7 +97,11 @@ QUERIES: dict[str, Query] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_source_mixing": op4_source_mixing,
+    "op5_warc_derivatives": op5_warc_derivatives,
+    "op6_token_attribution": op6_token_attribution,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
+    "op8_language_id": op8_language_id,
+    "op9_toxicity": op9_toxicity,
     "op10_html_extraction": op10_html_extraction,
 }
 
