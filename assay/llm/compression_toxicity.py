@@ -36,7 +36,7 @@ from .storage import materialise, release
 WORDS = 8
 BITS, GRAM = 20, 5
 FRAGMENTS, DICTIONARY, BASE_ROWS, CALIBRATION_ROWS = 400, 1 << 15, 400, 20_000
-LEAST_SCORE, LEAST_LIFT, LEAST_DOCS = 8.0, 1.5, 5
+LEAST_SCORE, LEAST_LIFT, LEAST_DOCS = 8.0, 3.0, 5
 BROADCAST_LABELS = 2_000_000
 
 
@@ -128,7 +128,7 @@ class Meter:
     """Compresses windows with both dictionaries."""
 
     def __init__(self, ordinary: bytes, toxic: bytes):
-        params = zstandard.ZstdCompressionParameters(window_log=17, hash_log=14, chain_log=14, search_log=4, min_match=4, target_length=32, strategy=zstandard.STRATEGY_GREEDY, write_content_size=False, write_checksum=False, write_dict_id=False)
+        params = zstandard.ZstdCompressionParameters(window_log=17, hash_log=14, chain_log=14, search_log=8, min_match=5, target_length=32, strategy=zstandard.STRATEGY_BTLAZY2, write_content_size=False, write_checksum=False, write_dict_id=False)
         self.tools = []
         for content in (ordinary, toxic):
             known = zstandard.ZstdCompressionDict(content or b" " * 16, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
