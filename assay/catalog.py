@@ -1,10 +1,521 @@
-"""Named queries over the driver's tables, each with its DuckDB counterpart where SQL can express it."""
+"""Named queries over the driver's tables, each with its DuckDB counterpart where SQL can express it.
+
+The tables stand in for the engine's own inputs: events are score facts (benchmark = event_type, model = user, metric from
+props), documents the corpus, benchmark the statements, embeddings vectors, labels verdicts, pages web pages.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from .functions import fuzzy, missing, names, tags, text
+from .operators import cards, evaluations, factuality, resolve, retrieval
+from .plans import routing
+from .session import ship
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[name] = f
+        if sql:
+            ORACLE_SQL[name] = sql
+        return f
+
+    return add
+
+
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# ---------------------------------------------------------------- evaluation scores
+
+K = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
+SCORES = f"""scores AS (SELECT event_type AS bench, 'u' || user_id AS model, 'd' || (user_id % 10) AS developer, 'm' || ({K} % 3) AS metric,
+ 'e' || ({K} % 5) AS evaluation_name, 'f' || (event_id % 7) AS folder, value AS score, event_id AS ord FROM events)"""
+
+
+def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.get_json_object("props", "$.k").cast("long")
+    return read(spark, sf_dir, "events").select(
+        F.col("event_type").alias("bench"),
+        F.col("event_type").alias("display_name"),
+        F.concat(F.lit("u"), "user_id").alias("model"),
+        F.concat(F.lit("d"), F.col("user_id") % 10).alias("developer"),
+        F.concat(F.lit("m"), k % 3).alias("metric"),
+        F.concat(F.lit("e"), k % 5).alias("evaluation_name"),
+        F.concat(F.lit("f"), F.col("event_id") % 7).alias("folder"),
+        F.col("value").alias("score"),
+        F.col("event_id").alias("ord"),
+    )
+
+
+@query(
+    "a4_evaluation_summary",
+    f"""WITH {SCORES}, stats AS (SELECT bench, metric, count(*) n, avg(score) mean, coalesce(stddev_samp(score), 0) sd, min(score) least, max(score) greatest, min(ord) fo FROM scores GROUP BY 1, 2),
+ pick AS (SELECT *, row_number() OVER (PARTITION BY bench ORDER BY n DESC, fo) r FROM stats),
+ lead AS (SELECT *, row_number() OVER (PARTITION BY bench, metric ORDER BY score DESC, ord) rank FROM scores)
+ SELECT p.bench, p.metric, p.n, round(p.mean, 4) AS mean, round(p.sd, 4) AS sd, round(p.least, 4) AS least, round(p.greatest, 4) AS greatest,
+ (SELECT string_agg(model, ',' ORDER BY rank) FROM lead l WHERE l.bench = p.bench AND l.metric = p.metric AND rank <= 5) AS leaders FROM pick p WHERE r = 1""",
+)
+def _(spark, sf):
+    return evaluations.summary(scores(spark, sf)).withColumn("leaders", F.array_join(F.col("leaders.model"), ","))
+
+
+@query("w1_leaders", f"WITH {SCORES}, r AS (SELECT bench, metric, model, score, row_number() OVER (PARTITION BY bench, metric ORDER BY score DESC, ord) AS rank FROM scores) SELECT * FROM r WHERE rank <= 5")
+def _(spark, sf):
+    return evaluations.leaders(scores(spark, sf)).select("bench", "metric", "model", "score", "rank")
+
+
+@query("a2_average_subjects", f"WITH {SCORES} SELECT bench, model, round(avg(score), 6) AS score, count(*) AS subjects, arg_min(developer, ord) AS developer FROM scores GROUP BY 1, 2 HAVING (SELECT count(DISTINCT evaluation_name) FROM scores s WHERE s.bench = scores.bench) >= 3")
+def _(spark, sf):
+    return evaluations.average_subjects(scores(spark, sf)).where("subject_scores IS NOT NULL").select("bench", "model", F.round("score", 6).alias("score"), F.size("subject_scores").cast("long").alias("subjects"), "developer")
+
+
+@query("a1_roll_up", f"WITH {SCORES} SELECT bench, count(*) AS n_scores, count(DISTINCT model) AS num_models, (SELECT string_agg(folder, ',' ORDER BY o) FROM (SELECT folder, min(ord) o FROM scores t WHERE t.bench = s.bench GROUP BY folder)) AS folders, (SELECT string_agg(metric, ',' ORDER BY o) FROM (SELECT metric, min(ord) o FROM scores t WHERE t.bench = s.bench GROUP BY metric)) AS metrics FROM scores s GROUP BY bench")
+def _(spark, sf):
+    rows = scores(spark, sf).withColumn("urls", F.array().cast("array<string>")).withColumn("hf_repo", F.lit(None).cast("string")).withColumn("source_type", F.lit("other")).withColumn("eval_library", F.lit(None).cast("string"))
+    return evaluations.roll_up(rows).select("bench", "n_scores", "num_models", F.array_join("folders", ",").alias("folders"), F.array_join("metrics", ",").alias("metrics"))
+
+
+@query("a5_suite_statistics", f"WITH {SCORES}, members AS (SELECT DISTINCT folder, bench FROM scores WHERE ord < 500) SELECT m.folder, count(DISTINCT s.model) AS num_models, (SELECT string_agg(x, ',' ORDER BY x) FROM (SELECT DISTINCT t.metric x FROM members n JOIN scores t USING (bench) WHERE n.folder = m.folder)) AS metrics, count(DISTINCT m.bench) AS members FROM members m JOIN scores s USING (bench) GROUP BY m.folder")
+def _(spark, sf):
+    s = scores(spark, sf)
+    return evaluations.suite_statistics(s, s.where("ord < 500").select("folder", "bench").distinct()).withColumn("metrics", F.array_join("metrics", ","))
+
+
+@query("j4_appears_in", f"WITH {SCORES} SELECT bench, string_agg(folder, ',' ORDER BY folder) AS suites FROM (SELECT DISTINCT bench, folder FROM scores) GROUP BY bench")
+def _(spark, sf):
+    return evaluations.appears_in(scores(spark, sf).select("bench", "folder")).withColumn("suites", F.array_join("suites", ","))
+
+
+@query("p2_suite_filter", f"WITH {SCORES}, m AS (SELECT DISTINCT folder, bench FROM scores WHERE ord < 4) SELECT DISTINCT bench FROM scores WHERE lower(bench) IN ('click') OR bench IN (SELECT bench FROM m WHERE folder = 'f1')")
+def _(spark, sf):
+    s = scores(spark, sf)
+    return evaluations.filtered(s.select("bench", F.col("bench").alias("name")).distinct(), s.where("ord < 4").select("folder", "bench").distinct(), ["click", "F1"]).select("bench")
+
+
+@query("t33_baseline_sentence")
+def _(spark, sf):
+    return evaluations.baseline_sentence(evaluations.summary(scores(spark, sf)))
+
+
+@query("a19_f3_collapse_votes")
+def _(spark, sf):
+    parts = read(spark, sf, "part").select(F.col("p_brand").alias("folder"), names.normalize_name("p_name").alias("bench"), F.col("p_partkey").alias("pos"), F.array(F.concat(F.lit("u"), F.col("p_size") % 2)).alias("urls"), F.col("p_type").alias("hf_repo")).where("pos <= 500")
+    return evaluations.collapse_votes(parts).select("folder", "members", "least_name", "greatest_name", F.round("similarity", 6).alias("similarity"), "same_prefix", "same_url", "same_repo", "similar", "signals", "collapse", "merged_name")
+
+
+@query("w2_first_files", "SELECT source, doc_id FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) r FROM documents) WHERE r <= 50")
+def _(spark, sf):
+    return retrieval.ranked(read(spark, sf, "documents").select("source", "doc_id"), "source", [F.col("doc_id")], 50).drop("rank")
+
+
+# ---------------------------------------------------------------- names and text
+
+
+@query("f1_names", "SELECT p_partkey, translate(lower(regexp_replace(p_name, '^\\s+|\\s+$', '', 'g')), '_ ', '--') AS key, translate(lower(regexp_replace(p_name, '^\\s+|\\s+$', '', 'g')), '- ', '__') AS other FROM part")
+def _(spark, sf):
+    return read(spark, sf, "part").select("p_partkey", names.normalize_name("p_name").alias("key"), names.underscore_name("p_name").alias("other"))
+
+
+@query("t8_slug", "SELECT page_id, regexp_replace(regexp_replace(lower(url), '[^a-z0-9.]+', '-', 'g'), '^-+|-+$', '', 'g') AS slug FROM pages")
+def _(spark, sf):
+    return read(spark, sf, "pages").select("page_id", names.slug("url").alias("slug"))
+
+
+@query("t45_output_key", "SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN c_mktsegment ELSE regexp_replace(regexp_replace(lower(c_name), '[^a-z0-9.]+', '-', 'g'), '^-+|-+$', '', 'g') END AS key FROM customer")
+def _(spark, sf):
+    return read(spark, sf, "customer").select("c_custkey", names.output_key(F.when(F.col("c_custkey") % 3 == 0, F.col("c_mktsegment")), "c_name").alias("key"))
+
+
+@query("t32_suite_name")
+def _(spark, sf):
+    grouped = read(spark, sf, "part").groupBy("p_brand").agg(F.min(names.normalize_name("p_name")).alias("a"), F.max(names.normalize_name("p_name")).alias("b"))
+    return grouped.select("p_brand", names.suite_name(F.lower("p_brand"), "a", "b").alias("name"), names.common_prefix("a", "b").alias("prefix"))
+
+
+@query("t34_duration", "SELECT o_orderkey, CASE WHEN s < 60 THEN printf('%.1fs', s) WHEN s < 3600 THEN printf('%dm %ds', CAST(floor(s / 60) AS BIGINT), CAST(floor(s) AS BIGINT) % 60) ELSE printf('%dh %dm', CAST(floor(s / 3600) AS BIGINT), CAST(floor((CAST(floor(s) AS BIGINT) % 3600) / 60) AS BIGINT)) END AS took FROM (SELECT o_orderkey, o_totalprice / 20 AS s FROM orders)")
+def _(spark, sf):
+    return read(spark, sf, "orders").select("o_orderkey", names.duration(F.col("o_totalprice") / 20).alias("took"))
+
+
+@query("t1_tokens", "SELECT doc_id, len(w) AS n_tokens, len(list_distinct(w)) AS n_distinct FROM (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+') w FROM documents)")
+def _(spark, sf):
+    return read(spark, sf, "documents").select("doc_id", F.size(text.tokens("text")).cast("long").alias("n_tokens"), F.size(F.array_distinct(text.tokens("text"))).cast("long").alias("n_distinct"))
+
+
+TAGGED = "'language:' || lang || ' format: csv task_ids: qa ' || substr(text, 1, 40)"
+
+
+@query("t6_expand_tags", f"SELECT doc_id, replace(replace(replace(replace(replace(replace({TAGGED}, 'language:en ', 'language: English '), 'language:de ', 'language: German '), 'language:fr ', 'language: French '), 'language:es ', 'language: Spanish '), 'format: csv', 'data format: CSV'), 'task_ids: ', 'task: ') AS words FROM documents")
+def _(spark, sf):
+    line = F.concat(F.lit("language:"), "lang", F.lit(" format: csv task_ids: qa "), F.substring("text", 1, 40))
+    return read(spark, sf, "documents").select("doc_id", text.expand_tags(line).alias("words"))
+
+
+@query("t7_strip_references")
+def _(spark, sf):
+    docs = read(spark, sf, "documents")
+    cited = F.concat(F.col("text"), F.lit(" as shown [1, 2] and (3)."), F.when(F.col("doc_id") % 2 == 0, F.lit("\nReferences\n[1] A. Author. A title.\n")).otherwise(""))
+    return docs.select("doc_id", F.md5(text.strip_references(cited)).alias("md5"), F.length(text.strip_references(cited)).alias("n"))
+
+
+@query("t5_keywords")
+def _(spark, sf):
+    return read(spark, sf, "benchmark").select("item_id", F.array_join(text.keywords("text"), "|").alias("keywords"))
+
+
+@query("t9_arxiv_url", "SELECT page_id, CASE WHEN page_id % 4 = 0 THEN 'https://arxiv.org/abs/2001.' || lpad(CAST(page_id AS VARCHAR), 5, '0') WHEN page_id % 4 = 1 THEN url WHEN page_id % 4 = 2 THEN 'https://arxiv.org/abs/1905.' || lpad(CAST(page_id AS VARCHAR), 5, '0') END AS paper FROM pages")
+def _(spark, sf):
+    p = F.lpad(F.col("page_id").cast("string"), 5, "0")
+    k = F.col("page_id") % 4
+    tag = F.when(k == 0, F.array(F.lit("language:en"), F.concat(F.lit("arxiv:2001."), p))).otherwise(F.array(F.lit("language:en")))
+    readme = F.when(k == 1, F.concat(F.lit("**Paper**: "), F.col("url"))).when(k == 2, F.concat(F.lit("```bibtex\n@misc{a, eprint={arXiv:1905."), p, F.lit("}}\n```"))).otherwise("nothing")
+    return read(spark, sf, "pages").select("page_id", text.arxiv_url(tag, readme).alias("paper"))
+
+
+@query("p4_url_kinds", "SELECT page_id, lower(url) LIKE '%.pdf' OR contains(lower(url), 'arxiv.org') AS is_pdf, lower(url) LIKE 'http%' AND NOT contains(lower(url), 'arxiv.org') AND NOT (lower(url) LIKE '%.pdf' OR lower(url) LIKE '%.json' OR lower(url) LIKE '%.jsonl') AS is_html FROM (SELECT page_id, url || CASE page_id % 4 WHEN 0 THEN '.pdf' WHEN 1 THEN '/x.json' ELSE '' END AS url FROM pages)")
+def _(spark, sf):
+    u = F.concat("url", F.when(F.col("page_id") % 4 == 0, ".pdf").when(F.col("page_id") % 4 == 1, "/x.json").otherwise(""))
+    return read(spark, sf, "pages").select("page_id", text.is_pdf_url(u).alias("is_pdf"), text.is_html_url(u).alias("is_html"))
+
+
+@query("p9_paper_url", "SELECT page_id, CASE WHEN page_id % 3 = 0 THEN NULL WHEN page_id % 3 = 1 THEN 'https://aclanthology.org/' || page_id || '.pdf' ELSE url END AS paper FROM pages")
+def _(spark, sf):
+    k = F.col("page_id") % 3
+    u = F.when(k == 0, F.concat(F.lit("https://www.semanticscholar.org/"), "page_id")).when(k == 1, F.concat(F.lit("https://aclanthology.org/"), "page_id", F.lit("/"))).otherwise(F.col("url"))
+    return read(spark, sf, "pages").select("page_id", text.paper_url(u).alias("paper"))
+
+
+@query("t12_html_title", "SELECT page_id, trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '\\s+', ' ', 'g')) AS title FROM pages")
+def _(spark, sf):
+    return read(spark, sf, "pages").select("page_id", text.html_title("html", "url").alias("title"))
+
+
+@query("t25_best_paper_url", "SELECT item_id, CASE item_id % 3 WHEN 0 THEN 'https://arxiv.org/abs/a' || item_id WHEN 1 THEN 'https://doi.org/10.1/' || item_id ELSE 'https://x.org/' || item_id END AS best FROM benchmark")
+def _(spark, sf):
+    k = F.col("item_id") % 3
+    return read(spark, sf, "benchmark").select("item_id", text.best_paper_url(F.when(k == 0, F.concat(F.lit("a"), "item_id")), F.when(k < 2, F.concat(F.lit("10.1/"), "item_id")), F.concat(F.lit("https://x.org/"), "item_id")).alias("best"))
+
+
+@query("t10_tag_fields", "SELECT l_orderkey, l_linenumber, 'English, German' AS languages, 'MIT License' AS license, '1K to 10K examples' AS size, 'Question answering' AS tasks, 'text' AS data_type FROM lineitem WHERE l_orderkey <= 200")
+def _(spark, sf):
+    rows = read(spark, sf, "lineitem").where("l_orderkey <= 200").select("l_orderkey", "l_linenumber", F.array(*map(F.lit, ["language:en", "language:de", "license:other", "license:mit", "size_categories:1K<n<10K", "task_ids:question-answering", "modality:text", "broken"])).alias("tags"))
+    out = tags.tag_fields(rows.withColumn("k", F.struct("l_orderkey", "l_linenumber")), "k")
+    return out.select("k.l_orderkey", "k.l_linenumber", F.array_join("languages", ", ").alias("languages"), "license", "size", F.array_join("tasks", ", ").alias("tasks"), "data_type")
+
+
+@query("t38_description", "SELECT doc_id, substr(regexp_replace(split_part(regexp_replace(text, '^\\s+|\\s+$', '', 'g'), chr(10), 1), '^\\s+|\\s+$', '', 'g'), 1, 280) AS d FROM documents")
+def _(spark, sf):
+    return read(spark, sf, "documents").select("doc_id", text.description("text").alias("d"))
+
+
+@query("t39_md5", "SELECT doc_id, md5(text) AS key FROM documents")
+def _(spark, sf):
+    return read(spark, sf, "documents").select("doc_id", F.md5("text").alias("key"))
+
+
+@query("t24_abstract")
+def _(spark, sf):
+    words = read(spark, sf, "benchmark").select("item_id", F.posexplode(F.split("text", r"\s+")).alias("p", "w")).groupBy("item_id", "w").agg(F.collect_list("p").alias("ps")).groupBy("item_id").agg(F.map_from_entries(F.collect_list(F.struct("w", "ps"))).alias("i"))
+    return words.select("item_id", F.md5(text.abstract_from_index("i")).alias("md5"))
+
+
+@query("t21_t22_model_output", "SELECT item_id, CAST(item_id % 10 AS DOUBLE) + 2.5 AS total FROM benchmark")
+def _(spark, sf):
+    raw = F.concat(F.lit("<think>[9]\nhm</think> scores: ["), (F.col("item_id") % 10).cast("string"), F.lit(", 2.5, \"x\"] done"))
+    return read(spark, sf, "benchmark").select("item_id", F.aggregate(text.json_array(text.strip_thinking(raw)), F.lit(0.0), lambda a, b: a + b).alias("total"))
+
+
+@query("p3_missing", "SELECT s_suppkey, CASE s_suppkey % 4 WHEN 0 THEN true WHEN 1 THEN true WHEN 2 THEN true ELSE false END AS missing FROM supplier")
+def _(spark, sf):
+    k = F.col("s_suppkey") % 4
+    v = F.when(k == 0, " Not Specified. ").when(k == 1, "no information found").when(k == 3, F.col("s_name"))
+    return read(spark, sf, "supplier").select("s_suppkey", missing.is_missing(v).alias("missing"))
+
+
+@query("w5_carried_heading", "SELECT conv_id, turn, last_value(CASE WHEN role = 'user' THEN regexp_replace(substr(text, 1, 30), '^\\s+|\\s+$', '', 'g') END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS heading FROM conversations")
+def _(spark, sf):
+    lines = read(spark, sf, "conversations").withColumn("line", F.when(F.col("role") == "user", F.concat(F.lit("## "), F.substring("text", 1, 30))).otherwise(F.col("text")))
+    return cards.carried_heading(lines, "conv_id", "turn").select("conv_id", "turn", F.when(F.col("heading").isNotNull(), F.col("heading")).alias("heading"))
+
+
+@query("w4_neighbours", "SELECT conv_id, turn FROM (SELECT conv_id, turn, max(CASE WHEN contains(lower(text), 'er') AND role = 'system' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS near FROM conversations) WHERE near = 1")
+def _(spark, sf):
+    hit = (F.lower("text").contains("er") & (F.col("role") == "system")).cast("int")
+    near = F.max(hit).over(Window.partitionBy("conv_id").orderBy("turn").rowsBetween(-1, 1))
+    return read(spark, sf, "conversations").withColumn("near", near).where("near = 1").select("conv_id", "turn")
+
+
+# ---------------------------------------------------------------- retrieval
+
+
+@query("t3_chunks", "SELECT doc_id, CAST(i AS INTEGER) AS chunk, substr(text, CAST(i * 800 + 1 AS INTEGER), 1000) AS chunk_text FROM (SELECT doc_id, text, unnest(generate_series(0, greatest(1, CAST(ceil((length(text) - 200) / 800.0) AS BIGINT)) - 1)) AS i FROM documents)")
+def _(spark, sf):
+    return retrieval.stride_chunks(read(spark, sf, "documents").select("doc_id", "text"), 1000, 200).select("doc_id", "chunk", "chunk_text")
+
+
+@query("t2_recursive_chunks")
+def _(spark, sf):
+    return retrieval.recursive_chunks(read(spark, sf, "documents").where("lang = 'es'"), "doc_id").select("doc_id", "parent_idx", "child_idx", "text")
+
+
+@query(
+    "f5_bm25",
+    """WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+') l FROM documents), d AS (SELECT doc_id, len(l) dl FROM w), p AS (SELECT doc_id, unnest(l) term FROM w),
+ tf AS (SELECT doc_id, term, count(*) tf FROM p GROUP BY 1, 2), df AS (SELECT term, count(*) df FROM tf GROUP BY 1), c AS (SELECT count(*) n, avg(dl) a FROM d),
+ q AS (SELECT item_id, term, count(*) times FROM (SELECT item_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+')) term FROM benchmark) GROUP BY 1, 2),
+ s AS (SELECT item_id, doc_id, sum(times * ln((n - df + 0.5) / (df + 0.5)) * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * dl / a))) score FROM q JOIN tf USING (term) JOIN df USING (term) JOIN d USING (doc_id), c GROUP BY 1, 2),
+ r AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY round(score, 9) DESC, doc_id) AS rank FROM s) SELECT item_id, doc_id, round(score, 6) AS score FROM r WHERE rank <= 15 AND score > 0""",
+)
+def _(spark, sf):
+    hits = retrieval.bm25(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
+    return hits.select("item_id", "doc_id", F.round("score", 6).alias("score"))
+
+
+@query("a6_document_frequency", "SELECT term, count(*) AS df FROM (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+')) term FROM documents) GROUP BY term")
+def _(spark, sf):
+    return retrieval.postings(read(spark, sf, "documents"), "doc_id").groupBy("term").agg(F.count("*").alias("df"))
+
+
+@query("f6_dense_search", "WITH s AS (SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(CAST(q.embedding AS DOUBLE[]), CAST(v.embedding AS DOUBLE[])) score FROM embeddings q, embeddings v WHERE q.vec_id % 100 = 0), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) SELECT query_id, vec_id, rank, round(score, 4) AS score FROM r WHERE rank <= 15")
+def _(spark, sf):
+    v = read(spark, sf, "embeddings")
+    q = v.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    return retrieval.dense_search(v, q).select("query_id", "vec_id", "rank", F.round("score", 4).alias("score"))
+
+
+@query("l2_mmr")
+def _(spark, sf):
+    v = read(spark, sf, "embeddings")
+    q = v.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    near = retrieval.dense_search(v, q, top=23)
+    return retrieval.mmr(near.join(v, "vec_id"), "query_id", "vec_id", 9)
+
+
+@query("f7_keyword_hits", "SELECT doc_id FROM documents WHERE contains(lower(text), 'idiot') OR contains(lower(text), 'licensed')")
+def _(spark, sf):
+    return retrieval.keyword_hits(read(spark, sf, "documents"), F.array(F.lit("Idiot"), F.lit("licensed"))).select("doc_id")
+
+
+@query("w3_first_of_equals", "SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY md5(text) ORDER BY doc_id) r FROM documents) WHERE r = 1")
+def _(spark, sf):
+    d = read(spark, sf, "documents").select("doc_id", F.md5("text").alias("h"))
+    return d.groupBy("h").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
+
+
+@query("u1_fuse", "WITH c AS (SELECT source q, md5(text) h, doc_id, doc_id % 3 prio FROM documents), f AS (SELECT *, row_number() OVER (PARTITION BY q, h ORDER BY prio, doc_id) r FROM c), p AS (SELECT q, doc_id, row_number() OVER (PARTITION BY q ORDER BY prio, doc_id) AS place FROM f WHERE r = 1) SELECT q, doc_id, place FROM p WHERE place <= 20")
+def _(spark, sf):
+    d = read(spark, sf, "documents").select(F.col("source").alias("q"), "text", "doc_id", F.col("doc_id").alias("rank"))
+    return retrieval.fuse([d.where(f"doc_id % 3 = {i}") for i in range(3)], "q", "text").select("q", "doc_id", "place")
+
+
+@query("f8_grade")
+def _(spark, sf):
+    d = read(spark, sf, "conversations").select("conv_id", "turn", "text").where("turn < 20")
+    return retrieval.grade(d, "conv_id", "turn").select("conv_id", "turn")
+
+
+@query("l4_rerank", "WITH c AS (SELECT source q, doc_id, CAST(doc_id % 11 AS DOUBLE) s, row_number() OVER (PARTITION BY source ORDER BY doc_id) place FROM documents), r AS (SELECT q, doc_id, s, row_number() OVER (PARTITION BY q ORDER BY s DESC, place) AS rank FROM c WHERE place <= 10 AND s >= 6) SELECT * FROM r WHERE rank <= 3")
+def _(spark, sf):
+    d = read(spark, sf, "documents").select(F.col("source").alias("q"), "doc_id", (F.col("doc_id") % 11).cast("double").alias("s")).withColumn("place", F.row_number().over(Window.partitionBy("q").orderBy("doc_id")))
+    return retrieval.rerank(d, "q", "s").select("q", "doc_id", "s", "rank")
+
+
+@query("w6_budget", "WITH c AS (SELECT source, doc_id, length(text) n, sum(length(text)) OVER (PARTITION BY source ORDER BY doc_id) t FROM documents) SELECT source, doc_id, CAST(CASE WHEN t <= 25000 THEN n ELSE 25000 - (t - n) END AS BIGINT) AS n FROM c WHERE t <= 25000 OR (t - n < 25000 AND 25000 - (t - n) > 100)")
+def _(spark, sf):
+    return retrieval.budget(read(spark, sf, "documents").select("source", "doc_id", "text"), "source", "doc_id").select("source", "doc_id", F.length("text").cast("long").alias("n"))
+
+
+# ---------------------------------------------------------------- factuality
+
+ATOMS = "atoms AS (SELECT doc_id, 'd' || doc_id AS atom_id, 'data.' || source AS field, CASE WHEN doc_id % 11 = 0 THEN NULL WHEN doc_id % 7 = 0 THEN 0.5 ELSE CAST((doc_id * 37) % 101 AS DOUBLE) / 100 END AS p_true FROM documents)"
+LABEL = "CASE WHEN p_true IS NULL THEN 'NO_SCORE' WHEN p_true > 0.8 THEN 'HIGH_CONFIDENCE_CORRECT' WHEN p_true > 0.6 THEN 'LIKELY_CORRECT' WHEN p_true >= 0.4 THEN 'UNCERTAIN' WHEN p_true >= 0.2 THEN 'LIKELY_INCORRECT' ELSE 'HIGH_CONFIDENCE_INCORRECT' END"
+FIELDS = f"{ATOMS}, fields AS (SELECT field, count(*) AS total_atoms, count(*) FILTER (p_true > 0.8) AS c1, count(*) FILTER (p_true > 0.6 AND p_true <= 0.8) AS c2, count(*) FILTER (p_true >= 0.4 AND p_true <= 0.6) AS c3, count(*) FILTER (p_true >= 0.2 AND p_true < 0.4) AS c4, count(*) FILTER (p_true < 0.2) AS c5, count(*) FILTER (p_true = 0.5) AS neutral_count, avg(p_true) FILTER (p_true <> 0.5) AS m FROM atoms WHERE p_true IS NOT NULL GROUP BY field)"
+
+
+def atoms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = F.col("doc_id")
+    p = F.when(d % 11 == 0, F.lit(None)).when(d % 7 == 0, 0.5).otherwise(((d * 37) % 101).cast("double") / 100)
+    return read(spark, sf_dir, "documents").select(F.concat(F.lit("d"), d).alias("atom_id"), F.concat(F.lit("data."), "source").alias("field"), p.alias("p_true"), "text", "doc_id")
+
+
+@query("a9_field_factuality", f"WITH {FIELDS} SELECT field, total_atoms, c1 AS high_confidence_correct, c2 AS likely_correct, c3 AS uncertain, c4 AS likely_incorrect, c5 AS high_confidence_incorrect, neutral_count, m IS NULL AS all_neutral, round(coalesce(m, 0.5), 6) AS avg_probability, round((c1 + c2) * 100.0 / total_atoms, 6) AS accuracy_percentage, round((c4 + c5) * 100.0 / total_atoms, 6) AS error_percentage FROM fields")
+def _(spark, sf):
+    out = factuality.by_field(atoms(spark, sf))
+    return out.withColumns({c: F.round(c, 6) for c in ("avg_probability", "accuracy_percentage", "error_percentage")})
+
+
+@query("a10_extremes", f"WITH {FIELDS}, a AS (SELECT *, (c1 + c2) * 100.0 / total_atoms acc, c4 + c5 err FROM fields) SELECT count(*) AS total_fields, count(*) FILTER (err > 0) AS fields_with_errors, (SELECT field FROM a ORDER BY acc DESC, field LIMIT 1) AS most_accurate_field, (SELECT field FROM a ORDER BY acc, field LIMIT 1) AS most_problematic_field FROM a")
+def _(spark, sf):
+    return factuality.extremes(factuality.by_field(atoms(spark, sf)))
+
+
+@query("a11_entropy", f"WITH {ATOMS}, p AS (SELECT field, greatest(1e-7, least(1 - 1e-7, p_true)) p FROM atoms WHERE p_true IS NOT NULL), e AS (SELECT field, count(*) n, sum(-p * log10(p) - (1 - p) * log10(1 - p)) h FROM p GROUP BY field) SELECT field, n, round(h, 6) AS entropy, round(h / n, 6) AS mean_entropy, round(CASE WHEN n > 1 THEN h / n / log10(n) ELSE 0 END, 6) AS scaled_entropy FROM e")
+def _(spark, sf):
+    out = factuality.entropy(atoms(spark, sf), ["field"])
+    return out.withColumns({c: F.round(c, 6) for c in ("entropy", "mean_entropy", "scaled_entropy")})
+
+
+@query("c5_flags", f"WITH {FIELDS} SELECT field, CASE WHEN m IS NULL THEN 'all_atoms_neutral' ELSE 'low_factuality_score' END AS reason FROM fields WHERE (coalesce(m, 0.5) < 0.8 OR m IS NULL) AND field NOT IN ('data.src1', 'data.src2')")
+def _(spark, sf):
+    proof = spark.createDataFrame([("data.src1", "PAPER", "said"), ("data.src2", "HTML", "said"), ("data.src3", "", "said")], "field string, source string, evidence string")
+    return factuality.flags(factuality.by_field(atoms(spark, sf)), proof).select("field", "reason")
+
+
+@query("c7_l5_atom_summary", f"WITH {ATOMS} SELECT atom_id, field, p_true, {LABEL} AS label FROM atoms")
+def _(spark, sf):
+    return factuality.atom_summary(atoms(spark, sf))
+
+
+@query("j2_match_exact", "SELECT 'd' || d.doc_id AS atom_id, CAST(l.quality AS DOUBLE) AS p_true FROM documents d LEFT JOIN labels l USING (doc_id)")
+def _(spark, sf):
+    marginals = read(spark, sf, "labels").select(F.concat(F.lit("d"), "doc_id").alias("variable"), F.col("quality").cast("double").alias("p_true"), F.col("doc_id").alias("ord"))
+    return factuality.match(atoms(spark, sf).drop("p_true"), marginals).select("atom_id", "p_true")
+
+
+@query("j2_match_compat", "SELECT a.atom_id, (SELECT v.p FROM (SELECT 'v' || doc_id || '_x' AS name, CAST(toxic AS DOUBLE) p, doc_id o FROM labels) v WHERE contains(v.name, a.atom_id) ORDER BY o LIMIT 1) AS p_true FROM (SELECT 'v' || item_id AS atom_id FROM benchmark) a")
+def _(spark, sf):
+    marginals = read(spark, sf, "labels").select(F.concat(F.lit("v"), "doc_id", F.lit("_x")).alias("variable"), F.col("toxic").cast("double").alias("p_true"), F.col("doc_id").alias("ord"))
+    a = read(spark, sf, "benchmark").select(F.concat(F.lit("v"), "item_id").alias("atom_id"), "text", F.lit("data.size").alias("field"))
+    return factuality.match(a, marginals, "compat").select("atom_id", "p_true")
+
+
+@query("a12_flag_counters", f"WITH {ATOMS} SELECT count(*) FILTER (p_true < 0.3) AS low, count(*) FILTER (p_true < 0.3 OR p_true = 0.5) AS low_or_neutral FROM atoms")
+def _(spark, sf):
+    return atoms(spark, sf).agg(F.count_if(F.col("p_true") < 0.3).alias("low"), F.count_if((F.col("p_true") < 0.3) | (F.col("p_true") == 0.5)).alias("low_or_neutral"))
+
+
+# ---------------------------------------------------------------- cards
+
+
+def card(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("s_suppkey") % 4
+    v = F.when(k == 0, F.array(F.lit("Not specified"))).when(k == 1, F.array("s_name", "s_name")).when(k == 2, F.array().cast("array<string>")).otherwise(F.array(F.col("s_acctbal").cast("string")))
+    field = F.when(F.col("s_suppkey") % 2 == 0, "languages").otherwise("size")
+    return read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("card_id"), F.lit("benchmark_details").alias("section"), field.alias("field"), v.alias("value"), (k == 1).alias("is_list"))
+
+
+@query("c1_merge_facts", "WITH f AS (SELECT n_regionkey AS card_id, 'data' AS section, 'size' AS field, CASE n_nationkey % 3 WHEN 0 THEN 'EEE' WHEN 1 THEN 'PAPER' ELSE 'HTML' END AS source, CASE WHEN n_nationkey % 5 = 1 THEN 'not specified' ELSE n_name END AS value FROM nation), r AS (SELECT *, row_number() OVER (PARTITION BY card_id ORDER BY CASE source WHEN 'PAPER' THEN 2 WHEN 'HTML' THEN 3 ELSE 5 END, value) r FROM f WHERE value <> 'not specified') SELECT card_id, section, field, source, value FROM r WHERE r = 1")
+def _(spark, sf):
+    k = F.col("n_nationkey") % 3
+    f = read(spark, sf, "nation").select(F.col("n_regionkey").alias("card_id"), F.lit("data").alias("section"), F.lit("size").alias("field"), F.when(k == 0, "EEE").when(k == 1, "PAPER").otherwise("HTML").alias("source"), F.when(F.col("n_nationkey") % 5 == 1, "not specified").otherwise(F.col("n_name")).alias("value"))
+    return cards.merge_facts(f, ["card_id", "section", "field"])
+
+
+@query("c2_override", "SELECT s_suppkey AS card_id, CASE WHEN s_suppkey % 3 = 0 AND (s_suppkey % 2 = 0 OR s_suppkey % 4 IN (0, 2)) THEN 'new' WHEN s_suppkey % 4 = 0 THEN 'Not specified' WHEN s_suppkey % 4 = 1 THEN s_name || '|' || s_name WHEN s_suppkey % 4 = 2 THEN '' ELSE NULL END AS value FROM supplier WHERE s_suppkey % 4 <> 3")
+def _(spark, sf):
+    c = card(spark, sf)
+    values = c.where("card_id % 3 = 0").select("card_id", "section", "field", F.array(F.lit("new")).alias("value"))
+    return cards.override(c, values).where("card_id % 4 <> 3").select("card_id", F.array_join("value", "|").alias("value"))
+
+
+@query("t27_missing_paths", "SELECT s_suppkey AS card_id, 'benchmark_details.languages' AS path FROM supplier WHERE s_suppkey % 4 IN (0, 2)")
+def _(spark, sf):
+    return cards.missing_paths(card(spark, sf))
+
+
+@query("t28_normalize", "SELECT s_suppkey AS card_id, CASE WHEN s_suppkey % 4 IN (0, 2) THEN 'Not specified' ELSE s_name || '|' || s_name END AS value FROM supplier WHERE s_suppkey % 4 <> 3")
+def _(spark, sf):
+    return cards.normalize(card(spark, sf)).where("card_id % 4 <> 3").select("card_id", F.array_join("value", "|").alias("value"))
+
+
+@query("t16_t17_statements", "SELECT item_id, CASE item_id % 3 WHEN 0 THEN 'data.size' WHEN 1 THEN 'methodology.interpretation' ELSE 'purpose_and_intended_users.goal' END AS field, 'accuracy of ' || item_id AS text FROM benchmark")
+def _(spark, sf):
+    k = F.col("item_id") % 3
+    line = F.concat(F.lit("- accuracy of "), "item_id", F.when(k == 0, " [data.size]").when(k == 1, " [methodology.result]").otherwise(" [purpose.x]"), F.lit("\nno statement\n- gone [unknown]"))
+    valid = spark.createDataFrame([("data.size",), ("methodology.interpretation",)], "field string")
+    return cards.statements(read(spark, sf, "benchmark").select("item_id", line.alias("t")), "item_id", valid, "t").select("item_id", "field", "text")
+
+
+@query("a18_confidence", "SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 AND (c_custkey % 3 = 0 OR c_custkey % 5 = 0) THEN 'high' WHEN c_custkey % 2 = 0 OR c_custkey % 3 = 0 THEN 'medium' ELSE 'low' END AS confidence FROM customer")
+def _(spark, sf):
+    by = lambda n: F.col("c_custkey") % n == 0
+    return read(spark, sf, "customer").select("c_custkey", cards.confidence(by(2), by(3), by(5), F.lit(False)).alias("confidence"))
+
+
+# ---------------------------------------------------------------- resolution, routing, incremental
+
+
+@query("j6_override_lookup", "SELECT n_nationkey, CASE WHEN n_regionkey = 1 THEN NULL WHEN n_regionkey = 2 THEN 'set' ELSE n_name END AS repo, n_regionkey IN (1, 2) AS is_override FROM nation")
+def _(spark, sf):
+    known = spark.createDataFrame([(1, None), (2, "set")], "key int, value string")
+    return resolve.with_override(read(spark, sf, "nation").select("n_nationkey", "n_regionkey", F.col("n_name").alias("repo")), known, F.col("n_regionkey"), "repo").select("n_nationkey", "repo", "is_override")
+
+
+@query("j8_fuzzy_match")
+def _(spark, sf):
+    c = read(spark, sf, "customer").where("c_custkey <= 200").select(F.regexp_replace("c_name", "#0", "# ").alias("name"))
+    return resolve.fuzzy_match(c, read(spark, sf, "customer").where("c_custkey <= 400").select(F.col("c_name").alias("other")), "name", "other").withColumn("similarity", F.round("similarity", 6))
+
+
+@query("f2_f4_similarity")
+def _(spark, sf):
+    p = read(spark, sf, "part").select("p_partkey", F.lower("p_name").alias("a"), F.lower("p_type").alias("b"))
+    return p.select("p_partkey", F.round(fuzzy.ratio("a", "b"), 6).alias("ratio"), F.round(fuzzy.partial_ratio("a", "b"), 6).alias("partial"))
+
+
+@query("j9_not_done", "SELECT c_custkey FROM customer WHERE c_custkey % 2 = 1 AND c_custkey % 3 <> 0")
+def _(spark, sf):
+    c = read(spark, sf, "customer").select("c_custkey", F.col("c_name").alias("name"), F.concat(F.lit("id"), "c_custkey").alias("canonical_id"))
+    done = c.where("c_custkey % 2 = 0").select(F.col("canonical_id").alias("key")).union(c.where("c_custkey % 3 = 0").select(names.slug("name")))
+    return resolve.not_done(c, done).select("c_custkey")
+
+
+@query("j10_new_items", "SELECT DISTINCT o_custkey AS c_custkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey <= 1000)")
+def _(spark, sf):
+    return resolve.new_items(read(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey")), read(spark, sf, "customer").where("c_custkey <= 1000"), "c_custkey")
+
+
+@query("r5_closure", "WITH RECURSIVE e AS (SELECT DISTINCT o_custkey AS src, (o_custkey * 7 + 3) % 1500 AS dst FROM orders), c(root, node, depth) AS (SELECT c_custkey, c_custkey, 0 FROM customer WHERE c_custkey <= 20 UNION SELECT root, dst, depth + 1 FROM c JOIN e ON c.node = e.src WHERE depth < 6) SELECT root, node, min(depth) AS depth FROM c GROUP BY root, node")
+def _(spark, sf):
+    e = read(spark, sf, "orders").select(F.col("o_custkey").cast("long").alias("src"), ((F.col("o_custkey").cast("long") * 7 + 3) % 1500).alias("dst")).distinct()
+    return resolve.closure(e, read(spark, sf, "customer").where("c_custkey <= 20").select(F.col("c_custkey").cast("long").alias("root")), 6)
+
+
+@query("f13_tiers", "SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'given' WHEN page_id % 3 = 0 THEN 'readme' ELSE 'search' END AS resolved_from FROM pages")
+def _(spark, sf):
+    p = F.col("page_id")
+    value, tier = resolve.first_tier([("given", F.when(p % 2 == 0, "a")), ("readme", F.when(p % 3 == 0, "b")), ("search", F.col("url"))])
+    return read(spark, sf, "pages").select("page_id", value.alias("value"), tier.alias("resolved_from")).select("page_id", "resolved_from")
+
+
+@query("r1_routing", "SELECT item, CASE WHEN item % 2 = 0 AND item % 3 <> 0 THEN 'catalog' WHEN item % 5 = 0 THEN 'resolver' WHEN item % 7 = 0 THEN 'compose' WHEN item % 11 = 0 THEN 'END' ELSE 'evidence' END AS next FROM (SELECT s_suppkey AS item FROM supplier)")
+def _(spark, sf):
+    i = F.col("s_suppkey")
+    yes = F.lit(True)
+    even = (i % 2 == 0) & (i % 3 != 0)
+    states = read(spark, sf, "supplier").select(
+        i.alias("item"), (~even).alias("is_scored"), (i % 11 == 0).alias("is_composite"), F.lit(False).alias("has_catalog"), F.lit(False).alias("has_ids"), F.lit(False).alias("has_repo"), F.lit(False).alias("has_hub"), (i % 5 != 0).alias("has_paper"), F.lit(False).alias("hub_ids_tried"), F.lit(False).alias("resolver_tried"),
+        yes.alias("has_text"), yes.alias("has_html"), yes.alias("has_web"), (i % 7 != 0).alias("has_card"), yes.alias("has_risk"), F.lit(False).alias("has_evidence"), F.lit(False).alias("has_factuality"), F.array(F.lit("loaded")).alias("log"),
+    )
+    return routing.routed(states).select("item", "next")
+
+
+@query("a14_histogram", "SELECT o_orderpriority AS reason, count(*) AS n FROM orders WHERE o_orderstatus = 'F' GROUP BY 1")
+def _(spark, sf):
+    return read(spark, sf, "orders").where("o_orderstatus = 'F'").groupBy(F.col("o_orderpriority").alias("reason")).agg(F.count("*").alias("n"))
+
+
+@query("a15_success_rate", "SELECT o_orderpriority, round(count(*) FILTER (o_orderstatus = 'O') * 100.0 / count(*) FILTER (o_orderstatus IN ('O', 'F')), 1) AS rate FROM orders GROUP BY 1")
+def _(spark, sf):
+    done, lost = F.count_if(F.col("o_orderstatus") == "O"), F.count_if(F.col("o_orderstatus") == "F")
+    return read(spark, sf, "orders").groupBy("o_orderpriority").agg(F.round(F.coalesce(F.try_divide(done, done + lost) * 100, F.lit(0.0)), 1).alias("rate"))
+
+
+@query("s11_latest", "SELECT o_custkey, max(o_orderkey) AS o_orderkey FROM orders GROUP BY 1")
+def _(spark, sf):
+    return read(spark, sf, "orders").groupBy("o_custkey").agg(F.max("o_orderkey").alias("o_orderkey"))
+
+
+@query("q5_history", "SELECT event_id FROM events ORDER BY ts DESC, event_id DESC LIMIT 50")
+def _(spark, sf):
+    return read(spark, sf, "events").orderBy(F.desc("ts"), F.desc("event_id")).limit(50).select("event_id")

@@ -1,0 +1 @@
+"""Whole pipelines as plans over DataFrames."""
