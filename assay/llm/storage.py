@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import ship
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's spark.checkpoint.dir; a temporary folder only where none is set, as in tests."""
@@ -43,5 +45,6 @@ ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 def bound_batches(spark: SparkSession, limit: str = "16m") -> None:
     """Bounds the bytes of an Arrow batch, as texts differ in length, unless the cluster has set a bound of its own."""
+    ship(spark)
     if not spark.sparkContext.getConf().contains(ARROW_BYTES):
         spark.conf.set(ARROW_BYTES, limit)
