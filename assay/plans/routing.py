@@ -12,25 +12,25 @@ STATE = "item string, is_scored boolean, is_composite boolean, has_catalog boole
 
 
 def failed(step: str) -> Column:
-    return F.exists("log", lambda m: m.contains(f"{step} failed"))
+    return F.exists("log", lambda m: m.startswith(f"{step} failed"))
 
 
 def next_step() -> Column:
     """The first step whose condition holds; "END" if none does."""
     c = lambda name: F.coalesce(F.col(name), F.lit(False))
     steps = [
-        ("catalog", ~c("is_scored") & ~c("has_catalog") & ~failed("unitxt lookup")),
-        ("ids", ~c("is_scored") & ~c("has_ids") & ~failed("id extraction")),
-        ("hub", c("has_repo") & ~c("has_hub") & ~failed("huggingface lookup")),
+        ("catalog", ~c("is_scored") & ~c("has_catalog") & ~failed("catalog")),
+        ("ids", ~c("is_scored") & ~c("has_ids") & ~failed("ids")),
+        ("hub", c("has_repo") & ~c("has_hub") & ~failed("hub")),
         ("hub_ids", ~c("has_paper") & c("has_hub") & ~c("hub_ids_tried")),
-        ("resolver", ~c("has_paper") & ~c("resolver_tried") & ~failed("paper resolution")),
-        ("text", c("has_paper") & ~c("has_text") & ~failed("docling extraction")),
-        ("html", c("has_web") & ~c("has_html") & ~failed("html extraction")),
-        ("compose", ~c("has_card") & ~failed("composer")),
-        ("risk", ~c("has_risk") & ~failed("risk identification")),
+        ("resolver", ~c("has_paper") & ~c("resolver_tried") & ~failed("resolver")),
+        ("text", c("has_paper") & ~c("has_text") & ~failed("text")),
+        ("html", c("has_web") & ~c("has_html") & ~failed("html")),
+        ("compose", ~c("has_card") & ~failed("compose")),
+        ("risk", ~c("has_risk") & ~failed("risk")),
         ("END", c("is_composite")),
-        ("evidence", ~c("has_evidence") & ~failed("rag processing")),
-        ("factuality", ~c("has_factuality") & ~failed("factreasoner evaluation")),
+        ("evidence", ~c("has_evidence") & ~failed("evidence")),
+        ("factuality", ~c("has_factuality") & ~failed("factuality")),
     ]
     out = F.when(F.lit(False), "")
     for name, condition in steps:

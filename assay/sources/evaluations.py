@@ -37,7 +37,7 @@ def scan(spark: SparkSession, root: str, max_files: int | None = 50) -> DataFram
 
 def errors(files: DataFrame) -> DataFrame:
     """(path, error) of the files that could not be read."""
-    return files.where(F.col("_corrupt").isNotNull()).select("path", F.concat(F.lit("unreadable: "), F.substring("_corrupt", 1, 80)).alias("error"))
+    return files.where("_corrupt IS NOT NULL AND evaluation_results IS NULL").select("path", F.concat(F.lit("unreadable: "), F.substring("_corrupt", 1, 80)).alias("error"))
 
 
 def results(files: DataFrame) -> DataFrame:
