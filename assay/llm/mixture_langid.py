@@ -90,16 +90,18 @@ class GramModel:
     def predict(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
         """(language, score, proportions) of each text."""
         n, k = len(offsets) - 1, len(self.names)
+        if not k:
+            return [UNKNOWN] * n, np.zeros(n), np.zeros((n, 0))
         word, gram, doc = grams(raw, offsets)
         share = np.zeros((n, k))
-        if k and len(word):
+        if len(word):
             edge = np.flatnonzero(np.diff(word, prepend=-1))
             like = np.add.reduceat(self.log_p[gram], edge, axis=0).astype(np.float64)
             like -= like.max(axis=1, keepdims=True)
             share = mixtures(np.exp(like), doc, n)
         pick = share.argmax(axis=1)
-        score = share.max(axis=1) if k else np.zeros(n)
-        lang = [self.names[p] if s > 0 else UNKNOWN for p, s in zip(pick.tolist(), score.tolist(), strict=True)] if k else [UNKNOWN] * n
+        score = share.max(axis=1)
+        lang = [self.names[p] if s > 0 else UNKNOWN for p, s in zip(pick.tolist(), score.tolist(), strict=True)]
         return lang, np.clip(score, 0, 1), share
 
 

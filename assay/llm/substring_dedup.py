@@ -118,7 +118,10 @@ def settle(entries: Entries, history: Entries | None = None) -> tuple[Entries, n
     if not len(head):
         return entries, np.zeros(0, SPAN)
     rank = np.empty(len(head), np.int64)
-    rank[np.lexsort((head["start"], head["tag"], head["doc"]))] = np.arange(len(head))
+    by = np.lexsort((head["start"], head["tag"], head["doc"]))
+    new = np.ones(len(by), bool)
+    new[1:] = (head["doc"][by][1:] != head["doc"][by][:-1]) | (head["tag"][by][1:] != head["tag"][by][:-1]) | (head["start"][by][1:] != head["start"][by][:-1])
+    rank[by] = np.cumsum(new)  # entries of repeated rows are at one position
     entry, step, key = _windows(entries)
     order_of = (rank[entry] << 5) | step
     old = 0

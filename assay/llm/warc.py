@@ -155,5 +155,5 @@ def write_warc(records: DataFrame, path: str, compression: str = "gzip") -> None
     """Writes records whose blocks are UTF-8, as derivatives are, as WARC files."""
     order = ["WARC-Type", "WARC-Record-ID"]
     lines = F.concat_ws("\r\n", F.transform(F.concat(F.transform(F.array(*map(F.lit, order)), lambda k: F.struct(k.alias("key"), F.element_at("headers", k).alias("value"))), F.filter(F.map_entries("headers"), lambda e: ~e["key"].isin(order))), lambda e: F.concat(e["key"], F.lit(": "), e["value"])))
-    record = F.concat(F.lit(f"{VERSION}\r\n"), lines, F.lit("\r\n\r\n"), F.decode("block", F.lit("UTF-8")))
+    record = F.concat(F.lit(f"{VERSION}\r\n"), lines, F.lit("\r\n\r\n"), F.decode("block", "UTF-8"))
     records.select(record.alias("value")).write.option("lineSep", "\r\n\r\n").option("compression", compression).text(path)
