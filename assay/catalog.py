@@ -11,10 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .functions import fuzzy, missing, names, tags, text
+from .functions import checks, fuzzy, missing, names, tags, text
 from .operators import cards, evaluations, factuality, resolve, retrieval
-from .plans import routing
+from .plans import evidence, routing
+from .providers import hashed_vectors, risks, support
 from .session import ship
+from .streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -519,3 +521,137 @@ def _(spark, sf):
 @query("q5_history", "SELECT event_id FROM events ORDER BY ts DESC, event_id DESC LIMIT 50")
 def _(spark, sf):
     return read(spark, sf, "events").orderBy(F.desc("ts"), F.desc("event_id")).limit(50).select("event_id")
+
+
+# ---------------------------------------------------------------- checks, queries, evidence
+
+
+@query("t18_suspect_facts", "SELECT item_id, CASE item_id % 3 WHEN 0 THEN '[SUSPECT: topic ''arithmetic'' doesn''t match benchmark domain]' WHEN 1 THEN '[SUSPECT: terms ''Upwork, Crowdflower'' not found in source]' END AS note FROM benchmark")
+def _(spark, sf):
+    k = F.col("item_id") % 3
+    line = F.when(k == 0, "- about arithmetic").when(k == 1, "- labelled on Upwork and Crowdflower").otherwise("- labelled by Someone known")
+    return read(spark, sf, "benchmark").select("item_id", checks.suspect_note(line, F.lit("someone wrote it"), F.lit("IFEval"), F.array(F.lit("Instruction following"))).alias("note"))
+
+
+@query("p11_valid_name", r"SELECT p_partkey, regexp_matches(p_name, '^[A-Za-z0-9.\-_]{1,100}$') AS ok FROM part")
+def _(spark, sf):
+    return read(spark, sf, "part").select("p_partkey", checks.valid_name("p_name").alias("ok"))
+
+
+@query("p5_merged_events", "SELECT event_id FROM events WHERE event_id % 3 = 0")
+def _(spark, sf):
+    body = F.format_string('{"discussion": {"status": "%s", "isPullRequest": true}}', F.when(F.col("event_id") % 3 == 0, "merged").otherwise("open"))
+    return read(spark, sf, "events").where(checks.is_merged(body)).select("event_id")
+
+
+@query("p10_skip_aggregates", "SELECT n_nationkey FROM nation WHERE n_nationkey % 2 = 1")
+def _(spark, sf):
+    name = F.when(F.col("n_nationkey") % 2 == 0, F.element_at(F.array(*map(F.lit, resolve.AGGREGATES)), (F.col("n_nationkey") % 6 + 1).cast("int"))).otherwise(F.col("n_name"))
+    return read(spark, sf, "nation").where(~F.lower(name).isin(*resolve.AGGREGATES)).select("n_nationkey")
+
+
+@query("t26_search_queries", "SELECT n_nationkey, 'helm_set-v2|A title|helm set-v2|helm_set|set-v2' AS queries FROM nation")
+def _(spark, sf):
+    return read(spark, sf, "nation").select("n_nationkey", F.array_join(checks.search_queries(F.lit("helm_set-v2"), F.lit("A title")), "|").alias("queries"))
+
+
+@query("a21_failure_kinds", "SELECT CASE l_linenumber % 4 WHEN 0 THEN 'timeout' WHEN 1 THEN 'not_found' WHEN 2 THEN 'parse' ELSE 'other' END AS kind, count(*) AS n FROM lineitem GROUP BY 1")
+def _(spark, sf):
+    k = F.col("l_linenumber") % 4
+    said = F.when(k == 0, "Timed out").when(k == 1, "404").when(k == 2, "bad JSON").otherwise("?")
+    return read(spark, sf, "lineitem").groupBy(checks.failure_kind(said).alias("kind")).agg(F.count("*").alias("n"))
+
+
+@query("t37_identity", "SELECT s_suppkey, '''' || s_name || ''' is about: a, b. Only extract facts about it.' AS anchor FROM supplier")
+def _(spark, sf):
+    return read(spark, sf, "supplier").select("s_suppkey", checks.identity("s_name", F.lit("a"), F.lit(" b "), F.lit("a"), F.lit("")).alias("anchor"))
+
+
+@query("t30_use_case", "SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'Goal: ' || c_name || '. Audience: ' || c_mktsegment ELSE 'Goal: ' || c_name END AS text FROM customer")
+def _(spark, sf):
+    return read(spark, sf, "customer").select("c_custkey", checks.use_case(Goal="c_name", Tasks=F.lit(""), Audience=F.when(F.col("c_custkey") % 2 == 0, F.col("c_mktsegment"))).alias("text"))
+
+
+@query("t4_json_lines", "SELECT event_id, 'K: ' || json_extract_string(props, '$.k') AS lines FROM events")
+def _(spark, sf):
+    return read(spark, sf, "events").select("event_id", checks.json_lines("props").alias("lines"))
+
+
+@query("t19_sub_label", "SELECT p_partkey, translate(lower(p_type), '_-', '  ') AS label FROM part")
+def _(spark, sf):
+    return read(spark, sf, "part").select("p_partkey", names.sub_label(F.concat("p_brand", F.lit("_"), "p_type"), "p_brand").alias("label"))
+
+
+@query("j5_exact_then_suffix", "SELECT n_nationkey, CASE WHEN n_nationkey % 2 = 0 THEN 'exact' ELSE 'loose' END AS found FROM nation WHERE n_nationkey < 10")
+def _(spark, sf):
+    n = read(spark, sf, "nation").where("n_nationkey < 10").select("n_nationkey", F.concat(F.lit("org/"), "n_name").alias("repo"))
+    index = n.select(F.when(F.col("n_nationkey") % 2 == 0, F.col("repo")).otherwise(F.upper(F.concat(F.lit("else/"), F.substring("repo", 5, 99)))).alias("key"), F.when(F.col("n_nationkey") % 2 == 0, "exact").otherwise("loose").alias("value"), F.col("n_nationkey").alias("ord"))
+    return resolve.exact_then_suffix(n, index, "repo", "found").select("n_nationkey", "found")
+
+
+@query("j14_inherit", "SELECT CASE s_suppkey % 3 WHEN 0 THEN 'data' WHEN 1 THEN 'benchmark_details' ELSE 'ethical_and_legal_considerations' END AS section, 'f' || s_suppkey AS field, CASE WHEN s_suppkey % 2 = 0 THEN 'own' WHEN s_suppkey % 3 = 2 THEN 'Not specified' ELSE s_name END AS value FROM supplier")
+def _(spark, sf):
+    k = F.col("s_suppkey") % 3
+    base = read(spark, sf, "supplier").select(F.when(k == 0, "data").when(k == 1, "benchmark_details").otherwise("ethical_and_legal_considerations").alias("section"), F.concat(F.lit("f"), "s_suppkey").alias("field"), F.lit(False).alias("is_list"), "s_name", "s_suppkey")
+    child = base.select("section", "field", F.array(F.when(F.col("s_suppkey") % 2 == 0, "own").otherwise("Not specified")).alias("value"), "is_list")
+    return cards.inherit(child, base.select("section", "field", F.array("s_name").alias("value"), "is_list")).select("section", "field", F.array_join("value", "|").alias("value"))
+
+
+@query("c4_backfill", "SELECT s_suppkey AS card_id, CASE WHEN s_suppkey % 4 IN (0, 2) AND s_suppkey % 3 = 0 THEN 'evidence of ' || s_name WHEN s_suppkey % 4 = 0 THEN 'Not specified' WHEN s_suppkey % 4 = 2 THEN '' ELSE s_name || '|' || s_name END AS value FROM supplier WHERE s_suppkey % 4 <> 3")
+def _(spark, sf):
+    c = card(spark, sf)
+    said = read(spark, sf, "supplier").select(F.col("s_suppkey").alias("card_id"), F.lit("benchmark_details").alias("section"), F.lit("languages").alias("field"), F.when(F.col("s_suppkey") % 3 == 0, F.concat(F.lit("evidence of "), "s_name")).otherwise("short").alias("evidence"))
+    return cards.backfill(c, said).where("card_id % 4 <> 3").select("card_id", F.array_join("value", "|").alias("value"))
+
+
+@query("c6_unflagged", f"WITH {FIELDS} SELECT field FROM fields WHERE (coalesce(m, 0.5) < 0.8 OR m IS NULL) AND field <> 'data.src4'")
+def _(spark, sf):
+    found = factuality.flags(factuality.by_field(atoms(spark, sf)))
+    return factuality.unflagged(found, spark.createDataFrame([("data.src4",)], "field string")).select("field")
+
+
+@query("c14_x5_risks")
+def _(spark, sf):
+    rules = spark.createDataFrame([("r1", "Toxic output", "d", "u", ["idiot", "trash"]), ("r2", "Licence", "d", "u", ["licensed"])], "id string, name string, description string, url string, words array<string>")
+    return risks(read(spark, sf, "documents").select(F.col("doc_id").alias("card_id"), "text"), rules).select("card_id", F.array_join("risks.id", ",").alias("risks"))
+
+
+@query("f9_f11_hybrid_evidence")
+def _(spark, sf):
+    embed = hashed_vectors()
+    chunks = embed(read(spark, sf, "documents").where("lang = 'es'").select(F.col("doc_id").alias("chunk_id"), "text"))
+    said = embed(read(spark, sf, "benchmark").select(F.col("item_id").alias("atom_id"), "text"))
+    found = evidence.contexts(evidence.hybrid(chunks, said))
+    out = support()(evidence.formatted(said.drop("embedding"), found))
+    return out.select("atom_id", F.array_join("contexts", ",").alias("contexts"), F.round("p_true", 6).alias("p_true"))
+
+
+@query("a7_corpus_statistics", r"SELECT count(*) AS n, round(avg(len(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+'))), 6) AS avgdl FROM documents")
+def _(spark, sf):
+    return read(spark, sf, "documents").agg(F.count("*").alias("n"), F.round(F.avg(F.size(text.tokens("text"))), 6).alias("avgdl"))
+
+
+@query("a16_job_outcomes", "SELECT count(*) FILTER (o_orderstatus = 'O') AS running, count(*) FILTER (o_orderstatus = 'F') AS failed, count(*) AS jobs FROM orders")
+def _(spark, sf):
+    return read(spark, sf, "orders").agg(F.count_if(F.col("o_orderstatus").startswith("O")).alias("running"), F.count_if(F.col("o_orderstatus").startswith("F")).alias("failed"), F.count("*").alias("jobs"))
+
+
+@query("r2_append_log", "SELECT conv_id, string_agg(role, '>' ORDER BY turn) AS log FROM conversations GROUP BY conv_id")
+def _(spark, sf):
+    return read(spark, sf, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role"))).alias("l")).select("conv_id", F.array_join("l.role", ">").alias("log"))
+
+
+@query("u4_pending_queue", "SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'a,b,c' ELSE 'a,b' END AS queue FROM customer")
+def _(spark, sf):
+    new = F.when(F.col("c_custkey") % 2 == 0, F.array(F.lit("b"), F.lit("c"))).otherwise(F.array(F.lit("a")))
+    return read(spark, sf, "customer").withColumn("queue", F.array(F.lit("a"), F.lit("b"))).withColumn("new", new).select("c_custkey", F.array_join(incremental.pending("queue", "new"), ",").alias("queue"))
+
+
+@query("w8_recent_sessions", "SELECT o_orderkey FROM orders ORDER BY o_orderdate DESC, o_orderkey LIMIT 10")
+def _(spark, sf):
+    return read(spark, sf, "orders").orderBy(F.desc("o_orderdate"), "o_orderkey").limit(10).select("o_orderkey")
+
+
+@query("ext_event_windows", "SELECT time_bucket(INTERVAL 1 HOUR, ts) AS hour, event_type, count(*) AS n FROM events GROUP BY 1, 2")
+def _(spark, sf):
+    return incremental.windowed_counts(read(spark, sf, "events"), "ts", ["event_type"]).select(F.col("window.start").alias("hour"), "event_type", "n")
