@@ -51,14 +51,14 @@ def latest(artifacts: DataFrame, key: str, path: str = "path") -> DataFrame:
     return artifacts.withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy(F.desc(path)))).where("_r = 1").drop("_r")
 
 
-def sessions(spark: SparkSession, root: str) -> DataFrame:
+def sessions(spark: SparkSession, root: str, cards: str = "card") -> DataFrame:
     """(session, files, bytes, tools, modified, completed) of an output folder of sessions. File contents are not read."""
     base = "/" + root.split(":", 1)[-1].strip("/") + "/"
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "modificationTime", "length")
     relative = F.substring(F.regexp_replace("path", "^[a-z]+:/*", "/"), F.lit(len(base) + 1), F.lit(10_000))
     parts = F.split(relative, "/")
     tool = F.when((F.size(parts) > 3) & (parts[1] == "tool_output"), parts[2])
-    return listing.select(parts[0].alias("session"), tool.alias("tool"), "modificationTime", "length", relative.contains("/benchmarkcard/").alias("is_card")).groupBy("session").agg(
+    return listing.select(parts[0].alias("session"), tool.alias("tool"), "modificationTime", "length", relative.contains(f"/{cards}/").alias("is_card")).groupBy("session").agg(
         F.count("*").alias("files"), F.sum("length").alias("bytes"), F.countDistinct("tool").alias("tools"), F.max("modificationTime").alias("modified"), F.max("is_card").alias("completed")
     )
 
