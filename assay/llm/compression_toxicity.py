@@ -1,8 +1,9 @@
 """Toxicity by compression distance (operator 9).
 
-Two zstandard dictionaries are built from labelled rows: one of ordinary text, one of toxic text. A document is cut into
-windows of WORDS words, and each window is compressed with both; where the toxic dictionary saves bytes, the window shares
-strings with toxic text that ordinary text has not. Savings become a score by a logistic calibration.
+Separate zstandard dictionaries are built from labelled rows: one of ordinary text, and of toxic text a narrow one (strings
+that ordinary rows hardly have) and a broad one (strings that toxic rows have more often). A document is cut into windows of
+WORDS words, and each window is compressed with all; where a toxic dictionary saves bytes, the window shares strings with toxic
+text. Savings become a score by a logistic calibration, whose threshold is 0.5.
 
 Most of a toxic document is ordinary text, so the toxic dictionary holds the ordinary one followed by what sets toxic
 documents apart: the strings of words in them whose 5-byte grams are over-represented against ordinary rows, most frequent
@@ -36,7 +37,9 @@ from .storage import materialise, release
 WORDS = 8
 BITS, GRAM = 20, 5
 FRAGMENTS, DICTIONARY, BASE_ROWS, CALIBRATION_ROWS = 400, 1 << 15, 400, 20_000
-LEAST_SCORE, LEAST_LIFT, LEAST_DOCS = 8.0, 3.0, 5
+LEAST_SCORE, LEAST_DOCS = 8.0, 5
+#: Log odds from which a gram is over-represented, of the narrow and of the broad toxic dictionary.
+LIFTS = (3.0, 0.8)
 BROADCAST_LABELS = 2_000_000
 
 
@@ -93,13 +96,13 @@ def gram_statistics(rows: DataFrame) -> DataFrame:
     return rows.select("text", "toxic").mapInArrow(run, "gram long, ordinary long, toxic long, docs long").groupBy("gram").agg(*[F.sum(c).alias(c) for c in ("ordinary", "toxic", "docs")])
 
 
-def strong_grams(stats) -> np.ndarray:
+def strong_grams(stats, lift: float = LIFTS[0]) -> np.ndarray:
     """Hashes of the grams over-represented in toxic rows, from a pandas frame of gram_statistics."""
     o, t = stats["ordinary"].to_numpy(float), stats["toxic"].to_numpy(float)
     if not o.sum() or not t.sum():
         return np.zeros(0, np.int64)
     expected = (o + 0.5) * t.sum() / o.sum()
-    keep = (stats["docs"].to_numpy() >= LEAST_DOCS) & ((t - expected) / np.sqrt(expected + 1) > LEAST_SCORE) & (np.log((t + 0.5) / expected) > LEAST_LIFT)
+    keep = (stats["docs"].to_numpy() >= LEAST_DOCS) & ((t - expected) / np.sqrt(expected + 1) > LEAST_SCORE) & (np.log((t + 0.5) / expected) > lift)
     return np.sort(stats["gram"].to_numpy()[keep])
 
 
@@ -125,20 +128,20 @@ def fragments(rows: DataFrame, strong: np.ndarray) -> DataFrame:
 
 
 class Meter:
-    """Compresses windows with both dictionaries."""
+    """Compresses windows with the ordinary and with each toxic dictionary."""
 
-    def __init__(self, ordinary: bytes, toxic: bytes):
+    def __init__(self, ordinary: bytes, toxic: list[bytes]):
         params = zstandard.ZstdCompressionParameters(window_log=17, hash_log=14, chain_log=14, search_log=8, min_match=5, target_length=32, strategy=zstandard.STRATEGY_BTLAZY2, write_content_size=False, write_checksum=False, write_dict_id=False)
         self.tools = []
-        for content in (ordinary, toxic):
+        for content in (ordinary, *toxic):
             known = zstandard.ZstdCompressionDict(content or b" " * 16, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             known.precompute_compress(compression_params=params)
             self.tools.append(zstandard.ZstdCompressor(dict_data=known, compression_params=params))
 
     def savings(self, line: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Bytes that the toxic dictionary saves on each span."""
+        """Bytes that each toxic dictionary saves on each span, as (spans, dictionaries)."""
         if not len(start):
-            return np.zeros(0)
+            return np.zeros((0, len(self.tools) - 1))
         parts = np.empty((len(start), 2), np.uint64)
         parts[:, 0], parts[:, 1] = start, end - start
         data = zstandard.BufferWithSegments(line.tobytes(), parts.tobytes())
@@ -146,14 +149,14 @@ class Meter:
         for tool in self.tools:
             done = tool.multi_compress_to_buffer(data)
             size.append(np.fromiter((len(done[k]) for k in range(len(done))), np.int64, len(done)))
-        return (size[0] - size[1]).astype(float)
+        return np.stack([size[0] - x for x in size[1:]], axis=1).astype(float)
 
 
-FEATURES = 5
+FEATURES = 5 * len(LIFTS)
 
 
 def features(meter: Meter, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """(texts, FEATURES): largest saving, sum, sum a window, windows with savings, their share; logarithms."""
+    """(texts, FEATURES): by dictionary the largest saving, sum, sum a window, windows with savings, their share; logarithms."""
     n = len(offsets) - 1
     line, start, end, doc = normal_form(raw, offsets)
     first = np.searchsorted(doc, np.arange(n + 1))
@@ -161,17 +164,19 @@ def features(meter: Meter, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     owner = doc[begin]
     last = np.minimum(begin + WORDS, first[owner + 1]) - 1
     saved = meter.savings(line, start[begin] - 1, end[last] + 1)
-    over = np.maximum(saved - 1, 0)
-    count = np.bincount(owner, minlength=n)
-    top, total, strong = np.zeros(n), np.bincount(owner, over, minlength=n), np.bincount(owner, over > 1, minlength=n)
-    np.maximum.at(top, owner, saved)
-    return np.log1p(np.column_stack([top, total, total / (count + 2), strong, strong / (count + 2)]))
+    count, columns = np.bincount(owner, minlength=n), []
+    for own in saved.T:
+        over = np.maximum(own - 1, 0)
+        top, total, strong = np.zeros(n), np.bincount(owner, over, minlength=n), np.bincount(owner, over > 1, minlength=n)
+        np.maximum.at(top, owner, own)
+        columns += [top, total, total / (count + 2), strong, strong / (count + 2)]
+    return np.log1p(np.column_stack(columns))
 
 
 @dataclass
 class ToxicityModel:
     ordinary: bytes
-    toxic: bytes
+    toxic: list[bytes]
     weights: np.ndarray
 
     def score(self, x: np.ndarray) -> np.ndarray:
@@ -191,7 +196,7 @@ def calibrate(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 6
     return w
 
 
-def measured(rows: DataFrame, ordinary: bytes, toxic: bytes, keep: list[str]) -> DataFrame:
+def measured(rows: DataFrame, ordinary: bytes, toxic: list[bytes], keep: list[str]) -> DataFrame:
     """The columns `keep` of rows and the array `x` of the features of text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,8 +227,8 @@ def fit(rows: DataFrame) -> ToxicityModel:
     """A model from rows (doc_id, text, toxic)."""
     spark = rows.sparkSession
     rows, path = materialise(rows.where(F.col("text").isNotNull()), "toxic-train")
-    strong = strong_grams(gram_statistics(rows).toPandas())
-    top = fragments(rows.where("toxic = 1"), strong).where("n >= 4").orderBy(F.desc("n"), "fragment").limit(FRAGMENTS).collect()
+    stats = gram_statistics(rows).toPandas()
+    tops = [fragments(rows.where("toxic = 1"), strong_grams(stats, lift)).where("n >= 4").orderBy(F.desc("n"), "fragment").limit(FRAGMENTS).collect() for lift in LIFTS]
     base_rows = rows.where("toxic = 0").orderBy(F.xxhash64("doc_id"), "doc_id").limit(BASE_ROWS).collect()
     parts = []
     for row in base_rows:
@@ -231,7 +236,7 @@ def fit(rows: DataFrame) -> ToxicityModel:
         at = row["doc_id"] * 2654435761 % max(1, len(words) - 40)
         parts.append(" ".join(words[at : at + 40]).encode())
     ordinary = b" ".join(parts)[:DICTIONARY]
-    toxic = ordinary + b"".join(bytes(r["fragment"]) for r in reversed(top))[-DICTIONARY:]
+    toxic = [ordinary + b"".join(bytes(r["fragment"]) for r in reversed(top))[-DICTIONARY:] for top in tops]
     n = rows.count()
     share = int(1_000_000 * min(1.0, CALIBRATION_ROWS / max(n, 1))) + 1
     sample = measured(rows.where(F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(1_000_000)) < share), ordinary, toxic, ["doc_id", "toxic"]).toPandas().sort_values("doc_id")
