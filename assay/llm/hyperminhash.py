@@ -16,8 +16,8 @@ copies to one component within a few rounds. What is still open is then tested i
 components each class outside the first one with all classes of other components. That is exact: every pair of a bucket is
 either tested or already connected.
 
-Defined results: null text, no words: n_shingles 0, linked with nothing, its own component. A null doc_id counts as the
-largest; its component_id is null if it is the least of its component. Repeated rows share their set, so they are one
+Defined results: null text, no words: n_shingles 0, linked with nothing, its own component. Rows without doc_id count as the
+largest, one document for each text; component_id is null if such a row is the least of its component. Repeated rows share their set, so they are one
 component. Extra columns take no part. An empty table gives an empty result.
 """
 
@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
@@ -45,6 +45,12 @@ LAST = np.iinfo(np.int64).max
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 _ORDER: np.ndarray | None = None
+#: Keys from here on stand for rows without doc_id, by a hash of their text.
+NAMELESS = int(LAST) - (1 << 52)
+
+
+def key_of(doc_id: str, text: str) -> Column:
+    return F.coalesce(F.col(doc_id).cast("long"), F.lit(NAMELESS) + F.pmod(F.xxhash64(F.col(text)), F.lit(1 << 52)))
 
 
 def shingles(raw: np.ndarray, offsets: np.ndarray, size: int, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
@@ -139,7 +145,7 @@ def sketches(docs: DataFrame, size: int, doc_id: str = "doc_id", text: str = "te
                 registers = sketch(owner, value, j - i)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i), pa.array(n.astype(np.int64)), *prints, pa.array([x.tobytes() for x in registers], pa.binary())], names=["doc_id", "n", "f1", "f2", "registers"])
 
-    source = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(int(LAST))).alias("doc_id"), F.col(text).alias("text"))
+    source = docs.select(key_of(doc_id, text).alias("doc_id"), F.col(text).alias("text"))
     return source.mapInArrow(run, "doc_id long, n long, f1 long, f2 long, registers binary")
 
 
@@ -171,7 +177,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int, doc_id: str, text: str)
                 registers = sketch(owner, value, j - i)
                 yield pa.RecordBatch.from_arrays([batch.column("id").slice(i, j - i), pa.array([value[a:b].tobytes() for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)], pa.binary()), pa.array([x.tobytes() for x in registers], pa.binary())], names=["id", "shingles", "registers"])
 
-    source = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(int(LAST))).alias("id"), F.col(text).alias("text"))
+    source = docs.select(key_of(doc_id, text).alias("id"), F.col(text).alias("text"))
     return source.join(wanted, "id", "left_semi").mapInArrow(run, "id long, shingles binary, registers binary").dropDuplicates(["id"])
 
 
@@ -258,6 +264,13 @@ def _nonempty(run):
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of docs."""
+    out = _labelled(docs, size, percent, doc_id, text, rounds)
+    real = lambda c: F.when(F.col(c) < NAMELESS, F.col(c))
+    return out.select(real("doc_id").alias("doc_id"), F.col("n").alias("n_shingles"), real("label").alias("component_id"), (F.col("doc_id") == F.col("label")).alias("kept"))
+
+
+def _labelled(docs: DataFrame, size: int, percent: int, doc_id: str, text: str, rounds: int = ROUNDS) -> DataFrame:
+    """(doc_id, n, label) of every row, with keys in place of null ids."""
     spark = docs.sparkSession
     rows, _ = materialise(sketches(docs, size, doc_id, text), "sketches")
     classes = rows.where("n > 0").groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep"), F.first("registers").alias("registers"))
@@ -295,14 +308,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: s
     release(spark, p_bucket, p_sets, p_placed, p_left, p_found, *paths)
     known = classes.select("f1", "f2", "n", "rep")
     known = known.withColumn("label", F.col("rep")) if labels is None else known.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-    out = rows.select("doc_id", "n", "f1", "f2").join(known.select("f1", "f2", "n", "label"), ["f1", "f2", "n"], "left").withColumn("label", F.coalesce("label", "doc_id"))
-    real = lambda c: F.when(F.col(c) != int(LAST), F.col(c))
-    return out.select(real("doc_id").alias("doc_id"), F.col("n").alias("n_shingles"), real("label").alias("component_id"), (F.col("doc_id") == F.col("label")).alias("kept"))
+    out = rows.select("doc_id", "n", "f1", "f2").join(known.select("f1", "f2", "n", "label"), ["f1", "f2", "n"], "left")
+    return out.select("doc_id", "n", F.coalesce("label", "doc_id").alias("label"))
 
 
 def keep_one(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs without the documents that are near-duplicates of one with a smaller doc_id. Of rows with one doc_id one stays."""
-    key = lambda c: F.coalesce(F.col(c).cast("long"), F.lit(int(LAST))).alias("__key")
-    kept = near_duplicates(docs, size, percent, doc_id, text).where("kept").select(key("doc_id"))
-    keyed = docs.select("*", key(doc_id))
+    kept = _labelled(docs, size, percent, doc_id, text).where("doc_id = label").select(F.col("doc_id").alias("__key"))
+    keyed = docs.select("*", key_of(doc_id, text).alias("__key"))
     return keyed.join(kept, "__key", "left_semi").dropDuplicates(["__key"]).select(*docs.columns)
