@@ -111,8 +111,8 @@ def test_near_edges(spark):
     rows = [(7, "a b c"), (7, "a b c"), (None, "a b c"), (8, None), (9, None)]
     got = sorted(((str(r["doc_id"]), r["component_id"], r["kept"]) for r in hyperminhash.near_duplicates(frame(spark, rows)).collect()), key=str)
     assert got == [("7", 7, True), ("7", 7, True), ("8", 8, True), ("9", 9, True), ("None", 7, False)]
-    kept = hyperminhash.keep_one(frame(spark, rows))
-    assert sorted(r["doc_id"] for r in kept.collect()) == [7, 8, 9]
+    kept = hyperminhash.keep_one(frame(spark, [*rows, (None, "quite another text"), (None, "and one more")]))
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["7", "8", "9", "None", "None"]
     assert kept.columns == ["doc_id", "text", "tag", "copies"]
 
 
