@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import evaluations as E
 from ..sources import evaluations as S
+from ..storage import materialise
 
 
 @dataclass
@@ -23,11 +24,11 @@ class Evaluations:
 def prepare(spark: SparkSession, root: str, max_files: int = 50, collapse: bool = True) -> Evaluations:
     """Scans root, averages subjects, and classifies folders with several benchmarks: subjects of one, or a suite."""
     files = S.scan(spark, root, max_files)
-    rows = S.scores(S.results(files))
-    benchmarks = E.roll_up(rows)
+    rows, _ = materialise(S.scores(S.results(files)), "scores")
+    benchmarks, _ = materialise(E.roll_up(rows), "benchmarks")
     scores = E.average_subjects(E.keyed(rows))
     members = E.folder_members(benchmarks)
-    votes = E.collapse_votes(members)
+    votes, _ = materialise(E.collapse_votes(members), "votes")
     if not collapse:
         votes = votes.withColumn("collapse", F.lit(False))
     several = votes.where("NOT collapse").select("folder", "benches")

@@ -136,3 +136,42 @@ def test_no_cartesian_plan_for_bm25(spark):
     plan = retrieval.bm25(docs, docs.withColumnRenamed("doc_id", "item_id"))._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan
     assert "WindowGroupLimit" in plan
+
+
+def test_generate_skips_what_is_done(spark, folder, tmp_path):
+    from assay import cli
+
+    out = str(tmp_path / "out" / "summaries")
+    first = {r["bench"]: r["status"] for r in cli.generate(spark, folder, out).collect()}
+    assert set(first) == {"gsm8k", "arc", "lite"}
+    assert set(first.values()) == {"written"}
+    assert {r["status"] for r in cli.generate(spark, folder, out, ["arc", "Lite"]).collect()} == {"skipped"}
+
+
+def test_sessions(spark, tmp_path):
+    from assay import cli
+
+    for name in ("a_2024", "b_2025"):
+        (tmp_path / "s" / name / "tool_output" / "hub").mkdir(parents=True)
+        (tmp_path / "s" / name / "tool_output" / "hub" / "x.json").write_text("{}")
+    (tmp_path / "s" / "a_2024" / "card").mkdir()
+    (tmp_path / "s" / "a_2024" / "card" / "c.json").write_text("{}")
+    got = {r["session"]: (r["files"], r["tools"], r["completed"]) for r in cli.sessions(spark, str(tmp_path / "s")).collect()}
+    assert got == {"a_2024": (2, 1, True), "b_2025": (1, 1, False)}
+    assert cli.show(spark, str(tmp_path / "s"), "a_2024").count() == 2
+    assert cli.validate(spark).count() >= 7
+
+
+def test_catalog_references(spark, tmp_path):
+    from assay.sources import files
+
+    for path, body in {"cards/x.json": '{"loader": {"path": "o/x"}, "task": "tasks.qa.open"}', "tasks/qa/open.json": '{"metrics": ["metrics.f1"], "self": "tasks.qa.open"}', "metrics/f1.json": "{}"}.items():
+        (tmp_path / path).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / path).write_text(body)
+    entries = files.catalog(spark, str(tmp_path))
+    edges = files.references(entries)
+    assert {tuple(r) for r in edges.collect()} == {("cards.x", "tasks.qa.open"), ("tasks.qa.open", "metrics.f1")}
+    reach = resolve.closure(edges, spark.createDataFrame([("cards.x",)], "root string"))
+    assert {(r["node"], r["depth"]) for r in reach.collect()} == {("cards.x", 0), ("tasks.qa.open", 1), ("metrics.f1", 2)}
+    assert [tuple(r)[:2] for r in files.repository_index(entries).collect()] == [("o/x", "cards.x")]
+    assert [r["name"] for r in files.card_names(entries).collect()] == ["x"]
