@@ -1,44 +1,13 @@
-"""Cutting lineage in the folder that driver and executors share."""
+"""Lineage cuts and bounds of Arrow batches for the corpus operators."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 from ..session import ship
+from ..storage import materialise, new_path, release, shared_dir
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's spark.checkpoint.dir; a temporary folder only where none is set, as in tests."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="assay-")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def materialise(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """The same rows read back from a table in the shared folder, and its path for release()."""
-    path = new_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), path
-
-
-def release(spark: SparkSession, *paths: str) -> None:
-    """Deletes tables that nothing reads any more."""
-    for path in paths:
-        at = spark._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-
+__all__ = ["bound_batches", "materialise", "new_path", "release", "shared_dir"]
 
 ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
