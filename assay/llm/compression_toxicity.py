@@ -249,6 +249,7 @@ def fit(rows: DataFrame) -> ToxicityModel:
 
 def score(docs: DataFrame, model: ToxicityModel, keep: list[str], text: str = "text") -> DataFrame:
     """The columns `keep` with `score`, the calibrated probability of the toxic label. One pass, no shuffle."""
+    keep = [c for c in keep if c != "score"]
     schema = docs.select(*keep).schema.add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

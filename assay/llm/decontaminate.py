@@ -13,7 +13,8 @@ executors; a larger benchmark takes several passes over the documents instead of
 
 Defined results: null or empty text contains nothing; items with fewer than SHORTEST words are not looked for, items
 shorter than WINDOW are one window; equal items are all named; repeated rows get equal results; an empty benchmark finds
-nothing. Extra columns pass through.
+nothing. Extra columns
+pass through; one named `found` is replaced.
 """
 
 from __future__ import annotations
@@ -198,7 +199,7 @@ def blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", l
 
 def find(docs: DataFrame, benchmark: DataFrame, keep: list[str], text: str = "text", limit: int = BLOCK_WINDOWS) -> DataFrame:
     """The columns `keep` of docs and `found`, one entry for each benchmark item in the text."""
-    spark = docs.sparkSession
+    spark, keep = docs.sparkSession, [c for c in keep if c != "found"]
     out = docs.select(F.struct(*keep).alias("__row"), F.col(text).alias("__text"), F.array().cast(FOUND).alias("found"))
     for block in blocks(benchmark, text="text", limit=limit):
         shared = spark.sparkContext.broadcast(block)

@@ -155,6 +155,7 @@ def fit(rows: DataFrame, label: str = "lang", text: str = "text") -> GramModel:
 
 def identify(docs: DataFrame, model: GramModel, keep: list[str], text: str = "text", proportions: bool = False) -> DataFrame:
     """The columns `keep` with lang_pred, score and, if asked for, the proportions of all languages."""
+    keep = [c for c in keep if c not in ("lang_pred", "score", "mixture")]
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = docs.select(*keep).schema.add("lang_pred", "string").add("score", "double")
     if proportions:

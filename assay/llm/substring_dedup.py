@@ -346,6 +346,7 @@ def remove_repeats(docs: DataFrame, keep: list[str], share: float = 0.2, doc_id:
 
     The first `share` of the documents by doc_id makes the index's first run, the others are merged with it.
     """
+    keep = [c for c in keep if c not in ("n_words", "n_removed", "kept_text", "removed")]
     batches = quantile_batches(docs, [share], doc_id) if share else []
     spans = find_spans(docs, batches, doc_id, text, **how).groupBy("doc_id", "tag").agg(F.collect_list("span").alias("__spans"))
     keyed = docs.select(F.struct(*keep).alias("__row"), F.coalesce(F.col(doc_id).cast("long"), F.lit(int(LAST))).alias("__key"), F.col(text).alias("__text"), text_tag(text).alias("__tag"))
@@ -387,6 +388,7 @@ def remove_repeats(docs: DataFrame, keep: list[str], share: float = 0.2, doc_id:
 
 def dedup_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **how) -> DataFrame:
     """docs with the repeated words taken out of the texts. Texts that lose nothing stay as they are, white space included."""
-    out = remove_repeats(docs, docs.columns, doc_id=doc_id, text=text, **how)
-    kept = F.when(F.col("n_removed") == 0, F.col(text)).otherwise(F.col("kept_text"))
-    return out.withColumn(text, kept).select(*docs.columns)
+    packed = docs.select(F.struct(*docs.columns).alias("__doc"), F.col(doc_id).alias("__id"), F.col(text).alias("__body"))
+    out = remove_repeats(packed, ["__doc"], doc_id="__id", text="__body", **how)
+    kept = F.when(F.col("n_removed") == 0, F.col("__doc")[text]).otherwise(F.col("kept_text"))
+    return out.select(*[(kept if c == text else F.col("__doc")[c]).alias(c) for c in docs.columns])

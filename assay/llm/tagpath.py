@@ -204,6 +204,7 @@ def main_text(page: str | None) -> str:
 
 def extract(pages: DataFrame, keep: list[str], html: str = "html") -> DataFrame:
     """The columns `keep` of pages, the main text, and n_chars, its code points. One pass, no shuffle."""
+    keep = [c for c in keep if c not in ("text", "n_chars")]
     source = pages.select(*keep, F.col(html).alias("__html"))
     schema = pages.select(*keep).schema.add("text", "string").add("n_chars", "long")
 

@@ -83,6 +83,7 @@ def count_tokens(docs: DataFrame, keep: list[str], text: str = "text", path: str
         raise ValueError(f"rule is one of {RULES}")
     if path is None or pattern is None:
         path, pattern = vocabulary()
+    keep = [c for c in keep if c not in ("n_tokens", "n_crossing", "section_tokens")]
     schema = docs.select(*keep).schema.add("n_tokens", "long").add("n_crossing", "long").add("section_tokens", T.ArrayType(T.DoubleType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -71,6 +71,8 @@ def test_dedup_keeps_columns_nulls_and_equal_rows(spark):
     out = substring_dedup.dedup_documents(frame(spark, rows))
     assert out.columns == ["doc_id", "text", "tag", "copies"]
     got = {(r["doc_id"], r["text"]) for r in out.collect()}
+    clash = frame(spark, rows).withColumnRenamed("tag", "n_words").withColumnRenamed("copies", "span")
+    assert {(r["doc_id"], r["text"], r["n_words"], r["span"]) for r in substring_dedup.dedup_documents(clash).collect()} == {(*g, "x", 1) for g in got}
     assert got == {(1, t), (2, ""), (None, ""), (None, None)}
     assert substring_dedup.remove_repeats(frame(spark, []), ["doc_id"]).count() == 0
 

@@ -33,7 +33,7 @@ def test_odd_pages(page):
 
 def test_extract_keeps_rows(spark):
     rows = [(1, "u", PAGE, "clash"), (1, "u", PAGE, "clash"), (2, None, None, None), (3, "v", "<p>x &lt; y</p>", None)]
-    out = tagpath.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string"), ["page_id", "url"]).collect()
+    out = tagpath.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string"), ["page_id", "url", "text"]).collect()
     got = {r["page_id"]: (r["text"], r["n_chars"]) for r in out}
     assert len(out) == 4
     assert got[2] == ("", 0)
