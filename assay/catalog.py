@@ -93,6 +93,12 @@ def _(spark, sf):
     return evaluations.suite_statistics(s, s.where("ord < 500").select("folder", "bench").distinct()).withColumn("metrics", F.array_join("metrics", ","))
 
 
+@query("a5_suite_statistics_whole")
+def _(spark, sf):
+    s = scores(spark, sf)
+    return evaluations.suite_statistics(s, s.select("folder", "bench").distinct()).withColumn("metrics", F.array_join("metrics", ","))
+
+
 @query("j4_appears_in", f"WITH {SCORES} SELECT bench, string_agg(folder, ',' ORDER BY folder) AS suites FROM (SELECT DISTINCT bench, folder FROM scores) GROUP BY bench")
 def _(spark, sf):
     return evaluations.appears_in(scores(spark, sf).select("bench", "folder")).withColumn("suites", F.array_join("suites", ","))
@@ -104,6 +110,12 @@ def _(spark, sf):
     return evaluations.filtered(s.select("bench", F.col("bench").alias("name")).distinct(), s.where("ord < 4").select("folder", "bench").distinct(), ["click", "F1"]).select("bench")
 
 
+@query("p2_suite_filter_whole")
+def _(spark, sf):
+    s = scores(spark, sf)
+    return evaluations.filtered(s.select("bench", F.col("bench").alias("name")).distinct(), s.select("folder", "bench").distinct(), ["click", "F1"]).select("bench")
+
+
 @query("t33_baseline_sentence")
 def _(spark, sf):
     return evaluations.baseline_sentence(evaluations.summary(scores(spark, sf)))
@@ -111,7 +123,7 @@ def _(spark, sf):
 
 @query("a19_f3_collapse_votes")
 def _(spark, sf):
-    parts = read(spark, sf, "part").select(F.col("p_brand").alias("folder"), names.normalize_name("p_name").alias("bench"), F.col("p_partkey").alias("pos"), F.array(F.concat(F.lit("u"), F.col("p_size") % 2)).alias("urls"), F.col("p_type").alias("hf_repo")).where("pos <= 500")
+    parts = read(spark, sf, "part").select(F.col("p_brand").alias("folder"), names.normalize_name("p_name").alias("bench"), F.col("p_partkey").alias("pos"), F.array(F.concat(F.lit("u"), F.col("p_size") % 2)).alias("urls"), F.col("p_type").alias("hf_repo"))
     return evaluations.collapse_votes(parts).select("folder", "members", "least_name", "greatest_name", F.round("similarity", 6).alias("similarity"), "same_prefix", "same_url", "same_repo", "similar", "signals", "collapse", "merged_name")
 
 
@@ -163,6 +175,12 @@ def _(spark, sf):
     return read(spark, sf, "documents").select("doc_id", text.expand_tags(line).alias("words"))
 
 
+@query("t6_expand_tags_whole")
+def _(spark, sf):
+    line = F.concat(F.lit("language:"), "lang", F.lit(" format: csv task_ids: qa "), "text")
+    return read(spark, sf, "documents").select("doc_id", text.expand_tags(line).alias("words"))
+
+
 @query("t7_strip_references")
 def _(spark, sf):
     docs = read(spark, sf, "documents")
@@ -210,7 +228,16 @@ def _(spark, sf):
 
 @query("t10_tag_fields", "SELECT l_orderkey, l_linenumber, 'English, German' AS languages, 'MIT License' AS license, '1K to 10K examples' AS size, 'Question answering' AS tasks, 'text' AS data_type FROM lineitem WHERE l_orderkey <= 200")
 def _(spark, sf):
-    rows = read(spark, sf, "lineitem").where("l_orderkey <= 200").select("l_orderkey", "l_linenumber", F.array(*map(F.lit, ["language:en", "language:de", "license:other", "license:mit", "size_categories:1K<n<10K", "task_ids:question-answering", "modality:text", "broken"])).alias("tags"))
+    return line_tags(read(spark, sf, "lineitem").where("l_orderkey <= 200"))
+
+
+@query("t10_tag_fields_whole")
+def _(spark, sf):
+    return line_tags(read(spark, sf, "lineitem"))
+
+
+def line_tags(lines: DataFrame) -> DataFrame:
+    rows = lines.select("l_orderkey", "l_linenumber", F.array(*map(F.lit, ["language:en", "language:de", "license:other", "license:mit", "size_categories:1K<n<10K", "task_ids:question-answering", "modality:text", "broken"])).alias("tags"))
     out = tags.tag_fields(rows.withColumn("k", F.struct("l_orderkey", "l_linenumber")), "k")
     return out.select("k.l_orderkey", "k.l_linenumber", F.array_join("languages", ", ").alias("languages"), "license", "size", F.array_join("tasks", ", ").alias("tasks"), "data_type")
 
@@ -250,6 +277,12 @@ def _(spark, sf):
     return cards.carried_heading(lines, "conv_id", "turn").select("conv_id", "turn", F.when(F.col("heading").isNotNull(), F.col("heading")).alias("heading"))
 
 
+@query("w5_carried_heading_whole")
+def _(spark, sf):
+    lines = read(spark, sf, "conversations").withColumn("line", F.when(F.col("role") == "user", F.concat(F.lit("## "), "text")).otherwise(F.col("text")))
+    return cards.carried_heading(lines, "conv_id", "turn").select("conv_id", "turn", "heading")
+
+
 @query("w4_neighbours", "SELECT conv_id, turn FROM (SELECT conv_id, turn, max(CASE WHEN contains(lower(text), 'er') AND role = 'system' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS near FROM conversations) WHERE near = 1")
 def _(spark, sf):
     hit = (F.lower("text").contains("er") & (F.col("role") == "system")).cast("int")
@@ -267,7 +300,7 @@ def _(spark, sf):
 
 @query("t2_recursive_chunks")
 def _(spark, sf):
-    return retrieval.recursive_chunks(read(spark, sf, "documents").where("lang = 'es'"), "doc_id").select("doc_id", "parent_idx", "child_idx", "text")
+    return retrieval.recursive_chunks(read(spark, sf, "documents"), "doc_id").select("doc_id", "parent_idx", "child_idx", "text")
 
 
 @query(
@@ -455,8 +488,8 @@ def _(spark, sf):
 
 @query("j8_fuzzy_match")
 def _(spark, sf):
-    c = read(spark, sf, "customer").where("c_custkey <= 200").select(F.regexp_replace("c_name", "#0", "# ").alias("name"))
-    return resolve.fuzzy_match(c, read(spark, sf, "customer").where("c_custkey <= 400").select(F.col("c_name").alias("other")), "name", "other").withColumn("similarity", F.round("similarity", 6))
+    c = read(spark, sf, "customer").select(F.regexp_replace("c_name", "#0", "# ").alias("name"))
+    return resolve.fuzzy_match(c, read(spark, sf, "customer").select(F.col("c_name").alias("other")), "name", "other").withColumn("similarity", F.round("similarity", 6))
 
 
 @query("f2_f4_similarity")
@@ -479,8 +512,16 @@ def _(spark, sf):
 
 @query("r5_closure", "WITH RECURSIVE e AS (SELECT DISTINCT o_custkey AS src, (o_custkey * 7 + 3) % 1500 AS dst FROM orders), c(root, node, depth) AS (SELECT c_custkey, c_custkey, 0 FROM customer WHERE c_custkey <= 20 UNION SELECT root, dst, depth + 1 FROM c JOIN e ON c.node = e.src WHERE depth < 6) SELECT root, node, min(depth) AS depth FROM c GROUP BY root, node")
 def _(spark, sf):
-    e = read(spark, sf, "orders").select(F.col("o_custkey").cast("long").alias("src"), ((F.col("o_custkey").cast("long") * 7 + 3) % 1500).alias("dst")).distinct()
-    return resolve.closure(e, read(spark, sf, "customer").where("c_custkey <= 20").select(F.col("c_custkey").cast("long").alias("root")), 6)
+    return resolve.closure(order_edges(spark, sf), read(spark, sf, "customer").where("c_custkey <= 20").select(F.col("c_custkey").cast("long").alias("root")), 6)
+
+
+@query("r5_closure_whole")
+def _(spark, sf):
+    return resolve.closure(order_edges(spark, sf), read(spark, sf, "customer").select(F.col("c_custkey").cast("long").alias("root")))
+
+
+def order_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "orders").select(F.col("o_custkey").cast("long").alias("src"), ((F.col("o_custkey").cast("long") * 7 + 3) % 1500).alias("dst")).distinct()
 
 
 @query("f13_tiers", "SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'given' WHEN page_id % 3 = 0 THEN 'readme' ELSE 'search' END AS resolved_from FROM pages")
@@ -584,7 +625,16 @@ def _(spark, sf):
 
 @query("j5_exact_then_suffix", "SELECT n_nationkey, CASE WHEN n_nationkey % 2 = 0 THEN 'exact' ELSE 'loose' END AS found FROM nation WHERE n_nationkey < 10")
 def _(spark, sf):
-    n = read(spark, sf, "nation").where("n_nationkey < 10").select("n_nationkey", F.concat(F.lit("org/"), "n_name").alias("repo"))
+    return nation_repositories(read(spark, sf, "nation").where("n_nationkey < 10"))
+
+
+@query("j5_exact_then_suffix_whole")
+def _(spark, sf):
+    return nation_repositories(read(spark, sf, "nation"))
+
+
+def nation_repositories(nations: DataFrame) -> DataFrame:
+    n = nations.select("n_nationkey", F.concat(F.lit("org/"), "n_name").alias("repo"))
     index = n.select(F.when(F.col("n_nationkey") % 2 == 0, F.col("repo")).otherwise(F.upper(F.concat(F.lit("else/"), F.substring("repo", 5, 99)))).alias("key"), F.when(F.col("n_nationkey") % 2 == 0, "exact").otherwise("loose").alias("value"), F.col("n_nationkey").alias("ord"))
     return resolve.exact_then_suffix(n, index, "repo", "found").select("n_nationkey", "found")
 
@@ -619,7 +669,7 @@ def _(spark, sf):
 @query("f9_f11_hybrid_evidence")
 def _(spark, sf):
     embed = hashed_vectors()
-    chunks = embed(read(spark, sf, "documents").where("lang = 'es'").select(F.col("doc_id").alias("chunk_id"), "text"))
+    chunks = embed(read(spark, sf, "documents").select(F.col("doc_id").alias("chunk_id"), "text"))
     said = embed(read(spark, sf, "benchmark").select(F.col("item_id").alias("atom_id"), "text"))
     found = evidence.contexts(evidence.hybrid(chunks, said))
     out = support()(evidence.formatted(said.drop("embedding"), found))

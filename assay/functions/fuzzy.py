@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
@@ -43,6 +44,53 @@ def partial_similarity(a: str | None, b: str | None) -> float:
     return max(similarity(a, b[max(0, i) : i + n]) for i in range(1 - n, len(b)))
 
 
+def most_similar(names: list[str], others: list[str], labels: list[str], least: float) -> list[tuple[str, float] | None]:
+    """For each name the label of the most similar other, the least label of equals, and the similarity, if it is `least` or more.
+
+    One name is compared with all others at once, by the bit-parallel rows of common_subsequence on arrays.
+    """
+    by = sorted(range(len(others)), key=lambda k: (len(others[k]), labels[k]))
+    others, labels = [others[k] for k in by], [labels[k] for k in by]
+    place = np.empty(len(labels), np.int64)
+    place[sorted(range(len(labels)), key=labels.__getitem__)] = np.arange(len(labels))
+    sizes = np.array([len(x) for x in others], np.int64)
+    code = {c: k + 1 for k, c in enumerate(sorted(set().union(*others)))}
+    # column k has the codes of character k of all others, which are in order of length
+    letters = [np.array([code[x[k]] for x in others[first:]], np.int64) for k in range(int(sizes.max(initial=0))) for first in [int(np.searchsorted(sizes, k, "right"))]]
+    out: list[tuple[str, float] | None] = []
+    for name in names:
+        m = len(name)
+        # 200 * min >= least * (sum of lengths) bounds the lengths
+        fits = np.flatnonzero(200 * np.minimum(m, sizes) >= least * (m + sizes))
+        if not len(fits):
+            out.append(None)
+            continue
+        low, high = int(fits[0]), int(fits[-1]) + 1
+        if m > 64:
+            common = np.array([common_subsequence(name, x) for x in others[low:high]])
+        else:
+            masks = np.zeros(len(code) + 1, np.uint64)
+            for k, c in enumerate(name):
+                if c in code:
+                    masks[code[c]] |= np.uint64(1 << k)
+            full = np.uint64((1 << m) - 1)
+            row = np.full(high - low, full, np.uint64)
+            for k in range(int(sizes[high - 1])):
+                first = len(others) - len(letters[k])
+                at = max(low, first)
+                part = row[at - low :]
+                hit = part & masks[letters[k][at - first : high - first]]
+                row[at - low :] = (part + hit) | (part - hit)
+            common = np.bitwise_count(~row & full)
+        total = m + sizes[low:high]
+        score = np.where(total > 0, 200.0 * common / np.maximum(total, 1), 100.0)
+        top = score.max()
+        ties = np.flatnonzero(score == top)
+        best = low + int(ties[place[low:high][ties].argmin()])
+        out.append((labels[best], float(top)) if top >= least else None)
+    return out
+
+
 @F.pandas_udf(DoubleType())
 def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([similarity(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")

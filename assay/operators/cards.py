@@ -141,5 +141,5 @@ def repaired(field: str, statement: str) -> Column:
 
 def carried_heading(lines: DataFrame, key: str, order: str, line: str = "line") -> DataFrame:
     """The `## heading` each line is under."""
-    mark = F.when(F.col(line).startswith("## "), strip(F.substring(F.col(line), 4, 10_000)))
+    mark = F.when(F.col(line).startswith("## "), strip(F.substr(F.col(line), F.lit(4))))
     return lines.withColumn("heading", F.last(mark, ignorenulls=True).over(Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)))
