@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.fuzzy import most_similar, partial_ratio
 from ..functions.names import normalize_name, slug
+from ..storage import materialise, release
 
 # Hub repositories that names stand for; None means that there is none.
 REPOSITORIES = {
@@ -121,16 +122,24 @@ def first_tier(tiers: list[tuple[str, Column]]) -> tuple[Column, Column]:
     return F.coalesce(*[c for _, c in tiers]), named
 
 
-def closure(edges: DataFrame, start: DataFrame, depth: int = 16, src: str = "src", dst: str = "dst") -> DataFrame:
-    """(root, node, depth): what is reachable over edges; each node once, at its least depth. Stops when nothing is new."""
-    from pyspark import StorageLevel
+def closure(edges: DataFrame, start: DataFrame, depth: int | None = None, src: str = "src", dst: str = "dst") -> DataFrame:
+    """(root, node, depth): what is reachable over edges; each node once, at its least depth. Stops when nothing is new.
 
-    found = start.select(F.col("root"), F.col("root").alias("node"), F.lit(0).alias("depth"))
-    front = found
-    for d in range(1, depth + 1):
-        step = front.join(edges, front["node"] == edges[src]).select("root", F.col(dst).alias("node")).distinct()
-        front = step.join(found.select("root", "node"), ["root", "node"], "left_anti").withColumn("depth", F.lit(d)).persist(StorageLevel.DISK_ONLY)
+    With `depth` it stops after so many rounds. Each round is a table in the shared folder, so no lineage grows; the tables of
+    the rounds are the result and stay.
+    """
+    spark = edges.sparkSession
+    edges, p_edges = materialise(edges.select(F.col(src).alias("_src"), F.col(dst).alias("node")).distinct(), "closure-edges")
+    front, path = materialise(start.select(F.col("root"), F.col("root").alias("node"), F.lit(0).alias("depth")).distinct(), "closure")
+    found, paths, d = front, [path], 0
+    while depth is None or d < depth:
+        d += 1
+        step = front.select("root", F.col("node").alias("_src")).join(edges, "_src").select("root", "node").distinct()
+        front, path = materialise(step.join(found.select("root", "node"), ["root", "node"], "left_anti").withColumn("depth", F.lit(d)), "closure")
         if not front.limit(1).count():
+            release(spark, path)
             break
-        found = found.unionByName(front)
+        paths.append(path)
+        found = spark.read.schema(front.schema).parquet(*paths)
+    release(spark, p_edges)
     return found

@@ -83,3 +83,19 @@ def test_fuzzy_match_equals_brute_force(spark, cell):
     a, b = (spark.createDataFrame([(x,) for x in [*side, None]], f"{n} string") for side, n in ((left, "l"), (right, "r")))
     got = {(r["l"], r["r"], round(r["similarity"], 6)) for r in resolve.fuzzy_match(a, b, "l", "r", cell=cell).where(F.col("l").isNotNull()).collect()}
     assert got == best_pairs(left, right, 80.0)
+
+
+def test_closure_has_no_depth_bound(spark, tables):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(24)] + [(24, 3), (2, 9)], "src long, dst long")
+    got = {(r["root"], r["node"]): r["depth"] for r in resolve.closure(edges, spark.createDataFrame([(0,), (0,), (20,)], "root long")).collect()}
+    want = {}
+    for root in (0, 20):
+        want[root, root], queue = 0, [root]
+        for node in queue:
+            for to in ([3] if node == 24 else [node + 1]) + [9] * (node == 2):
+                if (root, to) not in want:
+                    want[root, to] = want[root, node] + 1
+                    queue.append(to)
+    assert got == want
+    assert max(r["depth"] for r in resolve.closure(edges, spark.createDataFrame([(0,)], "root long"), 4).collect()) == 4
+    assert {(r["root"], r["node"], r["depth"]) for r in rows(spark, tables, "r5_closure_whole")} >= {(5, 5, 0), (5, 38, 1), (5, 269, 2), (401, 401, 0)}
