@@ -2,7 +2,8 @@
 
 Words lose surrounding punctuation and case; numbers (in digits or words), units and names become typed placeholders. All
 WINDOW-word windows of a benchmark item are hashed in two forms, with and without name placeholders, and hash-joined with
-the windows of whole documents. A window needs PLAIN words that are no placeholder, so tables of numbers are no templates.
+the windows of whole documents. A window needs PLAIN words that are no placeholder, so tables of numbers are no templates;
+windows with fewer are hashed with their own values, so verbatim copies are found whatever an item consists of.
 
 An item is found in a document if windows that lie at one distance from each other in both cover at least min(COVER, item
 length) words of the item and the slots agree: equal slot values of the item stand for equal values in the document. If
@@ -118,16 +119,20 @@ class Templates:
             n = min(WINDOW, len(v))
             if n < SHORTEST:
                 continue
+            any_plain = np.zeros(len(v) - n + 1, bool)
             for h, slot in _forms(v, c):
                 plain = np.convolve(~slot, np.ones(n, int), "valid") >= min(PLAIN, n)
+                any_plain |= plain
                 at = np.flatnonzero(plain)
-                rows.append((K.ngrams(h, n)[at], np.full(len(at), n), np.full(len(at), k), at))
+                rows.append((K.ngrams(h, n)[at], np.full(len(at), n), np.full(len(at), k), at, np.zeros(len(at))))
+            at = np.flatnonzero(~any_plain)
+            rows.append((K.ngrams(v, n)[at], np.full(len(at), n), np.full(len(at), k), at, np.ones(len(at))))
         join = lambda i, t: np.concatenate([r[i] for r in rows]).astype(t) if rows else np.zeros(0, t)
-        h, n, item, at = join(0, K.U), join(1, np.int32), join(2, np.int32), join(3, np.int32)
+        h, n, item, at, literal = join(0, K.U), join(1, np.int32), join(2, np.int32), join(3, np.int32), join(4, bool)
         if len(h):
-            both = np.unique(np.rec.fromarrays([h, n, item, at], names="h,n,item,at"))
-            h, n, item, at = (np.ascontiguousarray(both[x]) for x in ("h", "n", "item", "at"))
-        self.hash, self.size, self.item, self.at = h, n, item, at
+            both = np.unique(np.rec.fromarrays([h, n, item, at, literal], names="h,n,item,at,literal"))
+            h, n, item, at, literal = (np.ascontiguousarray(both[x]) for x in ("h", "n", "item", "at", "literal"))
+        self.hash, self.size, self.item, self.at, self.literal = h, n, item, at, literal
         self.lengths = sorted(set(n.tolist()))
         self.filter = np.zeros(1 << 20, bool)
         self.filter[(h >> K.U(44)).astype(np.int64)] = True
@@ -136,7 +141,7 @@ class Templates:
         """What is found in each text, by text number."""
         doc, value, kind = canonical(raw, offsets)
         hits = []
-        for h, _ in _forms(value, kind):
+        for h in [h for h, _ in _forms(value, kind)] + [value] * bool(self.literal.any()):
             for n in self.lengths:
                 at = K.windows(doc, n)
                 if not len(at):
@@ -153,26 +158,30 @@ class Templates:
         if not hits or not any(len(x[0]) for x in hits):
             return {}
         at, entry = (np.concatenate(x) for x in zip(*hits, strict=True))
-        groups: dict[tuple[int, int, int], set[tuple[int, int]]] = defaultdict(set)
+        groups: dict[tuple[int, int, int], set[tuple[int, int, bool]]] = defaultdict(set)
         for p, e in zip(at.tolist(), entry.tolist(), strict=True):
             k, q = int(self.item[e]), int(self.at[e])
-            groups[int(doc[p]), k, p - q].add((q, int(self.size[e])))
+            groups[int(doc[p]), k, p - q].add((q, int(self.size[e]), bool(self.literal[e])))
         first = np.searchsorted(doc, np.arange(len(offsets)))
         found: dict[tuple[int, int], dict] = {}
         for (d, k, shift), spans in sorted(groups.items()):
             v, c = self.items[k]
-            where = sorted({q + i for q, n in spans for i in range(n)})
-            if len(where) < min(COVER, len(v)):
-                continue
-            meant: dict[int, int] = {}
-            same = consistent = True
-            for q in where:
-                if c[q] != WORD or value[q + shift] != v[q]:
-                    old = meant.setdefault(int(v[q]), int(value[q + shift]))
-                    consistent &= old == int(value[q + shift])
-                    same &= value[q + shift] == v[q]
-            if consistent and ((d, k) not in found or found[d, k]["n_words"] < len(where)):
-                found[d, k] = {"item_id": self.ids[k], "n_words": len(where), "kind": "verbatim" if same else "reparameterised", "from_word": where[0] + shift - int(first[d]), "to_word": where[-1] + 1 + shift - int(first[d])}
+            # literal windows of numbers may keep a value that the templates replace; then the templates count alone
+            for used in (spans, {x for x in spans if not x[2]}):
+                where = sorted({q + i for q, n, _ in used for i in range(n)})
+                if len(where) < min(COVER, len(v)):
+                    continue
+                meant: dict[int, int] = {}
+                same = consistent = True
+                for q in where:
+                    if c[q] != WORD or value[q + shift] != v[q]:
+                        old = meant.setdefault(int(v[q]), int(value[q + shift]))
+                        consistent &= old == int(value[q + shift])
+                        same &= value[q + shift] == v[q]
+                if consistent:
+                    if (d, k) not in found or found[d, k]["n_words"] < len(where):
+                        found[d, k] = {"item_id": self.ids[k], "n_words": len(where), "kind": "verbatim" if same else "reparameterised", "from_word": where[0] + shift - int(first[d]), "to_word": where[-1] + 1 + shift - int(first[d])}
+                    break
         out: dict[int, list[dict]] = defaultdict(list)
         for (d, _), what in sorted(found.items()):
             out[d].append(what)
