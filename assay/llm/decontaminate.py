@@ -5,6 +5,10 @@ WINDOW-word windows of a benchmark item are hashed in two forms, with and withou
 the windows of whole documents. A window needs PLAIN words that are no placeholder, so tables of numbers are no templates;
 windows with fewer are hashed with their own values, so verbatim copies are found whatever an item consists of.
 
+Two further streams of words find what these forms miss. In both a number is apart from letters written behind it (5kg; not
+those of 3rd), and a run of numbers, units or names without punctuation is one slot, so that "New York" can stand for "Boston"; in the second
+one a capitalised first word of a sentence is a name too. Lengths and positions count words of the text in every stream.
+
 An item is found in a document if windows that lie at one distance from each other in both cover at least min(COVER, item
 length) words of the item and the slots agree: equal slot values of the item stand for equal values in the document. If
 all values are the item's own the finding is "verbatim", else "reparameterised".
@@ -72,31 +76,76 @@ def _hash_words(words: list[str]) -> np.ndarray:
 _FIXED: dict[int, np.ndarray] = {}
 
 
-def canonical(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text number, value hash, kind) of every word that has a letter, a digit or another character."""
-    if not _FIXED:
-        _FIXED[NUMBER], _FIXED[UNIT] = _hash_words(NUMBER_WORDS), _hash_words(UNIT_WORDS)
-    start, end, doc = K.words(raw, offsets)
-    body = np.flatnonzero(~PUNCT[raw] & ~K.WHITE[raw])
-    a, b = np.searchsorted(body, start), np.searchsorted(body, end)
-    full = b > a
-    doc = doc[full]
-    start, end = body[a[full]], body[b[full] - 1] + 1
-    if not len(start):
-        return doc, np.zeros(0, K.U), np.zeros(0, np.int8)
-    value = K.span_hashes(lowered(raw), start, end)
-    inside = lambda table: (lambda at: np.searchsorted(at, end) > np.searchsorted(at, start))(np.flatnonzero(table[raw]))
-    number = inside(DIGIT) & ~inside(LETTER)
-    breaks = np.flatnonzero(BREAK[raw])
-    first = np.ones(len(start), bool)
-    first[1:] = (doc[1:] != doc[:-1]) | (np.searchsorted(breaks, start[1:]) > np.searchsorted(breaks, end[:-1]))
-    second = raw[np.minimum(start + 1, len(raw) - 1)]
-    latin = (raw[start] == 0xC3) & (second >= 0x80) & (second <= 0x9E)
-    name = (UPPER[raw[start]] & (end - start > 1) & ~UPPER[second] | latin & (end - start > 2)) & ~first
-    kind = np.where(name, NAME, WORD).astype(np.int8)
-    kind[np.isin(value, _FIXED[UNIT])] = UNIT
-    kind[number | np.isin(value, _FIXED[NUMBER])] = NUMBER
-    return doc, value, kind
+class Words:
+    """The words of some texts that have a letter, a digit or another character: text number, value hash, kind, and more."""
+
+    def __init__(self, raw: np.ndarray, offsets: np.ndarray):
+        if not _FIXED:
+            _FIXED[NUMBER], _FIXED[UNIT], _FIXED[WORD] = _hash_words(NUMBER_WORDS), _hash_words(UNIT_WORDS), _hash_words(["st", "nd", "rd", "th"])
+        start, end, doc = K.words(raw, offsets)
+        body = np.flatnonzero(~PUNCT[raw] & ~K.WHITE[raw])
+        a, b = np.searchsorted(body, start), np.searchsorted(body, end)
+        full = b > a
+        self.doc, outer, outer_end = doc[full], start[full], end[full]
+        start, end = body[a[full]], body[b[full] - 1] + 1
+        self.value, self.kind, self.initial = np.zeros(0, K.U), np.zeros(0, np.int8), np.zeros(0, bool)
+        self.near, self.word = np.zeros(0, bool), np.arange(len(start))
+        self.last = self.word
+        self.split = self.value, self.value, self.word
+        if not len(start):
+            return
+        small = lowered(raw)
+        self.value = K.span_hashes(small, start, end)
+        digits, letters = np.flatnonzero(DIGIT[raw]), np.flatnonzero(LETTER[raw])
+        inside = lambda at: np.searchsorted(at, end) > np.searchsorted(at, start)
+        number = inside(digits) & ~inside(letters)
+        breaks = np.flatnonzero(BREAK[raw])
+        first = np.ones(len(start), bool)
+        first[1:] = (self.doc[1:] != self.doc[:-1]) | (np.searchsorted(breaks, start[1:]) > np.searchsorted(breaks, end[:-1]))
+        second = raw[np.minimum(start + 1, len(raw) - 1)]
+        latin = (raw[start] == 0xC3) & (second >= 0x80) & (second <= 0x9E)
+        capital = UPPER[raw[start]] & (end - start > 1) & ~UPPER[second] | latin & (end - start > 2)
+        self.kind = np.where(capital & ~first, NAME, WORD).astype(np.int8)
+        self.kind[np.isin(self.value, _FIXED[UNIT])] = UNIT
+        self.kind[number | np.isin(self.value, _FIXED[NUMBER])] = NUMBER
+        self.initial = capital & first & (self.kind == WORD)
+        # no punctuation between a word and the one before it
+        self.near = np.zeros(len(start), bool)
+        self.near[1:] = (self.doc[1:] == self.doc[:-1]) & (start[1:] == outer[1:]) & (end[:-1] == outer_end[:-1])
+        # digits before letters, as in 5kg: where the letters begin, and the hashes of both parts
+        low, high = np.searchsorted(letters, start), np.searchsorted(digits, end)
+        letter, digit = letters[np.minimum(low, len(letters) - 1)] if len(letters) else start, digits[np.maximum(high - 1, 0)] if len(digits) else start
+        at = np.flatnonzero(inside(digits) & inside(letters) & DIGIT[raw[start]] & (letter > digit))
+        self.split = K.span_hashes(small, start[at], letter[at]), K.span_hashes(small, letter[at], end[at]), at
+
+    def folded(self, initial: bool) -> Words:
+        """A number apart from the unit it is written with, runs of numbers, units or names as one; `initial`: the first
+        word of a sentence is a name if it has a capital."""
+        number, rest, at = self.split
+        n = np.ones(len(self.doc), np.int64)
+        n[at] = 2
+        word = np.repeat(np.arange(len(n)), n)
+        left = (np.cumsum(n) - n)[at]
+        value, kind, near = self.value[word], np.where(self.initial & initial, NAME, self.kind).astype(np.int8)[word], self.near[word]
+        value[left], value[left + 1] = number, rest
+        kind[left], kind[left + 1], near[left + 1] = NUMBER, np.where(np.isin(rest, _FIXED[UNIT]), UNIT, np.where(np.isin(rest, _FIXED[WORD]), NUMBER, WORD)), True
+        new = np.ones(len(kind), bool)
+        new[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == WORD) | ~near[1:]
+        begin = np.flatnonzero(new)
+        group = np.cumsum(new) - 1
+        size = np.diff(np.append(begin, len(kind)))
+        out = object.__new__(Words)
+        out.doc, out.kind = self.doc[word][begin], kind[begin]
+        step = (np.arange(len(kind)) - begin[group]).astype(K.U) if len(kind) else np.zeros(0, K.U)
+        several = K.mix(value + step * K.U(0x9E3779B97F4A7C15))
+        out.value = np.where(size > 1, np.add.reduceat(several, begin), value[begin]) if len(begin) else value
+        out.word, out.last = word[begin], word[begin + size - 1]
+        return out
+
+def streams(raw: np.ndarray, offsets: np.ndarray) -> list[Words]:
+    """The words as they are, folded, and folded with the first words of sentences as names."""
+    plain = Words(raw, offsets)
+    return [plain, plain.folded(False), plain.folded(True)]
 
 
 def _forms(value: np.ndarray, kind: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -106,14 +155,36 @@ def _forms(value: np.ndarray, kind: np.ndarray) -> list[tuple[np.ndarray, np.nda
 
 
 class Templates:
-    """The windows of some benchmark items, sorted by hash."""
+    """The windows of some benchmark items, in each of the streams."""
 
     def __init__(self, ids: list[int], texts: list[str | None]):
         raw, offsets = K.string_parts(pa.array(texts, pa.string()))
-        doc, value, kind = canonical(raw, offsets)
-        edge = np.searchsorted(doc, np.arange(len(ids) + 1))
+        plain, *more = streams(raw, offsets)
+        edge = np.searchsorted(plain.doc, np.arange(len(ids) + 1))
+        self.parts = [_Stream(ids, w, np.diff(edge), edge, literal=w is plain) for w in (plain, *more)]
+
+    def search(self, raw: np.ndarray, offsets: np.ndarray) -> dict[int, list[dict]]:
+        """What is found in each text, by text number; of an item found in several streams what the first says."""
+        found: dict[tuple[int, int], dict] = {}
+        all_words = streams(raw, offsets)
+        first = np.searchsorted(all_words[0].doc, np.arange(len(offsets)))
+        for part, w in zip(self.parts, all_words, strict=True):
+            found = part.search(w, first) | found
+        out: dict[int, list[dict]] = defaultdict(list)
+        for (d, _), what in sorted(found.items()):
+            out[d].append(what)
+        return out
+
+
+class _Stream:
+    """The windows of some benchmark items, sorted by hash."""
+
+    def __init__(self, ids: list[int], words: Words, lengths: np.ndarray, begin: np.ndarray, literal: bool):
+        edge = np.searchsorted(words.doc, np.arange(len(ids) + 1))
         self.ids = ids
-        self.items = [(value[a:b], kind[a:b]) for a, b in zip(edge[:-1], edge[1:], strict=True)]
+        self.n_words = lengths.tolist()
+        self.items = [(words.value[a:b], words.kind[a:b]) for a, b in zip(edge[:-1], edge[1:], strict=True)]
+        self.words_of = [(words.word[a:b] - o, words.last[a:b] - o) for a, b, o in zip(edge[:-1], edge[1:], begin[:-1], strict=True)]
         rows = []
         for k, (v, c) in enumerate(self.items):
             n = min(WINDOW, len(v))
@@ -125,7 +196,7 @@ class Templates:
                 any_plain |= plain
                 at = np.flatnonzero(plain)
                 rows.append((K.ngrams(h, n)[at], np.full(len(at), n), np.full(len(at), k), at, np.zeros(len(at))))
-            at = np.flatnonzero(~any_plain)
+            at = np.flatnonzero(~any_plain & literal)
             rows.append((K.ngrams(v, n)[at], np.full(len(at), n), np.full(len(at), k), at, np.ones(len(at))))
         join = lambda i, t: np.concatenate([r[i] for r in rows]).astype(t) if rows else np.zeros(0, t)
         h, n, item, at, literal = join(0, K.U), join(1, np.int32), join(2, np.int32), join(3, np.int32), join(4, bool)
@@ -137,9 +208,9 @@ class Templates:
         self.filter = np.zeros(1 << 20, bool)
         self.filter[(h >> K.U(44)).astype(np.int64)] = True
 
-    def search(self, raw: np.ndarray, offsets: np.ndarray) -> dict[int, list[dict]]:
-        """What is found in each text, by text number."""
-        doc, value, kind = canonical(raw, offsets)
+    def search(self, words: Words, first: np.ndarray) -> dict[tuple[int, int], dict]:
+        """What is found, by text number and number of the item; first: where the words of each text begin."""
+        doc, value, kind = words.doc, words.value, words.kind
         hits = []
         for h in [h for h, _ in _forms(value, kind)] + [value] * bool(self.literal.any()):
             for n in self.lengths:
@@ -162,14 +233,15 @@ class Templates:
         for p, e in zip(at.tolist(), entry.tolist(), strict=True):
             k, q = int(self.item[e]), int(self.at[e])
             groups[int(doc[p]), k, p - q].add((q, int(self.size[e]), bool(self.literal[e])))
-        first = np.searchsorted(doc, np.arange(len(offsets)))
         found: dict[tuple[int, int], dict] = {}
         for (d, k, shift), spans in sorted(groups.items()):
             v, c = self.items[k]
             # literal windows of numbers may keep a value that the templates replace; then the templates count alone
             for used in (spans, {x for x in spans if not x[2]}):
                 where = sorted({q + i for q, n, _ in used for i in range(n)})
-                if len(where) < min(COVER, len(v)):
+                begin, last = self.words_of[k]
+                covered = len({w for q in where for w in range(begin[q], last[q] + 1)})
+                if covered < min(COVER, self.n_words[k]):
                     continue
                 meant: dict[int, int] = {}
                 same = consistent = True
@@ -179,13 +251,10 @@ class Templates:
                         consistent &= old == int(value[q + shift])
                         same &= value[q + shift] == v[q]
                 if consistent:
-                    if (d, k) not in found or found[d, k]["n_words"] < len(where):
-                        found[d, k] = {"item_id": self.ids[k], "n_words": len(where), "kind": "verbatim" if same else "reparameterised", "from_word": where[0] + shift - int(first[d]), "to_word": where[-1] + 1 + shift - int(first[d])}
+                    if (d, k) not in found or found[d, k]["n_words"] < covered:
+                        found[d, k] = {"item_id": self.ids[k], "n_words": covered, "kind": "verbatim" if same else "reparameterised", "from_word": int(words.word[where[0] + shift] - first[d]), "to_word": int(words.last[where[-1] + shift] + 1 - first[d])}
                     break
-        out: dict[int, list[dict]] = defaultdict(list)
-        for (d, _), what in sorted(found.items()):
-            out[d].append(what)
-        return out
+        return found
 
 
 FOUND = T.ArrayType(T.StructType([T.StructField("item_id", T.LongType()), T.StructField("n_words", T.IntegerType()), T.StructField("kind", T.StringType()), T.StructField("from_word", T.IntegerType()), T.StructField("to_word", T.IntegerType())]))
@@ -198,7 +267,7 @@ def blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", l
     for row in benchmark.select(F.col(item_id).cast("long"), F.col(text)).where(F.col(text).isNotNull()).toLocalIterator():
         ids.append(row[0])
         texts.append(row[1])
-        size += 2 * (len(row[1]) // 2 + 1)
+        size += 6 * (len(row[1]) // 2 + 1)
         if size >= limit:
             yield Templates(ids, texts)
             ids, texts, size = [], [], 0
