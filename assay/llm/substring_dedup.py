@@ -4,10 +4,10 @@ A window is WINDOW consecutive words of one document. A word goes if some window
 window that starts earlier: in an earlier batch, at a smaller doc_id, or earlier in the same document.
 
 Each window is filed under an anchor: the ANCHOR-word gram inside it with the least hash (winnowing). Equal windows have
-equal anchors at equal offsets, so an index entry is one anchor with a 32-bit fingerprint for each of the up to 13
-consecutive windows that chose it: about 6 bytes a window instead of a row each. The index is a set of immutable runs in
+equal anchors at equal offsets, so an index entry is one anchor with a 64-bit fingerprint for each of the up to 13
+consecutive windows that chose it: about 10 bytes a window instead of a row each. The index is a set of immutable runs in
 the shared folder, each sorted by anchor inside numbered buckets. A new batch is split into the same buckets; every bucket
-is merge-joined with the buckets of the runs, candidates are verified on anchor and fingerprint (96 bits together with
+is merge-joined with the buckets of the runs, candidates are verified on anchor and fingerprint (128 bits together with
 the offset), the earliest owner of each window is kept, and the batch becomes the next run. When FAN_IN runs have gathered
 they are compacted into one.
 
@@ -77,12 +77,12 @@ def text_entries(raw: np.ndarray, offsets: np.ndarray, doc_id: np.ndarray, tag:
     start, end, doc = K.words(raw, offsets)
     at = K.windows(doc, WINDOW)
     if not len(at):
-        return np.zeros(0, ENTRY), np.zeros(0, np.uint32)
+        return np.zeros(0, ENTRY), np.zeros(0, K.U)
     h = K.span_hashes(raw, start, end)
     first = np.searchsorted(doc, np.arange(len(offsets) - 1))
     grams = K.ngrams(h, ANCHOR)
     anchor = _anchors(grams, WINDOW - ANCHOR + 1)[at]
-    prints = (K.ngrams(h, WINDOW)[at] & K.U(0xFFFFFFFF)).astype(np.uint32)
+    prints = K.ngrams(h, WINDOW)[at]
     owner = doc[at]
     return _pack(grams[anchor], doc_id[owner], tag[owner], (at - first[owner]).astype(np.int32), (anchor - at).astype(np.uint8), prints)
 
@@ -90,7 +90,7 @@ def text_entries(raw: np.ndarray, offsets: np.ndarray, doc_id: np.ndarray, tag:
 def _pack(anchor: np.ndarray, doc: np.ndarray, tag: np.ndarray, start: np.ndarray, offset: np.ndarray, prints: np.ndarray) -> Entries:
     """Windows, in order of position, as entries: consecutive windows with one anchor share an entry."""
     if not len(anchor):
-        return np.zeros(0, ENTRY), np.zeros(0, np.uint32)
+        return np.zeros(0, ENTRY), np.zeros(0, K.U)
     new = np.ones(len(anchor), bool)
     new[1:] = (start[1:] != start[:-1] + 1) | (offset[1:] + 1 != offset[:-1]) | (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1])
     at = np.flatnonzero(new)
@@ -106,7 +106,7 @@ def _windows(entries: Entries) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     entry = np.repeat(np.arange(len(head)), head["count"])
     step = np.arange(len(prints)) - np.repeat(np.cumsum(head["count"], dtype=np.int64) - head["count"], head["count"])
     place = (head["offset"][entry].astype(np.int64) - step).astype(K.U)
-    return entry, step, K.mix(head["anchor"][entry] + (place << K.U(32)) * K.U(0x9E3779B97F4A7C15) + K.mix(prints.astype(K.U) + K.U(1)))
+    return entry, step, K.mix(head["anchor"][entry] + (place << K.U(32)) * K.U(0x9E3779B97F4A7C15) + K.mix(prints + K.U(1)))
 
 
 def settle(entries: Entries, history: Entries | None = None) -> tuple[Entries, np.ndarray]:
@@ -184,11 +184,11 @@ def _load(blob: bytes) -> Entries:
         kind = ENTRY[name]
         head[name] = np.frombuffer(blob, kind, n, at)
         at += kind.itemsize * n
-    return head, np.frombuffer(blob, np.uint32, -1, at)
+    return head, np.frombuffer(blob, np.uint64, -1, at)
 
 
 def _join(parts: list[Entries]) -> Entries:
-    return (np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])) if parts else (np.zeros(0, ENTRY), np.zeros(0, np.uint32))
+    return (np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])) if parts else (np.zeros(0, ENTRY), np.zeros(0, K.U))
 
 
 def _order(entries: Entries, by: np.ndarray) -> Entries:
