@@ -2,13 +2,22 @@
 
 A page becomes the sequence of its text blocks, each with its root-to-leaf path of block tags. Per path, text length and
 punctuation are summed and divided by the number of blocks with that path, and both are multiplied by their spread, so that
-paths of running text stand out from lists of labels. Values are put back on the block sequence, smoothed, fused, and cut at a
-share of their standard deviation. The smallest container that holds the selected text gives the article; inside it
-everything is kept that is not marked as something else (menus, headers, footers, sidebars, notices, adverts, forms,
-comments) and is no list of links.
-
-Defined results: null or empty html gives the empty text. Unclosed and crossing tags are closed as browsers do. Pages are
-judged one by one, so repeated rows get equal results, and memory is bounded by the longest page.
+paths of running text stand out from lists of labels. Values are put back on the block sequence, smoothed, fused into one
+value a path, and cut at a share of their standard deviation: paths above the cut are content paths, and their blocks are
+content nodes. The smallest container that holds (nearly) all content nodes is the article. Blocks of the other paths in it
+are the article's too (headings, short lines, cells), unless their path is one of links or they stand in a part of the page
+that is marked as something else: menus, page headers, footers, sidebars, notices, adverts, forms, comments.
+
+An element is marked by its name or by a class, id or role. A token such as `cookie-notice` marks it if one of its words
+says what the element is and the others only name a place or a shape; `related-work` or `ad-free` do not. A `header` inside
+an article is the article's own and stays.
+
+Parsing takes time in proportion to the page: unclosed tags and quotes are looked for once, paths are numbered, and what an
+element inherits is copied from its parent, so no step walks to the root.
+
+Defined results: null or empty html gives the empty text; an empty table an empty result; a column named like an output is
+replaced. Unclosed and crossing tags are closed as browsers do; a `<` that no `>` follows is text. Pages are judged one by
+one, so repeated rows get equal results, and memory is bounded by the longest page.
 """
 
 from __future__ import annotations
@@ -24,35 +33,63 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Element names by their part in a page.
-VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var br wbr img".split())
-RAW = set("script style noscript template textarea title iframe svg math object select head".split())
-APART = set("nav header footer aside form button dialog menu fieldset".split()) | RAW
-HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
-CLOSES_P = set("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
-CONTAINERS = set("html body main article section div td table tbody tr center".split())
-# What class, id and role words say about an element.
-MARKS = set("ad ads advert advertisement adverts banner sponsor sponsored promo promotion cookie cookies consent gdpr notice popup modal overlay newsletter subscribe subscription share sharing social related recommended sidebar menu nav navbar navigation breadcrumb breadcrumbs footer header masthead comment comments respond replies reply disqus widget toolbar pagination pager login signin signup search skip alert complementary contentinfo dialog outbrain taboola".split())
-
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
+VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
+INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "br", "wbr", "img", "math", "mi", "mn", "mo", "mrow", "msub", "msup", "msubsup", "mfrac", "msqrt", "mroot", "mtext", "mspace", "mstyle", "munder", "mover", "semantics"}
+RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "select", "annotation", "xmp"}
+APART = {"nav", "header", "footer", "aside", "form", "button", "dialog", "menu", "fieldset", "head"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+CLOSES_P = {"address", "article", "aside", "blockquote", "details", "div", "dl", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "menu", "nav", "ol", "p", "pre", "section", "table", "ul"}
+CONTAINERS = {"html", "body", "main", "article", "section", "div", "td", "table", "tbody", "tr", "center"}
+# Elements that a new element of the same kind closes, the kind, and the elements beyond which it does not look.
+KINDS = {"p": "p", "li": "li", "dt": "dd", "dd": "dd", "tr": "tr", "td": "td", "th": "td", "option": "option"}
+BARRIERS = {"p": CONTAINERS | {"ul", "ol", "li"}, "li": {"ul", "ol", "menu"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "option": {"select"}}
+# Words of class, id and role that say what an element is, and words that only name a place or a shape.
+MARKS = {"ad", "ads", "advert", "adverts", "advertisement", "advertisements", "alert", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "complementary", "consent", "contentinfo", "cookie", "cookies", "dialog", "disqus", "footer", "gdpr", "header", "login", "masthead", "menu", "menubar", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "outbrain", "overlay", "pager", "pagination", "popup", "promo", "promotion", "recommended", "related", "replies", "reply", "respond", "search", "share", "sharing", "sidebar", "signin", "signup", "skip", "social", "sponsor", "sponsored", "subscribe", "subscription", "taboola", "toolbar", "widget"}
+PLACES = {"bar", "big", "block", "bottom", "box", "button", "buttons", "center", "column", "container", "content", "cta", "desktop", "form", "global", "group", "icons", "inner", "item", "items", "left", "link", "links", "list", "main", "mobile", "outer", "page", "panel", "posts", "primary", "right", "row", "secondary", "section", "side", "site", "slot", "small", "sticky", "stories", "text", "thread", "top", "unit", "wrap", "wrapper", "area", "articles", "body"}
+
+OPEN = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+STOP = re.compile(r"[\"'>]")
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 PUNCTUATION = re.compile(r"[.,;:!?…、。，！？]")
+HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
+WORDS = re.compile(r"[a-z]+|[0-9]+")
 
 
 class Node:
-    __slots__ = ("tag", "path", "parent", "apart", "depth")
+    """An element. What its position implies is copied from its parent: `near` has the innermost open element of each kind
+    that a new one would close, `place` the number of its path."""
+
+    __slots__ = ("tag", "place", "parent", "apart", "depth", "heading", "inside", "near", "number")
 
-    def __init__(self, tag: str, parent: Node | None, label: str, apart: bool):
-        self.tag, self.parent, self.apart = tag, parent, apart
-        self.path = f"{parent.path}/{label}" if parent else label
+    def __init__(self, tag: str, parent: Node | None, place: int, apart: bool, number: int):
+        self.tag, self.parent, self.place, self.apart, self.number = tag, parent, place, apart, number
         self.depth = parent.depth + 1 if parent else 0
+        self.heading = bool(parent and parent.heading) or tag in HEADINGS
+        self.inside = bool(parent and parent.inside) or tag in ("article", "main")
+        near = parent.near if parent else {}
+        closed = [k for k, limits in BARRIERS.items() if tag in limits and near.get(k) is not None]
+        kind = KINDS.get(tag)
+        if closed or kind:
+            near = {k: v for k, v in near.items() if k not in closed}
+            if kind:
+                near[kind] = self
+        self.near = near
 
 
 class Block:
     __slots__ = ("node", "text", "linked", "heading")
 
-    def __init__(self, node: Node, text: str, linked: int, heading: bool):
-        self.node, self.text, self.linked, self.heading = node, text, linked, heading
+    def __init__(self, node: Node, text: str, linked: int):
+        self.node, self.text, self.linked, self.heading = node, text, linked, node.heading
+
+
+def marked(value: str) -> bool:
+    """Whether a class, id or role has a token that says that the element is something other than content."""
+    for token in value.split():
+        words = WORDS.findall(token)
+        if any(w in MARKS for w in words) and all(w in MARKS or w in PLACES or w.isdigit() for w in words):
+            return True
+    return False
 
 
 def _look(attributes: str) -> tuple[str, bool]:
@@ -60,142 +97,227 @@ def _look(attributes: str) -> tuple[str, bool]:
     label, apart = "", False
     for m in ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
+        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and HIDDEN.search(value):
             apart = True
         elif name in ("class", "id", "role"):
-            apart |= any(w in MARKS for w in re.split(r"[^a-z]+", value))
+            apart |= marked(value)
             label += f".{value.split()[0]}" if value.split() else ""
     return label, apart
 
 
+class Scanner:
+    """(kind, name or text, attributes) of the pieces of a page in order; kinds are text, open and close.
+
+    Every search goes forward from where the last one of its kind ended, so a page is read a bounded number of times.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.last = page.rfind(">")
+        self.found: dict[str, tuple[int, int]] = {}
+
+    def find(self, what: str, at: int) -> int:
+        """page.find(what, at); a search that an earlier one has answered is not repeated."""
+        begin, end = self.found.get(what, (1, 0))
+        if begin <= at and (at <= end or end < 0):
+            return end
+        end = self.page.find(what, at)
+        self.found[what] = at, end
+        return end
+
+    def tag_end(self, at: int) -> int:
+        """The position of the `>` that ends the tag, quoted values aside; -1 if there is none."""
+        first = -1
+        while m := STOP.search(self.page, at):
+            if m[0] == ">":
+                return m.start()
+            close = self.find(m[0], m.end())
+            if close < 0:
+                # a quote that nothing closes is an ordinary character
+                at = m.end()
+                end = self.find(">", at)
+                return end
+            if first < 0:
+                first = m.end()
+            at = close + 1
+            if at > self.last:
+                # the tag would run to the end of the page: its quotes do not pair, the first > ends it
+                return self.find(">", first)
+        return -1
+
+    def pieces(self) -> Iterator[tuple[str, str, str]]:
+        page, at, n = self.page, 0, len(self.page)
+        while at < n:
+            lt = self.find("<", at)
+            if lt < 0 or lt > self.last:
+                yield "text", page[at:], ""
+                return
+            if lt > at:
+                yield "text", page[at:lt], ""
+            if page.startswith("<!--", lt):
+                end = self.find("-->", lt + 4)
+                at = end + 3 if end >= 0 else n
+            elif page.startswith("<![CDATA[", lt):
+                end = self.find("]]>", lt)
+                at = end + 3 if end >= 0 else n
+            elif page[lt + 1 : lt + 2] in ("!", "?"):
+                at = self.find(">", lt) + 1
+            elif m := OPEN.match(page, lt):
+                end = self.tag_end(m.end())
+                if end < 0:
+                    yield "text", "<", ""
+                    at = lt + 1
+                    continue
+                name, at = m[2].lower(), end + 1
+                attributes = page[m.end() : end]
+                yield ("close" if m[1] else "open"), name, attributes
+                if not m[1] and name in RAW and not attributes.rstrip().endswith("/"):
+                    close = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(page, at)
+                    # what no end tag closes runs to the end of the page
+                    at = (self.find(">", close.end()) + 1 or n) if close else n
+            else:
+                yield "text", "<", ""
+                at = lt + 1
+
+
 def blocks(page: str) -> list[Block]:
     """The text blocks of a page in order, those of other parts than content included."""
-    root = Node("#root", None, "", False)
-    node, out, parts, linked, link = root, [], [], 0, 0
-    skip = ""
+    paths: dict[tuple[int, str], int] = {}
+    root = node = Node("#root", None, 0, False, 0)
+    out, parts, linked, link, made = [], [], 0, 0, 1
+    stack, opened = [root], defaultdict(int)
 
     def flush() -> None:
         nonlocal parts, linked
         if parts:
             text = " ".join(references.unescape("".join(parts)).split())
             if text:
-                heading = any(a.tag in HEADINGS for a in _up(node))
-                out.append(Block(node, text, linked, heading))
+                out.append(Block(node, text, linked))
         parts, linked = [], 0
 
-    for m in TOKEN.finditer(page):
-        tag = m[2]
-        if tag is None:
-            piece = m[0]
-            if not skip and not (piece[:1] == "<" and len(piece) > 1):
-                parts.append(piece)
-                if link:
-                    linked += len(piece.strip())
+    def leave(last: Node) -> None:
+        """Closes the open elements down to `last` and itself."""
+        while True:
+            gone = stack.pop()
+            opened[gone.tag] -= 1
+            if gone is last:
+                return
+
+    for kind, name, attributes in Scanner(page).pieces():
+        if kind == "text":
+            parts.append(name)
+            if link:
+                linked += len(name.strip())
+        elif name in RAW:
             continue
-        tag, closing = tag.lower(), bool(m[1])
-        if skip:
-            if closing and tag == skip:
-                skip = ""
-            continue
-        if tag in INLINE:
-            if tag == "a":
-                link = 0 if closing else 1
-            elif tag == "br":
+        elif name in INLINE:
+            if name == "a":
+                link = int(kind == "open")
+            elif name == "br":
                 parts.append(" ")
-            continue
-        flush()
-        link = 0
-        if closing:
-            at = node
-            while at is not root and at.tag != tag:
-                at = at.parent
-            if at is not root:
-                node = at.parent
-            continue
-        if tag in VOID:
-            continue
-        if tag in RAW and tag != "head":
-            if not m[3].rstrip().endswith("/"):
-                skip = tag
-            continue
-        node = _place(node, tag, root)
-        label, apart = _look(m[3]) if m[3] else ("", False)
-        inside = any(a.tag in ("article", "main") for a in _up(node))
-        apart = (apart or tag in APART) and tag not in ("html", "body", "article", "main") or apart and tag == "article" and inside
-        node = Node(tag, node, tag + label, node.apart or apart)
+        else:
+            flush()
+            link = 0
+            if kind == "close":
+                if opened[name] > 0:
+                    last = next(x for x in reversed(stack) if x.tag == name)
+                    leave(last)
+                    node = stack[-1]
+                continue
+            if name in VOID:
+                if name in CLOSES_P and node.near.get("p"):
+                    leave(node.near["p"])
+                    node = stack[-1]
+                continue
+            if name in CLOSES_P and node.near.get("p"):
+                leave(node.near["p"])
+                node = stack[-1]
+            if name in KINDS and name != "p" and node.near.get(KINDS[name]):
+                leave(node.near[KINDS[name]])
+                node = stack[-1]
+            label, apart = _look(attributes) if attributes else ("", False)
+            own = apart or name in APART and not (name == "header" and node.inside)
+            if name in ("html", "body", "main") or name == "article" and not node.inside:
+                own = False
+            node = Node(name, node, paths.setdefault((node.place, name + label), len(paths) + 1), node.apart or own, made)
+            made += 1
+            stack.append(node)
+            opened[name] += 1
     flush()
     return out
 
 
-def _up(node: Node | None) -> Iterator[Node]:
-    while node is not None:
-        yield node
-        node = node.parent
-
-
-def _place(node: Node, tag: str, root: Node) -> Node:
-    """The parent for a new element after the end tags that HTML implies."""
-    if tag in CLOSES_P:
-        for a in _up(node):
-            if a.tag == "p":
-                node = a.parent
-                break
-            if a.tag in CONTAINERS or a.tag in ("ul", "ol", "li"):
-                break
-    ends = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",)}
-    if tag in ends:
-        alike = {"dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th")}.get(tag, (tag,))
-        for a in _up(node):
-            if a.tag in ends[tag]:
-                break
-            if a.tag in alike:
-                node = a.parent
-                break
-    return node
-
-
-def scores(found: list[Block], radius: int = 1) -> tuple[list[float], float]:
-    """(smoothed fused path ratio of each block, threshold)."""
-    groups: dict[str, list[tuple[int, int]]] = defaultdict(list)
+def path_values(found: list[Block]) -> dict[int, float]:
+    """The fused ratio of each path: length and punctuation a block, each raised by its spread over the path's blocks."""
+    groups: dict[int, list[tuple[int, int]]] = defaultdict(list)
     for b in found:
         if not b.node.apart:
-            groups[b.node.path].append((max(0, len(b.text) - b.linked), len(PUNCTUATION.findall(b.text)) if 2 * b.linked < len(b.text) else 0))
-    ratio: dict[str, float] = {}
-    for path, values in groups.items():
+            groups[b.node.place].append((max(0, len(b.text) - b.linked), len(PUNCTUATION.findall(b.text)) if 2 * b.linked < len(b.text) else 0))
+    out: dict[int, float] = {}
+    for place, values in groups.items():
         n = len(values)
         length, marks = sum(v[0] for v in values) / n, sum(v[1] for v in values) / n
         spread = lambda k, mean: math.sqrt(sum((v[k] - mean) ** 2 for v in values) / n)  # noqa: B023, E731
-        ratio[path] = math.log1p(length * (1 + spread(0, length))) * (0.2 + math.log1p(marks * (1 + spread(1, marks))))
-    raw = [0.0 if b.node.apart else ratio[b.node.path] for b in found]
+        out[place] = math.log1p(length * (1 + spread(0, length))) * (0.2 + math.log1p(marks * (1 + spread(1, marks))))
+    return out
+
+
+def content_paths(found: list[Block], radius: int = 1) -> set[int]:
+    """The paths whose smoothed value reaches the cut.
+
+    Values are smoothed along the page by a Gaussian, a block never below its own value, and averaged over the blocks of a
+    path. The cut is the standard deviation of the smoothed values, at most 0.8 of the largest.
+    """
+    live = [b for b in found if not b.node.apart]
+    if not live:
+        return set()
+    own = path_values(found)
+    raw = [own[b.node.place] for b in live]
     smooth = []
     for i in range(len(raw)):
-        near = [(raw[j], math.exp(-((i - j) ** 2) / 2)) for j in range(max(0, i - radius), min(len(raw), i + radius + 1)) if not found[j].node.apart]
-        smooth.append(0.0 if found[i].node.apart or not near else max(raw[i], sum(v * w for v, w in near) / sum(w for _, w in near)))
-    live = [s for s, b in zip(smooth, found, strict=True) if not b.node.apart]
-    mean = sum(live) / len(live) if live else 0.0
-    return smooth, min(math.sqrt(sum((s - mean) ** 2 for s in live) / len(live)), 0.8 * max(live)) if live else 0.0
+        near = [(raw[j], math.exp(-((i - j) ** 2) / 2)) for j in range(max(0, i - radius), min(len(raw), i + radius + 1))]
+        smooth.append(max(raw[i], sum(v * w for v, w in near) / sum(w for _, w in near)))
+    mean = sum(smooth) / len(smooth)
+    cut = min(math.sqrt(sum((s - mean) ** 2 for s in smooth) / len(smooth)), 0.8 * max(smooth))
+    totals: dict[int, list[float]] = defaultdict(list)
+    for b, s in zip(live, smooth, strict=True):
+        totals[b.node.place].append(s)
+    return {place for place, values in totals.items() if (v := sum(values) / len(values)) > 0 and v >= cut}
 
 
 def main_blocks(page: str) -> list[str]:
     found = blocks(page)
-    smooth, limit = scores(found)
-    mass: dict[Node, float] = defaultdict(float)
-    total = 0.0
-    for b, s in zip(found, smooth, strict=True):
-        if not b.node.apart and s > 0 and s >= limit:
-            total += len(b.text)
-            for a in _up(b.node):
-                mass[a] += len(b.text)
+    chosen = content_paths(found)
+    live = [b for b in found if not b.node.apart]
+    # all elements with text below them, parents before children
+    nodes: dict[int, Node] = {}
+    for b in live:
+        at = b.node
+        while at is not None and at.number not in nodes:
+            nodes[at.number] = at
+            at = at.parent
+    mass: dict[int, int] = defaultdict(int)
+    for b in live:
+        if b.node.place in chosen:
+            mass[b.node.number] += len(b.text)
+    total = sum(mass.values())
     if not total:
-        return [b.text for b in found if not b.node.apart]
+        return [b.text for b in live]
+    order = sorted(nodes)
+    for number in reversed(order):
+        if nodes[number].parent is not None:
+            mass[nodes[number].parent.number] += mass[number]
     best = None
-    for node, m in mass.items():
+    for number in order:
+        node = nodes[number]
         enough = 0.5 if node.tag in ("article", "main") else 0.98
-        if node.tag in CONTAINERS and m >= enough * total and (best is None or node.depth > best.depth):
+        if node.tag in CONTAINERS and mass[number] >= enough * total and (best is None or node.depth > best.depth):
             best = node
-    inside = lambda b: best is None or any(a is best for a in _up(b.node))
-    listed = lambda b, s: s < limit and 2 * b.linked > len(b.text)
-    return [b.text for b, s in zip(found, smooth, strict=True) if not b.node.apart and inside(b) and not listed(b, s)]
+    inside: dict[int, bool] = {}
+    for number in order:
+        parent = nodes[number].parent
+        inside[number] = best is None or nodes[number] is best or parent is not None and inside[parent.number]
+    return [b.text for b in live if inside[b.node.number] and (b.node.place in chosen or 2 * b.linked <= len(b.text))]
 
 
 def main_text(page: str | None) -> str:

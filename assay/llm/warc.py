@@ -5,12 +5,22 @@ and a `conversion` record (the page's plain text). Both name the response in WAR
 its payload digest, and name each other in X-Linked-Record; each has its own block digest and a record id that follows from the
 response's, so that a rerun yields the same records.
 
-Records are made one by one in a single pass, without a shuffle. WARC files are read by Spark's text reader with the version
-line as separator and written with the record terminator as separator, so neither needs a local path.
+Records are made one by one in a single pass, without a shuffle. WARC files are read by Spark's text reader, which cuts them
+before each version line; a record's Content-Length then says which pieces belong together, so a payload may hold a version
+line. Pieces of a record that two tasks share are joined by file, and only those; where the shared part of such a payload is
+itself made of whole records, it is read as these (compressed files are never shared). Files are written with the record
+terminator as separator, so neither way needs a local path.
+
+A header that occurs several times is one entry of `headers` whose values are separated by line feeds; it is written as
+several lines again, and the metadata record lists HTTP headers as pairs in their order. Bodies are read as the client
+would: chunked transfer coding and gzip or deflate content coding are undone for text and links; digests are those of the
+body as it was sent. Bodies that do not decode are taken as they are.
 
 Defined results: null html or a response without a body gives an empty text and a metadata record without title and links;
 a null url gives records without target URI; responses without a record id get one from their URI and payload; repeated rows
-give repeated records with equal ids. Extra columns can be kept by name.
+give repeated records with equal ids; an empty table gives none. Extra columns can be kept by name; those named `headers` or
+`block` are replaced. A record whose end is missing keeps what there is, with `X-Truncated: true`; bytes that are no record
+are left out.
 """
 
 from __future__ import annotations
@@ -21,6 +31,7 @@ import html as references
 import json
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -59,18 +70,77 @@ def response(url: str | None, page: str | None, date: str = DATE) -> tuple[dict[
     return headers, block
 
 
-def http_parts(block: bytes) -> tuple[str, dict[str, str], bytes]:
+def header_lines(head: bytes) -> list[tuple[str, str]]:
+    """Names and values of header lines in order. Bytes that are no UTF-8 are read as Latin-1."""
+    try:
+        text = head.decode()
+    except UnicodeDecodeError:
+        text = head.decode("latin-1")
+    lines: list[str] = []
+    for line in text.split("\r\n"):
+        if line[:1] in (" ", "\t") and lines:
+            lines[-1] += " " + line.strip()  # a folded line
+        else:
+            lines.append(line)
+    return [(k.strip(), v.strip()) for k, mark, v in (x.partition(":") for x in lines) if mark and k.strip()]
+
+
+def as_map(pairs: list[tuple[str, str]]) -> dict[str, str]:
+    """Headers by their first spelling; values of repeated ones one a line."""
+    out: dict[str, str] = {}
+    spelling: dict[str, str] = {}
+    for k, v in pairs:
+        k = spelling.setdefault(k.lower(), k)
+        out[k] = f"{out[k]}\n{v}" if k in out else v
+    return out
+
+
+def http_parts(block: bytes) -> tuple[str, list[tuple[str, str]], bytes]:
     """(status line, headers, body) of an HTTP response."""
     head, found, body = block.partition(b"\r\n\r\n")
     if not found:
         head, body = (b"", block) if not block.startswith(b"HTTP/") else (block, b"")
-    first, *rest = head.decode("latin-1").split("\r\n")
-    return first, {k.strip(): v.strip() for k, _, v in (x.partition(":") for x in rest) if k.strip()}, body
-
-
-def body_text(body: bytes, http: dict[str, str]) -> str:
-    kind = next((v for k, v in http.items() if k.lower() == "content-type"), "")
-    m = re.search(r"charset=[\"']?([\w.:-]+)", kind, re.I) or re.search(rb"<meta[^>]+charset=[\"']?([\w.:-]+)".decode(), body[:2048].decode("latin-1"), re.I)
+    first, _, rest = head.partition(b"\r\n")
+    return first.decode("latin-1"), header_lines(rest), body
+
+
+def _first(http: list[tuple[str, str]], name: str) -> str:
+    return next((v for k, v in http if k.lower() == name), "")
+
+
+def dechunked(body: bytes) -> bytes:
+    """The content of a chunked body; what is no chunk ends it."""
+    out, at = [], 0
+    while (end := body.find(b"\r\n", at)) >= 0:
+        try:
+            size = int(body[at:end].split(b";")[0], 16)
+        except ValueError:
+            return b"".join(out) if at else body
+        if size <= 0:
+            return b"".join(out)
+        out.append(body[end + 2 : end + 2 + size])
+        at = end + 2 + size + 2
+    return b"".join(out) if out else body
+
+
+def decoded(body: bytes, http: list[tuple[str, str]]) -> bytes:
+    """The body without transfer and content coding."""
+    if "chunked" in _first(http, "transfer-encoding").lower():
+        body = dechunked(body)
+    for coding in reversed([c.strip().lower() for c in _first(http, "content-encoding").split(",")]):
+        for bits in {"gzip": (47,), "x-gzip": (47,), "deflate": (15, -15)}.get(coding, ()):
+            try:
+                tool = zlib.decompressobj(bits)
+                body = tool.decompress(body) + tool.flush()
+                break
+            except zlib.error:
+                continue
+    return body
+
+
+def body_text(body: bytes, http: list[tuple[str, str]]) -> str:
+    kind = _first(http, "content-type")
+    m = re.search(r"charset=[\"']?([\w.:-]+)", kind, re.I) or re.search(r"<meta[^>]{1,200}?charset=[\"']?([\w.:-]+)", body[:2048].decode("latin-1"), re.I)
     try:
         return body.decode(m[1] if m else "utf-8", "replace")
     except LookupError:
@@ -80,14 +150,14 @@ def body_text(body: bytes, http: dict[str, str]) -> str:
 def derivatives(headers: dict[str, str], block: bytes) -> list[tuple[dict[str, str], bytes]]:
     """The metadata and the conversion record of a response."""
     status, http, body = http_parts(block)
-    page = body_text(body, http)
-    source = {k.lower(): v for k, v in headers.items()}
+    page = body_text(decoded(body, http), http)
+    source = {k.lower(): v.split("\n")[0] for k, v in headers.items()}
     payload = source.get("warc-payload-digest") or digest(body)
     refers = source.get("warc-record-id") or record_id(source.get("warc-target-uri", ""), payload)
     ids = {kind: record_id(refers, kind) for kind in ("metadata", "conversion")}
     title = TITLE.search(page)
     links = [{"element": m[1].lower(), "url": references.unescape(m[2] or m[3] or m[4] or "")} for m in LINK.finditer(page)]
-    about = {"refers_to": refers, "conversion": ids["conversion"], "warc_headers": headers, "http_status": status, "http_headers": http, "payload_digest": payload, "title": " ".join(references.unescape(title[1]).split()) if title else None, "links": links}
+    about = {"refers_to": refers, "conversion": ids["conversion"], "warc_headers": headers, "http_status": status, "http_headers": [list(x) for x in http], "payload_digest": payload, "title": " ".join(references.unescape(title[1]).split()) if title else None, "links": links}
     text = "\n".join(b.text for b in tagpath.blocks(page))
     blocks = {"metadata": json.dumps(about, ensure_ascii=False, sort_keys=True).encode(), "conversion": text.encode()}
     out = []
@@ -104,6 +174,7 @@ def derivatives(headers: dict[str, str], block: bytes) -> list[tuple[dict[str, s
 
 def responses(pages: DataFrame, keep: list[str], url: str = "url", html: str = "html", date: str = DATE) -> DataFrame:
     """The columns `keep` with headers and block of a response record for each page."""
+    keep = [c for c in keep if c not in ("headers", "block")]
     source = pages.select(*keep, F.col(url).alias("__url"), F.col(html).alias("__html"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,6 +190,7 @@ def responses(pages: DataFrame, keep: list[str], url: str = "url", html: str = "
 
 def derive(records: DataFrame, keep: list[str]) -> DataFrame:
     """The columns `keep` with headers and block of two derivatives for each response among the records."""
+    keep = [c for c in keep if c not in ("headers", "block")]
     is_response = F.coalesce(F.col("headers")["WARC-Type"], F.lit("response")) == "response"
     source = records.where(is_response).select(*keep, "headers", "block")
 
@@ -133,27 +205,109 @@ def derive(records: DataFrame, keep: list[str]) -> DataFrame:
     return source.mapInArrow(run, source.schema)
 
 
+SEPARATOR = "WARC/1."
+HEAD = re.compile(rb"\d\r\n")
+_PARSED = T.StructType([*RESPONSE.fields, T.StructField("path", T.StringType()), T.StructField("at", T.LongType()), T.StructField("nth", T.LongType()), T.StructField("piece", T.BinaryType())])
+
+
+def _record(piece: bytes) -> tuple[dict[str, str], int, int] | None:
+    """(headers, where the block begins, its length) of a piece that begins with the rest of a version line, else None."""
+    end = piece.find(b"\r\n\r\n")
+    if not HEAD.match(piece) or end < 0:
+        return None
+    headers = as_map(header_lines(piece[3:end]))
+    size = next((v for k, v in headers.items() if k.lower() == "content-length"), "").split("\n")[0]
+    return headers, end + 4, int(size) if size.isdigit() else -1
+
+
+class Assembler:
+    """Joins the pieces of records, in order of the file."""
+
+    def __init__(self) -> None:
+        self.held: list[bytes] = []
+        self.size = self.need = 0
+
+    def add(self, piece: bytes) -> list[tuple[dict[str, str], bytes]]:
+        """The records that the piece completes."""
+        if self.held:
+            self.held += [SEPARATOR.encode(), piece]
+            self.size += len(SEPARATOR) + len(piece)
+        else:
+            found = _record(piece)
+            if found is None:
+                return []
+            headers, begin, length = found
+            if length < 0:
+                return [(headers, piece[begin:].removesuffix(b"\r\n\r\n"))]
+            self.held, self.size, self.need = [piece], len(piece), begin + length
+        if self.size < self.need:
+            return []
+        return [self.rest(False)]
+
+    def rest(self, truncated: bool = True) -> tuple[dict[str, str], bytes]:
+        """The record that is held, as far as it goes."""
+        whole = b"".join(self.held)
+        self.held = []
+        headers, begin, length = _record(whole)
+        return headers | ({"X-Truncated": "true"} if truncated else {}), whole[begin : begin + length]
+
+
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """(headers, block) of the records of WARC files, gzipped or not; a record is held at a time, not a file."""
-    lines = spark.read.option("lineSep", f"{VERSION}\r\n").text(path).select(F.col("value").cast("binary").alias("value"))
+    """(headers, block) of the records of WARC 1.x files, gzipped or not; a record is held at a time, not a file."""
+    lines = spark.read.option("lineSep", SEPARATOR).text(path).select(F.col("value").cast("binary").alias("value"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for cell in batch.column(0).to_pylist():
-                head, found, rest = (cell or b"").partition(b"\r\n\r\n")
-                if found:
-                    headers = {k.strip(): v.strip() for k, _, v in (x.partition(":") for x in head.decode().split("\r\n")) if k.strip()}
-                    size = int(headers.get("Content-Length", len(rest)))
-                    out.append((list(headers.items()), rest[:size]))
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], _MAP), pa.array([x[1] for x in out], pa.binary())], names=["headers", "block"])
+        tool, now, nth, pieces, opened = Assembler(), None, 0, [], False
 
-    return lines.mapInArrow(run, RESPONSE)
+        def batch_of(records: list, kept: list) -> pa.RecordBatch:
+            none = [None] * len(records)
+            return pa.RecordBatch.from_arrays([pa.array([list(r[0].items()) for r in records] + [None] * len(kept), _MAP), pa.array([r[1] for r in records] + [None] * len(kept), pa.binary()), pa.array(none + [k[0] for k in kept], pa.string()), pa.array(none + [k[1] for k in kept], pa.int64()), pa.array(none + [k[2] for k in kept], pa.int64()), pa.array(none + [k[3] for k in kept], pa.binary())], names=["headers", "block", "path", "at", "nth", "piece"])
+
+        def left() -> list:
+            # what a split does not complete, and what comes before its first record, may go on in its neighbours
+            held = [(*now, k, p) for k, p in pieces] if now and (tool.held or not opened) else []
+            tool.held = []
+            return held
+
+        for batch in batches:
+            records, kept = [], []
+            for cell, *place in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                if place != now:
+                    kept += left()
+                    now, nth, pieces, opened = place, 0, [], False
+                piece, nth = cell or b"", nth + 1
+                begins = not tool.held and _record(piece) is not None
+                if begins:
+                    if not opened:
+                        kept += [(*now, k, p) for k, p in pieces]
+                    pieces, opened = [], True
+                if begins or tool.held or not opened:
+                    pieces.append((nth, piece))
+                done = tool.add(piece)
+                if done:
+                    records, pieces = records + done, []
+            if records or kept:
+                yield batch_of(records, kept)
+        yield batch_of([], left())
+
+    def stitch(pieces: pa.Table) -> pa.Table:
+        tool, out = Assembler(), []
+        pieces = pieces.sort_by([("at", "ascending"), ("nth", "ascending")])
+        for piece in pieces.column("piece").to_pylist():
+            out += tool.add(piece)
+        if tool.held:
+            out.append(tool.rest())
+        return pa.table({"headers": pa.array([list(r[0].items()) for r in out], _MAP), "block": pa.array([r[1] for r in out], pa.binary())})
+
+    parsed = lines.mapInArrow(run, _PARSED)
+    torn = parsed.where("piece IS NOT NULL").select("path", "at", "nth", "piece").groupBy("path").applyInArrow(stitch, RESPONSE)
+    return parsed.where("piece IS NULL").select("headers", "block").unionByName(torn)
 
 
 def write_warc(records: DataFrame, path: str, compression: str = "gzip") -> None:
-    """Writes records whose blocks are UTF-8, as derivatives are, as WARC files."""
+    """Writes records, whatever the bytes of their blocks, as WARC files."""
     order = ["WARC-Type", "WARC-Record-ID"]
-    lines = F.concat_ws("\r\n", F.transform(F.concat(F.transform(F.array(*map(F.lit, order)), lambda k: F.struct(k.alias("key"), F.element_at("headers", k).alias("value"))), F.filter(F.map_entries("headers"), lambda e: ~e["key"].isin(order))), lambda e: F.concat(e["key"], F.lit(": "), e["value"])))
-    record = F.concat(F.lit(f"{VERSION}\r\n"), lines, F.lit("\r\n\r\n"), F.decode("block", "UTF-8"))
+    entries = F.concat(F.filter(F.transform(F.array(*map(F.lit, order)), lambda k: F.struct(k.alias("key"), F.element_at("headers", k).alias("value"))), lambda e: e["value"].isNotNull()), F.filter(F.map_entries("headers"), lambda e: ~e["key"].isin(order)))
+    lines = F.array_join(F.flatten(F.transform(entries, lambda e: F.transform(F.split(e["value"], "\n"), lambda v: F.concat(e["key"], F.lit(": "), v)))), "\r\n")
+    record = F.concat(F.lit(f"{VERSION}\r\n").cast("binary"), lines.cast("binary"), F.lit("\r\n\r\n").cast("binary"), F.col("block")).cast("string")
     records.select(record.alias("value")).write.option("lineSep", "\r\n\r\n").option("compression", compression).text(path)
