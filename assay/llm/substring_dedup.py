@@ -586,14 +586,39 @@ def passage_hashes(texts: DataFrame, spans: DataFrame, shelves: int) -> DataFram
     return texts.groupBy("shelf").cogroup(_on_shelves(spans, shelves).groupBy("shelf")).applyInArrow(run, "doc_id long, tag long, span long, low long, high long")
 
 
+def coalesced(spans: DataFrame) -> DataFrame:
+    """The spans without overlaps: those of one text and owner that lie at one distance and touch are one."""
+    shift = F.shiftright("owner_span", 32) - F.shiftright("span", 32)
+    keys = ["doc_id", "tag", "owner", "owner_tag", "shift"]
+    grouped = spans.withColumn("shift", shift).groupBy(*keys).agg(F.sort_array(F.collect_set("span")).alias("spans"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, 20_000):
+                part = batch.slice(k, 20_000)
+                lists = part.column("spans")
+                size = np.diff(lists.offsets.to_numpy())
+                value = lists.flatten().to_numpy()
+                group = np.repeat(np.arange(len(size)), size)
+                start, end = value >> 32, value & 0xFFFFFFFF
+                reach = np.maximum.accumulate((group << 32) | end)
+                new = np.ones(len(value), bool)
+                new[1:] = (group[1:] != group[:-1]) | (start[1:] > (reach[:-1] & 0xFFFFFFFF))
+                at = np.flatnonzero(new)
+                low, high, own = start[at], (reach & 0xFFFFFFFF)[np.append(at[1:], len(value)) - 1], group[at]
+                doc, tag, owner, owner_tag, shift = (part.column(c).to_numpy()[own] for c in keys)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (doc, tag, (low << 32) | high, owner, owner_tag, ((low + shift) << 32) | (high + shift))], names=["doc_id", "tag", "span", "owner", "owner_tag", "owner_span"])
+
+    return grouped.mapInArrow(run, SPANS)
+
+
 def verified(texts: DataFrame, spans: DataFrame, shelves: int) -> DataFrame:
     """(doc_id, tag, span): the candidate spans whose words are their owner's.
 
     Spans whose words are not are taken apart; their windows are compared with their owners', and those that differ still
     with each other: fingerprints that stand for several windows hide none of them.
     """
-    spans = spans.distinct()
-    spans, p_spans = materialise(spans, "window-candidates")
+    spans, p_spans = materialise(coalesced(spans), "window-candidates")
     right, wrong, paths = _compared(texts, spans, shelves)
     if wrong.limit(1).count():
         step = F.explode(F.sequence(F.lit(0).cast("long"), (F.col("span").bitwiseAND(0xFFFFFFFF)) - F.shiftright("span", 32) - WINDOW))
