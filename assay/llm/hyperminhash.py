@@ -16,9 +16,15 @@ copies to one component within a few rounds. What is still open is then tested i
 components each class outside the first one with all classes of other components. That is exact: every pair of a bucket is
 either tested or already connected.
 
-Defined results: null text, no words: n_shingles 0, linked with nothing, its own component. Rows without doc_id count as the
-largest, one document for each text; component_id is null if such a row is the least of its component. Repeated rows share their set, so they are one
-component. Extra columns take no part. An empty table gives an empty result.
+Growth: the rounds test a bounded number of pairs a class. The last step tests classes that share a band without being alike
+enough (pages of one template at similarity 0.5 to 0.79) with all of each other: for m such classes in one bucket m * m / 2
+estimates of registers, in blocks over many tasks. It is the price of losing no link; a million such classes cost some 40 core hours.
+
+Defined results: null text, no words: n_shingles 0, linked with nothing, its own component. A document is a row; rows with
+equal doc_id and text are one document, rows with equal doc_id and unlike texts are documents of their own that happen to
+share the id. Rows without doc_id count as the largest, one document for each text; component_id is null if all rows of the
+component are without. Classes are numbered, not hashed, so no two can be taken for one. Extra columns take no part, names
+like those of outputs are replaced. An empty table gives an empty result; memory is bounded by the longest text.
 """
 
 from __future__ import annotations
@@ -45,12 +51,15 @@ LAST = np.iinfo(np.int64).max
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 _ORDER: np.ndarray | None = None
-#: Keys from here on stand for rows without doc_id, by a hash of their text.
-NAMELESS = int(LAST) - (1 << 52)
 
 
-def key_of(doc_id: str, text: str) -> Column:
-    return F.coalesce(F.col(doc_id).cast("long"), F.lit(NAMELESS) + F.pmod(F.xxhash64(F.col(text)), F.lit(1 << 52)))
+def key_of(doc_id: str) -> Column:
+    """The doc_id; rows without one count as the largest."""
+    return F.coalesce(F.col(doc_id).cast("long"), F.lit(int(LAST)))
+
+
+def tag_of(text: str) -> Column:
+    return F.xxhash64(F.col(text))
 
 
 def shingles(raw: np.ndarray, offsets: np.ndarray, size: int, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
@@ -127,8 +136,18 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
     return (same / np.maximum(used, 1) - chance) / (1 - chance), used
 
 
+def _prints(value: np.ndarray, n: np.ndarray) -> list[pa.Array]:
+    """128 bits of each set of shingles, as two columns."""
+    end, out = np.cumsum(n), []
+    for salt in (11, 13):
+        total = np.zeros(len(value) + 1, K.U)
+        np.cumsum(K.mix(value + K.U(salt)), out=total[1:])
+        out.append(pa.array(K.mix(total[end] - total[end - n] + n.astype(K.U)).view(np.int64)))
+    return out
+
+
 def sketches(docs: DataFrame, size: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n, f1, f2, registers): f1 and f2 are a 128-bit fingerprint of the shingle set."""
+    """(k, tag, n, f1, f2, registers): f1 and f2 are a 128-bit fingerprint of the shingle set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -136,17 +155,11 @@ def sketches(docs: DataFrame, size: int, doc_id: str = "doc_id", text: str = "te
             for i, j, r, o in K.chunks(raw, offsets):
                 owner, value = shingles(r, o, size)
                 n = np.bincount(owner, minlength=j - i)
-                prints = []
-                for salt in (11, 13):
-                    total = np.zeros(len(value) + 1, K.U)
-                    np.cumsum(K.mix(value + K.U(salt)), out=total[1:])
-                    end = np.cumsum(n)
-                    prints.append(pa.array(K.mix(total[end] - total[end - n] + n.astype(K.U)).view(np.int64)))
                 registers = sketch(owner, value, j - i)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i), pa.array(n.astype(np.int64)), *prints, pa.array([x.tobytes() for x in registers], pa.binary())], names=["doc_id", "n", "f1", "f2", "registers"])
+                yield pa.RecordBatch.from_arrays([batch.column("k").slice(i, j - i), batch.column("tag").slice(i, j - i), pa.array(n.astype(np.int64)), *_prints(value, n), pa.array([x.tobytes() for x in registers], pa.binary())], names=["k", "tag", "n", "f1", "f2", "registers"])
 
-    source = docs.select(key_of(doc_id, text).alias("doc_id"), F.col(text).alias("text"))
-    return source.mapInArrow(run, "doc_id long, n long, f1 long, f2 long, registers binary")
+    source = docs.select(key_of(doc_id).alias("k"), tag_of(text).alias("tag"), F.col(text).alias("text"))
+    return source.mapInArrow(run, "k long, tag long, n long, f1 long, f2 long, registers binary")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -166,19 +179,21 @@ def _bands(classes: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, size: int, doc_id: str, text: str) -> DataFrame:
-    """(id, shingles, registers) of the documents with an id in `wanted`."""
+    """(id, shingles, registers) of the classes `wanted` (rep, k, tag, f1, f2, n), from a row of each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, offsets = K.string_parts(batch.column("text"))
             for i, j, r, o in K.chunks(raw, offsets):
                 owner, value = shingles(r, o, size)
-                edge = np.searchsorted(owner, np.arange(j - i + 1))
+                n = np.bincount(owner, minlength=j - i)
+                edge = np.append(0, np.cumsum(n)).tolist()
                 registers = sketch(owner, value, j - i)
-                yield pa.RecordBatch.from_arrays([batch.column("id").slice(i, j - i), pa.array([value[a:b].tobytes() for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)], pa.binary()), pa.array([x.tobytes() for x in registers], pa.binary())], names=["id", "shingles", "registers"])
+                yield pa.RecordBatch.from_arrays([pa.array(n.astype(np.int64)), *_prints(value, n), pa.array([value[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:], strict=True)], pa.binary()), pa.array([x.tobytes() for x in registers], pa.binary())], names=["n", "f1", "f2", "shingles", "registers"])
 
-    source = docs.select(key_of(doc_id, text).alias("id"), F.col(text).alias("text"))
-    return source.join(wanted, "id", "left_semi").mapInArrow(run, "id long, shingles binary, registers binary").dropDuplicates(["id"])
+    source = docs.select(key_of(doc_id).alias("k"), tag_of(text).alias("tag"), F.col(text).alias("text"))
+    made = source.join(wanted.select("k", "tag").distinct(), ["k", "tag"], "left_semi").select("text").mapInArrow(run, "n long, f1 long, f2 long, shingles binary, registers binary")
+    return made.join(wanted.select(F.col("rep").alias("id"), "f1", "f2", "n"), ["f1", "f2", "n"]).dropDuplicates(["id"]).select("id", "shingles", "registers")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -265,20 +280,23 @@ def _nonempty(run):
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of docs."""
     out = _labelled(docs, size, percent, doc_id, text, rounds)
-    real = lambda c: F.when(F.col(c) < NAMELESS, F.col(c))
-    return out.select(real("doc_id").alias("doc_id"), F.col("n").alias("n_shingles"), real("label").alias("component_id"), (F.col("doc_id") == F.col("label")).alias("kept"))
+    real = lambda c: F.when(F.col(c) < int(LAST), F.col(c))
+    kept = F.when(F.col("least") == int(LAST), F.col("tag") == F.col("least_tag")).otherwise(F.col("k") == F.col("least"))
+    return out.select(real("k").alias("doc_id"), F.col("n").alias("n_shingles"), real("least").alias("component_id"), kept.alias("kept"))
 
 
 def _labelled(docs: DataFrame, size: int, percent: int, doc_id: str, text: str, rounds: int = ROUNDS) -> DataFrame:
-    """(doc_id, n, label) of every row, with keys in place of null ids."""
+    """(k, tag, n, least, least_tag) of every row: its key, and the key and text of the least row of its component."""
     spark = docs.sparkSession
     rows, _ = materialise(sketches(docs, size, doc_id, text), "sketches")
-    classes = rows.where("n > 0").groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep"), F.first("registers").alias("registers"))
+    classes = rows.where("n > 0").groupBy("f1", "f2", "n").agg(F.min(F.struct("k", "tag")).alias("r"), F.first("registers").alias("registers"))
+    classes, _ = materialise(classes.select("f1", "f2", "n", "r.k", "r.tag", "registers", F.monotonically_increasing_id().alias("rep")), "sketch-classes")
     bands, p_bands = materialise(_bands(classes), "sketch-bands")
     shared = bands.groupBy("key").count().where("count > 1").select("key")
     bucket, p_bucket = materialise(bands.join(shared, "key", "left_semi"), "sketch-buckets")
     release(spark, p_bands)
-    sets, p_sets = materialise(_sets(docs, bucket.select(F.col("rep").alias("id")).distinct(), size, doc_id, text), "shingle-sets")
+    wanted = classes.select("rep", "k", "tag", "f1", "f2", "n").join(bucket.select("rep").distinct(), "rep", "left_semi")
+    sets, p_sets = materialise(_sets(docs, wanted, size, doc_id, text), "shingle-sets")
     fits = lambda a, b: F.least(a, b) * 100 >= F.greatest(a, b) * percent
     place = lambda labels: bucket.withColumn("label", F.col("rep")) if labels is None else bucket.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     labels, links, paths = None, None, []
@@ -306,14 +324,22 @@ def _labelled(docs: DataFrame, size: int, percent: int, doc_id: str, text: str,
     if found.limit(1).count():
         labels = components(found if links is None else links.unionByName(found))
     release(spark, p_bucket, p_sets, p_placed, p_left, p_found, *paths)
-    known = classes.select("f1", "f2", "n", "rep")
-    known = known.withColumn("label", F.col("rep")) if labels is None else known.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-    out = rows.select("doc_id", "n", "f1", "f2").join(known.select("f1", "f2", "n", "label"), ["f1", "f2", "n"], "left")
-    return out.select("doc_id", "n", F.coalesce("label", "doc_id").alias("label"))
+    known = classes.select("f1", "f2", "n", "k", "tag", "rep")
+    if labels is None:
+        known = known.select("f1", "f2", "n", F.col("k").alias("least"), F.col("tag").alias("least_tag"))
+    else:
+        known = known.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+        least = known.groupBy("label").agg(F.min(F.struct("k", "tag")).alias("least"))
+        known = known.join(least, "label").select("f1", "f2", "n", F.col("least.k").alias("least"), F.col("least.tag").alias("least_tag"))
+    out = rows.select("k", "tag", "n", "f1", "f2").join(known, ["f1", "f2", "n"], "left")
+    return out.select("k", "tag", "n", F.coalesce("least", "k").alias("least"), F.coalesce("least_tag", "tag").alias("least_tag"))
 
 
 def keep_one(docs: DataFrame, size: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs without the documents that are near-duplicates of one with a smaller doc_id. Of rows with one doc_id one stays."""
-    kept = _labelled(docs, size, percent, doc_id, text).where("doc_id = label").select(F.col("doc_id").alias("__key"))
-    keyed = docs.select("*", key_of(doc_id, text).alias("__key"))
-    return keyed.join(kept, "__key", "left_semi").dropDuplicates(["__key"]).select(*docs.columns)
+    """One row of each group of near-duplicates: that with the least doc_id, of equal ids that with the least hash of the
+    text, of rows that are equal in both that with the least hash of all columns. Other rows with a shared id stay."""
+    kept = _labelled(docs, size, percent, doc_id, text).select(F.col("least").alias("__k"), F.col("least_tag").alias("__tag")).distinct()
+    whole = F.struct(*docs.columns)
+    keyed = docs.select(whole.alias("__row"), key_of(doc_id).alias("__k"), tag_of(text).alias("__tag"))
+    one = keyed.join(kept, ["__k", "__tag"], "left_semi").groupBy("__k", "__tag").agg(F.min_by("__row", F.xxhash64("__row")).alias("__row"))
+    return one.select("__row.*")
