@@ -11,7 +11,8 @@ Sections are half-open byte ranges that partition the text. `lines` makes one of
 joins several columns and makes one of each, so that fields are counted in the context in which they are encoded.
 
 Defined results: a null or empty text has no tokens and one section, with 0 tokens. Rows are encoded one by one: repeated
-rows get equal results; memory is bounded by the longest text. Strings of special tokens count as ordinary text.
+rows get equal results; memory is bounded by the longest text. Strings of special tokens count as ordinary text. An empty
+table gives an empty result; columns named like an output are replaced. Fields are encoded as they are, U+0000 included.
 """
 
 from __future__ import annotations
@@ -104,36 +105,34 @@ def count_tokens(docs: DataFrame, keep: list[str], text: str = "text", path: str
     return docs.select(*keep, F.col(text).alias("__text")).mapInArrow(run, schema)
 
 
-def count_field_tokens(rows: DataFrame, keep: list[str], fields: list[str], separator: str = "\n", **how) -> DataFrame:
-    """count_tokens over the fields of a record, encoded together; null fields are empty.
+def count_field_tokens(rows: DataFrame, keep: list[str], fields: list[str], separator: str = "\n", path: str | None = None, pattern: str | None = None, rule: str = "start") -> DataFrame:
+    """count_tokens over the fields of a record, encoded together as they are; null fields are empty.
 
     A field's section takes the separator after it. The sections are the fields in order.
     """
-    cells = [F.coalesce(F.col(f).cast("string"), F.lit("")) for f in fields]
-    mark = "\x00"
-    joined = rows.select(*keep, F.concat_ws(mark, *[F.translate(c, mark, " ") for c in cells]).alias("__fields"))
-
-    def bounds(text: str) -> np.ndarray:
-        parts = text.split(mark)
-        return np.cumsum([len(p.encode()) + (len(separator.encode()) if i + 1 < len(parts) else 0) for i, p in enumerate(parts)])
-
-    path, pattern = how.pop("path", None), how.pop("pattern", None)
+    if rule not in RULES:
+        raise ValueError(f"rule is one of {RULES}")
     if path is None or pattern is None:
         path, pattern = vocabulary()
-    rule = how.pop("rule", "start")
+    keep = [c for c in keep if c not in ("n_tokens", "n_crossing", "section_tokens")]
+    cells = F.array(*[F.coalesce(F.col(f).cast("string"), F.lit("")) for f in fields])
     schema = rows.select(*keep).schema.add("n_tokens", "long").add("n_crossing", "long").add("section_tokens", T.ArrayType(T.DoubleType()))
+    gap = len(separator.encode())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding, size = encoder(path, pattern)
         for batch in batches:
-            n, crossing, counts = [], [], []
-            for cell in batch.column("__fields"):
-                value = cell.as_py()
-                ends = np.cumsum(size[np.asarray(encoding.encode_ordinary(value.replace(mark, separator)), np.int64)])
-                per, over = attribute(ends, bounds(value), rule)
-                n.append(len(ends))
-                crossing.append(over)
-                counts.append(per)
-            yield pa.RecordBatch.from_arrays([*batch.select(keep).columns, pa.array(n, pa.int64()), pa.array(crossing, pa.int64()), pa.array(counts, pa.list_(pa.float64()))], names=[*keep, "n_tokens", "n_crossing", "section_tokens"])
-
-    return joined.mapInArrow(run, schema)
+            for k in range(0, batch.num_rows, 500):
+                part = batch.slice(k, 500)
+                n, crossing, counts = [], [], []
+                for cell in part.column("__fields"):
+                    parts = cell.as_py()
+                    bounds = np.cumsum([len(p.encode()) + gap * (i + 1 < len(parts)) for i, p in enumerate(parts)])
+                    ends = np.cumsum(size[np.asarray(encoding.encode_ordinary(separator.join(parts)), np.int64)])
+                    per, over = attribute(ends, bounds, rule)
+                    n.append(len(ends))
+                    crossing.append(over)
+                    counts.append(per)
+                yield pa.RecordBatch.from_arrays([*part.select(keep).columns, pa.array(n, pa.int64()), pa.array(crossing, pa.int64()), pa.array(counts, pa.list_(pa.float64()))], names=[*keep, "n_tokens", "n_crossing", "section_tokens"])
+
+    return rows.select(*keep, cells.alias("__fields")).mapInArrow(run, schema)
