@@ -7,6 +7,8 @@ content alone, so they agree between tasks, executors and runs.
 
 from __future__ import annotations
 
+import sys
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +25,51 @@ WHITE = np.zeros(256, bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
 
 
+#: Classes of code points, as bits: letters, combining marks, capitals, digits, ends of sentences, and letters of scripts that
+#: are written without blanks between words.
+LETTER, MARK, UPPER, DIGIT, STOP, UNSPACED = 1, 2, 4, 8, 16, 32
+# Ends of sentences, and the blocks of scripts without blanks (Thai to Myanmar, Khmer, Kana to Han, Han beyond the first plane).
+STOPS = ".!?…。！？｡؟۔।॥።"
+UNSPACED_BLOCKS = ((0x0E00, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
+_CLASS: np.ndarray | None = None
+
+
+def classes() -> np.ndarray:
+    """The class bits of every code point; made once a process."""
+    global _CLASS
+    if _CLASS is None:
+        kinds = {"Lu": LETTER | UPPER, "Lt": LETTER | UPPER, "Ll": LETTER, "Lm": LETTER, "Lo": LETTER, "Mn": MARK, "Mc": MARK, "Me": MARK, "Nd": DIGIT}
+        made = np.fromiter((kinds.get(unicodedata.category(chr(c)), 0) for c in range(sys.maxunicode + 1)), np.uint8, sys.maxunicode + 1)
+        made[[ord(c) for c in STOPS]] |= STOP
+        for low, high in UNSPACED_BLOCKS:
+            part = made[low : high + 1]
+            part[(part & LETTER) > 0] |= UNSPACED
+        _CLASS = made
+    return _CLASS
+
+
+def code_points(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(where each code point of UTF-8 text begins, its class bits)."""
+    at = np.flatnonzero((raw & 0xC0) != 0x80)
+    first = raw[at].astype(np.int64)
+    value = first.copy()
+    wide = np.flatnonzero(first >= 0xC0)
+    if len(wide):
+        ahead = np.concatenate([raw, np.zeros(3, np.uint8)]).astype(np.int64) & 0x3F
+        lead, begin = first[wide], at[wide]
+        two = ((lead & 0x1F) << 6) | ahead[begin + 1]
+        three = ((lead & 0x0F) << 12) | (ahead[begin + 1] << 6) | ahead[begin + 2]
+        four = ((lead & 0x07) << 18) | (ahead[begin + 1] << 12) | (ahead[begin + 2] << 6) | ahead[begin + 3]
+        value[wide] = np.where(lead < 0xE0, two, np.where(lead < 0xF0, three, np.minimum(four, sys.maxunicode)))
+    return at, classes()[value]
+
+
+def byte_classes(raw: np.ndarray) -> np.ndarray:
+    """The class bits of the code point to which each byte belongs."""
+    at, bits = code_points(raw)
+    return np.repeat(bits, np.diff(np.append(at, len(raw)))) if len(at) else np.zeros(len(raw), np.uint8)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scramble of 64-bit values."""
     x = np.asarray(x, U)

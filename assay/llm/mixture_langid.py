@@ -1,6 +1,6 @@
 """Language identification as mixture inference (operator 8).
 
-Hashed 4-byte grams of lower-cased letters are counted per language over all labelled training rows; the counts are summed
+Words are runs of Unicode letters with their combining marks. Hashed 4-byte grams of lower-cased words are counted per language over all labelled training rows; the counts are summed
 by the cluster and bounded by (languages) * 2 ** BITS, whatever the corpus. A word's likelihood in a language is the product
 of its grams' smoothed probabilities. For each document expectation-maximisation estimates the proportion of its words in
 each language; then languages are given up one by one, weakest first, as long as the likelihood penalised by
@@ -9,7 +9,8 @@ proportion.
 
 Defined results: a null text or one without a letter is "und" with score 0, as is every text if nothing can be learned
 (no labelled row, empty table). A null doc_id is neither learned from nor held out. Ties go to the language first in code
-point order. Extra columns, `lang` and `source` are no inputs of a prediction.
+point order. Extra columns, `lang` and `source` are no inputs of a prediction; columns named like an output are replaced.
+Equal words of a text are one row of its mixture with their number as weight, so memory follows a text's different words.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .decontaminate import LETTER, lowered
+from .decontaminate import lowered
 
 BITS, GRAM = 16, 4
 SMOOTHING = 0.5
@@ -32,14 +33,20 @@ FULL_ROUNDS, SHORT_ROUNDS = 12, 5
 UNKNOWN = "und"
 
 
-def grams(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word number, hashed gram) of all grams of words padded by blanks, and the text number of each word.
-
-    A word is a run of letters here.
-    """
+def grams(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(word number, hashed gram) of all grams of the different words of each text, padded by blanks; the text number of each
+    word, and how often the text has it."""
     low = lowered(raw)
-    start, end = K.runs(LETTER[raw] | (raw >= 0x80), offsets)
+    bits = K.byte_classes(raw)
+    start, end = K.runs((bits & (K.LETTER | K.MARK)) > 0, offsets)
+    letters = np.flatnonzero(bits & K.LETTER)
+    full = np.searchsorted(letters, start) < np.searchsorted(letters, end)
+    start, end = start[full], end[full]
     doc = np.searchsorted(offsets, start, "right") - 1
+    key = K.mix(K.span_hashes(low, start, end) + doc.astype(K.U) * K.U(0x9E3779B97F4A7C15))
+    _, first, times = np.unique(key, return_index=True, return_counts=True)
+    by = np.argsort(first)
+    start, end, doc, times = start[first[by]], end[first[by]], doc[first[by]], times[by]
     # words laid out with two blanks before and one after them
     size = end - start
     at = np.cumsum(size + 3) - size - 1
@@ -51,8 +58,8 @@ def grams(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     hashed = ((code.astype(np.uint32) * np.uint32(2654435761)) >> np.uint32(32 - BITS)).astype(np.int64)
     # a word of s bytes has s grams: those that begin at its two blanks and at its bytes but the last two
     word = np.repeat(np.arange(len(size)), size)
-    first = np.repeat(at - 2 - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-    return word, hashed[first] if len(first) else np.zeros(0, np.int64), doc
+    begin = np.repeat(at - 2 - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+    return word, hashed[begin] if len(begin) else np.zeros(0, np.int64), doc, times
 
 
 def learnable(doc_id: str, parts: int, held: int) -> tuple[Column, Column]:
@@ -70,10 +77,11 @@ def gram_counts(rows: DataFrame, label: str, text: str) -> DataFrame:
             raw, offsets = K.string_parts(batch.column("text"))
             labels = np.array(batch.column("label").to_pylist(), object)
             for i, j, r, o in K.chunks(raw, offsets):
-                word, gram, doc = grams(r, o)
+                word, gram, doc, times = grams(r, o)
+                weight = times[word]
                 own = labels[i:j][doc[word]] if len(word) else np.zeros(0, object)
                 for name in set(labels[i:j]):
-                    total[name] = total.get(name, 0) + np.bincount(gram[own == name], minlength=1 << BITS)
+                    total[name] = total.get(name, 0) + np.bincount(gram[own == name], weight[own == name], minlength=1 << BITS)
         for name in sorted(total):
             at = np.flatnonzero(total[name])
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at), pa.array(total[name][at].astype(np.int64))], names=["label", "gram", "n"])
@@ -92,35 +100,38 @@ class GramModel:
         n, k = len(offsets) - 1, len(self.names)
         if not k:
             return [UNKNOWN] * n, np.zeros(n), np.zeros((n, 0))
-        word, gram, doc = grams(raw, offsets)
+        word, gram, doc, times = grams(raw, offsets)
         share = np.zeros((n, k))
         if len(word):
             edge = np.flatnonzero(np.diff(word, prepend=-1))
             like = np.add.reduceat(self.log_p[gram], edge, axis=0).astype(np.float64)
             like -= like.max(axis=1, keepdims=True)
-            share = mixtures(np.exp(like), doc, n)
+            share = mixtures(np.exp(like), doc, n, times)
         pick = share.argmax(axis=1)
         score = share.max(axis=1)
         lang = [self.names[p] if s > 0 else UNKNOWN for p, s in zip(pick.tolist(), score.tolist(), strict=True)]
         return lang, np.clip(score, 0, 1), share
 
 
-def mixtures(like: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
-    """Proportions of the languages for each of n texts, from the relative likelihoods of their words."""
+def mixtures(like: np.ndarray, doc: np.ndarray, n: int, times: np.ndarray | None = None) -> np.ndarray:
+    """Proportions of the languages for each of n texts, from the relative likelihoods of their words and how often they occur."""
     k = like.shape[1]
-    used, first, size = np.unique(doc, return_index=True, return_counts=True)
-    own = np.repeat(np.arange(len(used)), size)
+    times = np.ones(len(doc)) if times is None else times.astype(float)
+    used, first, rows = np.unique(doc, return_index=True, return_counts=True)
+    own = np.repeat(np.arange(len(used)), rows)
+    size = np.bincount(own, times)
 
     def climb(share: np.ndarray, rounds: int, take: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        rows = slice(None) if take is None else take[own]
-        data, sizes = like[rows], size if take is None else size[take]
-        begin = np.cumsum(sizes) - sizes
-        who = np.repeat(np.arange(len(sizes)), sizes)
+        some = slice(None) if take is None else take[own]
+        data, weight = like[some], times[some]
+        total, n_rows = (size, rows) if take is None else (size[take], rows[take])
+        begin = np.cumsum(n_rows) - n_rows
+        who = np.repeat(np.arange(len(n_rows)), n_rows)
         for _ in range(rounds):
             part = data * share[who]
-            part /= part.sum(axis=1, keepdims=True) + 1e-300
-            share = np.add.reduceat(part, begin, axis=0) / sizes[:, None]
-        value = np.add.reduceat(np.log((data * share[who]).sum(axis=1) + 1e-300), begin)
+            part *= (weight / (part.sum(axis=1) + 1e-300))[:, None]
+            share = np.add.reduceat(part, begin, axis=0) / total[:, None]
+        value = np.add.reduceat(weight * np.log((data * share[who]).sum(axis=1) + 1e-300), begin)
         return share, value
 
     share, value = climb(np.full((len(used), k), 1.0 / k), FULL_ROUNDS)
