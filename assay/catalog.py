@@ -11,11 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .functions import checks, fuzzy, missing, names, tags, text
-from .operators import cards, evaluations, factuality, resolve, retrieval
-from .plans import evidence, routing
+from .functions import artifacts, checks, fuzzy, missing, names, tags, text
+from .operators import cards, evaluations, factuality, reports, resolve, retrieval, suites
+from .plans import composition, evidence, routing
 from .providers import hashed_vectors, risks, support
 from .session import ship
+from .sources import files, hub, pages, papers
 from .streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,13 +88,7 @@ def _(spark, sf):
     return evaluations.roll_up(rows).select("bench", "n_scores", "num_models", F.array_join("folders", ",").alias("folders"), F.array_join("metrics", ",").alias("metrics"))
 
 
-@query("a5_suite_statistics", f"WITH {SCORES}, members AS (SELECT DISTINCT folder, bench FROM scores WHERE ord < 500) SELECT m.folder, count(DISTINCT s.model) AS num_models, (SELECT string_agg(x, ',' ORDER BY x) FROM (SELECT DISTINCT t.metric x FROM members n JOIN scores t USING (bench) WHERE n.folder = m.folder)) AS metrics, count(DISTINCT m.bench) AS members FROM members m JOIN scores s USING (bench) GROUP BY m.folder")
-def _(spark, sf):
-    s = scores(spark, sf)
-    return evaluations.suite_statistics(s, s.where("ord < 500").select("folder", "bench").distinct()).withColumn("metrics", F.array_join("metrics", ","))
-
-
-@query("a5_suite_statistics_whole")
+@query("a5_suite_statistics", f"WITH {SCORES}, members AS (SELECT DISTINCT folder, bench FROM scores) SELECT m.folder, count(DISTINCT s.model) AS num_models, (SELECT string_agg(x, ',' ORDER BY x) FROM (SELECT DISTINCT t.metric x FROM members n JOIN scores t USING (bench) WHERE n.folder = m.folder)) AS metrics, count(DISTINCT m.bench) AS members FROM members m JOIN scores s USING (bench) GROUP BY m.folder")
 def _(spark, sf):
     s = scores(spark, sf)
     return evaluations.suite_statistics(s, s.select("folder", "bench").distinct()).withColumn("metrics", F.array_join("metrics", ","))
@@ -104,19 +99,19 @@ def _(spark, sf):
     return evaluations.appears_in(scores(spark, sf).select("bench", "folder")).withColumn("suites", F.array_join("suites", ","))
 
 
-@query("p2_suite_filter", f"WITH {SCORES}, m AS (SELECT DISTINCT folder, bench FROM scores WHERE ord < 4) SELECT DISTINCT bench FROM scores WHERE lower(bench) IN ('click') OR bench IN (SELECT bench FROM m WHERE folder = 'f1')")
-def _(spark, sf):
-    s = scores(spark, sf)
-    return evaluations.filtered(s.select("bench", F.col("bench").alias("name")).distinct(), s.where("ord < 4").select("folder", "bench").distinct(), ["click", "F1"]).select("bench")
-
-
-@query("p2_suite_filter_whole")
+@query("p2_suite_filter", "WITH b AS (SELECT DISTINCT p_brand || ' ' || p_size AS bench, p_brand AS folder FROM part) SELECT DISTINCT bench FROM b WHERE lower(bench) = lower('brand#11 7') OR folder = 'Brand#22'")
 def _(spark, sf):
-    s = scores(spark, sf)
-    return evaluations.filtered(s.select("bench", F.col("bench").alias("name")).distinct(), s.select("folder", "bench").distinct(), ["click", "F1"]).select("bench")
+    b = read(spark, sf, "part").select(F.concat("p_brand", F.lit(" "), "p_size").alias("bench"), F.col("p_brand").alias("folder")).distinct()
+    return evaluations.filtered(b.select("bench", F.col("bench").alias("name")), b.select("folder", "bench"), ["brand#11 7", "BRAND#22"]).select("bench")
 
 
-@query("t33_baseline_sentence")
+@query(
+    "t33_baseline_sentence",
+    f"""WITH {SCORES}, stats AS (SELECT bench, metric, count(*) n, round(avg(score), 4) mean, round(coalesce(stddev_samp(score), 0), 4) sd, min(ord) fo FROM scores GROUP BY 1, 2),
+ pick AS (SELECT *, row_number() OVER (PARTITION BY bench ORDER BY n DESC, fo) r FROM stats),
+ lead AS (SELECT *, row_number() OVER (PARTITION BY bench, metric ORDER BY score DESC, ord) rank FROM scores)
+ SELECT p.bench, printf('Based on %d model evaluations: mean %s = %.4f (std = %.4f). Top performers: ', p.n, p.metric, p.mean, p.sd) || (SELECT string_agg(l.model || printf(' (%.4f)', l.score), ', ' ORDER BY rank) FROM lead l WHERE l.bench = p.bench AND l.metric = p.metric AND rank <= 3) || '.' AS sentence FROM pick p WHERE r = 1""",
+)
 def _(spark, sf):
     return evaluations.baseline_sentence(evaluations.summary(scores(spark, sf)))
 
@@ -166,19 +161,13 @@ def _(spark, sf):
     return read(spark, sf, "documents").select("doc_id", F.size(text.tokens("text")).cast("long").alias("n_tokens"), F.size(F.array_distinct(text.tokens("text"))).cast("long").alias("n_distinct"))
 
 
-TAGGED = "'language:' || lang || ' format: csv task_ids: qa ' || substr(text, 1, 40)"
+TAGGED = "'language:' || lang || ' format: csv task_ids: qa ' || text"
 
 
-@query("t6_expand_tags", f"SELECT doc_id, replace(replace(replace(replace(replace(replace({TAGGED}, 'language:en ', 'language: English '), 'language:de ', 'language: German '), 'language:fr ', 'language: French '), 'language:es ', 'language: Spanish '), 'format: csv', 'data format: CSV'), 'task_ids: ', 'task: ') AS words FROM documents")
-def _(spark, sf):
-    line = F.concat(F.lit("language:"), "lang", F.lit(" format: csv task_ids: qa "), F.substring("text", 1, 40))
-    return read(spark, sf, "documents").select("doc_id", text.expand_tags(line).alias("words"))
-
-
-@query("t6_expand_tags_whole")
+@query("t6_expand_tags", f"SELECT doc_id, md5(replace(replace(replace(replace(replace(replace({TAGGED}, 'language:en format', 'language: English format'), 'language:de format', 'language: German format'), 'language:fr format', 'language: French format'), 'language:es format', 'language: Spanish format'), 'format: csv task_ids', 'data format: CSV task_ids'), 'task_ids: qa', 'task: qa')) AS words FROM documents")
 def _(spark, sf):
     line = F.concat(F.lit("language:"), "lang", F.lit(" format: csv task_ids: qa "), "text")
-    return read(spark, sf, "documents").select("doc_id", text.expand_tags(line).alias("words"))
+    return read(spark, sf, "documents").select("doc_id", F.md5(text.expand_tags(line)).alias("words"))
 
 
 @query("t7_strip_references")
@@ -226,20 +215,32 @@ def _(spark, sf):
     return read(spark, sf, "benchmark").select("item_id", text.best_paper_url(F.when(k == 0, F.concat(F.lit("a"), "item_id")), F.when(k < 2, F.concat(F.lit("10.1/"), "item_id")), F.concat(F.lit("https://x.org/"), "item_id")).alias("best"))
 
 
-@query("t10_tag_fields", "SELECT l_orderkey, l_linenumber, 'English, German' AS languages, 'MIT License' AS license, '1K to 10K examples' AS size, 'Question answering' AS tasks, 'text' AS data_type FROM lineitem WHERE l_orderkey <= 200")
-def _(spark, sf):
-    return line_tags(read(spark, sf, "lineitem").where("l_orderkey <= 200"))
+LINE_TAGS = "['language:' || ['en', 'de', 'xx'][l_linenumber % 3 + 1], 'language:' || ['fr', 'de'][l_suppkey % 2 + 1], 'license:other', 'license:' || ['mit', 'own', 'unknown'][l_orderkey % 3 + 1], 'size_categories:' || ['n<1K', '1K<n<10K', 'odd'][l_partkey % 3 + 1], 'task_ids:question-answering', 'task_categories:' || ['a_b', 'question-answering'][l_linenumber % 2 + 1], 'modality:' || ['Text', 'image'][l_suppkey % 2 + 1], 'broken']"
 
 
-@query("t10_tag_fields_whole")
+@query(
+    "t10_tag_fields",
+    f"""WITH l AS (SELECT *, row_number() OVER () AS rid FROM lineitem), t AS (SELECT rid, l_orderkey, l_linenumber, unnest({LINE_TAGS}) AS tag, unnest(range(9)) AS i FROM l), p AS (SELECT rid, l_orderkey, l_linenumber, split_part(tag, ':', 1) AS k, substr(tag, instr(tag, ':') + 1) AS v, i FROM t WHERE contains(tag, ':')),
+ v AS (SELECT *, CASE k WHEN 'language' THEN CASE v WHEN 'en' THEN 'English' WHEN 'de' THEN 'German' WHEN 'fr' THEN 'French' ELSE v END WHEN 'license' THEN CASE v WHEN 'mit' THEN 'MIT License' ELSE v END WHEN 'size_categories' THEN CASE v WHEN 'n<1K' THEN 'Less than 1K examples' WHEN '1K<n<10K' THEN '1K to 10K examples' ELSE v END ELSE v END AS w FROM p)
+ SELECT l_orderkey, l_linenumber, string_agg(DISTINCT w, ', ' ORDER BY w) FILTER (k = 'language') AS languages, arg_max(w, i) FILTER (k = 'license' AND v NOT IN ('other', 'unknown')) AS license, arg_max(w, i) FILTER (k = 'size_categories') AS size, string_agg(DISTINCT upper(replace(replace(v, '-', ' '), '_', ' ')[1]) || substr(replace(replace(v, '-', ' '), '_', ' '), 2), ', ' ORDER BY upper(replace(replace(v, '-', ' '), '_', ' ')[1]) || substr(replace(replace(v, '-', ' '), '_', ' '), 2)) FILTER (k IN ('task_ids', 'task_categories')) AS tasks, lower(string_agg(v, ', ') FILTER (k = 'modality')) AS data_type FROM v GROUP BY rid, l_orderkey, l_linenumber""",
+)
 def _(spark, sf):
-    return line_tags(read(spark, sf, "lineitem"))
+    at = lambda values, c, n: F.get(F.array(*map(F.lit, values)), (F.col(c) % n).cast("int"))
+    tag = lambda k, v: F.concat(F.lit(f"{k}:"), v)
+    made = F.array(tag("language", at(["en", "de", "xx"], "l_linenumber", 3)), tag("language", at(["fr", "de"], "l_suppkey", 2)), F.lit("license:other"), tag("license", at(["mit", "own", "unknown"], "l_orderkey", 3)), tag("size_categories", at(["n<1K", "1K<n<10K", "odd"], "l_partkey", 3)), F.lit("task_ids:question-answering"), tag("task_categories", at(["a_b", "question-answering"], "l_linenumber", 2)), tag("modality", at(["Text", "image"], "l_suppkey", 2)), F.lit("broken"))
+    rows = read(spark, sf, "lineitem").select(F.struct("l_orderkey", "l_linenumber").alias("k"), made.alias("tags"))
+    out = tags.tag_fields(rows, "k")
+    return out.select("k.l_orderkey", "k.l_linenumber", F.array_join("languages", ", ").alias("languages"), "license", "size", F.array_join("tasks", ", ").alias("tasks"), "data_type")
 
 
-def line_tags(lines: DataFrame) -> DataFrame:
-    rows = lines.select("l_orderkey", "l_linenumber", F.array(*map(F.lit, ["language:en", "language:de", "license:other", "license:mit", "size_categories:1K<n<10K", "task_ids:question-answering", "modality:text", "broken"])).alias("tags"))
-    out = tags.tag_fields(rows.withColumn("k", F.struct("l_orderkey", "l_linenumber")), "k")
-    return out.select("k.l_orderkey", "k.l_linenumber", F.array_join("languages", ", ").alias("languages"), "license", "size", F.array_join("tasks", ", ").alias("tasks"), "data_type")
+@query("t11_first_tags", "SELECT l_orderkey, l_linenumber, ['en', 'de', 'xx'][l_linenumber % 3 + 1] || ',' || ['fr', 'de'][l_suppkey % 2 + 1] AS codes, 'other' AS license, ['n<1K', '1K<n<10K', 'odd'][l_partkey % 3 + 1] AS size FROM lineitem")
+def _(spark, sf):
+    at = lambda values, c, n: F.get(F.array(*map(F.lit, values)), (F.col(c) % n).cast("int"))
+    tag = lambda k, v: F.concat(F.lit(f"{k}:"), v)
+    rows = read(spark, sf, "lineitem").select(F.struct("l_orderkey", "l_linenumber").alias("k"), F.array(tag("language", at(["en", "de", "xx"], "l_linenumber", 3)), tag("language", at(["fr", "de"], "l_suppkey", 2)), F.lit("license:other"), F.lit("license:mit"), tag("size_categories", at(["n<1K", "1K<n<10K", "odd"], "l_partkey", 3)), F.lit("size_categories:last")).alias("tags"))
+    back = F.create_map(*[F.lit(x) for code, name in tags.LANGUAGES.items() for x in (name, code)])
+    out = tags.first_tag_facts(rows, "k")
+    return out.select("k.l_orderkey", "k.l_linenumber", F.array_join(F.transform("languages", lambda v: F.coalesce(F.element_at(back, v), v)), ",").alias("codes"), F.col("data_licensing").alias("license"), F.col("size_category").alias("size"))
 
 
 @query("t38_description", "SELECT doc_id, substr(regexp_replace(split_part(regexp_replace(text, '^\\s+|\\s+$', '', 'g'), chr(10), 1), '^\\s+|\\s+$', '', 'g'), 1, 280) AS d FROM documents")
@@ -252,7 +253,7 @@ def _(spark, sf):
     return read(spark, sf, "documents").select("doc_id", F.md5("text").alias("key"))
 
 
-@query("t24_abstract")
+@query("t24_abstract", "SELECT item_id, md5(array_to_string(regexp_split_to_array(text, '\\s+'), ' ')) AS md5 FROM benchmark")
 def _(spark, sf):
     words = read(spark, sf, "benchmark").select("item_id", F.posexplode(F.split("text", r"\s+")).alias("p", "w")).groupBy("item_id", "w").agg(F.collect_list("p").alias("ps")).groupBy("item_id").agg(F.map_from_entries(F.collect_list(F.struct("w", "ps"))).alias("i"))
     return words.select("item_id", F.md5(text.abstract_from_index("i")).alias("md5"))
@@ -264,30 +265,26 @@ def _(spark, sf):
     return read(spark, sf, "benchmark").select("item_id", F.aggregate(text.json_array(text.strip_thinking(raw)), F.lit(0.0), lambda a, b: a + b).alias("total"))
 
 
-@query("p3_missing", "SELECT s_suppkey, CASE s_suppkey % 4 WHEN 0 THEN true WHEN 1 THEN true WHEN 2 THEN true ELSE false END AS missing FROM supplier")
-def _(spark, sf):
-    k = F.col("s_suppkey") % 4
-    v = F.when(k == 0, " Not Specified. ").when(k == 1, "no information found").when(k == 3, F.col("s_name"))
-    return read(spark, sf, "supplier").select("s_suppkey", missing.is_missing(v).alias("missing"))
+MAYBE = "CASE s_suppkey % 6 WHEN 0 THEN ' Not Specified. ' WHEN 1 THEN chr(9) || 'no information found' || chr(10) WHEN 2 THEN NULL WHEN 3 THEN s_name WHEN 4 THEN 'not specified, ' || s_name ELSE '' END"
 
 
-@query("w5_carried_heading", "SELECT conv_id, turn, last_value(CASE WHEN role = 'user' THEN regexp_replace(substr(text, 1, 30), '^\\s+|\\s+$', '', 'g') END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS heading FROM conversations")
+@query("p3_missing", f"SELECT s_suppkey, coalesce(lower(regexp_replace({MAYBE}, '^\\s+|\\s+$', '', 'g')) IN ('not specified', 'not specified.', 'no information found', 'no information found.'), false) AS missing, coalesce(lower(regexp_replace({MAYBE}, '^\\s+|\\s+$', '', 'g')) IN ('not specified', 'not specified.', 'no information found', ''), false) AS overridable FROM supplier")
 def _(spark, sf):
-    lines = read(spark, sf, "conversations").withColumn("line", F.when(F.col("role") == "user", F.concat(F.lit("## "), F.substring("text", 1, 30))).otherwise(F.col("text")))
-    return cards.carried_heading(lines, "conv_id", "turn").select("conv_id", "turn", F.when(F.col("heading").isNotNull(), F.col("heading")).alias("heading"))
+    k = F.col("s_suppkey") % 6
+    v = F.when(k == 0, " Not Specified. ").when(k == 1, "\tno information found\n").when(k == 3, F.col("s_name")).when(k == 4, F.concat(F.lit("not specified, "), "s_name")).when(k == 5, "")
+    return read(spark, sf, "supplier").select("s_suppkey", missing.is_missing(v).alias("missing"), missing.is_missing(v, "override").alias("overridable"))
 
 
-@query("w5_carried_heading_whole")
+@query("w5_carried_heading", "SELECT conv_id, turn, last_value(CASE WHEN role = 'user' THEN regexp_replace(text, '^\\s+|\\s+$', '', 'g') END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS heading FROM conversations")
 def _(spark, sf):
-    lines = read(spark, sf, "conversations").withColumn("line", F.when(F.col("role") == "user", F.concat(F.lit("## "), "text")).otherwise(F.col("text")))
+    lines = read(spark, sf, "conversations").withColumn("line", F.when(F.col("role") == "user", F.concat(F.lit("## "), "text")).otherwise(F.concat(F.lit("- "), "text")))
     return cards.carried_heading(lines, "conv_id", "turn").select("conv_id", "turn", "heading")
 
 
 @query("w4_neighbours", "SELECT conv_id, turn FROM (SELECT conv_id, turn, max(CASE WHEN contains(lower(text), 'er') AND role = 'system' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS near FROM conversations) WHERE near = 1")
 def _(spark, sf):
     hit = (F.lower("text").contains("er") & (F.col("role") == "system")).cast("int")
-    near = F.max(hit).over(Window.partitionBy("conv_id").orderBy("turn").rowsBetween(-1, 1))
-    return read(spark, sf, "conversations").withColumn("near", near).where("near = 1").select("conv_id", "turn")
+    return reports.near_hits(read(spark, sf, "conversations"), "conv_id", "turn", hit).select("conv_id", "turn")
 
 
 # ---------------------------------------------------------------- retrieval
@@ -344,7 +341,7 @@ def _(spark, sf):
 @query("w3_first_of_equals", "SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY md5(text) ORDER BY doc_id) r FROM documents) WHERE r = 1")
 def _(spark, sf):
     d = read(spark, sf, "documents").select("doc_id", F.md5("text").alias("h"))
-    return d.groupBy("h").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
+    return reports.first_of_equals(d, F.col("h"), "doc_id").select("doc_id")
 
 
 @query("u1_fuse", "WITH c AS (SELECT source q, md5(text) h, doc_id, doc_id % 3 prio FROM documents), f AS (SELECT *, row_number() OVER (PARTITION BY q, h ORDER BY prio, doc_id) r FROM c), p AS (SELECT q, doc_id, row_number() OVER (PARTITION BY q ORDER BY prio, doc_id) AS place FROM f WHERE r = 1) SELECT q, doc_id, place FROM p WHERE place <= 20")
@@ -355,7 +352,7 @@ def _(spark, sf):
 
 @query("f8_grade")
 def _(spark, sf):
-    d = read(spark, sf, "conversations").select("conv_id", "turn", "text").where("turn < 20")
+    d = read(spark, sf, "conversations").select("conv_id", "turn", "text")
     return retrieval.grade(d, "conv_id", "turn").select("conv_id", "turn")
 
 
@@ -417,16 +414,17 @@ def _(spark, sf):
     return factuality.match(atoms(spark, sf).drop("p_true"), marginals).select("atom_id", "p_true")
 
 
-@query("j2_match_compat", "SELECT a.atom_id, (SELECT v.p FROM (SELECT 'v' || doc_id || '_x' AS name, CAST(toxic AS DOUBLE) p, doc_id o FROM labels) v WHERE contains(v.name, a.atom_id) ORDER BY o LIMIT 1) AS p_true FROM (SELECT 'v' || item_id AS atom_id FROM benchmark) a")
+@query("j2_match_compat", "SELECT a.atom_id, (SELECT v.p FROM (SELECT 'v' || doc_id // 2 || '_x' AS name, arg_max(CAST(toxic AS DOUBLE) + quality / 4.0, doc_id) p, min(doc_id) o FROM labels GROUP BY 1) v WHERE contains(v.name, a.atom_id) ORDER BY o LIMIT 1) AS p_true FROM (SELECT 'v' || item_id // 2 AS atom_id FROM benchmark) a")
 def _(spark, sf):
-    marginals = read(spark, sf, "labels").select(F.concat(F.lit("v"), "doc_id", F.lit("_x")).alias("variable"), F.col("toxic").cast("double").alias("p_true"), F.col("doc_id").alias("ord"))
-    a = read(spark, sf, "benchmark").select(F.concat(F.lit("v"), "item_id").alias("atom_id"), "text", F.lit("data.size").alias("field"))
+    half = lambda c: F.floor(F.col(c) / 2)
+    marginals = read(spark, sf, "labels").select(F.concat(F.lit("v"), half("doc_id"), F.lit("_x")).alias("variable"), (F.col("toxic") + F.col("quality") / 4.0).alias("p_true"), F.col("doc_id").alias("ord"))
+    a = read(spark, sf, "benchmark").select(F.concat(F.lit("v"), half("item_id")).alias("atom_id"), "text", F.lit("data.size").alias("field"))
     return factuality.match(a, marginals, "compat").select("atom_id", "p_true")
 
 
 @query("a12_flag_counters", f"WITH {ATOMS} SELECT count(*) FILTER (p_true < 0.3) AS low, count(*) FILTER (p_true < 0.3 OR p_true = 0.5) AS low_or_neutral FROM atoms")
 def _(spark, sf):
-    return atoms(spark, sf).agg(F.count_if(F.col("p_true") < 0.3).alias("low"), F.count_if((F.col("p_true") < 0.3) | (F.col("p_true") == 0.5)).alias("low_or_neutral"))
+    return reports.flag_counters(atoms(spark, sf))
 
 
 # ---------------------------------------------------------------- cards
@@ -446,11 +444,11 @@ def _(spark, sf):
     return cards.merge_facts(f, ["card_id", "section", "field"])
 
 
-@query("c2_override", "SELECT s_suppkey AS card_id, CASE WHEN s_suppkey % 3 = 0 AND (s_suppkey % 2 = 0 OR s_suppkey % 4 IN (0, 2)) THEN 'new' WHEN s_suppkey % 4 = 0 THEN 'Not specified' WHEN s_suppkey % 4 = 1 THEN s_name || '|' || s_name WHEN s_suppkey % 4 = 2 THEN '' ELSE NULL END AS value FROM supplier WHERE s_suppkey % 4 <> 3")
+@query("c2_override", "SELECT s_suppkey AS card_id, CASE WHEN s_suppkey % 3 = 0 AND (s_suppkey % 2 = 0 OR s_suppkey % 4 IN (0, 2)) THEN 'new' WHEN s_suppkey % 4 = 0 THEN 'Not specified' WHEN s_suppkey % 4 = 1 THEN s_name || '|' || s_name WHEN s_suppkey % 4 = 2 THEN '' ELSE CAST(s_acctbal AS VARCHAR) END AS value FROM supplier")
 def _(spark, sf):
     c = card(spark, sf)
     values = c.where("card_id % 3 = 0").select("card_id", "section", "field", F.array(F.lit("new")).alias("value"))
-    return cards.override(c, values).where("card_id % 4 <> 3").select("card_id", F.array_join("value", "|").alias("value"))
+    return cards.override(c, values).select("card_id", F.array_join("value", "|").alias("value"))
 
 
 @query("t27_missing_paths", "SELECT s_suppkey AS card_id, 'benchmark_details.languages' AS path FROM supplier WHERE s_suppkey % 4 IN (0, 2)")
@@ -458,9 +456,9 @@ def _(spark, sf):
     return cards.missing_paths(card(spark, sf))
 
 
-@query("t28_normalize", "SELECT s_suppkey AS card_id, CASE WHEN s_suppkey % 4 IN (0, 2) THEN 'Not specified' ELSE s_name || '|' || s_name END AS value FROM supplier WHERE s_suppkey % 4 <> 3")
+@query("t28_normalize", "SELECT s_suppkey AS card_id, CASE WHEN s_suppkey % 4 IN (0, 2) THEN 'Not specified' WHEN s_suppkey % 4 = 1 THEN s_name || '|' || s_name ELSE CAST(s_acctbal AS VARCHAR) END AS value FROM supplier")
 def _(spark, sf):
-    return cards.normalize(card(spark, sf)).where("card_id % 4 <> 3").select("card_id", F.array_join("value", "|").alias("value"))
+    return cards.normalize(card(spark, sf)).select("card_id", F.array_join("value", "|").alias("value"))
 
 
 @query("t16_t17_statements", "SELECT item_id, CASE item_id % 3 WHEN 0 THEN 'data.size' WHEN 1 THEN 'methodology.interpretation' ELSE 'purpose_and_intended_users.goal' END AS field, 'accuracy of ' || item_id AS text FROM benchmark")
@@ -471,10 +469,10 @@ def _(spark, sf):
     return cards.statements(read(spark, sf, "benchmark").select("item_id", line.alias("t")), "item_id", valid, "t").select("item_id", "field", "text")
 
 
-@query("a18_confidence", "SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 AND (c_custkey % 3 = 0 OR c_custkey % 5 = 0) THEN 'high' WHEN c_custkey % 2 = 0 OR c_custkey % 3 = 0 THEN 'medium' ELSE 'low' END AS confidence FROM customer")
+@query("a18_confidence", "WITH c AS (SELECT c_custkey, c_custkey % 2 = 0 paper, c_custkey % 3 = 0 readme, c_custkey % 5 = 0 scores, c_custkey % 7 = 0 html, c_nationkey % 4 = 0 meta FROM customer) SELECT c_custkey, CASE WHEN paper AND (readme OR meta OR html) THEN 'high' WHEN paper OR (readme AND scores) OR (html AND scores) THEN 'medium' ELSE 'low' END AS confidence FROM c")
 def _(spark, sf):
     by = lambda n: F.col("c_custkey") % n == 0
-    return read(spark, sf, "customer").select("c_custkey", cards.confidence(by(2), by(3), by(5), F.lit(False)).alias("confidence"))
+    return read(spark, sf, "customer").select("c_custkey", cards.confidence(by(2), by(3), by(5), by(7), F.col("c_nationkey") % 4 == 0).alias("confidence"))
 
 
 # ---------------------------------------------------------------- resolution, routing, incremental
@@ -505,23 +503,20 @@ def _(spark, sf):
     return resolve.not_done(c, done).select("c_custkey")
 
 
-@query("j10_new_items", "SELECT DISTINCT o_custkey AS c_custkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey <= 1000)")
+@query("j10_new_items", "SELECT DISTINCT o_custkey AS c_custkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING')")
 def _(spark, sf):
-    return resolve.new_items(read(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey")), read(spark, sf, "customer").where("c_custkey <= 1000"), "c_custkey")
+    return resolve.new_items(read(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey")), read(spark, sf, "customer").where("c_mktsegment <> 'BUILDING'"), "c_custkey")
 
 
-@query("r5_closure", "WITH RECURSIVE e AS (SELECT DISTINCT o_custkey AS src, (o_custkey * 7 + 3) % 1500 AS dst FROM orders), c(root, node, depth) AS (SELECT c_custkey, c_custkey, 0 FROM customer WHERE c_custkey <= 20 UNION SELECT root, dst, depth + 1 FROM c JOIN e ON c.node = e.src WHERE depth < 6) SELECT root, node, min(depth) AS depth FROM c GROUP BY root, node")
+@query("r5_closure", "WITH RECURSIVE n AS (SELECT c_custkey k FROM customer UNION SELECT o_custkey FROM orders), e AS (SELECT k AS src, k // 2 AS dst FROM n UNION SELECT k, k // 3 FROM n), c(root, node, depth) AS (SELECT c_custkey, c_custkey, 0 FROM customer UNION SELECT root, dst, depth + 1 FROM c JOIN e ON c.node = e.src WHERE c.node > 0) SELECT root, node, min(depth) AS depth FROM c GROUP BY root, node")
 def _(spark, sf):
-    return resolve.closure(order_edges(spark, sf), read(spark, sf, "customer").where("c_custkey <= 20").select(F.col("c_custkey").cast("long").alias("root")), 6)
+    return resolve.closure(key_edges(spark, sf), read(spark, sf, "customer").select(F.col("c_custkey").cast("long").alias("root")))
 
 
-@query("r5_closure_whole")
-def _(spark, sf):
-    return resolve.closure(order_edges(spark, sf), read(spark, sf, "customer").select(F.col("c_custkey").cast("long").alias("root")))
-
-
-def order_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "orders").select(F.col("o_custkey").cast("long").alias("src"), ((F.col("o_custkey").cast("long") * 7 + 3) % 1500).alias("dst")).distinct()
+def key_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every key refers to its half and its third: a graph in which most nodes are reached in several ways."""
+    keys = read(spark, sf_dir, "customer").select(F.col("c_custkey").cast("long").alias("src")).union(read(spark, sf_dir, "orders").select(F.col("o_custkey").cast("long"))).distinct()
+    return keys.select("src", F.explode(F.array(F.floor(F.col("src") / 2), F.floor(F.col("src") / 3))).alias("dst"))
 
 
 @query("f13_tiers", "SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'given' WHEN page_id % 3 = 0 THEN 'readme' ELSE 'search' END AS resolved_from FROM pages")
@@ -545,23 +540,74 @@ def _(spark, sf):
 
 @query("a14_histogram", "SELECT o_orderpriority AS reason, count(*) AS n FROM orders WHERE o_orderstatus = 'F' GROUP BY 1")
 def _(spark, sf):
-    return read(spark, sf, "orders").where("o_orderstatus = 'F'").groupBy(F.col("o_orderpriority").alias("reason")).agg(F.count("*").alias("n"))
+    return reports.histogram(read(spark, sf, "orders").where("o_orderstatus = 'F'"), "o_orderpriority")
 
 
 @query("a15_success_rate", "SELECT o_orderpriority, round(count(*) FILTER (o_orderstatus = 'O') * 100.0 / count(*) FILTER (o_orderstatus IN ('O', 'F')), 1) AS rate FROM orders GROUP BY 1")
 def _(spark, sf):
-    done, lost = F.count_if(F.col("o_orderstatus") == "O"), F.count_if(F.col("o_orderstatus") == "F")
-    return read(spark, sf, "orders").groupBy("o_orderpriority").agg(F.round(F.coalesce(F.try_divide(done, done + lost) * 100, F.lit(0.0)), 1).alias("rate"))
+    return read(spark, sf, "orders").groupBy("o_orderpriority").agg(reports.success_rate(F.col("o_orderstatus") == "O", F.col("o_orderstatus") == "F").alias("rate"))
 
 
 @query("s11_latest", "SELECT o_custkey, max(o_orderkey) AS o_orderkey FROM orders GROUP BY 1")
 def _(spark, sf):
-    return read(spark, sf, "orders").groupBy("o_custkey").agg(F.max("o_orderkey").alias("o_orderkey"))
+    return files.latest(read(spark, sf, "orders").select("o_custkey", "o_orderkey"), "o_custkey", "o_orderkey")
 
 
 @query("q5_history", "SELECT event_id FROM events ORDER BY ts DESC, event_id DESC LIMIT 50")
 def _(spark, sf):
-    return read(spark, sf, "events").orderBy(F.desc("ts"), F.desc("event_id")).limit(50).select("event_id")
+    return reports.recent(read(spark, sf, "events"), [F.desc("ts"), F.desc("event_id")], incremental.HISTORY).select("event_id")
+
+
+# ---------------------------------------------------------------- further forms over whole tables
+
+
+@query("a5_suite_statistics_whole")
+def _(spark, sf):
+    s = scores(spark, sf)
+    return evaluations.suite_statistics(s, s.select("folder", "bench").distinct()).withColumn("metrics", F.array_join("metrics", ","))
+
+
+@query("p2_suite_filter_whole")
+def _(spark, sf):
+    s = scores(spark, sf)
+    return evaluations.filtered(s.select("bench", F.col("bench").alias("name")).distinct(), s.select("folder", "bench").distinct(), ["click", "F1"]).select("bench")
+
+
+@query("t6_expand_tags_whole")
+def _(spark, sf):
+    line = F.concat(F.lit("language:"), "lang", F.lit(" format: csv task_ids: qa "), "text")
+    return read(spark, sf, "documents").select("doc_id", text.expand_tags(line).alias("words"))
+
+
+@query("t10_tag_fields_whole")
+def _(spark, sf):
+    return line_tags(read(spark, sf, "lineitem"))
+
+
+@query("w5_carried_heading_whole")
+def _(spark, sf):
+    lines = read(spark, sf, "conversations").withColumn("line", F.when(F.col("role") == "user", F.concat(F.lit("## "), "text")).otherwise(F.col("text")))
+    return cards.carried_heading(lines, "conv_id", "turn").select("conv_id", "turn", "heading")
+
+
+@query("r5_closure_whole")
+def _(spark, sf):
+    return resolve.closure(order_edges(spark, sf), read(spark, sf, "customer").select(F.col("c_custkey").cast("long").alias("root")))
+
+
+@query("j5_exact_then_suffix_whole")
+def _(spark, sf):
+    return nation_repositories(read(spark, sf, "nation"))
+
+
+def line_tags(lines: DataFrame) -> DataFrame:
+    rows = lines.select("l_orderkey", "l_linenumber", F.array(*map(F.lit, ["language:en", "language:de", "license:other", "license:mit", "size_categories:1K<n<10K", "task_ids:question-answering", "modality:text", "broken"])).alias("tags"))
+    out = tags.tag_fields(rows.withColumn("k", F.struct("l_orderkey", "l_linenumber")), "k")
+    return out.select("k.l_orderkey", "k.l_linenumber", F.array_join("languages", ", ").alias("languages"), "license", "size", F.array_join("tasks", ", ").alias("tasks"), "data_type")
+
+
+def order_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "orders").select(F.col("o_custkey").cast("long").alias("src"), ((F.col("o_custkey").cast("long") * 7 + 3) % 1500).alias("dst")).distinct()
 
 
 # ---------------------------------------------------------------- checks, queries, evidence
@@ -591,21 +637,46 @@ def _(spark, sf):
     return read(spark, sf, "nation").where(~F.lower(name).isin(*resolve.AGGREGATES)).select("n_nationkey")
 
 
-@query("t26_search_queries", "SELECT n_nationkey, 'helm_set-v2|A title|helm set-v2|helm_set|set-v2' AS queries FROM nation")
+SUITE = "(SELECT p_partkey, p_name, CASE p_size % 4 WHEN 0 THEN 'helm_' WHEN 1 THEN 'hf_' ELSE '' END || CASE p_size % 3 WHEN 0 THEN replace(p_name, ' ', '_') ELSE split_part(p_name, ' ', 1) END || CASE p_size % 5 WHEN 0 THEN '_v2.1' WHEN 1 THEN ' 3' ELSE '' END AS suite, CASE p_size % 7 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE p_type END AS full_name, CASE p_size % 2 WHEN 0 THEN p_brand ELSE '' END AS title FROM part)"
+
+
+def suite_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size = F.col("p_size")
+    suite = F.concat(F.when(size % 4 == 0, "helm_").when(size % 4 == 1, "hf_").otherwise(""), F.when(size % 3 == 0, F.translate("p_name", " ", "_")).otherwise(F.split_part("p_name", F.lit(" "), F.lit(1))), F.when(size % 5 == 0, "_v2.1").when(size % 5 == 1, " 3").otherwise(""))
+    return read(spark, sf_dir, "part").select("p_partkey", suite.alias("suite"), F.when(size % 7 == 1, "").when(size % 7 > 1, F.col("p_type")).alias("full_name"), F.when(size % 2 == 0, F.col("p_brand")).otherwise("").alias("title"))
+
+
+@query(
+    "t26_search_queries",
+    f"""WITH a AS (SELECT p_partkey, suite, nullif(full_name, '') f, nullif(title, '') t, replace(suite, '_', ' ') w FROM {SUITE}), b AS (SELECT *, trim(regexp_replace(w, '\\s+v?\\d+(\\.\\d+)*$', '')) base FROM a),
+ q AS (SELECT p_partkey, [CASE WHEN lower(f) <> lower(suite) THEN f END, CASE WHEN lower(f) <> lower(suite) THEN f || ' benchmark' END, t, CASE WHEN base <> '' AND lower(base) <> lower(w) THEN base END, CASE WHEN base <> '' AND lower(base) <> lower(w) THEN base || ' benchmark' END,
+ w || CASE WHEN (w LIKE 'helm %' AND len(string_split(substr(w, 6), ' ')) = 1) OR (w LIKE 'hf %' AND len(string_split(substr(w, 4), ' ')) = 1) THEN ' benchmark' ELSE ' benchmark evaluation' END] AS l FROM b),
+ u AS (SELECT p_partkey, unnest(l) AS x, generate_subscripts(l, 1) AS i FROM q), d AS (SELECT p_partkey, arg_min(x, i) AS x, min(i) AS i FROM u WHERE x IS NOT NULL GROUP BY p_partkey, lower(x)) SELECT p_partkey, string_agg(x, '|' ORDER BY i) AS queries FROM d GROUP BY p_partkey""",
+)
 def _(spark, sf):
-    return read(spark, sf, "nation").select("n_nationkey", F.array_join(checks.search_queries(F.lit("helm_set-v2"), F.lit("A title")), "|").alias("queries"))
+    return suite_names(spark, sf).select("p_partkey", F.array_join(checks.search_queries("suite", "full_name", "title"), "|").alias("queries"))
 
 
-@query("a21_failure_kinds", "SELECT CASE l_linenumber % 4 WHEN 0 THEN 'timeout' WHEN 1 THEN 'not_found' WHEN 2 THEN 'parse' ELSE 'other' END AS kind, count(*) AS n FROM lineitem GROUP BY 1")
+@query("a21_failure_kinds", "WITH f AS (SELECT CASE l_linenumber % 5 WHEN 0 THEN 'Composer returned None' WHEN 1 THEN 'Card is Empty' WHEN 2 THEN 'all fields Not Specified' WHEN 3 THEN 'timeout' END AS said, CASE WHEN l_returnflag = 'R' THEN '' ELSE 'p' END AS paper, CASE WHEN l_linestatus = 'F' THEN NULL ELSE 'r' END AS repo FROM lineitem), k AS (SELECT CASE WHEN paper = '' AND repo IS NULL THEN 'no_sources' WHEN contains(said, 'returned None') THEN 'composer_failed' WHEN contains(lower(said), 'empty') OR contains(lower(said), 'not specified') THEN 'empty_content' ELSE 'composer_failed' END AS kind FROM f) SELECT kind, count(*) AS n FROM k GROUP BY 1")
 def _(spark, sf):
-    k = F.col("l_linenumber") % 4
-    said = F.when(k == 0, "Timed out").when(k == 1, "404").when(k == 2, "bad JSON").otherwise("?")
-    return read(spark, sf, "lineitem").groupBy(checks.failure_kind(said).alias("kind")).agg(F.count("*").alias("n"))
+    k = F.col("l_linenumber") % 5
+    said = F.when(k == 0, "Composer returned None").when(k == 1, "Card is Empty").when(k == 2, "all fields Not Specified").when(k == 3, "timeout")
+    paper, repo = F.when(F.col("l_returnflag") == "R", "").otherwise("p"), F.when(F.col("l_linestatus") != "F", "r")
+    return reports.histogram(read(spark, sf, "lineitem"), checks.failure_kind(said, paper, repo), "kind")
 
 
-@query("t37_identity", "SELECT s_suppkey, '''' || s_name || ''' is about: a, b. Only extract facts about it.' AS anchor FROM supplier")
+@query(
+    "t37_identity",
+    """WITH a AS (SELECT p_partkey, p_brand AS name, CASE WHEN p_size % 3 = 0 THEN p_brand WHEN p_size % 3 = 1 THEN p_type ELSE '' END AS title, CASE WHEN p_size % 4 = 0 THEN [] ELSE ['task_categories: ' || replace(p_name, ' ', '-'), 'language:en', split_part(p_name, ' ', 1), 'ab', upper(split_part(p_name, ' ', 1)), split_part(p_type, ' ', 2)] END AS tags, CASE WHEN p_size % 5 = 0 THEN p_name ELSE repeat('x', 300) END AS summary, CASE WHEN p_size % 7 = 0 THEN '' ELSE p_type END AS description FROM part),
+ s AS (SELECT p_partkey, name, list_concat(list_concat([CASE WHEN title <> '' AND lower(title) <> lower(name) THEN 'Also known as: ' || title END], list_concat(list_transform(list_filter(tags, lambda t: starts_with(t, 'task_categories:')), lambda t: replace(trim(substr(t, 17)), '-', ' ')), list_transform(list_filter(tags, lambda t: NOT contains(t, ':') AND len(t) > 2), lambda t: replace(t, '-', ' ')))), [CASE WHEN len(summary) < 300 THEN summary END, CASE WHEN description <> '' THEN description END]) AS l FROM a),
+ u AS (SELECT p_partkey, name, unnest(l) AS x, generate_subscripts(l, 1) AS i FROM s), d AS (SELECT p_partkey, name, arg_min(x, i) AS x, min(i) AS i FROM u WHERE trim(x) <> '' GROUP BY p_partkey, name, lower(trim(x))), r AS (SELECT *, row_number() OVER (PARTITION BY p_partkey ORDER BY i) AS n FROM d),
+ j AS (SELECT p_partkey, name, string_agg(trim(x), ', ' ORDER BY i) AS x FROM r WHERE n <= 6 GROUP BY p_partkey, name) SELECT a.p_partkey, CASE WHEN x IS NULL THEN '' ELSE 'BENCHMARK IDENTITY: "' || a.name || '" is about: ' || x || '. Only extract facts that are relevant to this topic.' END AS anchor FROM a LEFT JOIN j USING (p_partkey)""",
+)
 def _(spark, sf):
-    return read(spark, sf, "supplier").select("s_suppkey", checks.identity("s_name", F.lit("a"), F.lit(" b "), F.lit("a"), F.lit("")).alias("anchor"))
+    size, word = F.col("p_size"), F.split_part("p_name", F.lit(" "), F.lit(1))
+    tags_ = F.when(size % 4 == 0, F.array().cast("array<string>")).otherwise(F.array(F.concat(F.lit("task_categories: "), F.translate("p_name", " ", "-")), F.lit("language:en"), word, F.lit("ab"), F.upper(word), F.split_part("p_type", F.lit(" "), F.lit(2))))
+    rows = read(spark, sf, "part").select("p_partkey", F.col("p_brand").alias("name"), F.when(size % 3 == 0, F.col("p_brand")).when(size % 3 == 1, F.col("p_type")).otherwise("").alias("title"), tags_.alias("tags"), F.when(size % 5 == 0, F.col("p_name")).otherwise(F.repeat(F.lit("x"), 300)).alias("summary"), F.when(size % 7 == 0, "").otherwise(F.col("p_type")).alias("description"))
+    return rows.select("p_partkey", checks.identity("name", "title", "tags", "summary", "description").alias("anchor"))
 
 
 @query("t30_use_case", "SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'Goal: ' || c_name || '. Audience: ' || c_mktsegment ELSE 'Goal: ' || c_name END AS text FROM customer")
@@ -623,19 +694,14 @@ def _(spark, sf):
     return read(spark, sf, "part").select("p_partkey", names.sub_label(F.concat("p_brand", F.lit("_"), "p_type"), "p_brand").alias("label"))
 
 
-@query("j5_exact_then_suffix", "SELECT n_nationkey, CASE WHEN n_nationkey % 2 = 0 THEN 'exact' ELSE 'loose' END AS found FROM nation WHERE n_nationkey < 10")
-def _(spark, sf):
-    return nation_repositories(read(spark, sf, "nation").where("n_nationkey < 10"))
-
-
-@query("j5_exact_then_suffix_whole")
+@query("j5_exact_then_suffix", "SELECT n_nationkey, CASE WHEN n_nationkey % 2 = 0 THEN 'exact' ELSE 'loose' END AS found FROM nation")
 def _(spark, sf):
     return nation_repositories(read(spark, sf, "nation"))
 
 
 def nation_repositories(nations: DataFrame) -> DataFrame:
     n = nations.select("n_nationkey", F.concat(F.lit("org/"), "n_name").alias("repo"))
-    index = n.select(F.when(F.col("n_nationkey") % 2 == 0, F.col("repo")).otherwise(F.upper(F.concat(F.lit("else/"), F.substring("repo", 5, 99)))).alias("key"), F.when(F.col("n_nationkey") % 2 == 0, "exact").otherwise("loose").alias("value"), F.col("n_nationkey").alias("ord"))
+    index = n.select(F.when(F.col("n_nationkey") % 2 == 0, F.col("repo")).otherwise(F.upper(F.concat(F.lit("else/"), F.substr(F.col("repo"), F.lit(5))))).alias("key"), F.when(F.col("n_nationkey") % 2 == 0, "exact").otherwise("loose").alias("value"), F.col("n_nationkey").alias("ord"))
     return resolve.exact_then_suffix(n, index, "repo", "found").select("n_nationkey", "found")
 
 
@@ -647,11 +713,11 @@ def _(spark, sf):
     return cards.inherit(child, base.select("section", "field", F.array("s_name").alias("value"), "is_list")).select("section", "field", F.array_join("value", "|").alias("value"))
 
 
-@query("c4_backfill", "SELECT s_suppkey AS card_id, CASE WHEN s_suppkey % 4 IN (0, 2) AND s_suppkey % 3 = 0 THEN 'evidence of ' || s_name WHEN s_suppkey % 4 = 0 THEN 'Not specified' WHEN s_suppkey % 4 = 2 THEN '' ELSE s_name || '|' || s_name END AS value FROM supplier WHERE s_suppkey % 4 <> 3")
+@query("c4_backfill", "SELECT s_suppkey AS card_id, CASE WHEN s_suppkey % 4 IN (0, 2) AND s_suppkey % 3 = 0 THEN 'evidence of ' || s_name WHEN s_suppkey % 4 = 0 THEN 'Not specified' WHEN s_suppkey % 4 = 2 THEN '' WHEN s_suppkey % 4 = 1 THEN s_name || '|' || s_name ELSE CAST(s_acctbal AS VARCHAR) END AS value FROM supplier")
 def _(spark, sf):
     c = card(spark, sf)
     said = read(spark, sf, "supplier").select(F.col("s_suppkey").alias("card_id"), F.lit("benchmark_details").alias("section"), F.lit("languages").alias("field"), F.when(F.col("s_suppkey") % 3 == 0, F.concat(F.lit("evidence of "), "s_name")).otherwise("short").alias("evidence"))
-    return cards.backfill(c, said).where("card_id % 4 <> 3").select("card_id", F.array_join("value", "|").alias("value"))
+    return cards.backfill(c, said).select("card_id", F.array_join("value", "|").alias("value"))
 
 
 @query("c6_unflagged", f"WITH {FIELDS} SELECT field FROM fields WHERE (coalesce(m, 0.5) < 0.8 OR m IS NULL) AND field <> 'data.src4'")
@@ -683,12 +749,12 @@ def _(spark, sf):
 
 @query("a16_job_outcomes", "SELECT count(*) FILTER (o_orderstatus = 'O') AS running, count(*) FILTER (o_orderstatus = 'F') AS failed, count(*) AS jobs FROM orders")
 def _(spark, sf):
-    return read(spark, sf, "orders").agg(F.count_if(F.col("o_orderstatus").startswith("O")).alias("running"), F.count_if(F.col("o_orderstatus").startswith("F")).alias("failed"), F.count("*").alias("jobs"))
+    return reports.outcomes(read(spark, sf, "orders"), "o_orderstatus", running="O", failed="F")
 
 
 @query("r2_append_log", "SELECT conv_id, string_agg(role, '>' ORDER BY turn) AS log FROM conversations GROUP BY conv_id")
 def _(spark, sf):
-    return read(spark, sf, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role"))).alias("l")).select("conv_id", F.array_join("l.role", ">").alias("log"))
+    return reports.appended(read(spark, sf, "conversations"), "conv_id", "turn", "role").withColumn("log", F.array_join("log", ">"))
 
 
 @query("u4_pending_queue", "SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'a,b,c' ELSE 'a,b' END AS queue FROM customer")
@@ -699,7 +765,7 @@ def _(spark, sf):
 
 @query("w8_recent_sessions", "SELECT o_orderkey FROM orders ORDER BY o_orderdate DESC, o_orderkey LIMIT 10")
 def _(spark, sf):
-    return read(spark, sf, "orders").orderBy(F.desc("o_orderdate"), "o_orderkey").limit(10).select("o_orderkey")
+    return reports.recent(read(spark, sf, "orders"), [F.desc("o_orderdate"), F.col("o_orderkey")], 10).select("o_orderkey")
 
 
 @query("ext_event_windows", "SELECT time_bucket(INTERVAL 1 HOUR, ts) AS hour, event_type, count(*) AS n FROM events GROUP BY 1, 2")

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ._columns import Text, col
+from .names import strip
 
 # The stand-ins for "missing" by where they are used.
 SENTINELS = {
@@ -18,16 +19,16 @@ NOT_SPECIFIED = "Not specified"
 
 
 def is_missing(x: Text, kind: str = "card") -> Column:
-    """Whether a string is null or a stand-in."""
-    return F.coalesce(F.lower(F.trim(col(x))).isin(*SENTINELS[kind]), F.lit(True))
+    """Whether a string is a stand-in, whatever white space is around it. Null is no stand-in."""
+    return F.coalesce(F.lower(strip(col(x))).isin(*SENTINELS[kind]), F.lit(False))
 
 
 def is_missing_list(x: Text, kind: str = "card") -> Column:
     """Whether a list is null, empty, or has a stand-in as its one entry."""
     v = col(x)
-    return F.coalesce((F.size(v) == 0) | ((F.size(v) == 1) & is_missing(F.get(v, F.lit(0)), kind)), F.lit(True))
+    return v.isNull() | (F.size(v) == 0) | ((F.size(v) == 1) & is_missing(F.get(v, F.lit(0)), kind))
 
 
 def normalized(x: Text) -> Column:
-    """The value, or the one spelling of the stand-in."""
-    return F.when(is_missing(x), F.lit(NOT_SPECIFIED)).otherwise(col(x))
+    """The value, or the one spelling of the stand-in if there is none."""
+    return F.when(col(x).isNull() | is_missing(x), F.lit(NOT_SPECIFIED)).otherwise(col(x))

@@ -45,7 +45,7 @@ def sub_label(sub: Text, parent: Text) -> Column:
 def title_case(x: Text) -> Column:
     """Every run of letters with a capital first letter; initcap() would only look at blanks."""
     parts = F.regexp_extract_all(F.lower(col(x)), F.lit(r"([a-zà-ÿ]+|[^a-zà-ÿ]+)"), 1)
-    return F.array_join(F.transform(parts, lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.substring(p, 2, 1_000_000))), "")
+    return F.array_join(F.transform(parts, lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.substr(p, F.lit(2)))), "")
 
 
 def common_prefix(least: Text, greatest: Text) -> Column:

@@ -82,7 +82,7 @@ def arxiv_url(tags: Text, readme: Text) -> Column:
     """A paper's address: from an arxiv: tag, a "Paper:" link, a BibTeX block, or any arXiv address in the text."""
     text = col(readme)
     at = lambda i: F.when(F.length(i) > 0, F.concat(F.lit("https://arxiv.org/abs/"), i))
-    tag = F.get(F.filter(F.transform(F.filter(col(tags), lambda t: t.startswith("arxiv:")), lambda t: F.trim(F.substring(t, 7, 10_000))), lambda t: t != ""), F.lit(0))
+    tag = F.get(F.filter(F.transform(F.filter(col(tags), lambda t: t.startswith("arxiv:")), lambda t: F.trim(F.substr(t, F.lit(7)))), lambda t: t != ""), F.lit(0))
     link = F.regexp_replace(F.regexp_extract(text, r"(?i)\*{0,2}Paper\*{0,2}\s*[:：]\s*(https?://\S+)", 1), r"\)+$", "")
     block = F.get(F.filter(F.transform(F.regexp_extract_all(text, F.lit(r"(?is)```bibtex(.*?)```"), 1), lambda b: F.regexp_extract(b, r"(?i)arxiv[:\s.]*(\d{4}\.\d{4,5})", 1)), lambda i: i != ""), F.lit(0))
     return F.coalesce(at(tag), F.when(link != "", link), at(block), at(F.regexp_extract(text, r"https?://arxiv\.org/(?:abs|pdf)/(\d{4}\.\d{4,5})", 1)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,7 +12,9 @@ from ..functions.names import strip
 
 # The priority of sources, and fields that tags always override.
 SOURCES = ("DETERMINISTIC", "PAPER", "HTML", "HF_README", "EEE")
-ALWAYS = ("benchmark_details.languages", "benchmark_details.data_type", "ethical_and_legal_considerations.data_licensing")
+ALWAYS = ("benchmark_details.languages", "ethical_and_legal_considerations.data_licensing")
+# Fields that tags override after validation, too.
+VALIDATED = ("benchmark_details.languages", "benchmark_details.data_type", "ethical_and_legal_considerations.data_licensing")
 PROTECTED = "ethical_and_legal_considerations"
 
 
@@ -38,7 +42,7 @@ def flatten(cards: DataFrame, key: str, sections: list[str]) -> DataFrame:
 def merge_facts(facts: DataFrame, keys: list[str]) -> DataFrame:
     """Per field the value of the source first in priority, of facts (keys, source, value) that are not missing."""
     rank = F.array_position(F.array(*map(F.lit, SOURCES)), F.col("source"))
-    return facts.where(~is_missing("value")).groupBy(*keys).agg(F.min_by(F.struct("source", "value"), F.struct(F.when(rank == 0, 99).otherwise(rank), "value")).alias("c")).select(*keys, "c.*")
+    return facts.where(F.col("value").isNotNull() & ~is_missing("value")).groupBy(*keys).agg(F.min_by(F.struct("source", "value"), F.struct(F.when(rank == 0, 99).otherwise(rank), "value")).alias("c")).select(*keys, "c.*")
 
 
 def override(card: DataFrame, values: DataFrame, always: tuple[str, ...] = ALWAYS) -> DataFrame:
@@ -51,7 +55,7 @@ def override(card: DataFrame, values: DataFrame, always: tuple[str, ...] = ALWAY
 
 def backfill(card: DataFrame, provenance: DataFrame, least: int = 10) -> DataFrame:
     """Missing fields take their evidence from provenance if it is longer than `least` and does not deny."""
-    said = provenance.where((F.length("evidence") > least) & ~F.lower("evidence").rlike("not specified|no information|not mentioned|not found")).select("card_id", "section", "field", F.array("evidence").alias("_evidence"))
+    said = provenance.where((F.length("evidence") > least) & ~F.lower("evidence").rlike("no information|not specified|not available|none found")).select("card_id", "section", "field", F.array("evidence").alias("_evidence"))
     joined = card.join(said, ["card_id", "section", "field"], "left")
     return joined.withColumn("value", F.when(empty(kind="card"), F.coalesce("_evidence", "value")).otherwise(F.col("value"))).drop("_evidence")
 
@@ -100,9 +104,14 @@ def prose(card: DataFrame) -> DataFrame:
     return card.where(~empty(kind="card")).groupBy("card_id", "section").agg(F.array_join(F.array_sort(F.collect_list(said)), ". ").alias("text"))
 
 
-def confidence(paper: Column, readme: Column, scores: Column, html: Column) -> Column:
-    """high with a paper and another source, medium with one of the texts, else low."""
-    return F.when(paper & (readme | scores | html), "high").when(paper | readme | html, "medium").otherwise("low")
+def confidence(paper: Column, readme: Column, scores: Column, html: Column, metadata: Column | None = None) -> Column:
+    """high with a paper and a page or metadata of the dataset, medium with a paper or a page and scores, else low."""
+    page = readme | html if metadata is None else readme | html | metadata
+    return F.when(paper & page, "high").when(paper | (scores & (readme | html)), "medium").otherwise("low")
+
+
+#: Paths up to which the valid fields go to every task.
+BROADCAST_FIELDS = 10_000
 
 
 def statements(texts: DataFrame, key: str, valid: DataFrame, text: str = "text") -> DataFrame:
@@ -110,33 +119,47 @@ def statements(texts: DataFrame, key: str, valid: DataFrame, text: str = "text")
     lines = texts.select(key, F.posexplode(F.split(text, "\n")).alias("pos", "line")).where(F.trim("line").startswith("- "))
     body = F.regexp_replace(F.trim("line"), r"^- ", "")
     found = lines.select(key, "pos", strip(F.regexp_replace(body, r"\s*\[[^\]]*\]\s*$", "")).alias("text"), F.nullif(F.regexp_extract(body, r"\[([^\]]*)\]\s*$", 1), F.lit("")).alias("field"))
-    known = found.join(F.broadcast(valid.select(F.col("field").alias("_ok")).limit(10_000)), F.col("field") == F.col("_ok"), "left")
+    paths = valid.select(F.col("field").alias("_ok")).distinct()
+    known = found.join(F.broadcast(paths) if paths.count() <= BROADCAST_FIELDS else paths, F.col("field") == F.col("_ok"), "left")
     fixed = F.when(F.col("_ok").isNotNull() | F.col("field").isNull(), F.col("field")).otherwise(repaired("field", "text"))
     return known.withColumn("field", fixed).where("field IS NULL OR field <> 'unknown'").drop("_ok")
 
 
+# For a part of a made-up path, in order, the words of the statement that decide, in order, and the field they
+# mean; the last entry of each part has no words and takes the rest.
+REPAIRS = [
+    ("methodology", [
+        (["f1-score", "accuracy", "performance", "achieved", "result"], "methodology.interpretation"),
+        (["kappa", "measure", "calculate", "formula"], "methodology.calculation"),
+        (["metric", "precision", "recall"], "methodology.metrics"),
+        (["method", "approach", "technique"], "methodology.methods"),
+        (["validation", "annotator", "judgement"], "methodology.validation"),
+        ([], "methodology.interpretation"),
+    ]),
+    ("data", [
+        (["size", "count", "example", "comment"], "data.size"),
+        (["format", "csv", "json"], "data.format"),
+        (["annotator", "annotation", "platform"], "data.annotation"),
+        ([], "data.source"),
+    ]),
+    ("benchmark_details", [(["name"], "benchmark_details.name"), ([], "benchmark_details.overview")]),
+    ("purpose", [([], "purpose_and_intended_users.goal")]),
+    ("ethical", [(["license"], "ethical_and_legal_considerations.data_licensing"), ([], "ethical_and_legal_considerations.privacy_and_anonymity")]),
+    ("legal", [(["license"], "ethical_and_legal_considerations.data_licensing"), ([], "ethical_and_legal_considerations.privacy_and_anonymity")]),
+]
+
+
 def repaired(field: str, statement: str) -> Column:
-    """A valid path for a made-up one, from words of the statement; tests are in order."""
-    f, s = F.lower(field), F.lower(statement)
-    has = lambda words: s.rlike("|".join(w.replace("-", r"\-") for w in words.split()))
-    # Words that decide, in order.
-    method = (
-        F.when(has("f1-score accuracy performance achieved result"), "methodology.interpretation")
-        .when(has("kappa measure calculate formula"), "methodology.calculation")
-        .when(has("metric precision recall"), "methodology.metrics")
-        .when(has("method approach technique"), "methodology.methods")
-        .when(has("validation annotator judgement"), "methodology.validation")
-        .otherwise("methodology.interpretation")
-    )
-    data = F.when(has("size count example comment"), "data.size").when(has("format csv json"), "data.format").when(has("annotator annotation platform"), "data.annotation").otherwise("data.source")
-    return (
-        F.when(f.contains("methodology"), method)
-        .when(f.contains("data"), data)
-        .when(f.contains("benchmark_details"), F.when(s.contains("name"), "benchmark_details.name").otherwise("benchmark_details.overview"))
-        .when(f.contains("purpose"), "purpose_and_intended_users.goal")
-        .when(f.contains("ethical") | f.contains("legal"), F.when(s.contains("license"), "ethical_and_legal_considerations.data_licensing").otherwise("ethical_and_legal_considerations.privacy_and_anonymity"))
-        .otherwise(F.when(F.coalesce(F.col(field), F.lit("")) != "", F.col(field)).otherwise("unknown"))
-    )
+    """A valid path for a made-up one, from words of the statement; unknown parts keep what they say."""
+    said = F.lower(statement)
+    out = F.when(F.lit(False), F.lit(""))
+    for part, choices in REPAIRS:
+        meant = F.when(F.lit(False), F.lit(""))
+        for words, target in choices:
+            hit = reduce(lambda a, b: a | b, [said.contains(w) for w in words]) if words else F.lit(True)
+            meant = meant.when(hit, target)
+        out = out.when(F.lower(field).contains(part), meant)
+    return out.otherwise(F.coalesce(F.nullif(F.col(field), F.lit("")), F.lit("unknown")))
 
 
 def carried_heading(lines: DataFrame, key: str, order: str, line: str = "line") -> DataFrame:

@@ -39,6 +39,7 @@ def roll_up(scores: DataFrame) -> DataFrame:
         F.min_by("eval_library", F.when(F.col("eval_library").isNotNull(), F.col("ord"))).alias("eval_library"),
         F.coalesce(last_hub, first).alias("hf_repo"),
         F.when(F.max(hub), F.lit("hf_dataset")).otherwise(F.min_by("source_type", "ord")).alias("source_type"),
+        F.min("ord").alias("pos"),
     )
 
 
@@ -95,12 +96,20 @@ def filtered(benchmarks: DataFrame, members: DataFrame, names: list[str]) -> Dat
 
 
 def pair_sample(members: DataFrame, key: str, limit: int = 20) -> DataFrame:
-    """(key, a, b): pairs of a group's members; of more than `limit` evenly spaced ones in order."""
-    two = members.alias("x").join(members.alias("y"), (F.col(f"x.{key}") == F.col(f"y.{key}")) & (F.col("x.pos") < F.col("y.pos"))).select(F.col(f"x.{key}").alias(key), F.col("x.bench").alias("a"), F.col("y.bench").alias("b"))
+    """(key, a, b): pairs of a group's members, each with the later one second; of more than `limit` evenly spaced ones in order.
+
+    The pairs are numbered without being made: a member begins as many as come after it. The numbers to take follow from the
+    group's size, so a group of n costs at most `limit` * n rows, not n * n.
+    """
     by = Window.partitionBy(key)
-    pairs = two.withColumn("_i", F.row_number().over(by.orderBy("a", "b")) - 1).withColumn("_n", F.count("*").over(by))
-    step = F.greatest(F.lit(1), F.floor(F.col("_n") / limit))
-    return pairs.where((F.col("_n") <= limit) | ((F.col("_i") % step == 0) & (F.col("_i") / step < limit))).drop("_i", "_n")
+    own = members.select(key, "bench", F.row_number().over(by.orderBy("pos")).alias("_at"), F.count("*").over(by).alias("_n"))
+    own = own.withColumn("_c", F.col("_n") - F.col("_at")).withColumn("_before", F.sum("_c").over(by.orderBy("bench", "_at").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_c"))
+    total = (F.col("_n") * (F.col("_n") - 1) / 2).cast("long")
+    step = F.when(total > limit, F.floor(total / limit)).otherwise(F.lit(1)).cast("long")
+    wanted = members.groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1").select(key, F.explode(F.transform(F.sequence(F.lit(0), F.least(total, F.lit(limit)).cast("int") - 1), lambda j: j * step)).alias("_p"))
+    first = wanted.join(own, key).where((F.col("_p") >= F.col("_before")) & (F.col("_p") < F.col("_before") + F.col("_c"))).select(key, "_p", F.col("bench").alias("a"), F.col("_at").alias("_a"), (F.col("_p") - F.col("_before") + 1).alias("_k"))
+    second = first.join(own.select(key, F.col("bench").alias("b"), F.col("_at").alias("_b")), key).where("_b > _a").withColumn("_r", F.row_number().over(Window.partitionBy(key, "_p").orderBy("b", "_b")))
+    return second.where("_r = _k").select(key, "a", "b")
 
 
 def collapse_votes(members: DataFrame, key: str = "folder", prefix: int = 4, least: float = 70.0) -> DataFrame:
@@ -130,25 +139,8 @@ def folder_members(benchmarks: DataFrame) -> DataFrame:
     return benchmarks.select(F.explode("folders").alias("folder"), "bench", F.col("bench").alias("pos"), "urls", "hf_repo")
 
 
-def subgroup_members(benchmarks: DataFrame, mark: str = " - ") -> DataFrame:
-    """(parent, bench, ...) of benchmarks named `Parent - Child`."""
-    return benchmarks.where(F.col("name").contains(mark)).select(F.trim(F.substring_index("name", mark, 1)).alias("parent"), "bench", F.col("bench").alias("pos"), "urls", "hf_repo", F.lower(F.trim(F.substring_index("name", mark, -1))).contains("overall").alias("is_overall"))
-
-
-def collapsed(scores: DataFrame, members: DataFrame, key: str = "folder") -> DataFrame:
-    """Per-model scores of collapsed groups: the "Overall" member's own, else averages over all members.
-
-    members has (key, merged_name, bench, is_overall).
-    """
-    rows = members.join(scores, "bench")
-    by = Window.partitionBy(key)
-    rows = rows.withColumn("_overall", F.max(F.col("is_overall").cast("int")).over(by) == 1)
-    own = rows.where("_overall AND is_overall").groupBy(key, "merged_name", "model").agg(F.min_by("score", "ord").alias("score"), F.min_by("developer", "ord").alias("developer"), F.min_by("metric", "ord").alias("metric"), F.lit(1).cast("long").alias("n"))
-    mean = rows.where("NOT _overall").groupBy(key, "merged_name", "model").agg(F.avg("score").alias("score"), F.min_by("developer", "ord").alias("developer"), F.lit("average_across_subjects").alias("metric"), F.count("*").alias("n"))
-    return own.unionByName(mean)
-
-
-def baseline_sentence(summaries: DataFrame) -> DataFrame:
-    """The summary of each benchmark in a sentence."""
-    text = F.format_string("%d scores on %s: mean %.4f (sd %.4f), from %.4f to %.4f.", F.col("n"), F.col("metric"), F.col("mean"), F.col("sd"), F.col("least"), F.col("greatest"))
+def baseline_sentence(summaries: DataFrame, models: str = "n", top: int = 3) -> DataFrame:
+    """The summary of each benchmark in two sentences, the second with its best models."""
+    best = F.array_join(F.transform(F.slice("leaders", 1, top), lambda p: F.concat(p["model"], F.lit(" ("), F.format_string("%.4f", p["score"]), F.lit(")"))), ", ")
+    text = F.concat(F.format_string("Based on %d model evaluations: mean %s = %.4f (std = %.4f). Top performers: ", F.col(models), F.col("metric"), F.col("mean"), F.col("sd")), best, F.lit("."))
     return summaries.select("bench", text.alias("sentence"))

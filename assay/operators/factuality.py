@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LIMITS = (0.8, 0.6, 0.4, 0.2)
@@ -17,23 +17,34 @@ def label(p: str | Column = "p_true") -> Column:
 
 
 def latest(marginals: DataFrame, ord_: str = "ord") -> DataFrame:
-    """One marginal for each variable, the last of equals."""
-    return marginals.groupBy("variable").agg(F.max_by("p_true", ord_).alias("p_true"), F.max(ord_).alias("ord"))
+    """One marginal for each variable: at the place of the first of equals, with the value of the last."""
+    return marginals.groupBy("variable").agg(F.max_by("p_true", ord_).alias("p_true"), F.min(ord_).alias("ord"))
+
+
+#: Variables that go to every task at once.
+BROADCAST_VARIABLES = 50_000
 
 
 def match(atoms: DataFrame, marginals: DataFrame, mode: str = "exact", head: int = 50) -> DataFrame:
-    """Atoms (atom_id, text, field) with their p_true.
+    """Atoms (atom_id, text, field) with their p_true, one row for each of theirs.
 
     "exact" joins on variable = atom_id. "compat" takes the first variable, by ord, that contains the id or the first `head`
-    characters of the text; only atoms without an equal id are compared with all variables.
+    characters of the text; without text that is the first of all. There every different atom meets every variable: they go
+    in blocks of bounded size, and a block leaves one candidate an atom.
     """
     single = latest(marginals)
-    joined = atoms.join(single.select(F.col("variable").alias("_v"), F.col("p_true"), F.col("ord").alias("_o")), F.col("_v") == F.col("atom_id"), "left")
     if mode == "exact":
-        return joined.drop("_v", "_o")
-    inside = F.col("variable").contains(F.col("atom_id")) | F.col("variable").contains(F.substring("text", 1, head))
-    pairs = atoms.join(F.broadcast(single.limit(100_000)) if single.count() <= 100_000 else single, inside, "left")
-    return pairs.withColumn("_r", F.row_number().over(Window.partitionBy("atom_id").orderBy("ord"))).where("_r = 1").drop("_r", "variable", "ord")
+        return atoms.join(single.select(F.col("variable").alias("atom_id"), "p_true"), "atom_id", "left")
+    begin = F.substring(F.coalesce("text", F.lit("")), 1, head)
+    asked = atoms.select(F.col("atom_id").alias("_id"), begin.alias("_begin")).distinct()
+    inside = F.col("variable").contains(F.col("_id")) | F.col("variable").contains(F.col("_begin"))
+    blocks, found = max(1, -(-single.count() // BROADCAST_VARIABLES)), None
+    for b in range(blocks):
+        some = single.where(F.pmod(F.xxhash64("variable"), F.lit(blocks)) == b) if blocks > 1 else single
+        first = asked.join(F.broadcast(some), inside).groupBy("_id", "_begin").agg(F.min(F.struct("ord", "p_true")).alias("_m"))
+        found = first if found is None else found.unionByName(first)
+    best = found.groupBy("_id", "_begin").agg(F.min("_m")["p_true"].alias("p_true"))
+    return atoms.join(best, (F.col("atom_id") == F.col("_id")) & (begin == F.col("_begin")), "left").drop("_id", "_begin")
 
 
 def by_field(scored: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -66,15 +77,15 @@ def entropy(scored: DataFrame, keys: list[str] | None = None, least: float = 1e-
     return scored.where("p_true IS NOT NULL").groupBy(*(keys or [])).agg(n.alias("n"), total.alias("entropy"), (total / n).alias("mean_entropy"), F.when(n > 1, total / n / F.log10(n)).otherwise(F.lit(0.0)).alias("scaled_entropy"))
 
 
-def flags(fields: DataFrame, provenance: DataFrame | None = None, threshold: float = 0.8) -> DataFrame:
-    """(field, reason, message) of the fields to flag; names, and fields with source and evidence, are not flagged."""
+def flags(fields: DataFrame, provenance: DataFrame | None = None, threshold: float = 0.8, keys: list[str] | None = None) -> DataFrame:
+    """(keys, field, reason, message) of the fields to flag; names, and fields with source and evidence, are not flagged."""
     bad = fields.where(((F.col("avg_probability") < threshold) | F.col("all_neutral")) & ~F.col("field").endswith(".name"))
     if provenance is not None:
-        proven = provenance.where("coalesce(source, '') <> '' AND coalesce(evidence, '') <> ''").select("field").distinct()
-        bad = bad.join(proven, "field", "left_anti")
+        proven = provenance.where("coalesce(source, '') <> '' AND coalesce(evidence, '') <> ''").select(*(keys or []), "field").distinct()
+        bad = bad.join(proven, [*(keys or []), "field"], "left_anti")
     low = F.format_string("[Factuality Score: %.2f], low factual alignment with source material", F.col("avg_probability"))
     none = "[Possible Hallucination], no supporting evidence found in source material"
-    return bad.select("field", F.when(F.col("all_neutral"), "all_atoms_neutral").otherwise("low_factuality_score").alias("reason"), F.when(F.col("all_neutral"), none).otherwise(low).alias("message"))
+    return bad.select(*(keys or []), "field", F.when(F.col("all_neutral"), "all_atoms_neutral").otherwise("low_factuality_score").alias("reason"), F.when(F.col("all_neutral"), none).otherwise(low).alias("message"))
 
 
 # Fields that validation by text inference cannot judge.

@@ -61,6 +61,16 @@ def recursive_chunks(docs: DataFrame, key: str, text: str = "text", parent: tupl
     return docs.select(key, F.explode(cut(text)).alias("c")).select(key, "c.*")
 
 
+def split_chunks(docs: DataFrame, key: str, size: int = 1000, overlap: int = 200, separators: tuple[str, ...] = ("\n\n", "\n", " ", ""), text: str = "text") -> DataFrame:
+    """(key, chunk, text): pieces of whole parts, cut at the coarsest separator that serves."""
+
+    @F.pandas_udf("array<string>")
+    def cut(x: pd.Series) -> pd.Series:
+        return x.map(lambda t: split_text(t or "", size, overlap, separators))
+
+    return docs.select(key, F.posexplode(cut(text)).alias("chunk", "text"))
+
+
 def postings(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """(key, dl, term, tf)."""
     words = docs.select(key, tokens(text).alias("_w")).withColumn("dl", F.size("_w"))
@@ -91,8 +101,9 @@ def bm25(docs: DataFrame, queries: DataFrame, doc: str = "doc_id", query: str =
     return ranked(hits, query, [F.round("score", 9).desc(), F.col(doc)], top).where("score > 0")
 
 
-def ranked(rows: DataFrame, key: str, order: list[Column], top: int) -> DataFrame:
-    return rows.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where(F.col("rank") <= top)
+def ranked(rows: DataFrame, key: str | list[str], order: list[Column], top: int) -> DataFrame:
+    keys = [key] if isinstance(key, str) else key
+    return rows.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("rank") <= top)
 
 
 def cosine(a: str, b: str) -> Column:
@@ -159,7 +170,8 @@ def grade(candidates: DataFrame, query: str, order: str, text: str = "text", lea
         kept: list[str] = []
         take = []
         for t in pdf[text]:
-            good = t is not None and len(t.strip()) >= least and not any(t in k or k in t for k in kept)
+            t = (t or "").strip()
+            good = len(t) >= least and not any(t in k or k in t for k in kept)
             take.append(good)
             if good:
                 kept.append(t)

@@ -58,11 +58,21 @@ def support(atom: str = "text", context: str = "context", out: str = "p_true") -
     return run
 
 
+#: Risks that go to every task at once.
+BROADCAST_RISKS = 10_000
+
+
 def risks(card: DataFrame, table: DataFrame, limit: int = 5, text: str = "text") -> DataFrame:
     """(card_id, risks): of a risk table (id, name, description, url, words) those with a word in the card, at most `limit`."""
     from pyspark.sql import Window
 
-    hits = card.join(F.broadcast(table.limit(10_000)), F.exists("words", lambda w: F.lower(F.col(text)).contains(w))).select("card_id", "id", "name", "description", "url").distinct()
+    hits = None
+    # every card meets every risk; the risks go to the cards in blocks of bounded size
+    blocks = max(1, -(-table.count() // BROADCAST_RISKS))
+    for b in range(blocks):
+        some = table.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b) if blocks > 1 else table
+        found = card.join(F.broadcast(some), F.exists("words", lambda w: F.lower(F.col(text)).contains(w))).select("card_id", "id", "name", "description", "url").distinct()
+        hits = found if hits is None else hits.unionByName(found)
     first = hits.withColumn("_r", F.row_number().over(Window.partitionBy("card_id").orderBy("id"))).where(F.col("_r") <= limit)
     return first.groupBy("card_id").agg(F.array_sort(F.collect_list(F.struct("id", F.col("name").alias("category"), "description", "url"))).alias("risks"))
 

@@ -27,7 +27,7 @@ def scan(spark: SparkSession, root: str, max_files: int | None = 50) -> DataFram
     base = "/" + root.split(":", 1)[-1].strip("/") + "/"
     files = spark.read.schema(SCHEMA).option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").json(root)
     path = F.regexp_replace(F.col("_metadata.file_path"), "^[a-z]+:/*", "/")
-    relative = F.substring(path, F.lit(len(base) + 1), F.lit(10_000))
+    relative = F.substr(path, F.lit(len(base) + 1))
     folder = F.when(relative.contains("/"), F.substring_index(relative, "/", 1)).otherwise(F.regexp_replace(relative, r"\.json$", ""))
     files = files.select("*", path.alias("path"), folder.alias("folder"))
     if max_files is None:
@@ -70,4 +70,4 @@ def scores(rows: DataFrame) -> DataFrame:
 
 def folder_metadata(rows: DataFrame) -> DataFrame:
     """(folder, urls, eval_library) from the rows that sum up a suite."""
-    return rows.where("is_aggregate").groupBy("folder").agg(F.array_distinct(F.flatten(F.array_sort(F.collect_list(F.struct("ord", "urls")))["urls"])).alias("urls"), F.min_by("eval_library", "ord").alias("eval_library"))
+    return rows.where("is_aggregate").groupBy("folder").agg(F.array_distinct(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("ord", "urls"))), lambda s: s["urls"]))).alias("urls"), F.min_by("eval_library", "ord").alias("eval_library"))

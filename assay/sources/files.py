@@ -16,7 +16,7 @@ def catalog(spark: SparkSession, root: str) -> DataFrame:
     base = "/" + root.split(":", 1)[-1].strip("/") + "/"
     rows = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(root)
     path = F.regexp_replace(F.col("_metadata.file_path"), "^[a-z]+:/*", "/")
-    ref = F.translate(F.regexp_replace(F.substring(path, F.lit(len(base) + 1), F.lit(10_000)), r"\.json$", ""), "/", ".")
+    ref = F.translate(F.regexp_replace(F.substr(path, F.lit(len(base) + 1)), r"\.json$", ""), "/", ".")
     return rows.select(ref.alias("ref_id"), F.substring_index(ref, ".", 1).alias("bucket"), F.col("value").alias("json"))
 
 
@@ -55,7 +55,7 @@ def sessions(spark: SparkSession, root: str, cards: str = "card") -> DataFrame:
     """(session, files, bytes, tools, modified, completed) of an output folder of sessions. File contents are not read."""
     base = "/" + root.split(":", 1)[-1].strip("/") + "/"
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "modificationTime", "length")
-    relative = F.substring(F.regexp_replace("path", "^[a-z]+:/*", "/"), F.lit(len(base) + 1), F.lit(10_000))
+    relative = F.substr(F.regexp_replace("path", "^[a-z]+:/*", "/"), F.lit(len(base) + 1))
     parts = F.split(relative, "/")
     tool = F.when((F.size(parts) > 3) & (parts[1] == "tool_output"), parts[2])
     return listing.select(parts[0].alias("session"), tool.alias("tool"), "modificationTime", "length", relative.contains(f"/{cards}/").alias("is_card")).groupBy("session").agg(
