@@ -11,15 +11,17 @@ one a capitalised first word of a sentence is a name too. Lengths and positions
 
 An item is found in a document if windows that lie at one distance from each other in both cover at least min(COVER, item
 length) words of the item and the slots agree: equal slot values of the item stand for equal values in the document. If
-all values are the item's own the finding is "verbatim", else "reparameterised".
+all values are the item's own the finding is "verbatim", else "reparameterised". Where the slots do not agree, a run of
+VERBATIM or more words of the item, all as they are, is a finding still. An item of fewer than SHORTEST words, which many
+texts say by chance, is found where a line of a document says it and nothing else.
 
 The benchmark is taken in blocks of at most BLOCK_WINDOWS windows. One block's table is small by that bound and goes to the
-executors; a larger benchmark takes several passes over the documents instead of a larger table.
+executors; a larger benchmark takes several passes over the documents, each written before the next begins, so that one table
+is held at a time. The hits of a document are looked at PAIRS at a time, however many items share a window.
 
-Defined results: null or empty text contains nothing; items with fewer than SHORTEST words are not looked for, items
-shorter than WINDOW are one window; equal items are all named; repeated rows get equal results; an empty benchmark finds
-nothing. Extra columns
-pass through; one named `found` is replaced.
+Defined results: null or empty text contains nothing; items without words are not looked for, items shorter than WINDOW are
+one window; equal items are all named; repeated rows get equal results; an empty benchmark finds nothing, an empty table
+gives an empty result. Extra columns pass through; one named `found` is replaced. Memory is bounded by the longest text.
 """
 
 from __future__ import annotations
@@ -34,9 +36,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import kernels as K
+from .storage import materialise, release
 
-WINDOW, COVER, PLAIN, SHORTEST = 8, 13, 4, 5
+WINDOW, COVER, PLAIN, SHORTEST, VERBATIM = 8, 13, 4, 5, 20
 BLOCK_WINDOWS = 1_000_000
+#: Pairs of a window of a text and one of an item that are looked at at once, whole documents at a time.
+PAIRS = 2_000_000
 
 # Words for numbers and units that become placeholders.
 NUMBER_WORDS = "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion".split()
@@ -89,7 +94,7 @@ class Words:
         self.doc, outer, outer_end = doc[full], start[full], end[full]
         start, end = body[a[full]], body[b[full] - 1] + 1
         self.value, self.kind, self.initial = np.zeros(0, K.U), np.zeros(0, np.int8), np.zeros(0, bool)
-        self.near, self.word = np.zeros(0, bool), np.arange(len(start))
+        self.near, self.word, self.begin = np.zeros(0, bool), np.arange(len(start)), start
         self.last = self.word
         self.split = self.value, self.value, self.word
         if not len(start):
@@ -162,6 +167,11 @@ class Templates:
         plain, *more = streams(raw, offsets)
         edge = np.searchsorted(plain.doc, np.arange(len(ids) + 1))
         self.parts = [_Stream(ids, w, np.diff(edge), edge, literal=w is plain) for w in (plain, *more)]
+        # items too short for windows, by the hash of all their words
+        self.ids, self.short = ids, defaultdict(list)
+        for k, n in enumerate(np.diff(edge).tolist()):
+            if 0 < n < SHORTEST:
+                self.short[n, int(K.ngrams(plain.value[edge[k] : edge[k + 1]], n)[0])].append(k)
 
     def search(self, raw: np.ndarray, offsets: np.ndarray) -> dict[int, list[dict]]:
         """What is found in each text, by text number; of an item found in several streams what the first says."""
@@ -170,12 +180,34 @@ class Templates:
         first = np.searchsorted(all_words[0].doc, np.arange(len(offsets)))
         for part, w in zip(self.parts, all_words, strict=True):
             found = part.search(w, first) | found
+        if self.short:
+            found = self._lines(raw, all_words[0], first) | found
         out: dict[int, list[dict]] = defaultdict(list)
         for (d, _), what in sorted(found.items()):
             out[d].append(what)
         return out
 
 
+    def _lines(self, raw: np.ndarray, words: Words, first: np.ndarray) -> dict[tuple[int, int], dict]:
+        """The short items that are a whole line of a text."""
+        if not len(words.doc):
+            return {}
+        line = np.searchsorted(np.flatnonzero(raw == 10), words.begin)
+        new = np.ones(len(line), bool)
+        new[1:] = (line[1:] != line[:-1]) | (words.doc[1:] != words.doc[:-1])
+        at = np.flatnonzero(new)
+        size = np.diff(np.append(at, len(line)))
+        found: dict[tuple[int, int], dict] = {}
+        for n in sorted({n for n, _ in self.short}):
+            few = at[size == n]
+            grams = K.ngrams(words.value, n)[few] if len(few) else []
+            for p, g in zip(few.tolist(), grams, strict=True):
+                for k in self.short.get((n, int(g)), ()):
+                    d = int(words.doc[p])
+                    found.setdefault((d, k), {"item_id": self.ids[k], "n_words": n, "kind": "verbatim", "from_word": int(p - first[d]), "to_word": int(p + n - first[d])})
+        return found
+
+
 class _Stream:
     """The windows of some benchmark items, sorted by hash."""
 
@@ -221,26 +253,48 @@ class _Stream:
                 may = np.flatnonzero(self.filter[(g >> K.U(44)).astype(np.int64)])
                 g, at = g[may], at[may]
                 low, high = np.searchsorted(self.hash, g, "left"), np.searchsorted(self.hash, g, "right")
-                times = high - low
-                entry = np.repeat(low, times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-                at = np.repeat(at, times)
-                right = self.size[entry] == n
-                hits.append((at[right], entry[right]))
-        if not hits or not any(len(x[0]) for x in hits):
+                some = high > low
+                hits.append((at[some], low[some], (high - low)[some], np.full(int(some.sum()), n)))
+        at, low, times, size = (np.concatenate([x[i] for x in hits]) if hits else np.zeros(0, np.int64) for i in range(4))
+        if not len(at):
             return {}
-        at, entry = (np.concatenate(x) for x in zip(*hits, strict=True))
+        by = np.argsort(doc[at], kind="stable")
+        at, low, times, size = at[by], low[by], times[by], size[by]
+        found: dict[tuple[int, int], dict] = {}
+        edge = np.append(np.flatnonzero(np.diff(doc[at], prepend=-1)), len(at))
+        total = np.append(0, np.cumsum(times))
+        i = 0
+        while i < len(edge) - 1:
+            j = max(i + 1, int(np.searchsorted(total[edge], total[edge[i]] + PAIRS, "right")) - 1)
+            part = slice(edge[i], edge[j])
+            n = times[part]
+            entry = np.repeat(low[part], n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+            right = self.size[entry] == np.repeat(size[part], n)
+            found |= self._aligned(np.repeat(at[part], n)[right], entry[right], words, first)
+            i = j
+        return found
+
+    def _aligned(self, at: np.ndarray, entry: np.ndarray, words: Words, first: np.ndarray) -> dict[tuple[int, int], dict]:
+        """What pairs of windows, of whole documents, add up to."""
+        doc, value = words.doc, words.value
         groups: dict[tuple[int, int, int], set[tuple[int, int, bool]]] = defaultdict(set)
-        for p, e in zip(at.tolist(), entry.tolist(), strict=True):
-            k, q = int(self.item[e]), int(self.at[e])
-            groups[int(doc[p]), k, p - q].add((q, int(self.size[e]), bool(self.literal[e])))
+        for d, p, k, q, n, literal in zip(doc[at].tolist(), at.tolist(), self.item[entry].tolist(), self.at[entry].tolist(), self.size[entry].tolist(), self.literal[entry].tolist(), strict=True):
+            groups[d, k, p - q].add((q, n, literal))
         found: dict[tuple[int, int], dict] = {}
+
+        def report(d: int, k: int, shift: int, where: list[int], covered: int, kind: str) -> None:
+            if (d, k) not in found or found[d, k]["n_words"] < covered:
+                found[d, k] = {"item_id": self.ids[k], "n_words": covered, "kind": kind, "from_word": int(words.word[where[0] + shift] - first[d]), "to_word": int(words.last[where[-1] + shift] + 1 - first[d])}
+
         for (d, k, shift), spans in sorted(groups.items()):
             v, c = self.items[k]
+            begin, last = self.words_of[k]
+            length = lambda where: len({w for q in where for w in range(begin[q], last[q] + 1)})  # noqa: B023, E731
+            consistent = True
             # literal windows of numbers may keep a value that the templates replace; then the templates count alone
             for used in (spans, {x for x in spans if not x[2]}):
                 where = sorted({q + i for q, n, _ in used for i in range(n)})
-                begin, last = self.words_of[k]
-                covered = len({w for q in where for w in range(begin[q], last[q] + 1)})
+                covered = length(where)
                 if covered < min(COVER, self.n_words[k]):
                     continue
                 meant: dict[int, int] = {}
@@ -249,11 +303,20 @@ class _Stream:
                     if c[q] != WORD or value[q + shift] != v[q]:
                         old = meant.setdefault(int(v[q]), int(value[q + shift]))
                         consistent &= old == int(value[q + shift])
-                        same &= value[q + shift] == v[q]
+                        same &= bool(value[q + shift] == v[q])
                 if consistent:
-                    if (d, k) not in found or found[d, k]["n_words"] < covered:
-                        found[d, k] = {"item_id": self.ids[k], "n_words": covered, "kind": "verbatim" if same else "reparameterised", "from_word": int(words.word[where[0] + shift] - first[d]), "to_word": int(words.last[where[-1] + shift] + 1 - first[d])}
+                    report(d, k, shift, where, covered, "verbatim" if same else "reparameterised")
                     break
+            if not consistent:
+                where = sorted({q + i for q, n, _ in spans for i in range(n)})
+                own = [q for q in where if value[q + shift] == v[q]]
+                run: list[int] = []
+                for q in [*own, -9]:
+                    if run and q != run[-1] + 1:
+                        if length(run) >= VERBATIM:
+                            report(d, k, shift, run, length(run), "verbatim")
+                        run = []
+                    run.append(q)
         return found
 
 
@@ -279,24 +342,36 @@ def find(docs: DataFrame, benchmark: DataFrame, keep: list[str], text: str = "te
     """The columns `keep` of docs and `found`, one entry for each benchmark item in the text."""
     spark, keep = docs.sparkSession, [c for c in keep if c != "found"]
     out = docs.select(F.struct(*keep).alias("__row"), F.col(text).alias("__text"), F.array().cast(FOUND).alias("found"))
+    shared, path = None, None
     for block in blocks(benchmark, text="text", limit=limit):
+        if shared is not None:
+            # the pass before is written, so that its table can go
+            old, (out, path) = path, materialise(out, "decontaminated")
+            shared.destroy()
+            if old:
+                release(spark, old)
         shared = spark.sparkContext.broadcast(block)
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            templates = shared.value
-            for batch in batches:
-                raw, offsets = K.string_parts(batch.column("__text"))
-                for i, j, r, o in K.chunks(raw, offsets):
-                    part = batch.slice(i, j - i)
-                    seen = templates.search(r, o)
-                    old = part.column("found").to_pylist() if seen else None
-                    found = part.column("found") if old is None else pa.array([old[k] + seen.get(k, []) for k in range(j - i)], _ARROW)
-                    yield pa.RecordBatch.from_arrays([part.column("__row"), part.column("__text"), found.cast(_ARROW)], names=["__row", "__text", "found"])
-
-        out = out.mapInArrow(run, out.schema)
+        out = _searched(out, shared)
     return out.select(*[F.col("__row")[c].alias(c) for c in keep], "found")
 
 
+def _searched(rows: DataFrame, shared) -> DataFrame:
+    """rows (__row, __text, found) with what a block finds added."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        templates = shared.value
+        for batch in batches:
+            raw, offsets = K.string_parts(batch.column("__text"))
+            for i, j, r, o in K.chunks(raw, offsets):
+                part = batch.slice(i, j - i)
+                seen = templates.search(r, o)
+                old = part.column("found").to_pylist() if seen else None
+                found = part.column("found") if old is None else pa.array([old[k] + seen.get(k, []) for k in range(j - i)], _ARROW)
+                yield pa.RecordBatch.from_arrays([part.column("__row"), part.column("__text"), found.cast(_ARROW)], names=["__row", "__text", "found"])
+
+    return rows.mapInArrow(run, rows.schema)
+
+
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", limit: int = BLOCK_WINDOWS) -> DataFrame:
     """The documents in which no benchmark item is found, with their own columns."""
     packed = docs.select(F.struct(*docs.columns).alias("__doc"), F.col(text).alias("__body"))
