@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression_toxicity, decontaminate, hyperminhash, mixing, mixture_langid, quality_rules, substring_dedup, tagpath, token_attribution, warc
+from . import compression_toxicity, decontaminate, hyperminhash, mixing, mixture_langid, oracles, quality_rules, substring_dedup, tagpath, token_attribution, warc
 from .storage import bound_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,6 +92,19 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagpath.extract(table(spark, sf_dir, "pages"), ["page_id", "url"])
 
 
+def quality_base_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op2 measures before any vote."""
+    stats = quality_rules.with_statistics(table(spark, sf_dir, "documents"), "text", ["doc_id"])
+    return stats.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", F.expr(quality_rules.BASE_FAILED).alias("base_failed"))
+
+
+def mixing_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The targets that op4 mixes to, by source."""
+    docs = table(spark, sf_dir, "documents")
+    hist = docs.select(mixing.source_key().alias("s"), mixing.token_size().alias("size")).groupBy("s", "size").agg(F.count("*").alias("n"))
+    return mixing.targets(hist).select(F.when(F.col("s") != "", F.substr(F.col("s"), F.lit(2))).alias("source"), "source_size", F.round("target", 4).alias("target"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_quality_rules": op2_quality_rules,
@@ -103,6 +116,8 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": op8_language_id,
     "op9_toxicity": op9_toxicity,
     "op10_html_extraction": op10_html_extraction,
+    "quality_base_statistics": quality_base_statistics,
+    "mixing_targets": mixing_targets,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op1_substring_dedup": oracles.SUBSTRING, "op3_minhash_near_dedup": oracles.NEAR, "quality_base_statistics": oracles.BASE, "mixing_targets": oracles.TARGETS}
