@@ -558,6 +558,153 @@ def _(spark, sf):
     return reports.recent(read(spark, sf, "events"), [F.desc("ts"), F.desc("event_id")], incremental.HISTORY).select("event_id")
 
 
+# ---------------------------------------------------------------- papers, pages, metadata
+
+
+@query("j7_known_papers", "SELECT p_partkey, CASE replace(replace(lower(n), '-', '_'), ' ', '_') WHEN 'gsm8k' THEN 'https://arxiv.org/abs/2110.14168' WHEN 'mmlu_pro' THEN 'https://arxiv.org/abs/2406.01574' WHEN 'arc_agi' THEN 'https://arxiv.org/abs/1911.01547' END AS known_paper FROM (SELECT p_partkey, CASE p_size % 5 WHEN 0 THEN 'GSM8K' WHEN 1 THEN 'MMLU-Pro' WHEN 2 THEN 'arc agi' ELSE p_name END AS n FROM part)")
+def _(spark, sf):
+    k = F.col("p_size") % 5
+    n = F.when(k == 0, "GSM8K").when(k == 1, "MMLU-Pro").when(k == 2, "arc agi").otherwise(F.col("p_name"))
+    return papers.with_known(read(spark, sf, "part").select("p_partkey", n.alias("name"))).select("p_partkey", "known_paper")
+
+
+@query("j17_parent", "SELECT c.c_custkey, p.paper AS parent_paper_url FROM customer c LEFT JOIN (SELECT n_nationkey, arg_min(n_name, n_regionkey) AS paper FROM nation GROUP BY n_nationkey) p ON p.n_nationkey = c.c_nationkey")
+def _(spark, sf):
+    table = read(spark, sf, "nation").select(F.col("n_nationkey").cast("string").alias("name"), F.col("n_regionkey").alias("ord"), F.col("n_name").alias("paper_url"))
+    rows = read(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").cast("string").alias("parent"))
+    return papers.of_parent(rows, table, values=("paper_url",)).select("c_custkey", "parent_paper_url")
+
+
+@query("s9_candidates", "SELECT page_id, 'T' || page_id AS title, 'a b ' || page_id AS abstract, CAST(2000 + page_id % 20 AS INTEGER) AS year, page_id * 3 AS citations, CASE WHEN page_id % 2 = 0 THEN '10.1/' || page_id ELSE '' END AS doi, CASE WHEN page_id % 3 = 0 THEN '2001.' || page_id END AS arxiv_id, CASE WHEN page_id % 2 = 0 AND page_id % 5 = 0 THEN '10.1/' || page_id WHEN page_id % 2 = 0 THEN 'https://doi.org/10.1/' || page_id ELSE url END AS url FROM pages")
+def _(spark, sf):
+    p = F.col("page_id")
+    doi = F.when(p % 2 == 0, F.concat(F.lit("10.1/"), p))
+    arxiv = F.when(p % 3 == 0, F.concat(F.lit("2001."), p))
+    opts = {"ignoreNullFields": "true"}
+    index = F.map_from_arrays(F.array(F.lit("b"), p.cast("string"), F.lit("a")), F.array(F.array(F.lit(1)), F.array(F.lit(2)), F.array(F.lit(0))))
+    work = F.to_json(F.struct(F.concat(F.lit("T"), p).alias("title"), (2000 + p % 20).alias("publication_year"), (p * 3).alias("cited_by_count"), F.struct(doi.alias("doi")).alias("ids"), F.array(F.struct(F.lit("https://x.org").alias("landing_page_url")), F.struct(F.concat(F.lit("https://arxiv.org/abs/"), arxiv, F.lit("/")).alias("landing_page_url"))).alias("locations"), F.struct(F.col("url").alias("landing_page_url")).alias("primary_location"), index.alias("abstract_inverted_index")), opts)
+    paper = F.to_json(F.struct(F.concat(F.lit("T"), p).alias("title"), F.concat(F.lit("a b "), p).alias("abstract"), (2000 + p % 20).alias("year"), (p * 3).alias("citationCount"), F.struct(arxiv.alias("ArXiv"), doi.alias("DOI")).alias("externalIds"), "url"), opts)
+    first = p % 5 == 0
+    answers = read(spark, sf, "pages").select("page_id", F.when(first, "openalex").otherwise("semantic_scholar").alias("source"), F.when(first, work).otherwise(paper).alias("json"))
+    return papers.candidates(answers).select("page_id", "title", "abstract", "year", "citations", "doi", "arxiv_id", "url")
+
+
+@query("l7_to_verify", "WITH c AS (SELECT source AS key, doc_id, lower(regexp_extract(text, '\\S+', 0)) AS t FROM documents), f AS (SELECT key, t, min(doc_id) AS doc_id FROM c WHERE t <> '' GROUP BY 1, 2), r AS (SELECT key, doc_id, row_number() OVER (PARTITION BY key ORDER BY doc_id) - 1 AS idx FROM f) SELECT * FROM r WHERE idx < 10")
+def _(spark, sf):
+    rows = read(spark, sf, "documents").select(F.col("source").alias("key"), "doc_id", F.regexp_extract("text", r"\S+", 0).alias("title"), F.lit(0).alias("query_no"), F.lit(0).alias("source_no"), F.col("doc_id").alias("place"))
+    return papers.to_verify(rows).select("key", "doc_id", F.col("idx").cast("long").alias("idx"))
+
+
+@query("k4_decision", "SELECT s_suppkey AS key, CASE WHEN s_suppkey % 3 = 0 AND s_suppkey % 4 >= 2 THEN 'https://arxiv.org/abs/' || s_suppkey WHEN s_suppkey % 3 = 1 AND s_suppkey % 4 >= 2 THEN 'https://x.org/' || s_suppkey END AS resolved FROM supplier")
+def _(spark, sf):
+    k = F.col("s_suppkey")
+    base = read(spark, sf, "supplier").select(k.alias("key"), F.explode(F.array(F.lit(0), F.lit(1))).alias("idx"))
+    batch = base.select("key", "idx", F.lit("q").alias("query"), F.lit("openalex").alias("source"), F.lit("t").alias("title"), F.lit(0).alias("citations"), F.lit(2000).alias("year"), F.lit(60.0).alias("similarity"), F.when(F.col("idx") == 0, F.col("key").cast("string")).alias("arxiv_id"), F.lit("").alias("doi"), F.when(F.col("idx") == 1, F.concat(F.lit("https://x.org/"), "key")).alias("url"))
+    verdicts = read(spark, sf, "supplier").select(k.alias("key"), F.when(k % 3 < 2, (k % 3)).cast("int").alias("match_index"), F.when(k % 4 >= 2, 0.7).otherwise(0.69).alias("confidence"), F.lit("why").alias("reasoning"))
+    log = papers.verification_log(papers.decided(batch, verdicts))
+    return log.select("key", F.get_json_object("log", "$.resolved_url").alias("resolved"))
+
+
+@query("f14_f15_registry", "SELECT c_custkey, CASE WHEN c_nationkey % 3 = 0 THEN 'id' || c_nationkey END AS canonical_id, CASE c_nationkey % 4 WHEN 0 THEN 'Long ' || c_nationkey WHEN 1 THEN 'Shown ' || c_nationkey END AS shown_name FROM customer")
+def _(spark, sf):
+    number = F.regexp_extract("name", "[0-9]+", 0)
+    ids = lambda d: d.withColumn("canonical_id", F.when(number.cast("int") % 3 == 0, F.concat(F.lit("id"), number)))
+    shown = lambda d: d.select("name", F.when(number.cast("int") % 4 == 0, F.concat(F.lit("Long "), number, F.lit(" — more"))).alias("description"), F.when(number.cast("int") % 4 < 2, F.concat(F.lit("Shown "), number)).alias("display_name"))
+    rows = read(spark, sf, "customer").select("c_custkey", F.concat(F.lit("n"), "c_nationkey").alias("name"))
+    known = spark.createDataFrame([("n0", "id0"), ("n1", None)], "name string, canonical_id string")
+    return papers.display_names(papers.canonical_ids(rows, ids, known), shown).select("c_custkey", "canonical_id", "shown_name")
+
+
+@query("s16_accessible", "SELECT page_id, NOT (page_id % 4 = 0 OR (page_id % 3 = 0 AND page_id % 5 <> 0)) OR page_id % 7 = 0 AS ok FROM pages")
+def _(spark, sf):
+    p = F.col("page_id")
+    status = F.when(p % 7 != 0, F.when(p % 4 == 0, 403).otherwise(200))
+    kind = F.when(p % 7 != 0, F.when(p % 3 == 0, "text/html; charset=utf-8").otherwise("application/pdf"))
+    url = F.when(p % 5 == 0, "https://openreview.net/x").otherwise("https://publisher.example/x")
+    return read(spark, sf, "pages").select("page_id", pages.accessible(status, kind, url).alias("ok"))
+
+
+@query("s8_t13_page_text")
+def _(spark, sf):
+    return pages.content(read(spark, sf, "pages"), ["page_id"])
+
+
+@query("s6_s17_hub_metadata", "SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN 'a/' || s_suppkey END AS repo, 'R' || s_suppkey AS readme_markdown, 't' || s_suppkey AS tag FROM supplier UNION ALL SELECT s_suppkey, 'b/' || s_suppkey, NULL, NULL FROM supplier WHERE s_suppkey % 3 = 0")
+def _(spark, sf):
+    k = F.col("s_suppkey").cast("string")
+    one = F.concat(F.lit('{"readme_markdown": "R'), k, F.lit('", "tags": ["t'), k, F.lit('"]}'))
+    many = F.concat(F.lit('{"a/'), k, F.lit('": '), one, F.lit(', "b/'), k, F.lit('": {"error": "gone"}}'))
+    rows = read(spark, sf, "supplier").select("s_suppkey", F.when(F.col("s_suppkey") % 3 == 0, many).otherwise(one).alias("json"))
+    return hub.metadata(rows).select("s_suppkey", "repo", "readme_markdown", F.get("tags", F.lit(0)).alias("tag"))
+
+
+@query("t36_catalog_ids", "SELECT n_nationkey, CASE n_nationkey % 4 WHEN 0 THEN 'o/' || n_nationkey WHEN 1 THEN 'a/' || n_nationkey || ',b/x' WHEN 2 THEN 'c/1,d/' || n_nationkey END AS repos, CASE n_nationkey % 4 WHEN 0 THEN 'https://arxiv.org/abs/1' || n_nationkey WHEN 1 THEN 'https://p/' || n_nationkey WHEN 2 THEN 'https://arxiv.org/abs/2' || n_nationkey ELSE 'https://arxiv.org/abs/3' || n_nationkey END AS paper FROM nation")
+def _(spark, sf):
+    k, n = F.col("n_nationkey").cast("string"), F.col("n_nationkey") % 4
+    c = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    entry = (
+        F.when(n == 0, c('{"root": {"loader": {"path": "o/', k, '"}, "__tags__": {"arxiv": ["1', k, '", "9"]}}}'))
+        .when(n == 1, c('{"root": {"loader": {"__type__": "multiple_source_loader", "sources": [{"__type__": "load_hf", "path": "a/', k, '"}, {"__type__": "csv", "path": "no"}, {"__type__": "load_hf", "path": "b/x"}]}, "__tags__": {"urls": {"arxiv": "http://p/', k, '"}}}}'))
+        .when(n == 2, c('{"components": {"cards": {"x": {"loader": {"path": "c/1"}}, "y": {"loader": {"path": "d/', k, '"}}, "z": {"loader": {"path": "c/1"}}}}, "root": {"__tags__": {"arxiv": "2', k, '"}}}'))
+        .otherwise(c('{"tags": ["x", "arxiv:3', k, '"]}'))
+    )
+    return read(spark, sf, "nation").select("n_nationkey", F.array_join(artifacts.hub_repositories(entry), ",").alias("repos"), artifacts.paper_of(entry).alias("paper"))
+
+
+@query("t41_unwrap", "SELECT event_id, props AS card FROM events")
+def _(spark, sf):
+    wrapped = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit('{"benchmark_card": '), "props", F.lit("}"))).otherwise(F.col("props"))
+    return read(spark, sf, "events").select("event_id", F.regexp_replace(artifacts.unwrapped(wrapped), '":(?=[^ ])', '": ').alias("card"))
+
+
+@query("a13_split_totals", "SELECT l_orderkey, string_agg('s' || l_linenumber || ': ' || CAST(l_quantity AS BIGINT), '|' ORDER BY l_linenumber, l_quantity) AS splits, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS total FROM lineitem GROUP BY l_orderkey")
+def _(spark, sf):
+    entry = F.struct("l_linenumber", F.col("l_quantity").cast("long").alias("q"))
+    rows = read(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.transform(F.array_sort(F.collect_list(entry)), lambda s: F.struct(F.concat(F.lit("s"), s["l_linenumber"]).alias("name"), s["q"].alias("num_examples"))).alias("s"))
+    listed, total = artifacts.split_totals("s")
+    return rows.select("l_orderkey", F.array_join(listed, "|").alias("splits"), total.alias("total"))
+
+
+@query("t44_context_block", "SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN '' ELSE 'Known information:' || chr(10) || 'Known full name: ' || c_name || CASE WHEN c_custkey % 4 = 2 THEN chr(10) || 'Domains: ' || c_mktsegment ELSE '' END END AS block FROM customer")
+def _(spark, sf):
+    k = F.col("c_custkey") % 4
+    domains = F.when(k == 2, F.array(F.lit("Not Specified"), F.col("c_mktsegment"))).otherwise(F.array(F.lit("not specified")))
+    block = artifacts.context_block(F.when(k != 0, F.col("c_name")), F.lit(None).cast("string"), domains, F.lit(None).cast("array<string>"))
+    return read(spark, sf, "customer").select("c_custkey", block.alias("block"))
+
+
+@query("t4_nested_json", "SELECT event_id, 'Top Key: x' || chr(10) || 'K: ' || json_extract_string(props, '$.k') || chr(10) || 'Many: a, b' AS lines FROM events")
+def _(spark, sf):
+    nested = F.concat(F.lit('{"top_key": "x", "none": null, "inner": '), "props", F.lit(', "many": ["a", "b"]}'))
+    return read(spark, sf, "events").select("event_id", artifacts.readable(nested).alias("lines"))
+
+
+# ---------------------------------------------------------------- from sources to cards
+
+
+def card_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document is the paper of a benchmark; facts of its fields are lists in it and in its README."""
+    d = F.col("doc_id").cast("string")
+    paper = F.concat(F.lit("## benchmark_details\n- overview: about "), d, F.lit("\n- domains: No information found\n## data\n- size: "), d, F.lit(" rows\n- source: No information found\n\n"), "text", F.lit("\n\n- source: collected in "), d)
+    readme = F.concat(F.lit("## benchmark_details\n- overview: other\n- languages: xx\n## data\n- format: csv "), F.repeat(F.lit("."), 60))
+    return read(spark, sf_dir, "documents").select(F.col("doc_id").alias("card_id"), F.concat(F.lit("b"), d).alias("name"), F.lit("").alias("anchor"), paper.alias("paper"), F.lit(None).cast("string").alias("html"), F.when(F.col("doc_id") % 2 == 0, readme).alias("readme"))
+
+
+@query("c10_compose", "SELECT doc_id AS card_id, 'about ' || doc_id AS overview, doc_id || ' rows' AS size, CASE WHEN doc_id % 3 = 0 THEN 'English|German' WHEN doc_id % 2 = 0 THEN 'xx' END AS languages, 'b' || doc_id AS name FROM documents")
+def _(spark, sf):
+    values = read(spark, sf, "documents").where("doc_id % 3 = 0").select(F.col("doc_id").alias("card_id"), F.lit("benchmark_details").alias("section"), F.lit("languages").alias("field"), F.array(F.lit("English"), F.lit("German")).alias("value"))
+    facts = values.select("card_id", "section", "field", F.lit("DETERMINISTIC").alias("source"), F.array_join("value", ", ").alias("value"))
+    card, _ = composition.compose(card_sources(spark, sf), facts, values)
+    at = lambda f: F.max(F.when(F.col("field") == f, F.array_join("value", "|"))).alias(f)
+    return card.where("field <> 'source'").groupBy("card_id").agg(at("overview"), at("size"), at("languages"), at("name"))
+
+
+@query("t15_fact_lines", "SELECT doc_id AS card_id, 'data' AS section, 'size' AS field, doc_id || ' rows' AS value, false AS missing FROM documents UNION ALL SELECT doc_id, 'data', 'source', 'No information found', true FROM documents")
+def _(spark, sf):
+    facts = F.concat(F.lit("- loose: x\n**Data**\n- size: "), F.col("doc_id").cast("string"), F.lit(" rows\nno line\n- source : No information found\n## Other\n- size: 3"))
+    return composition.fact_lines(read(spark, sf, "documents").select(F.col("doc_id").alias("card_id"), facts.alias("facts"))).drop("line")
+
+
 # ---------------------------------------------------------------- further forms over whole tables
 
 
