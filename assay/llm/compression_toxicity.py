@@ -13,7 +13,7 @@ that ordinary strings cost the same with both.
 
 Rows are split by a hash of doc_id: dictionaries learn from LEARN tenths of them, the calibration from the others. Bounds, all
 parameters of labelled() and fit(): LABELLED_ROWS labelled rows a class, chosen by a hash of doc_id before any text is read;
-BASE_ROWS ordinary rows, whose windows of up to WINDOW_BYTES are the ordinary samples, at most BASE_WINDOWS of them;
+about BASE_ROWS ordinary rows, whose windows of up to WINDOW_BYTES are the ordinary samples, about BASE_WINDOWS of them;
 FRAGMENTS different strings, and DICTIONARY bytes of ordinary and TOXIC_BYTES of toxic text in a dictionary (longer ones make
 references to ordinary strings dearer). Gram statistics cover all rows of the sample; counts of at
 most 2 ** BITS hashed grams reach the driver. A class that is sampled is weighted back in the calibration.
@@ -26,6 +26,7 @@ doc_id are no inputs of a score, a column named like it is replaced. Memory is b
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -180,6 +181,15 @@ def _cut(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return line, start[begin] - 1, end[last] + 1, owner
 
 
+def _collected(rows: DataFrame, bound: int) -> list[bytes]:
+    """About `bound` of the windows, by a hash, in a fixed order."""
+    rows, path = materialise(rows, "toxic-windows")
+    n = rows.count()
+    some = rows.where(F.pmod(F.xxhash64(F.lit(9), "window"), F.lit(1_000_000)) < int(1_000_000 * min(1.0, bound / max(n, 1))) + 1).collect()
+    release(rows.sparkSession, path)
+    return sorted((bytes(r["window"]) for r in some), key=lambda w: (zlib.crc32(w), w))
+
+
 def trained(samples: list[bytes], size: int) -> bytes:
     """A dictionary of at most `size` bytes trained on the samples; of too few to train on, the samples themselves."""
     try:
@@ -296,15 +306,14 @@ def fit(rows: DataFrame, fragments_bound: int = FRAGMENTS, dictionary: int = DIC
     learn = F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(10)) < LEARN
     own = rows.where(learn)
     stats = gram_statistics(own).toPandas()
-    base = own.where("toxic = 0").orderBy(F.xxhash64("doc_id"), "doc_id").limit(base_rows)
-    samples = [bytes(r["window"]) for r in windows(base).orderBy(F.xxhash64("window"), "window").limit(base_windows).collect()]
-    ordinary, toxic = trained(samples, dictionary), []
+    share = base_rows / max(own.where("toxic = 0").count(), 1)
+    base = own.where("toxic = 0").where(F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(1_000_000)) < int(1_000_000 * min(1.0, share)) + 1)
+    ordinary, toxic = trained(_collected(windows(base), base_windows), dictionary), []
     for lift in LIFTS:
         top = fragments(own.where("toxic = 1"), strong_grams(stats, lift)).where("n >= 4").orderBy(F.desc("n"), "fragment").limit(fragments_bound).collect()
         left = residues(own.where("toxic = 1"), [bytes(r["fragment"]) for r in top])
         # short texts are ignored by the trainer
-        samples = [bytes(r["window"]) for r in left.where(F.length("window") > 8).orderBy(F.xxhash64("window"), "window").limit(base_windows).collect()]
-        toxic.append(ordinary + trained(samples, toxic_bytes))
+        toxic.append(ordinary + trained(_collected(left.where(F.length("window") > 8), base_windows), toxic_bytes))
     sample = measured(rows.where(~learn), ordinary, toxic, ["doc_id", "toxic", "weight"]).toPandas().sort_values("doc_id")
     release(spark, path)
     y = sample["toxic"].to_numpy(float)
