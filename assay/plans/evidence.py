@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import expand_tags, keywords
+from ..operators import factuality
 from ..operators import retrieval as R
 from ..providers import REGISTRY
 
@@ -19,7 +20,7 @@ def build_documents(catalog: DataFrame | None = None, hub: DataFrame | None = No
     return out.where("text IS NOT NULL AND trim(text) <> ''")
 
 
-def hybrid(chunks: DataFrame, statements: DataFrame, top: int = 3, pool: int = 20, dense: int = 11) -> DataFrame:
+def hybrid(chunks: DataFrame, statements: DataFrame, top: int = 3, pool: int = 20, dense: int = 11, least: int = 5) -> DataFrame:
     """(atom_id, chunk_id, place, text): vector before BM25 before keyword hits, equal texts once, graded, the best `top`.
 
     chunks has (chunk_id, text, embedding), statements (atom_id, text, embedding).
@@ -31,6 +32,10 @@ def hybrid(chunks: DataFrame, statements: DataFrame, top: int = 3, pool: int = 2
     lexical = near.join(texts, "chunk_id").join(wanted, "atom_id").where(F.exists("_k", lambda k: F.lower("text").contains(F.lower(k)))).select("atom_id", "chunk_id", "rank")
     all_hits = [d.join(texts, "chunk_id") for d in (near, bm25, lexical)]
     fused = R.fuse(all_hits, "atom_id", "text", pool).select("atom_id", "chunk_id", "place", "text")
+    # where all ways together find too little, the nearest vectors alone
+    few = fused.groupBy("atom_id").count().where(F.col("count") < least).select("atom_id")
+    alone = near.join(few, "atom_id", "left_semi").join(texts, "chunk_id").select("atom_id", "chunk_id", F.col("rank").alias("place"), "text")
+    fused = fused.join(few, "atom_id", "left_anti").unionByName(alone)
     graded = R.grade(fused, "atom_id", "place")
     return graded.withColumn("place", F.row_number().over(Window.partitionBy("atom_id").orderBy("place")).cast("int")).where(F.col("place") <= top)
 
@@ -49,3 +54,26 @@ def formatted(atoms: DataFrame, found: DataFrame) -> DataFrame:
 def scored(rows: DataFrame) -> DataFrame:
     """p_true of each formatted atom by the registered provider."""
     return REGISTRY["support"]()(rows)
+
+
+# What of a result file is read.
+RESULTS = "benchmark string, results array<struct<statement: struct<text: string, field: string>, retrieved_chunks: array<struct<content: string>>>>"
+
+
+def from_results(rows: DataFrame, json: str = "json") -> tuple[DataFrame, DataFrame]:
+    """(atoms (topic, atom_id, field, text), contexts (topic, context_id, atom_id, text)) of retrieval results in JSON."""
+    parsed = rows.select(F.from_json(json, RESULTS).alias("r")).select(F.coalesce("r.benchmark", F.lit("unknown")).alias("topic"), F.posexplode("r.results").alias("i", "x"))
+    atom = F.concat(F.lit("a"), F.col("i").cast("string"))
+    atoms = parsed.select("topic", atom.alias("atom_id"), F.col("x.statement.field").alias("field"), F.coalesce("x.statement.text", F.lit("")).alias("text"))
+    chunks = parsed.select("topic", atom.alias("atom_id"), F.posexplode("x.retrieved_chunks").alias("j", "c"))
+    return atoms, chunks.select("topic", F.concat(F.lit("c_"), "atom_id", F.lit("_"), F.col("j").cast("string")).alias("context_id"), "atom_id", expand_tags("c.content").alias("text"))
+
+
+def factuality_results(scored: DataFrame, key: str = "card_id") -> DataFrame:
+    """(key, results): field analysis, atom labels and entropy of each card's atoms (key, atom_id, field, p_true), as JSON."""
+    fields = factuality.by_field(scored, [key, "field"])
+    names = [c for c in fields.columns if c not in (key,)]
+    by_field = fields.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("field", *[c for c in names if c != "field"]))).alias("field_analysis"))
+    atoms = scored.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct(F.coalesce("p_true", F.lit(-1.0)).alias("o"), "atom_id", "field", "p_true", factuality.label().alias("label")))), lambda a: a.dropFields("o")).alias("atoms"))
+    both = atoms.join(by_field, key, "left").join(factuality.entropy(scored, [key]), key, "left")
+    return both.select(key, F.to_json(F.struct("field_analysis", "atoms", F.struct("n", "entropy", "mean_entropy", "scaled_entropy").alias("entropy")), {"ignoreNullFields": "false"}).alias("results"))

@@ -14,7 +14,7 @@ NAMESPACES = ("augmentors", "benchmarks", "cards", "formats", "metrics", "operat
 def catalog(spark: SparkSession, root: str) -> DataFrame:
     """(ref_id, bucket, json) of a catalog of JSON files; a file's id is its path below root, dotted."""
     base = "/" + root.split(":", 1)[-1].strip("/") + "/"
-    rows = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(root)
+    rows = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(root, wholetext=True)
     path = F.regexp_replace(F.col("_metadata.file_path"), "^[a-z]+:/*", "/")
     ref = F.translate(F.regexp_replace(F.substr(path, F.lit(len(base) + 1)), r"\.json$", ""), "/", ".")
     return rows.select(ref.alias("ref_id"), F.substring_index(ref, ".", 1).alias("bucket"), F.col("value").alias("json"))
@@ -74,3 +74,20 @@ def write_artifacts(rows: DataFrame, path: str, tool: str = "tool") -> None:
 def write_lines(rows: DataFrame, path: str) -> None:
     """One JSON object a line."""
     rows.select(F.to_json(F.struct(*rows.columns)).alias("value")).write.mode("overwrite").text(path)
+
+
+def retrieval_results(spark: SparkSession, path: str) -> DataFrame:
+    """(path, json) of result files: JSON files whole, of JSON lines the first line only."""
+    rows = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
+    return rows.select("path", F.when(F.col("path").endswith(".jsonl"), F.substring_index("value", "\n", 1)).otherwise(F.col("value")).alias("json"))
+
+
+def in_catalog(entries: DataFrame, names: DataFrame, name: str = "name", fallback: DataFrame | None = None) -> DataFrame:
+    """(name, ref_id, json): the entry of each name, as a benchmark before a card; of a custom catalog before the library's.
+
+    A name is an exact id below its name space, or a file's stem.
+    """
+    both = entries.select("ref_id", "json", F.lit(0).alias("_c"))
+    both = both if fallback is None else both.unionByName(fallback.select("ref_id", "json", F.lit(1).alias("_c")))
+    wanted = names.select(F.col(name).alias("name")).distinct().select("name", F.posexplode(F.array(F.concat(F.lit("benchmarks."), "name"), F.concat(F.lit("cards."), "name"), F.col("name"))).alias("_o", "ref_id"))
+    return wanted.join(both, "ref_id").groupBy("name").agg(F.min_by(F.struct("ref_id", "json"), F.struct("_c", "_o")).alias("e")).select("name", "e.*")

@@ -12,7 +12,7 @@ FIELDS = "id string, tags array<string>, license string, description string, car
 
 def landed(spark: SparkSession, path: str) -> DataFrame:
     """(path, json) of the files under a folder."""
-    rows = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(path)
+    rows = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(path, wholetext=True)
     return rows.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("json"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -27,23 +27,54 @@ def run_available(stream: DataFrame, checkpoint: str, step: Callable[[DataFrame,
     return query
 
 
-def upsert(path: str, key: str) -> Callable[[DataFrame, int], None]:
-    """A step that keeps one row a key in a table: a batch's rows replace older ones."""
+def _files(spark: SparkSession, path: str):
+    """(file system, path as an object) of a folder."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Puts a table right that a crash left between two versions: forward to a new one that is complete, else back."""
+    files, at = _files(spark, path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path
+    old, new = folder(path + ".old"), folder(path + ".new")
+    if not files.exists(at):
+        if files.exists(folder(path + ".new/_SUCCESS")):
+            files.rename(new, at)
+        elif files.exists(old):
+            files.rename(old, at)
+    if files.exists(at) and files.exists(old):
+        files.delete(old, True)
+
+
+def replace(table: DataFrame, path: str) -> None:
+    """Writes a table in place of the one at `path`, which the new one may be made from.
+
+    The new version is complete before the old one moves aside; at any moment one of both is there for recover().
+    """
+    spark = table.sparkSession
+    table.write.mode("overwrite").parquet(path + ".new")
+    files, at = _files(spark, path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path
+    if files.exists(at):
+        files.rename(at, folder(path + ".old"))
+    files.rename(folder(path + ".new"), at)
+    files.delete(folder(path + ".old"), True)
+
+
+def upsert(path: str, key: str, order: str | None = None) -> Callable[[DataFrame, int], None]:
+    """A step that keeps one row a key in a table: a batch's rows replace older ones.
+
+    Of a batch's rows with one key that with the largest `order` counts, without one that with the largest hash of all columns.
+    """
 
     def step(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        new = batch.withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy(F.desc(key)))).where("_r = 1").drop("_r").persist()
-        at = spark._jvm.org.apache.hadoop.fs.Path(path)
-        files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        if files.exists(at):
-            merged = spark.read.parquet(path).join(new, key, "left_anti").unionByName(new)
-        else:
-            merged = new
-        fresh = spark._jvm.org.apache.hadoop.fs.Path(path + ".new")
-        merged.write.mode("overwrite").parquet(path + ".new")
-        files.delete(at, True)
-        files.rename(fresh, at)
-        new.unpersist()
+        recover(spark, path)
+        last = F.xxhash64(*batch.columns) if order is None else F.struct(F.col(order), F.xxhash64(*batch.columns))
+        new = batch.groupBy(F.col(key).alias("_key")).agg(F.max_by(F.struct(*batch.columns), last).alias("_row")).select("_row.*")
+        files, at = _files(spark, path)
+        replace(spark.read.parquet(path).join(new, key, "left_anti").unionByName(new) if files.exists(at) else new, path)
 
     return step
 
