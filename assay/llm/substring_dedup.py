@@ -55,9 +55,9 @@ LAST = np.iinfo(np.int64).max
 #: Bytes of a window's fingerprint in the index; its words decide.
 PRINT_BYTES = 4
 #: Windows that one bucket should hold.
-BUCKET_WINDOWS = 1_000_000
+BUCKET_WINDOWS = 500_000
 #: Windows of a task that are settled among themselves at once.
-UNIT_WINDOWS = 1_000_000
+UNIT_WINDOWS = 400_000
 #: Windows in one cell of a run.
 PIECE_WINDOWS = 2_000_000
 FAN_IN = 4
@@ -180,6 +180,7 @@ def owned(entries: Entries, history: Entries | None = None) -> tuple[Entries, np
     owner = np.empty(len(by), np.int64)
     owner[by] = first
     gone = np.flatnonzero(repeated)
+    del by, fresh, group, first, key, anchors, marks
     spans = _spans(doc[gone], tag[gone], start[gone], doc[owner[gone]], tag[owner[gone]], start[owner[gone]])
     # order by position so that neighbours share an entry again
     stay = np.flatnonzero(~repeated[old:])
