@@ -378,6 +378,13 @@ def _pieces(entries: Entries) -> Iterator[Entries]:
         i = j
 
 
+def _span_rows(spans: np.ndarray) -> pa.RecordBatch:
+    """SPANS rows of spans; a span is from_word << 32 | to_word."""
+    start, end, from_ = (spans[n].astype(np.int64) for n in ("start", "end", "owner_start"))
+    columns = [spans["doc"], spans["tag"].astype(np.int64), (start << 32) | end, spans["owner"], spans["owner_tag"].astype(np.int64), (from_ << 32) | (from_ + end - start)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["doc_id", "tag", "span", "owner", "owner_tag", "owner_span"])
+
+
 def _merge_bucket(bucket: int, new: list[bytes], done: list[bytes], runs: Iterator[Entries], width: int) -> list[tuple]:
     first, spans = merge_join(_merged([_load(d) for d in new]), runs)
     spans = np.concatenate([spans, *(np.frombuffer(d, SPAN) for d in done)])
@@ -424,22 +431,26 @@ class FingerprintIndex:
             blobs = _settled_hot(blobs, width)
         split = lambda t: ([d for k, d in zip(t.column("kind").to_pylist(), t.column("data").to_pylist(), strict=True) if k == NEW], [d for k, d in zip(t.column("kind").to_pylist(), t.column("data").to_pylist(), strict=True) if k == DONE])
 
-        def alone(batch: pa.Table) -> pa.Table:
-            return pa.Table.from_batches([_rows(_merge_bucket(batch.column("bucket")[0].as_py(), *split(batch), iter(()), width))])
+        def settled(batch: pa.Table, runs: Iterator[Entries]) -> pa.Table:
+            new, done = split(batch)
+            if not last:
+                return pa.Table.from_batches([_rows(_merge_bucket(batch.column("bucket")[0].as_py(), new, done, runs, width))])
+            _, spans = merge_join(_merged([_load(d) for d in new]), runs)
+            return pa.Table.from_batches([_span_rows(np.concatenate([spans, *(np.frombuffer(d, SPAN) for d in done)]))])
 
         def beside(batch: pa.Table, past: pa.Table) -> pa.Table:
             if not batch.num_rows:
-                return _empty_runs()
-            runs = (_load(d.as_py()) for d in past.column("data"))
-            return pa.Table.from_batches([_rows(_merge_bucket(batch.column("bucket")[0].as_py(), *split(batch), runs, width))])
+                return pa.Table.from_batches([_span_rows(np.zeros(0, SPAN))]) if last else _empty_runs()
+            return settled(batch, (_load(d.as_py()) for d in past.column("data")))
 
-        old = self.history()
+        old, out = self.history(), SPANS if last else RUNS
         if old is None:
-            merged = blobs.groupBy("bucket").applyInArrow(alone, RUNS)
+            merged = blobs.groupBy("bucket").applyInArrow(lambda batch: settled(batch, iter(())), out)
         else:
-            merged = blobs.groupBy("bucket").cogroup(old.select("bucket", "data").groupBy("bucket")).applyInArrow(beside, RUNS)
+            merged = blobs.groupBy("bucket").cogroup(old.select("bucket", "data").groupBy("bucket")).applyInArrow(beside, out)
         if last:
-            spans, _ = materialise(spans_of(merged.where(F.col("kind") == DONE)), "window-spans")
+            # straight from the merge: a second Python step in its tasks would hold as many workers again
+            spans, _ = materialise(merged, "window-spans")
             return spans
         self.made += 1
         run, path = materialise(merged, "window-run")
@@ -485,9 +496,7 @@ def spans_of(done: DataFrame) -> DataFrame:
             for d in batch.column("data").to_pylist():
                 s = np.frombuffer(d, SPAN)
                 for i in range(0, len(s), 100_000):
-                    p = s[i : i + 100_000]
-                    start, end, from_ = (p[n].astype(np.int64) for n in ("start", "end", "owner_start"))
-                    yield pa.RecordBatch.from_arrays([pa.array(p["doc"]), pa.array(p["tag"].astype(np.int64)), pa.array((start << 32) | end), pa.array(p["owner"]), pa.array(p["owner_tag"].astype(np.int64)), pa.array((from_ << 32) | (from_ + end - start))], names=["doc_id", "tag", "span", "owner", "owner_tag", "owner_span"])
+                    yield _span_rows(s[i : i + 100_000])
 
     return done.select("data").mapInArrow(run, SPANS)
 
