@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression_toxicity, decontaminate, hyperminhash, mixing, mixture_langid, oracles, quality_rules, substring_dedup, tagpath, token_attribution, warc
+from . import compression_toxicity, decontaminate, divergence, filter_lattice, hyperminhash, mixing, mixture_langid, oracles, quality_rules, substring_dedup, tagpath, token_attribution, url_rules, warc
 from .storage import bound_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,6 +92,18 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagpath.extract(table(spark, sf_dir, "pages"), ["page_id", "url"])
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_filter_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_lattice.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(table(spark, sf_dir, "pages"), ["page_id"])
+
+
 def quality_base_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What op2 measures before any vote."""
     stats = quality_rules.with_statistics(table(spark, sf_dir, "documents"), "text", ["doc_id"])
@@ -116,8 +128,19 @@ QUERIES: dict[str, Query] = {
     "op8_language_id": op8_language_id,
     "op9_toxicity": op9_toxicity,
     "op10_html_extraction": op10_html_extraction,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_filter_interaction": op12_filter_interaction,
+    "op13_url_filters": op13_url_filters,
     "quality_base_statistics": quality_base_statistics,
     "mixing_targets": mixing_targets,
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_substring_dedup": oracles.SUBSTRING, "op3_minhash_near_dedup": oracles.NEAR, "quality_base_statistics": oracles.BASE, "mixing_targets": oracles.TARGETS}
+ORACLE_SQL: dict[str, str] = {
+    "op1_substring_dedup": oracles.SUBSTRING,
+    "op3_minhash_near_dedup": oracles.NEAR,
+    "op11_source_divergence": oracles.DIVERGENCE,
+    "op12_filter_interaction": oracles.LATTICE,
+    "op13_url_filters": oracles.URLS,
+    "quality_base_statistics": oracles.BASE,
+    "mixing_targets": oracles.TARGETS,
+}

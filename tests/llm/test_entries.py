@@ -16,7 +16,8 @@ pytestmark = pytest.mark.skipif(not SF.exists(), reason="no test tables")
 @pytest.fixture(scope="module")
 def oracle():
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    for name in ("documents", "pages", "labels"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{SF}/{name}.parquet')")
     return con
 
 
