@@ -48,11 +48,10 @@ def term_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """(lang, source, term, n, df): occurrences in a group, and how many of its documents hold the term. Term '' marks groups."""
     blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
     found = docs.select(blank("lang"), blank("source"), F.regexp_extract_all(ascii_lower(F.coalesce(F.col(text), F.lit(""))), F.lit(TERM), F.lit(0)).alias("_t"))
-    entry = lambda x, n, df: F.struct(x.alias("term"), F.lit(n).cast("long").alias("n"), F.lit(df).cast("long").alias("df"))
-    once = F.transform(F.array_distinct("_t"), lambda x: entry(x, 0, 1))
-    each = F.transform("_t", lambda x: entry(x, 1, 0))
-    rows = found.select("lang", "source", F.inline(F.concat(F.array(entry(F.lit(""), 0, 0)), once, each)))
-    return rows.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
+    once = found.withColumn("_d", F.array_distinct("_t")).withColumn("_n", F.size("_d"))
+    # first '', then the different terms, then all occurrences: the place of an entry says what it counts
+    rows = once.select("lang", "source", "_n", F.posexplode(F.concat(F.array(F.lit("")), "_d", "_t")).alias("_at", "term"))
+    return rows.groupBy("lang", "source", "term").agg(F.sum((F.col("_at") > F.col("_n")).cast("long")).alias("n"), F.sum(F.col("_at").between(F.lit(1), F.col("_n")).cast("long")).alias("df"))
 
 
 def share(n: str, total: str, terms: str) -> Column:
