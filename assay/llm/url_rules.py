@@ -101,7 +101,8 @@ def regex(pattern: str = "pattern", kind: str = "kind") -> Column:
 def index(rules: DataFrame, urls: DataFrame, url: str = "url") -> DataFrame:
     """(token, rule, verdict, regex, kind): each rule under that of its literals which fewest of the URLs hold."""
     parsed = rules.select("rule", "verdict", "pattern", "kind", F.array_distinct(F.regexp_extract_all(ascii_lower("pattern"), F.lit(LITERAL), F.lit(0))).alias("literals"))
-    literals = parsed.select("rule", "pattern", F.explode("literals").alias("token"))
+    # a table of known size, so that the tokens of URLs are sifted where they are, as long as the rules are few
+    literals, _ = materialise(parsed.select("rule", "pattern", F.explode("literals").alias("token")), "url-literals")
     held = urls.select(F.explode(tokens(F.concat(host(url), path(url)))).alias("token")).join(literals.select("token").distinct(), "token", "left_semi")
     counts = held.groupBy("token").agg(F.count("*").alias("_n"))
     rarest = literals.join(counts, "token", "left").groupBy("rule", "pattern").agg(F.min_by("token", F.struct(F.coalesce("_n", F.lit(0)), -F.char_length("token"), "token")).alias("token"))
