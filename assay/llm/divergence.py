@@ -10,7 +10,7 @@ term counts f = floor((p - q)^2 / q). All of it is integer arithmetic: products
 2. The vocabulary of each language, its sums, and the sums of each group.
 3. Groups are crossed with the vocabulary of their language by an equi-join on (lang, part of the vocabulary), of which there
    are PARTS, so that no language lands in one task; counts that are missing are 0.
-4. Shares of one term meet in a self-join on (lang, term), in which each pair of sources occurs once and yields both of its
+4. Shares of one term meet in a self-join on the number of (lang, term), in which each pair of sources occurs once and yields both of its
    directions. Each key has one row a source, so no key is hotter than another.
 5. Ranks: all other sources of a group, and its first TOP terms, of which each task passes on TOP a group at most.
 
@@ -65,12 +65,12 @@ def excess(p: str, q: str) -> Column:
 
 
 def _dense(vocabulary: DataFrame, groups: DataFrame, kept: DataFrame) -> DataFrame:
-    """(lang, term, source, p): the share of every kept term in every group of its language."""
+    """(term_id, lang, source, p): the share of every kept term in every group of its language."""
     part = F.pmod(F.xxhash64("term"), F.lit(PARTS)).cast("int")
     each = groups.select("lang", "source", "total", "terms", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("_part"))
-    crossed = vocabulary.select("lang", "term", part.alias("_part")).join(each, ["lang", "_part"])
-    counted = crossed.join(kept.select("lang", "source", "term", "n"), ["lang", "source", "term"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    return counted.select("lang", "term", "source", share("n", "total", "terms").alias("p"))
+    crossed = vocabulary.select("lang", "term_id", part.alias("_part")).join(each, ["lang", "_part"])
+    counted = crossed.join(kept.select("term_id", "source", "n"), ["term_id", "source"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    return counted.select("term_id", "lang", "source", share("n", "total", "terms").alias("p"))
 
 
 def audit(docs: DataFrame, text: str = "text", least: int = LEAST, top: int = TOP) -> DataFrame:
@@ -78,7 +78,9 @@ def audit(docs: DataFrame, text: str = "text", least: int = LEAST, top: int = TO
     spark = docs.sparkSession
     counts, p_counts = materialise(term_counts(docs, text), "divergence-counts")
     all_terms = counts.where("term <> ''").groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("df").alias("df"))
-    vocabulary, p_vocabulary = materialise(all_terms.where(F.col("df") >= least).select("lang", "term", "lang_n"), "divergence-vocabulary")
+    # term_id stands for (lang, term) in the joins below; the numbers are those of the table once it is written
+    numbered = all_terms.where(F.col("df") >= least).select("lang", "term", "lang_n", F.monotonically_increasing_id().alias("term_id"))
+    vocabulary, p_vocabulary = materialise(numbered, "divergence-vocabulary")
     kept, p_kept = materialise(counts.where("term <> ''").select("lang", "source", "term", "n").join(vocabulary, ["lang", "term"]), "divergence-kept")
     sums = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     langs = vocabulary.groupBy("lang").agg(F.count("*").alias("terms"), F.sum("lang_n").alias("lang_total"))
@@ -86,7 +88,7 @@ def audit(docs: DataFrame, text: str = "text", least: int = LEAST, top: int = TO
     groups, p_groups = materialise(groups.fillna(0, ["total", "terms", "lang_total"]), "divergence-groups")
 
     dense = _dense(vocabulary, groups, kept)
-    met = dense.withColumnsRenamed({"source": "a", "p": "pa"}).join(dense.withColumnsRenamed({"source": "b", "p": "pb"}), ["lang", "term"]).where("a < b")
+    met = dense.withColumnsRenamed({"source": "a", "p": "pa"}).join(dense.withColumnsRenamed({"source": "b", "p": "pb"}).drop("lang"), "term_id").where("a < b")
     far = met.groupBy("lang", "a", "b").agg(F.sum(excess("pa", "pb")).alias("ab"), F.sum(excess("pb", "pa")).alias("ba"))
     names = groups.select("lang", F.col("source").alias("a")).join(groups.select("lang", F.col("source").alias("b")), "lang").where("a < b")
     both = F.array(F.struct(F.col("a").alias("source"), F.col("b").alias("item"), F.col("ab").alias("value")), F.struct(F.col("b").alias("source"), F.col("a").alias("item"), F.col("ba").alias("value")))
