@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.fuzzy import most_similar, partial_ratio
+from ..functions.fuzzy import partial_ratio
 from ..functions.names import normalize_name, slug
 from ..storage import materialise, release
+from .similarity_join import best_partners
 
 # Hub repositories that names stand for; None means that there is none.
 REPOSITORIES = {
@@ -31,8 +31,6 @@ REPOSITORIES = {
 # Names that sum up a suite.
 AGGREGATES = ("capabilities", "classic", "instruct", "lite", "overall", "mean")
 MIN_DOWNLOADS, TRUSTED_DOWNLOADS = 500, 5000
-#: Names of each side that a task of the fuzzy match compares.
-CELL_NAMES = 4000
 
 
 def with_override(rows: DataFrame, overrides: DataFrame, key: Column, value: str) -> DataFrame:
@@ -53,28 +51,14 @@ def exact_then_suffix(rows: DataFrame, index: DataFrame, key: str, value: str) -
     return rows.join(exact, F.col(key) == F.col("_k"), "left").join(loose, tail(key) == F.col("_t"), "left").withColumn(value, F.coalesce("_exact", "_loose")).drop("_k", "_t", "_exact", "_loose")
 
 
-def fuzzy_match(left: DataFrame, right: DataFrame, name: str, other: str, least: float = 80.0, cell: int = CELL_NAMES) -> DataFrame:
+def fuzzy_match(left: DataFrame, right: DataFrame, name: str, other: str, least: float = 80.0, cell: int | None = None) -> DataFrame:
     """(name, other, similarity): an equal normalised name, else the best similarity of at least `least`; one left row for each right.
 
-    Every name meets every other. Both sides go in groups of about `cell` names, a pair of groups is one task's work, and
-    only the best partner of each name leaves it.
+    See similarity_join for how partners are found. `cell`, once the size of a task's work, has no effect any more.
     """
     a = left.select(F.col(name).alias("a"), normalize_name(name).alias("na")).distinct()
     b = right.select(F.col(other).alias("b"), normalize_name(other).alias("nb")).distinct()
-    exact = a.join(b, F.col("na") == F.col("nb")).select("a", "b", F.lit(101.0).alias("similarity"))
-    i, j = (max(1, -(-x.count() // cell)) for x in (a, b))
-    group = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
-    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    ga = a.where("na IS NOT NULL").select("a", "na", group("a", i).alias("i"), each(j).alias("j"))
-    gb = b.where("nb IS NOT NULL").select("b", "nb", each(i).alias("i"), group("b", j).alias("j"))
-
-    def nearest(x: pa.Table, y: pa.Table) -> pa.Table:
-        best = most_similar(x.column("na").to_pylist(), y.column("nb").to_pylist(), y.column("b").to_pylist(), least)
-        rows = [(n, *found) for n, found in zip(x.column("a").to_pylist(), best, strict=True) if found]
-        return pa.table({"a": pa.array([r[0] for r in rows], pa.string()), "b": pa.array([r[1] for r in rows], pa.string()), "similarity": pa.array([r[2] for r in rows], pa.float64())})
-
-    near = ga.groupBy("i", "j").cogroup(gb.groupBy("i", "j")).applyInArrow(nearest, "a string, b string, similarity double")
-    best = exact.unionByName(near).withColumn("_r", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("similarity"), "b"))).where("_r = 1").drop("_r")
+    best = best_partners(a, b, least)
     one = best.withColumn("_r", F.row_number().over(Window.partitionBy("b").orderBy(F.desc("similarity"), "a"))).where("_r = 1").drop("_r")
     return one.select(F.col("a").alias(name), F.col("b").alias(other), F.least(F.lit(100.0), "similarity").alias("similarity"))
 
