@@ -12,11 +12,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import artifacts, checks, fuzzy, missing, names, tags, text
-from .operators import cards, evaluations, factuality, reports, resolve, retrieval, suites
+from .operators import belief, bm25_index, cards, evaluations, factuality, reports, resolve, retrieval, suites, vector_index
 from .plans import composition, evidence, routing
 from .providers import hashed_vectors, risks, support
 from .session import ship
 from .sources import files, hub, pages, papers
+from .storage import new_path, release
 from .streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -313,6 +314,17 @@ def _(spark, sf):
     return hits.select("item_id", "doc_id", F.round("score", 6).alias("score"))
 
 
+@query("l1_bm25_index", ORACLE_SQL["f5_bm25"])
+def _(spark, sf):
+    """The documents in two batches of a new index, searched for the benchmark's items."""
+    docs, path = read(spark, sf, "documents"), new_path(spark, "bm25-index")
+    for half in (0, 1):
+        bm25_index.add(docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == half), path)
+    hits = bm25_index.search(spark, path, read(spark, sf, "benchmark"))
+    release(spark, path)
+    return hits.select("item_id", "doc_id", F.round("score", 6).alias("score"))
+
+
 @query("a6_document_frequency", "SELECT term, count(*) AS df FROM (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+')) term FROM documents) GROUP BY term")
 def _(spark, sf):
     return retrieval.postings(read(spark, sf, "documents"), "doc_id").groupBy("term").agg(F.count("*").alias("df"))
@@ -325,6 +337,24 @@ def _(spark, sf):
     return retrieval.dense_search(v, q).select("query_id", "vec_id", "rank", F.round("score", 4).alias("score"))
 
 
+def vector_hits(spark: SparkSession, sf_dir: str, **how) -> DataFrame:
+    v, path = read(spark, sf_dir, "embeddings"), new_path(spark, "vector-index")
+    vector_index.build(v, path)
+    hits = vector_index.search(spark, path, v.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), "embedding"), **how)
+    release(spark, path)
+    return hits.select("query_id", "vec_id", "rank", F.round("score", 4).alias("score"))
+
+
+@query("x3_vector_index", ORACLE_SQL["f6_dense_search"])
+def _(spark, sf):
+    return vector_hits(spark, sf, exact=True)
+
+
+@query("x3_vector_probe")
+def _(spark, sf):
+    return vector_hits(spark, sf)
+
+
 @query("l2_mmr")
 def _(spark, sf):
     v = read(spark, sf, "embeddings")
@@ -422,6 +452,24 @@ def _(spark, sf):
     return factuality.match(a, marginals, "compat").select("atom_id", "p_true")
 
 
+@query(
+    "x4_marginals",
+    """WITH r AS (SELECT doc_id, CASE WHEN x.kind = 'q' THEN CASE WHEN quality = 1 THEN 'entailment' WHEN quality = 0 THEN 'contradiction' ELSE 'neutral' END ELSE CASE WHEN toxic = 1 THEN 'contradiction' ELSE 'equivalence' END END AS kind, 0.6 + (doc_id % 4) / 10.0 AS p, 0.95 AS q FROM labels, (VALUES ('q'), ('t')) x(kind)),
+ s AS (SELECT doc_id, sum(CASE kind WHEN 'entailment' THEN ln(p / (p * (1 - q) + (1 - p) * q)) WHEN 'contradiction' THEN ln((p * (1 - q) + (1 - p) * q) / p) WHEN 'equivalence' THEN ln(((1 - p) * (1 - q) + p * q) / (p * (1 - q) + (1 - p) * q)) ELSE 0 END) AS o FROM r GROUP BY doc_id)
+ SELECT doc_id, round(1 / (1 + exp(-coalesce(o, 0))), 6) AS p_true FROM documents LEFT JOIN s USING (doc_id)""",
+)
+def _(spark, sf):
+    """Each document is a statement; its labels are two contexts that speak for it or against it."""
+    said = read(spark, sf, "labels").select("doc_id", (0.6 + (F.col("doc_id") % 4) / 10).alias("p"), F.when(F.col("quality") == 1, "entailment").when(F.col("quality") == 0, "contradiction").otherwise("neutral").alias("q"), F.when(F.col("toxic") == 1, "contradiction").otherwise("equivalence").alias("t"))
+    docs = read(spark, sf, "documents").select("doc_id", F.concat(F.lit("a"), "doc_id").alias("variable"))
+    name = lambda c: F.concat(F.lit(f"c{c}"), "doc_id")
+    relations = [said.select(name(c).alias("source"), F.concat(F.lit("a"), "doc_id").alias("target"), F.col(c).alias("kind"), "p") for c in ("q", "t")]
+    contexts = [said.select(name(c).alias("variable"), F.lit(0.95).alias("prior")) for c in ("q", "t")]
+    variables = docs.select("variable", F.lit(0.5).alias("prior")).unionByName(contexts[0]).unionByName(contexts[1])
+    out = belief.marginals(variables, relations[0].unionByName(relations[1]))
+    return docs.join(out, "variable").select("doc_id", F.round("p_true", 6).alias("p_true"))
+
+
 @query("a12_flag_counters", f"WITH {ATOMS} SELECT count(*) FILTER (p_true < 0.3) AS low, count(*) FILTER (p_true < 0.3 OR p_true = 0.5) AS low_or_neutral FROM atoms")
 def _(spark, sf):
     return reports.flag_counters(atoms(spark, sf))
@@ -708,41 +756,41 @@ def _(spark, sf):
 # ---------------------------------------------------------------- further forms over whole tables
 
 
-@query("a5_suite_statistics_whole")
+@query("a5_suite_statistics_whole", ORACLE_SQL["a5_suite_statistics"])
 def _(spark, sf):
     s = scores(spark, sf)
     return evaluations.suite_statistics(s, s.select("folder", "bench").distinct()).withColumn("metrics", F.array_join("metrics", ","))
 
 
-@query("p2_suite_filter_whole")
+@query("p2_suite_filter_whole", f"WITH {SCORES} SELECT DISTINCT bench FROM scores WHERE lower(bench) = 'click' OR bench IN (SELECT bench FROM scores WHERE folder = 'f1')")
 def _(spark, sf):
     s = scores(spark, sf)
     return evaluations.filtered(s.select("bench", F.col("bench").alias("name")).distinct(), s.select("folder", "bench").distinct(), ["click", "F1"]).select("bench")
 
 
-@query("t6_expand_tags_whole")
+@query("t6_expand_tags_whole", ORACLE_SQL["t6_expand_tags"].replace("md5(", "(", 1))
 def _(spark, sf):
     line = F.concat(F.lit("language:"), "lang", F.lit(" format: csv task_ids: qa "), "text")
     return read(spark, sf, "documents").select("doc_id", text.expand_tags(line).alias("words"))
 
 
-@query("t10_tag_fields_whole")
+@query("t10_tag_fields_whole", "SELECT l_orderkey, l_linenumber, 'English, German' AS languages, 'MIT License' AS license, '1K to 10K examples' AS size, 'Question answering' AS tasks, 'text' AS data_type FROM lineitem")
 def _(spark, sf):
     return line_tags(read(spark, sf, "lineitem"))
 
 
-@query("w5_carried_heading_whole")
+@query("w5_carried_heading_whole", ORACLE_SQL["w5_carried_heading"])
 def _(spark, sf):
     lines = read(spark, sf, "conversations").withColumn("line", F.when(F.col("role") == "user", F.concat(F.lit("## "), "text")).otherwise(F.col("text")))
     return cards.carried_heading(lines, "conv_id", "turn").select("conv_id", "turn", "heading")
 
 
-@query("r5_closure_whole")
+@query("r5_closure_whole", "WITH RECURSIVE e AS (SELECT DISTINCT o_custkey AS src, (o_custkey * 7 + 3) % 1500 AS dst FROM orders), c(root, node, path, depth) AS (SELECT c_custkey, c_custkey, [c_custkey], 0 FROM customer UNION ALL SELECT root, dst, list_append(path, dst), depth + 1 FROM c JOIN e ON c.node = e.src WHERE NOT list_contains(path, dst)) SELECT root, node, min(depth) AS depth FROM c GROUP BY root, node")
 def _(spark, sf):
     return resolve.closure(order_edges(spark, sf), read(spark, sf, "customer").select(F.col("c_custkey").cast("long").alias("root")))
 
 
-@query("j5_exact_then_suffix_whole")
+@query("j5_exact_then_suffix_whole", "SELECT n_nationkey, CASE WHEN n_nationkey % 2 = 0 THEN 'exact' ELSE 'loose' END AS found FROM nation")
 def _(spark, sf):
     return nation_repositories(read(spark, sf, "nation"))
 

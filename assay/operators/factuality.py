@@ -21,30 +21,51 @@ def latest(marginals: DataFrame, ord_: str = "ord") -> DataFrame:
     return marginals.groupBy("variable").agg(F.max_by("p_true", ord_).alias("p_true"), F.min(ord_).alias("ord"))
 
 
-#: Variables that go to every task at once.
-BROADCAST_VARIABLES = 50_000
+#: Length of the grams that patterns are filed under.
+GRAM = 3
+
+
+def _grams(x: str, size: int) -> Column:
+    """The different substrings of one length; none of shorter texts."""
+    n = F.char_length(x)
+    return F.when(n >= size, F.array_distinct(F.transform(F.sequence(F.lit(1), n - (size - 1)), lambda i: F.substr(F.col(x), i, F.lit(size))))).otherwise(F.array().cast("array<string>"))
+
+
+def first_containing(patterns: DataFrame, variables: DataFrame) -> DataFrame:
+    """(pattern, found): of variables (variable, ord, p_true) the first, by ord, that contains a pattern, as (ord, p_true).
+
+    Variables are cut into grams, and patterns meet them in equi-joins: a pattern of at most GRAM characters is a gram itself; a
+    longer one is filed under that of its grams which fewest variables have, and compared with those only.
+    """
+    value = F.struct("ord", "p_true").alias("found")
+    known = variables.where("variable IS NOT NULL")
+    asked = patterns.where("pattern IS NOT NULL").select("pattern").distinct()
+    empty = asked.where("pattern = ''").crossJoin(known.agg(F.min(value).alias("found")))
+    short = known.select("ord", "p_true", F.explode(F.flatten(F.array(*[_grams("variable", k) for k in range(1, GRAM + 1)]))).alias("pattern"))
+    short = short.join(asked, "pattern", "left_semi").groupBy("pattern").agg(F.min(value).alias("found"))
+    filed = known.select("variable", "ord", "p_true", F.explode(_grams("variable", GRAM)).alias("gram"))
+    parts = asked.where(F.char_length("pattern") > GRAM).select("pattern", F.explode(_grams("pattern", GRAM)).alias("gram"))
+    counts = filed.join(parts.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(F.count("*").alias("n"))
+    rarest = parts.join(counts, "gram", "left").groupBy("pattern").agg(F.min_by("gram", F.struct(F.coalesce("n", F.lit(0)), "gram")).alias("gram"))
+    long = filed.join(rarest, "gram").where(F.contains("variable", "pattern")).groupBy("pattern").agg(F.min(value).alias("found"))
+    return empty.where("found IS NOT NULL").unionByName(short).unionByName(long)
 
 
 def match(atoms: DataFrame, marginals: DataFrame, mode: str = "exact", head: int = 50) -> DataFrame:
     """Atoms (atom_id, text, field) with their p_true, one row for each of theirs.
 
     "exact" joins on variable = atom_id. "compat" takes the first variable, by ord, that contains the id or the first `head`
-    characters of the text; without text that is the first of all. There every different atom meets every variable: they go
-    in blocks of bounded size, and a block leaves one candidate an atom.
+    characters of the text; without text that is the first of all.
     """
     single = latest(marginals)
     if mode == "exact":
         return atoms.join(single.select(F.col("variable").alias("atom_id"), "p_true"), "atom_id", "left")
     begin = F.substring(F.coalesce("text", F.lit("")), 1, head)
     asked = atoms.select(F.col("atom_id").alias("_id"), begin.alias("_begin")).distinct()
-    inside = F.col("variable").contains(F.col("_id")) | F.col("variable").contains(F.col("_begin"))
-    blocks, found = max(1, -(-single.count() // BROADCAST_VARIABLES)), None
-    for b in range(blocks):
-        some = single.where(F.pmod(F.xxhash64("variable"), F.lit(blocks)) == b) if blocks > 1 else single
-        first = asked.join(F.broadcast(some), inside).groupBy("_id", "_begin").agg(F.min(F.struct("ord", "p_true")).alias("_m"))
-        found = first if found is None else found.unionByName(first)
-    best = found.groupBy("_id", "_begin").agg(F.min("_m")["p_true"].alias("p_true"))
-    return atoms.join(best, (F.col("atom_id") == F.col("_id")) & (begin == F.col("_begin")), "left").drop("_id", "_begin")
+    found = first_containing(asked.select(F.explode(F.array("_id", "_begin")).alias("pattern")), single)
+    each = asked.select("_id", "_begin", F.explode(F.array_distinct(F.array("_id", "_begin"))).alias("pattern"))
+    best = each.join(found, "pattern").groupBy("_id", "_begin").agg(F.min("found")["p_true"].alias("p_true"))
+    return atoms.join(best, F.col("atom_id").eqNullSafe(F.col("_id")) & (begin == F.col("_begin")), "left").drop("_id", "_begin")
 
 
 def by_field(scored: DataFrame, keys: list[str] | None = None) -> DataFrame:

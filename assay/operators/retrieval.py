@@ -181,9 +181,9 @@ def grade(candidates: DataFrame, query: str, order: str, text: str = "text", lea
 
 
 def rerank(candidates: DataFrame, query: str, score: str, pool: int = 10, least: float = 6.0, top: int = 3) -> DataFrame:
-    """Of the first `pool` candidates those a provider scored `least` or more, best first."""
-    rows = candidates.where((F.col("place") <= pool) & (F.col(score) >= least))
-    return ranked(rows, query, [F.desc(score), F.col("place")], top)
+    """Of the first `pool` candidates those a provider scored `least` or more, best first; the first `top` where it scored none."""
+    rows = candidates.where(F.col("place") <= pool).withColumn("_any", F.max(score).over(Window.partitionBy(query)))
+    return ranked(rows.where((F.col(score) >= least) | F.col("_any").isNull()).drop("_any"), query, [F.desc(score), F.col("place")], top)
 
 
 def widen(chunks: DataFrame, parents: DataFrame, keys: list[str]) -> DataFrame:

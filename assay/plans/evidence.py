@@ -9,6 +9,7 @@ from ..functions.text import expand_tags, keywords
 from ..operators import factuality
 from ..operators import retrieval as R
 from ..providers import REGISTRY
+from ..storage import materialise, release
 
 
 def build_documents(catalog: DataFrame | None = None, hub: DataFrame | None = None, papers: DataFrame | None = None) -> DataFrame:
@@ -20,24 +21,63 @@ def build_documents(catalog: DataFrame | None = None, hub: DataFrame | None = No
     return out.where("text IS NOT NULL AND trim(text) <> ''")
 
 
-def hybrid(chunks: DataFrame, statements: DataFrame, top: int = 3, pool: int = 20, dense: int = 11, least: int = 5) -> DataFrame:
-    """(atom_id, chunk_id, place, text): vector before BM25 before keyword hits, equal texts once, graded, the best `top`.
+def _asked(statements: DataFrame, column: str, out: str) -> DataFrame:
+    """With the vector of a column, by the registered provider; the statement's own where it says the same."""
+    made = REGISTRY["embed"](text=column, out="_e")(statements)
+    return made.withColumn(out, F.when(F.col(column) == F.col("text"), F.col("embedding")).otherwise(F.col("_e"))).drop("_e")
 
-    chunks has (chunk_id, text, embedding), statements (atom_id, text, embedding).
+
+def candidates(chunks: DataFrame, statements: DataFrame, k: int, pool: int = 20, least: int = 5, lexical: int = 10) -> DataFrame:
+    """(atom_id, chunk_id, place, text, way): what three searches find, of equal texts the first, `pool` a statement.
+
+    Statements (atom_id, text, embedding) are rewritten by the registered provider. The ways, in order: `k` vectors near the
+    query, by marginal relevance among the 2k + 5 nearest; BM25 of the query; and chunks near the first three keywords of
+    statement and query, taken from twice as many as are kept, that hold one of all the keywords. Where all find fewer than
+    `least`, the first way stands alone.
     """
-    near = R.dense_search(chunks.select(F.col("chunk_id").alias("vec_id"), "embedding"), statements.select(F.col("atom_id").alias("query_id"), "embedding"), top=dense).select(F.col("query_id").alias("atom_id"), F.col("vec_id").alias("chunk_id"), "rank")
-    bm25 = R.bm25(chunks.select(F.col("chunk_id").alias("doc_id"), "text"), statements.select(F.col("atom_id").alias("item_id"), "text")).select(F.col("item_id").alias("atom_id"), F.col("doc_id").alias("chunk_id"), "rank")
-    wanted = statements.select("atom_id", F.slice(keywords("text"), 1, 3).alias("_k"))
     texts = chunks.select("chunk_id", "text")
-    lexical = near.join(texts, "chunk_id").join(wanted, "atom_id").where(F.exists("_k", lambda k: F.lower("text").contains(F.lower(k)))).select("atom_id", "chunk_id", "rank")
-    all_hits = [d.join(texts, "chunk_id") for d in (near, bm25, lexical)]
-    fused = R.fuse(all_hits, "atom_id", "text", pool).select("atom_id", "chunk_id", "place", "text")
-    # where all ways together find too little, the nearest vectors alone
+    # vectors may be costly to make, and are read several times
+    vectors, p_vectors = materialise(chunks.select(F.col("chunk_id").alias("vec_id"), "embedding"), "evidence-vectors")
+    queried = _asked(REGISTRY["rewrite"](text="text", out="query")(statements), "query", "_q")
+    words = F.array_sort(F.array_union(keywords("text"), keywords("query")))
+    queried = _asked(queried.withColumn("_words", words).withColumn("_three", F.array_join(F.slice("_words", 1, 3), " ")), "_three", "_k")
+    asked, p_asked = materialise(queried.select("atom_id", "query", "_q", "_words", "_k"), "evidence-queries")
+
+    pick = lambda c: asked.select(F.col("atom_id").alias("query_id"), F.col(c).alias("embedding"))
+    wide = R.dense_search(vectors, pick("_q"), top=2 * k + 5)
+    near = R.mmr(wide.join(vectors, "vec_id"), "query_id", "vec_id", k).select(F.col("query_id").alias("atom_id"), F.col("vec_id").alias("chunk_id"), F.col("step").alias("rank"))
+    terms = R.bm25(texts.withColumnRenamed("chunk_id", "doc_id"), asked.select(F.col("atom_id").alias("item_id"), F.col("query").alias("text"))).select(F.col("item_id").alias("atom_id"), F.col("doc_id").alias("chunk_id"), "rank")
+    holds = R.dense_search(vectors, pick("_k").join(asked.where(F.size("_words") > 0).select(F.col("atom_id").alias("query_id")), "query_id", "left_semi"), top=2 * lexical).select(F.col("query_id").alias("atom_id"), F.col("vec_id").alias("chunk_id"), "rank")
+    holds = holds.join(texts, "chunk_id").join(asked.select("atom_id", "_words"), "atom_id").where(F.exists("_words", lambda w: F.contains(F.lower("text"), F.lower(w))))
+    holds = R.ranked(holds.drop("_words").withColumnRenamed("rank", "_r"), "atom_id", [F.col("_r")], lexical).drop("_r")
+
+    ways = {"vector": near.join(texts, "chunk_id"), "bm25": terms.join(texts, "chunk_id"), "keyword": holds}
+    columns = ["atom_id", "chunk_id", "rank", "text"]
+    fused, p_fused = materialise(R.fuse([d.select(*columns, F.lit(way).alias("way")) for way, d in ways.items()], "atom_id", "text", pool).select("atom_id", "chunk_id", "place", "text", "way"), "evidence-candidates")
     few = fused.groupBy("atom_id").count().where(F.col("count") < least).select("atom_id")
-    alone = near.join(few, "atom_id", "left_semi").join(texts, "chunk_id").select("atom_id", "chunk_id", F.col("rank").alias("place"), "text")
-    fused = fused.join(few, "atom_id", "left_anti").unionByName(alone)
-    graded = R.grade(fused, "atom_id", "place")
-    return graded.withColumn("place", F.row_number().over(Window.partitionBy("atom_id").orderBy("place")).cast("int")).where(F.col("place") <= top)
+    alone = ways["vector"].join(few, "atom_id", "left_semi").select("atom_id", "chunk_id", F.col("rank").alias("place"), "text", F.lit("vector").alias("way"))
+    out, _ = materialise(fused.join(few, "atom_id", "left_anti").unionByName(alone), "evidence-found")
+    release(chunks.sparkSession, p_vectors, p_asked, p_fused)
+    return out
+
+
+def hybrid(chunks: DataFrame, statements: DataFrame, top: int = 3, pool: int = 20, rerank: bool = False, parents: DataFrame | None = None) -> DataFrame:
+    """(atom_id, chunk_id, place, text): candidates, reranked if asked for, graded, the best `top`.
+
+    chunks has (chunk_id, text, embedding), statements (atom_id, text, embedding). Reranking takes three times as many vectors
+    and keeps what the registered provider grades well among the first ten. With `parents` (chunk_id, parent_text) the winners
+    come with the text that surrounds them, as far as there is one.
+    """
+    found = candidates(chunks, statements, 3 * top if rerank else top, pool)
+    if rerank:
+        seen = found.where("place <= 10").join(chunks.select("chunk_id", "embedding"), "chunk_id").join(statements.select("atom_id", F.col("embedding").alias("_q")), "atom_id")
+        scored_ = REGISTRY["grade"](a="_q", b="embedding", out="grade")(seen)
+        found = R.rerank(scored_, "atom_id", "grade", top=top).select("atom_id", "chunk_id", F.col("rank").alias("place"), "text")
+    graded = R.grade(found.select("atom_id", "chunk_id", "place", "text"), "atom_id", "place")
+    best = graded.withColumn("place", F.row_number().over(Window.partitionBy("atom_id").orderBy("place")).cast("int")).where(F.col("place") <= top)
+    if parents is None:
+        return best
+    return R.widen(best, parents.select("chunk_id", "parent_text"), ["chunk_id"]).withColumn("text", F.coalesce("parent_text", "text")).drop("parent_text").select("atom_id", "chunk_id", "place", "text")
 
 
 def contexts(hits: DataFrame) -> DataFrame:

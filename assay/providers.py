@@ -9,6 +9,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import Protocol
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,11 +30,16 @@ def joined(results: DataFrame, keys: list[str]) -> Provider:
 def hashed_vectors(text: str = "text", size: int = 64, out: str = "embedding") -> Provider:
     """Unit vectors of hashed term counts, in place of an embedding model."""
 
+    @F.pandas_udf("array<float>")
+    def unit(x: pd.Series) -> pd.Series:
+        def of(bins: np.ndarray | None) -> np.ndarray:
+            counts = np.bincount([] if bins is None else bins, minlength=size).astype(float)
+            return (counts / (np.sqrt(counts @ counts) or 1.0)).astype(np.float32)
+
+        return x.map(of, na_action=None)
+
     def run(rows: DataFrame) -> DataFrame:
-        bins = F.transform(tokens(text), lambda t: F.pmod(F.xxhash64(t), F.lit(size)))
-        counts = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.size(F.filter(bins, lambda b: b == i)).cast("double"))
-        norm = F.sqrt(F.aggregate(counts, F.lit(0.0), lambda s, x: s + x * x))
-        return rows.withColumn("_c", counts).withColumn("_n", norm).withColumn(out, F.transform("_c", lambda x: F.when(F.col("_n") > 0, x / F.col("_n")).otherwise(0.0).cast("float"))).drop("_c", "_n")
+        return rows.withColumn(out, unit(F.transform(tokens(text), lambda t: F.pmod(F.xxhash64(t), F.lit(size)))))
 
     return run
 
