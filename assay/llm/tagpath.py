@@ -106,7 +106,8 @@ def _look(attributes: str) -> tuple[str, bool]:
 
 
 class Scanner:
-    """(kind, name or text, attributes) of the pieces of a page in order; kinds are text, open and close.
+    """(kind, name or text, attributes) of the pieces of a page in order; kinds are text, open, close, and raw, which is the
+    content of an element that holds no tags.
 
     Every search goes forward from where the last one of its kind ended, so a page is read a bounded number of times.
     """
@@ -173,6 +174,8 @@ class Scanner:
                 yield ("close" if m[1] else "open"), name, attributes
                 if not m[1] and name in RAW and not attributes.rstrip().endswith("/"):
                     close = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(page, at)
+                    if close:
+                        yield "raw", name, page[at : close.start()]
                     # what no end tag closes runs to the end of the page
                     at = (self.find(">", close.end()) + 1 or n) if close else n
             else:

@@ -14,7 +14,9 @@ terminator as separator, so neither way needs a local path.
 A header that occurs several times is one entry of `headers` whose values are separated by line feeds; it is written as
 several lines again, and the metadata record lists HTTP headers as pairs in their order. Bodies are read as the client
 would: chunked transfer coding and gzip or deflate content coding are undone for text and links; digests are those of the
-body as it was sent. Bodies that do not decode are taken as they are.
+body as it was sent. Bodies that do not decode, or that unpack to more than MOST_DECODED bytes, are taken as they are; an unknown
+character set is read as UTF-8; a length that is no number of at most 18 digits is none. Links are the addresses in the tags of
+all elements. A page is read a bounded number of times.
 
 Defined results: null html or a response without a body gives an empty text and a metadata record without title and links;
 a null url gives records without target URI; responses without a record id get one from their URI and payload; repeated rows
@@ -26,6 +28,7 @@ are left out.
 from __future__ import annotations
 
 import base64
+import codecs
 import hashlib
 import html as references
 import json
@@ -47,8 +50,14 @@ SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the name space for
 HEADERS = T.MapType(T.StringType(), T.StringType())
 RESPONSE = T.StructType([T.StructField("headers", HEADERS), T.StructField("block", T.BinaryType())])
 _MAP = pa.map_(pa.string(), pa.string())
-TITLE = re.compile(r"<title[^>]*>(.*?)</title", re.S | re.I)
-LINK = re.compile(r"<(a|link|img|script|iframe)\b[^>]*?\b(?:href|src)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.S | re.I)
+#: A body that unpacks to more bytes is taken as it was sent, like one that does not decode.
+MOST_DECODED = 128 << 20
+# Attributes whose value is an address, and codecs of Python that are no character sets of pages.
+ADDRESSES = {"href", "src", "action", "poster", "data"}
+NO_CHARSETS = {"undefined", "idna", "punycode", "unicode_escape", "raw_unicode_escape", "mbcs", "oem"}
+#: A name and its value, if it has one. Nothing is given back, so a run of characters is read a bounded number of times.
+ATTRIBUTE = re.compile(r"([^\s=\"'/>]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>\"']++)))?+")
+LENGTH = re.compile(r"[0-9]{1,18}")
 
 
 def digest(data: bytes) -> str:
@@ -123,6 +132,24 @@ def dechunked(body: bytes) -> bytes:
     return b"".join(out) if out else body
 
 
+def inflated(body: bytes, bits: int) -> bytes:
+    """All members of a compressed body. An error if they are longer than MOST_DECODED."""
+    out, size = [], 0
+    while body:
+        tool = zlib.decompressobj(bits)
+        try:
+            out.append(tool.decompress(body, MOST_DECODED - size + 1))
+        except zlib.error:
+            if not out:
+                raise
+            break  # what follows the last member
+        size += len(out[-1])
+        if size > MOST_DECODED:
+            raise zlib.error("longer than MOST_DECODED")
+        body = tool.unused_data if tool.eof else b""
+    return b"".join(out)
+
+
 def decoded(body: bytes, http: list[tuple[str, str]]) -> bytes:
     """The body without transfer and content coding."""
     if "chunked" in _first(http, "transfer-encoding").lower():
@@ -130,8 +157,7 @@ def decoded(body: bytes, http: list[tuple[str, str]]) -> bytes:
     for coding in reversed([c.strip().lower() for c in _first(http, "content-encoding").split(",")]):
         for bits in {"gzip": (47,), "x-gzip": (47,), "deflate": (15, -15)}.get(coding, ()):
             try:
-                tool = zlib.decompressobj(bits)
-                body = tool.decompress(body) + tool.flush()
+                body = inflated(body, bits)
                 break
             except zlib.error:
                 continue
@@ -139,12 +165,31 @@ def decoded(body: bytes, http: list[tuple[str, str]]) -> bytes:
 
 
 def body_text(body: bytes, http: list[tuple[str, str]]) -> str:
+    """The characters of a body, by the character set that its headers or its beginning name, else as UTF-8."""
     kind = _first(http, "content-type")
-    m = re.search(r"charset=[\"']?([\w.:-]+)", kind, re.I) or re.search(r"<meta[^>]{1,200}?charset=[\"']?([\w.:-]+)", body[:2048].decode("latin-1"), re.I)
+    m = re.search(r"charset=[\"']?([\w.:-]{1,40})", kind, re.I | re.A) or re.search(r"<meta[^>]{1,200}?charset=[\"']?([\w.:-]{1,40})", body[:2048].decode("latin-1"), re.I | re.A)
     try:
-        return body.decode(m[1] if m else "utf-8", "replace")
-    except LookupError:
-        return body.decode("utf-8", "replace")
+        name = codecs.lookup(m[1]).name if m else "utf-8"
+        if name.replace("-", "_") not in NO_CHARSETS:
+            # some character sets can spell half a surrogate pair, which is no text
+            return body.decode(name, "replace").encode("utf-8", "replace").decode()
+    except (LookupError, UnicodeError, ValueError):
+        pass
+    return body.decode("utf-8", "replace")
+
+
+def title_and_links(page: str) -> tuple[str | None, list[dict[str, str]]]:
+    """The first title, and the addresses in the tags of a page, in order. Comments and raw text have no tags."""
+    title, links = None, []
+    for kind, name, rest in tagpath.Scanner(page).pieces():
+        if kind == "raw" and name == "title" and title is None:
+            title = " ".join(references.unescape(rest).split())
+        elif kind == "open" and rest:
+            for m in ATTRIBUTE.finditer(rest):
+                attribute = m[1].lower()
+                if attribute in ADDRESSES and m.lastindex > 1 and (attribute != "data" or name == "object"):
+                    links.append({"element": name, "url": references.unescape(m[m.lastindex])})
+    return title, links
 
 
 def derivatives(headers: dict[str, str], block: bytes) -> list[tuple[dict[str, str], bytes]]:
@@ -155,9 +200,8 @@ def derivatives(headers: dict[str, str], block: bytes) -> list[tuple[dict[str, s
     payload = source.get("warc-payload-digest") or digest(body)
     refers = source.get("warc-record-id") or record_id(source.get("warc-target-uri", ""), payload)
     ids = {kind: record_id(refers, kind) for kind in ("metadata", "conversion")}
-    title = TITLE.search(page)
-    links = [{"element": m[1].lower(), "url": references.unescape(m[2] or m[3] or m[4] or "")} for m in LINK.finditer(page)]
-    about = {"refers_to": refers, "conversion": ids["conversion"], "warc_headers": headers, "http_status": status, "http_headers": [list(x) for x in http], "payload_digest": payload, "title": " ".join(references.unescape(title[1]).split()) if title else None, "links": links}
+    title, links = title_and_links(page)
+    about = {"refers_to": refers, "conversion": ids["conversion"], "warc_headers": headers, "http_status": status, "http_headers": [list(x) for x in http], "payload_digest": payload, "title": title, "links": links}
     text = "\n".join(b.text for b in tagpath.blocks(page))
     blocks = {"metadata": json.dumps(about, ensure_ascii=False, sort_keys=True).encode(), "conversion": text.encode()}
     out = []
@@ -217,7 +261,7 @@ def _record(piece: bytes) -> tuple[dict[str, str], int, int] | None:
         return None
     headers = as_map(header_lines(piece[3:end]))
     size = next((v for k, v in headers.items() if k.lower() == "content-length"), "").split("\n")[0]
-    return headers, end + 4, int(size) if size.isdigit() else -1
+    return headers, end + 4, int(size) if LENGTH.fullmatch(size) else -1
 
 
 class Assembler:

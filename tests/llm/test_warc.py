@@ -2,7 +2,10 @@ from __future__ import annotations
 
 import gzip
 import json
+import time
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 
 from assay.llm import warc
@@ -106,3 +109,75 @@ def test_clashing_names_empty_table_and_long_page(spark):
     assert sizes[1, "conversion"] == 1
     assert sizes[2, "conversion"] == 5 * 400_000 - 1
     assert warc.derive(warc.responses(pages.limit(0), keep), keep).count() == 0
+
+
+@pytest.mark.parametrize("unit", ["<a ", "<title>", "<meta ", "<a href=", "<a href=\"", "<a x='", "a=", "<p a", "<title></titl", "</a <a", "<!--", "<iframe src=x>"])
+def test_hostile_pages_are_read_in_linear_time(unit):
+    for tail in ("", ">", "</title>"):
+        page = unit * (1_000_000 // len(unit)) + tail
+        began = time.perf_counter()
+        warc.title_and_links(page)
+        assert time.perf_counter() - began < 10
+
+
+@pytest.mark.parametrize("charset", ["undefined", "idna", "punycode", "unicode_escape", "no-such", "utf-7", "hex", "rot13", "x" * 500, "utf-16", "²"])
+def test_odd_charsets_do_not_stop_a_job(charset):
+    headers, block = response("http://x", b"<title>a+2AA-</title><p>b\xff\\x", ("Content-Type", f"text/html; charset={charset}"))
+    (_, meta), (_, text) = warc.derivatives(dict(headers), block)
+    assert json.loads(meta)["refers_to"] == "<urn:http://x>"
+    text.decode()
+
+
+@pytest.mark.parametrize("length", ["\u00b2", "9" * 5000, "-1", "+5", "1_0", "", " "])
+def test_odd_lengths_are_none(length):
+    found = warc._record(f"0\r\nWARC-Type: response\r\nContent-Length: {length}\r\n\r\nbody".encode())
+    assert found is not None and found[2] == -1
+
+
+def test_bodies_that_unpack_without_bound_are_taken_as_sent(monkeypatch):
+    monkeypatch.setattr(warc, "MOST_DECODED", 1 << 20)
+    bomb, fits = gzip.compress(b"<p>x" * 300_000), gzip.compress(b"<p>y</p>" * 1000)
+    http = [("Content-Encoding", "gzip")]
+    assert warc.decoded(bomb, http) == bomb
+    assert warc.decoded(fits + fits, http) == b"<p>y</p>" * 2000
+    assert warc.decoded(fits + b"junk", http) == b"<p>y</p>" * 1000
+    assert warc.decoded(fits[:-20], http).startswith(b"<p>y</p>")
+
+
+def test_links_of_all_elements_and_no_others():
+    page = """<TITLE lang=en> A &amp;
+ b</TITLE><!-- <a href=no> --><script src='s.js'>'<a href=no>'</script><area HREF="m?a=1&amp;b=2"><source src = v.mp4 ><object data=o></object><p data=no href>
+<form action="/f"><video poster='p.png'></video><a title='href="no"' href=/x/y>t</a><a href="">e</a><title>second</title>"""
+    title, links = warc.title_and_links(page)
+    assert title == "A & b"
+    assert [(x["element"], x["url"]) for x in links] == [("script", "s.js"), ("area", "m?a=1&b=2"), ("source", "v.mp4"), ("object", "o"), ("form", "/f"), ("video", "p.png"), ("a", "/x/y"), ("a", "")]
+
+
+def test_derivatives_of_the_given_pages_equal_a_plain_parser():
+    """Title and links against Python's own parser, page by page."""
+    from html.parser import HTMLParser
+
+    class Plain(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.links, self.title, self.inside = [], None, False
+
+        def handle_starttag(self, tag, attrs):
+            self.links += [(tag, v) for k, v in attrs if v is not None and (k in ("href", "src", "action", "poster") or (k, tag) == ("data", "object"))]
+            if tag == "title" and self.title is None:
+                self.inside, self.title = True, ""
+
+        def handle_endtag(self, tag):
+            self.inside &= tag != "title"
+
+        def handle_data(self, data):
+            if self.inside:
+                self.title += data
+
+    pages = pq.read_table("/root/testdata/sf0.001/pages.parquet", columns=["html"])["html"].to_pylist() if Path("/root/testdata/sf0.001/pages.parquet").exists() else [PAGE]
+    for page in pages:
+        plain = Plain()
+        plain.feed(page or "")
+        title, links = warc.title_and_links(page or "")
+        assert title == (None if plain.title is None else " ".join(plain.title.split()))
+        assert [(x["element"], x["url"]) for x in links] == plain.links
