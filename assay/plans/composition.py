@@ -109,7 +109,8 @@ def fill_gaps(facts: DataFrame, papers: DataFrame, extract: Callable[[DataFrame]
     score = retrieval.cosine("embedding", "_q")
     near = retrieval.ranked(chunks.join(wanted, "card_id").withColumn("_s", score), "card_id, section, field".split(", "), [F.desc("_s"), F.col("chunk")], top)
     texts = near.groupBy("card_id", "section", "field").agg(F.substring(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "text"))), lambda s: s["text"]), "\n"), 1, most).alias("text"))
-    own = F.expr(r"regexp_extract(text, concat('(?mi)^-\\s*', field, ':\\s*(.+)$'), 1)")
+    lines = F.expr(r"regexp_extract_all(text, concat('(?mi)^-\\s*', field, ':\\s*(.+)$'), 1)")
+    own = F.get(F.filter(lines, lambda v: ~F.contains(F.lower(v), F.lit(NO_INFORMATION))), F.lit(0))
     read = extract(texts) if extract else texts.withColumn("value", F.nullif(own, F.lit("")))
     new = read.where(F.col("value").isNotNull() & ~F.lower("value").contains(NO_INFORMATION)).select("card_id", F.lit("PAPER").alias("source"), "section", "field", F.col("value").alias("_v"))
     joined = facts.join(new, ["card_id", "source", "section", "field"], "left")
