@@ -26,7 +26,7 @@ import html as references
 import math
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -183,8 +183,8 @@ class Scanner:
                 at = lt + 1
 
 
-def blocks(page: str) -> list[Block]:
-    """The text blocks of a page in order, those of other parts than content included."""
+def blocks(page: str, pieces: Iterable[tuple[str, str, str]] | None = None) -> list[Block]:
+    """The text blocks of a page in order, those of other parts than content included. pieces: what a scanner found in it."""
     paths: dict[tuple[int, str], int] = {}
     root = node = Node("#root", None, 0, False, 0)
     out, parts, linked, link, made = [], [], 0, 0, 1
@@ -206,7 +206,7 @@ def blocks(page: str) -> list[Block]:
             if gone is last:
                 return
 
-    for kind, name, attributes in Scanner(page).pieces():
+    for kind, name, attributes in Scanner(page).pieces() if pieces is None else pieces:
         if kind == "text":
             parts.append(name)
             if link:

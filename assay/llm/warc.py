@@ -35,7 +35,7 @@ import json
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -172,16 +172,17 @@ def body_text(body: bytes, http: list[tuple[str, str]]) -> str:
         name = codecs.lookup(m[1]).name if m else "utf-8"
         if name.replace("-", "_") not in NO_CHARSETS:
             # some character sets can spell half a surrogate pair, which is no text
-            return body.decode(name, "replace").encode("utf-8", "replace").decode()
+            text = body.decode(name, "replace")
+            return text if name == "utf-8" else text.encode("utf-8", "replace").decode()
     except (LookupError, UnicodeError, ValueError):
         pass
     return body.decode("utf-8", "replace")
 
 
-def title_and_links(page: str) -> tuple[str | None, list[dict[str, str]]]:
+def title_and_links(page: str, pieces: Iterable[tuple[str, str, str]] | None = None) -> tuple[str | None, list[dict[str, str]]]:
     """The first title, and the addresses in the tags of a page, in order. Comments and raw text have no tags."""
     title, links = None, []
-    for kind, name, rest in tagpath.Scanner(page).pieces():
+    for kind, name, rest in tagpath.Scanner(page).pieces() if pieces is None else pieces:
         if kind == "raw" and name == "title" and title is None:
             title = " ".join(references.unescape(rest).split())
         elif kind == "open" and rest:
@@ -200,9 +201,10 @@ def derivatives(headers: dict[str, str], block: bytes) -> list[tuple[dict[str, s
     payload = source.get("warc-payload-digest") or digest(body)
     refers = source.get("warc-record-id") or record_id(source.get("warc-target-uri", ""), payload)
     ids = {kind: record_id(refers, kind) for kind in ("metadata", "conversion")}
-    title, links = title_and_links(page)
+    pieces = list(tagpath.Scanner(page).pieces())
+    title, links = title_and_links(page, pieces)
     about = {"refers_to": refers, "conversion": ids["conversion"], "warc_headers": headers, "http_status": status, "http_headers": [list(x) for x in http], "payload_digest": payload, "title": title, "links": links}
-    text = "\n".join(b.text for b in tagpath.blocks(page))
+    text = "\n".join(b.text for b in tagpath.blocks(page, pieces))
     blocks = {"metadata": json.dumps(about, ensure_ascii=False, sort_keys=True).encode(), "conversion": text.encode()}
     out = []
     for kind, other in (("metadata", "conversion"), ("conversion", "metadata")):
