@@ -97,7 +97,7 @@ def near(a: DataFrame, b: DataFrame, least: float) -> DataFrame:
     """Candidates within the deletion neighbourhood, compared."""
     # a few names make many keys, so they are dealt to all tasks first
     tasks = int(a.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = lambda d, n, most, longest: d.where(F.char_length(n) <= longest).repartition(tasks, n).select("*", F.explode(F.transform(deletions(F.col(n), most), F.xxhash64)).alias("_s"))
+    keys = lambda d, n, most, longest: d.where(F.char_length(n) <= longest).repartition(tasks, n).select("*", F.explode(F.transform(deletions(F.col(n), most), lambda s: F.xxhash64(s))).alias("_s"))
     # a partner may be longer by what it loses
     return _compared(keys(a, "na", 1, NEAR).join(keys(b, "nb", 2, NEAR + 2), "_s").drop("_s"), least)
 
