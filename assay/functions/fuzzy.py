@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import lru_cache
 
 import numpy as np
@@ -35,13 +36,33 @@ def similarity(a: str | None, b: str | None) -> float:
 
 
 def partial_similarity(a: str | None, b: str | None) -> float:
-    """The best similarity of the shorter string with a substring of its length in the longer one."""
+    """The best similarity of the shorter string with a substring of its length in the longer one.
+
+    No more characters are common in order than are in any; substrings that cannot be better by that bound are not compared.
+    """
     if not a or not b:
         return 0.0
     if len(a) > len(b):
         a, b = b, a
-    n = len(a)
-    return max(similarity(a, b[max(0, i) : i + n]) for i in range(1 - n, len(b)))
+    if a in b:
+        return 100.0
+    n, free, shared, bounds = len(a), Counter(a), 0, []
+    for i in range(1 - n, len(b)):
+        if i + n <= len(b):
+            c = b[i + n - 1]
+            shared += free[c] > 0
+            free[c] -= 1
+        if i > 0:
+            c = b[i - 1]
+            free[c] += 1
+            shared -= free[c] > 0
+        bounds.append((200.0 * shared / (n + min(len(b), i + n) - max(0, i)), i))
+    best = 0.0
+    for bound, i in sorted(bounds, reverse=True):
+        if bound <= best:
+            break
+        best = max(best, similarity(a, b[max(0, i) : i + n]))
+    return best
 
 
 def most_similar(names: list[str], others: list[str], labels: list[str], least: float) -> list[tuple[str, float] | None]:
