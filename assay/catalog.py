@@ -18,7 +18,7 @@ from .providers import Provider, hashed_vectors, risks, support
 from .session import ship
 from .sources import files, hub, pages, papers
 from .storage import new_path, release
-from .streaming import incremental
+from .streaming import incremental, jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -877,6 +877,20 @@ def _(spark, sf):
     return read(spark, sf, "events").where(checks.is_merged(body)).select("event_id")
 
 
+@query("q2_single_flight")
+def _(spark, sf):
+    """The events as a stream: purchases and clicks bring folders, signups end jobs, views and errors are ignored; an hour each."""
+    source = spark.readStream.schema(read(spark, sf, "events").schema).parquet(f"{sf}/events.parquet*")  # a pattern: the path itself would have to be a folder
+    kind = F.when(F.col("event_type").isin("purchase", "click"), "new").when(F.col("event_type") == "signup", "done")
+    folders = F.array(F.concat(F.lit("f"), F.col("event_id") % 7))
+    rows = source.select(F.concat(F.lit("u"), "user_id").alias("key"), "ts", kind.alias("kind"), F.when(kind == "new", folders).alias("folders"), F.lit(None).cast("long").alias("job"))
+    out, checkpoint = new_path(spark, "single-flight"), new_path(spark, "single-flight-state")
+    flights = jobs.single_flight(rows).writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    flights.awaitTermination()
+    release(spark, checkpoint)
+    return spark.read.schema(jobs.ACTIONS).parquet(out)
+
+
 @query("p10_skip_aggregates", "SELECT n_nationkey FROM nation WHERE n_nationkey % 2 = 1")
 def _(spark, sf):
     name = F.when(F.col("n_nationkey") % 2 == 0, F.element_at(F.array(*map(F.lit, resolve.AGGREGATES)), (F.col("n_nationkey") % 6 + 1).cast("int"))).otherwise(F.col("n_name"))
