@@ -179,7 +179,7 @@ def _bands(classes: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, size: int, doc_id: str, text: str) -> DataFrame:
-    """(id, shingles, registers) of the classes `wanted` (rep, k, tag, f1, f2, n), from a row of each."""
+    """(id, n, shingles, registers) of the classes `wanted` (rep, k, tag, f1, f2, n), from a row of each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -193,7 +193,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int, doc_id: str, text: str)
 
     source = docs.select(key_of(doc_id).alias("k"), tag_of(text).alias("tag"), F.col(text).alias("text"))
     made = source.join(wanted.select("k", "tag").distinct(), ["k", "tag"], "left_semi").select("text").mapInArrow(run, "n long, f1 long, f2 long, shingles binary, registers binary")
-    return made.join(wanted.select(F.col("rep").alias("id"), "f1", "f2", "n"), ["f1", "f2", "n"]).dropDuplicates(["id"]).select("id", "shingles", "registers")
+    return made.join(wanted.select(F.col("rep").alias("id"), "f1", "f2", "n"), ["f1", "f2", "n"]).dropDuplicates(["id"]).select("id", "n", "shingles", "registers")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -227,6 +227,7 @@ def _tested_in_blocks(left: DataFrame, bucket: DataFrame, sets: DataFrame, perce
     Classes are dealt to blocks of bounded size by the least class they share a bucket with. A class outside its bucket's
     first component meets every block that has a member in one of its buckets, and there all members: a superset of its
     candidates, tested without a row for each pair. The classes that meet a block are dealt to parts of bounded size, too.
+    Registers meet first; sets of shingles are sent only for classes that the estimate lets pass in that block, on either side.
     """
     least = bucket.groupBy("key").agg(F.min("rep").alias("family"))
     family = bucket.join(least, "key").groupBy("rep", "n").agg(F.min("family").alias("family"))
@@ -235,10 +236,33 @@ def _tested_in_blocks(left: DataFrame, bucket: DataFrame, sets: DataFrame, perce
     label = left.select("rep", "label").distinct()
     here = left.join(block.select("rep", "block"), "rep").select("key", "block").distinct()
     meets = left.where("label <> low").select("key", "rep").join(here, "key").select("rep", "block").distinct()
-    salts = meets.groupBy("block").agg(F.ceil(F.count("*") / F.lit(float(BLOCK_CLASSES))).alias("salts"))
-    of = lambda d: d.join(label, "rep", "left").withColumn("label", F.coalesce("label", "rep")).join(sets.withColumnRenamed("id", "rep"), "rep").select(*[F.col(c).alias(c) for c in ("block", "salt", "rep", "label", "shingles", "registers")])
-    guests = of(meets.join(salts, "block").withColumn("salt", F.pmod(F.xxhash64("rep"), "salts")))
-    hosts = of(block.join(salts, "block").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1))))
+
+    def sides(guests: DataFrame, hosts: DataFrame, *columns: str):
+        """Guests and hosts (rep, block), grouped by block and part, with labels and the named columns of their sets."""
+        salts = guests.groupBy("block").agg(F.ceil(F.count("*") / F.lit(float(BLOCK_CLASSES))).alias("salts"))
+        own = sets.select(F.col("id").alias("rep"), *columns)
+        of = lambda d: d.join(label, "rep", "left").join(own, "rep").select(F.coalesce("label", "rep").alias("label"), *[F.col(c).alias(c) for c in ("block", "salt", "rep", *columns)]).groupBy("block", "salt")
+        dealt = guests.join(salts, "block").withColumn("salt", F.pmod(F.xxhash64("rep"), "salts"))
+        copied = hosts.join(salts, "block").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
+        return of(dealt).cogroup(of(copied))
+
+    def passing(row: np.ndarray, n: int, lab: int, labels: np.ndarray, size: np.ndarray, matrix: np.ndarray) -> np.ndarray:
+        """The hosts of other labels whose size and estimate leave a link possible."""
+        t = percent / 100
+        other = np.flatnonzero((labels != lab) & (np.minimum(size, n) * 100 >= np.maximum(size, n) * percent))
+        j, used = estimate(matrix[other], np.broadcast_to(row, (len(other), REGISTERS)), size[other], np.full(len(other), n))
+        return other[j + 6 * np.sqrt(t * (1 - t) / np.maximum(used, 1)) + 0.01 >= t]
+
+    def sift(guest: pa.Table, host: pa.Table) -> pa.Table:
+        labels, size, matrix = host.column("label").to_numpy(), host.column("n").to_numpy(), _matrix(host.column("registers"))
+        met, some = np.zeros(len(size), bool), np.zeros(guest.num_rows, bool)
+        for i, (n, lab, row) in enumerate(zip(guest.column("n").to_pylist(), guest.column("label").to_pylist(), _matrix(guest.column("registers")), strict=True)):
+            other = passing(row, n, lab, labels, size, matrix)
+            met[other], some[i] = True, len(other) > 0
+        rep = np.concatenate([guest.column("rep").to_numpy()[some], host.column("rep").to_numpy()[met]])
+        return pa.table({"block": np.full(len(rep), guest.column("block")[0].as_py(), np.int64), "rep": rep, "guest": np.arange(len(rep)) < some.sum()})
+
+    sifted, p_sifted = materialise(sides(meets, block.select("rep", "block"), "n", "registers").applyInArrow(_nonempty(sift, SIFTED), "block long, rep long, guest boolean").distinct(), "sketch-sifted")
 
     def run(guest: pa.Table, host: pa.Table) -> pa.Table:
         own = [np.frombuffer(x.as_buffer(), np.uint64) for x in host.column("shingles")]
@@ -248,12 +272,10 @@ def _tested_in_blocks(left: DataFrame, bucket: DataFrame, sets: DataFrame, perce
         value, owner = value[by], owner[by]
         host_id, host_label = host.column("rep").to_numpy(), host.column("label").to_numpy()
         matrix = _matrix(host.column("registers"))
-        t, u, v = percent / 100, [], []
+        u, v = [], []
         for rep, lab, cell, row in zip(guest.column("rep").to_pylist(), guest.column("label").to_pylist(), guest.column("shingles"), _matrix(guest.column("registers")), strict=True):
             x = np.frombuffer(cell.as_buffer(), np.uint64)
-            other = np.flatnonzero((host_label != lab) & (np.minimum(size, len(x)) * 100 >= np.maximum(size, len(x)) * percent))
-            j, used = estimate(matrix[other], np.broadcast_to(row, (len(other), REGISTERS)), size[other], np.full(len(other), len(x)))
-            other = other[j + 6 * np.sqrt(t * (1 - t) / np.maximum(used, 1)) + 0.01 >= t]
+            other = passing(row, len(x), lab, host_label, size, matrix)
             if not len(other):
                 continue
             low, high = np.searchsorted(value, x, "left"), np.searchsorted(value, x, "right")
@@ -265,14 +287,19 @@ def _tested_in_blocks(left: DataFrame, bucket: DataFrame, sets: DataFrame, perce
             v += host_id[one].tolist()
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
-    return guests.groupBy("block", "salt").cogroup(hosts.groupBy("block", "salt")).applyInArrow(_nonempty(run), "u long, v long").distinct()
+    part = lambda guest: sifted.where(F.col("guest") == guest).select("rep", "block")
+    return sides(part(True), part(False), "shingles", "registers").applyInArrow(_nonempty(run, PAIRS), "u long, v long").distinct(), p_sifted
+
+
+PAIRS = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+SIFTED = pa.schema([("block", pa.int64()), ("rep", pa.int64()), ("guest", pa.bool_())])
 
 
-def _nonempty(run):
+def _nonempty(run, schema: pa.Schema):
     def guarded(guest: pa.Table, host: pa.Table) -> pa.Table:
         if guest.num_rows and host.num_rows:
             return run(guest, host)
-        return pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64())})
+        return schema.empty_table()
 
     return guarded
 
@@ -320,10 +347,11 @@ def _labelled(docs: DataFrame, size: int, percent: int, doc_id: str, text: str,
     placed, p_placed = materialise(place(labels), "sketch-placed")
     open_keys = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key", "low")
     left, p_left = materialise(placed.join(open_keys, "key"), "sketch-open")
-    found, p_found = materialise(_tested_in_blocks(left, bucket, sets, percent), "near-links")
+    tested, p_sifted = _tested_in_blocks(left, bucket, sets, percent)
+    found, p_found = materialise(tested, "near-links")
     if found.limit(1).count():
         labels = components(found if links is None else links.unionByName(found))
-    release(spark, p_bucket, p_sets, p_placed, p_left, p_found, *paths)
+    release(spark, p_bucket, p_sets, p_placed, p_left, p_sifted, p_found, *paths)
     known = classes.select("f1", "f2", "n", "k", "tag", "rep")
     if labels is None:
         known = known.select("f1", "f2", "n", F.col("k").alias("least"), F.col("tag").alias("least_tag"))

@@ -145,3 +145,28 @@ def test_kernel_words_equal_regex():
     start, end, doc = kernels.words(raw, offsets)
     got = [[raw[a:b].tobytes().decode() for a, b, d in zip(start, end, doc, strict=True) if d == i] for i in range(len(texts))]
     assert got == [words(t) for t in texts]
+
+
+def test_sets_are_sent_only_where_registers_pass(spark, monkeypatch):
+    """One template with similarities of about a half: classes share buckets, and no set of shingles meets another.
+
+    The texts are long enough to fill the registers; estimates of short ones are too rough to rule out a half.
+    """
+    rng = random.Random(9)
+    docs = []
+    for d in range(150):
+        t = [f"v{i}" for i in range(420)]
+        for k in range(0, 420, 6):
+            t[k] = f"n{rng.randrange(10_000)}"
+        docs.append((d, " ".join(t)))
+    counts, plain = {}, hyperminhash.materialise
+
+    def counted(df, name):
+        table, path = plain(df, name)
+        counts[name] = table.count()
+        return table, path
+
+    monkeypatch.setattr(hyperminhash, "materialise", counted)
+    got = {r["doc_id"]: r["component_id"] for r in hyperminhash.near_duplicates(frame(spark, docs), 2, rounds=0).collect()}
+    assert got == near_components(docs, 2)[0]
+    assert counts["sketch-open"] > 0 and counts["sketch-sifted"] == 0
