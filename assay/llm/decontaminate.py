@@ -15,13 +15,18 @@ all values are the item's own the finding is "verbatim", else "reparameterised".
 VERBATIM or more words of the item, all as they are, is a finding still. An item of fewer than SHORTEST words, which many
 texts say by chance, is found where a line of a document says it and nothing else.
 
+Two kinds are hints, no findings, since clean texts have them too: "edited", COVER to VERBATIM words of an item as they are
+beside slots that contradict it, and "mention", an item of fewer than SHORTEST words inside a line. They are in a column of
+their own; `clean` leaves them to its caller.
+
 The benchmark is taken in blocks of at most BLOCK_WINDOWS windows. One block's table is small by that bound and goes to the
 executors; a larger benchmark takes several passes over the documents, each written before the next begins, so that one table
 is held at a time. The hits of a document are looked at PAIRS at a time, however many items share a window.
 
 Defined results: null or empty text contains nothing; items without words are not looked for, items shorter than WINDOW are
 one window; equal items are all named; repeated rows get equal results; an empty benchmark finds nothing, an empty table
-gives an empty result. Extra columns pass through; one named `found` is replaced. Memory is bounded by the longest text.
+gives an empty result. Extra columns pass through; those named `found` or `hints` are replaced. Of an item that is found in a
+text no hint is given. Memory is bounded by the longest text.
 """
 
 from __future__ import annotations
@@ -42,6 +47,7 @@ WINDOW, COVER, PLAIN, SHORTEST, VERBATIM = 8, 13, 4, 5, 20
 BLOCK_WINDOWS = 1_000_000
 #: Pairs of a window of a text and one of an item that are looked at at once, whole documents at a time.
 PAIRS = 2_000_000
+HINTS = ("edited", "mention")
 
 # Words for numbers and units that become placeholders.
 NUMBER_WORDS = "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion".split()
@@ -175,7 +181,7 @@ class Templates:
 
     def search(self, raw: np.ndarray, offsets: np.ndarray) -> dict[int, list[dict]]:
         """What is found in each text, by text number; of an item found in several streams what the first says."""
-        found: dict[tuple[int, int], dict] = {}
+        found: dict[tuple[int, int, bool], dict] = {}
         all_words = streams(raw, offsets)
         first = np.searchsorted(all_words[0].doc, np.arange(len(offsets)))
         for part, w in zip(self.parts, all_words, strict=True):
@@ -183,13 +189,13 @@ class Templates:
         if self.short:
             found = self._lines(raw, all_words[0], first) | found
         out: dict[int, list[dict]] = defaultdict(list)
-        for (d, _), what in sorted(found.items()):
-            out[d].append(what)
+        for (d, k, hint), what in sorted(found.items()):
+            if not hint or (d, k, False) not in found:
+                out[d].append(what)
         return out
 
-
-    def _lines(self, raw: np.ndarray, words: Words, first: np.ndarray) -> dict[tuple[int, int], dict]:
-        """The short items that are a whole line of a text."""
+    def _lines(self, raw: np.ndarray, words: Words, first: np.ndarray) -> dict[tuple[int, int, bool], dict]:
+        """The short items that are a whole line of a text, and as hints those inside one."""
         if not len(words.doc):
             return {}
         line = np.searchsorted(np.flatnonzero(raw == 10), words.begin)
@@ -197,14 +203,19 @@ class Templates:
         new[1:] = (line[1:] != line[:-1]) | (words.doc[1:] != words.doc[:-1])
         at = np.flatnonzero(new)
         size = np.diff(np.append(at, len(line)))
-        found: dict[tuple[int, int], dict] = {}
+        found: dict[tuple[int, int, bool], dict] = {}
         for n in sorted({n for n, _ in self.short}):
-            few = at[size == n]
-            grams = K.ngrams(words.value, n)[few] if len(few) else []
-            for p, g in zip(few.tolist(), grams, strict=True):
-                for k in self.short.get((n, int(g)), ()):
-                    d = int(words.doc[p])
-                    found.setdefault((d, k), {"item_id": self.ids[k], "n_words": n, "kind": "verbatim", "from_word": int(p - first[d]), "to_word": int(p + n - first[d])})
+            known = np.array(sorted(h for m, h in self.short if m == n), K.U)
+            whole = np.zeros(len(line), bool)
+            whole[at[size == n]] = True
+            starts = K.windows(words.doc, n)
+            starts = starts[line[starts] == line[starts + n - 1]]
+            grams = K.ngrams(words.value, n)[starts] if len(starts) else np.zeros(0, K.U)
+            some = np.isin(grams, known)
+            for p, g in zip(starts[some].tolist(), grams[some].tolist(), strict=True):
+                for k in self.short[n, g]:
+                    d, hint = int(words.doc[p]), not whole[p]
+                    found.setdefault((d, k, hint), {"item_id": self.ids[k], "n_words": n, "kind": "mention" if hint else "verbatim", "from_word": int(p - first[d]), "to_word": int(p + n - first[d])})
         return found
 
 
@@ -240,8 +251,8 @@ class _Stream:
         self.filter = np.zeros(1 << 20, bool)
         self.filter[(h >> K.U(44)).astype(np.int64)] = True
 
-    def search(self, words: Words, first: np.ndarray) -> dict[tuple[int, int], dict]:
-        """What is found, by text number and number of the item; first: where the words of each text begin."""
+    def search(self, words: Words, first: np.ndarray) -> dict[tuple[int, int, bool], dict]:
+        """What is found, by text number, number of the item and whether it is a hint; first: where the words of each text begin."""
         doc, value, kind = words.doc, words.value, words.kind
         hits = []
         for h in [h for h, _ in _forms(value, kind)] + [value] * bool(self.literal.any()):
@@ -260,7 +271,7 @@ class _Stream:
             return {}
         by = np.argsort(doc[at], kind="stable")
         at, low, times, size = at[by], low[by], times[by], size[by]
-        found: dict[tuple[int, int], dict] = {}
+        found: dict[tuple[int, int, bool], dict] = {}
         edge = np.append(np.flatnonzero(np.diff(doc[at], prepend=-1)), len(at))
         total = np.append(0, np.cumsum(times))
         i = 0
@@ -274,17 +285,18 @@ class _Stream:
             i = j
         return found
 
-    def _aligned(self, at: np.ndarray, entry: np.ndarray, words: Words, first: np.ndarray) -> dict[tuple[int, int], dict]:
+    def _aligned(self, at: np.ndarray, entry: np.ndarray, words: Words, first: np.ndarray) -> dict[tuple[int, int, bool], dict]:
         """What pairs of windows, of whole documents, add up to."""
         doc, value = words.doc, words.value
         groups: dict[tuple[int, int, int], set[tuple[int, int, bool]]] = defaultdict(set)
         for d, p, k, q, n, literal in zip(doc[at].tolist(), at.tolist(), self.item[entry].tolist(), self.at[entry].tolist(), self.size[entry].tolist(), self.literal[entry].tolist(), strict=True):
             groups[d, k, p - q].add((q, n, literal))
-        found: dict[tuple[int, int], dict] = {}
+        found: dict[tuple[int, int, bool], dict] = {}
 
         def report(d: int, k: int, shift: int, where: list[int], covered: int, kind: str) -> None:
-            if (d, k) not in found or found[d, k]["n_words"] < covered:
-                found[d, k] = {"item_id": self.ids[k], "n_words": covered, "kind": kind, "from_word": int(words.word[where[0] + shift] - first[d]), "to_word": int(words.last[where[-1] + shift] + 1 - first[d])}
+            key = d, k, kind == "edited"
+            if key not in found or found[key]["n_words"] < covered:
+                found[key] = {"item_id": self.ids[k], "n_words": covered, "kind": kind, "from_word": int(words.word[where[0] + shift] - first[d]), "to_word": int(words.last[where[-1] + shift] + 1 - first[d])}
 
         for (d, k, shift), spans in sorted(groups.items()):
             v, c = self.items[k]
@@ -313,8 +325,8 @@ class _Stream:
                 run: list[int] = []
                 for q in [*own, -9]:
                     if run and q != run[-1] + 1:
-                        if length(run) >= VERBATIM:
-                            report(d, k, shift, run, length(run), "verbatim")
+                        if length(run) >= COVER:
+                            report(d, k, shift, run, length(run), "verbatim" if length(run) >= VERBATIM else "edited")
                         run = []
                     run.append(q)
         return found
@@ -339,9 +351,10 @@ def blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", l
 
 
 def find(docs: DataFrame, benchmark: DataFrame, keep: list[str], text: str = "text", limit: int = BLOCK_WINDOWS) -> DataFrame:
-    """The columns `keep` of docs and `found`, one entry for each benchmark item in the text."""
-    spark, keep = docs.sparkSession, [c for c in keep if c != "found"]
-    out = docs.select(F.struct(*keep).alias("__row"), F.col(text).alias("__text"), F.array().cast(FOUND).alias("found"))
+    """The columns `keep` of docs and `found`, one entry for each benchmark item in the text, and `hints`, likewise."""
+    spark, keep = docs.sparkSession, [c for c in keep if c not in ("found", "hints")]
+    none = F.array().cast(FOUND)
+    out = docs.select(F.struct(*keep).alias("__row"), F.col(text).alias("__text"), none.alias("found"), none.alias("hints"))
     shared, path = None, None
     for block in blocks(benchmark, text="text", limit=limit):
         if shared is not None:
@@ -352,11 +365,11 @@ def find(docs: DataFrame, benchmark: DataFrame, keep: list[str], text: str = "te
                 release(spark, old)
         shared = spark.sparkContext.broadcast(block)
         out = _searched(out, shared)
-    return out.select(*[F.col("__row")[c].alias(c) for c in keep], "found")
+    return out.select(*[F.col("__row")[c].alias(c) for c in keep], "found", "hints")
 
 
 def _searched(rows: DataFrame, shared) -> DataFrame:
-    """rows (__row, __text, found) with what a block finds added."""
+    """rows (__row, __text, found, hints) with what a block finds added."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         templates = shared.value
@@ -365,9 +378,12 @@ def _searched(rows: DataFrame, shared) -> DataFrame:
             for i, j, r, o in K.chunks(raw, offsets):
                 part = batch.slice(i, j - i)
                 seen = templates.search(r, o)
-                old = part.column("found").to_pylist() if seen else None
-                found = part.column("found") if old is None else pa.array([old[k] + seen.get(k, []) for k in range(j - i)], _ARROW)
-                yield pa.RecordBatch.from_arrays([part.column("__row"), part.column("__text"), found.cast(_ARROW)], names=["__row", "__text", "found"])
+                both = []
+                for name, hint in (("found", False), ("hints", True)):
+                    new = {d: these for d, what in seen.items() if (these := [x for x in what if (x["kind"] in HINTS) is hint])}
+                    old = part.column(name).to_pylist() if new else None
+                    both.append(part.column(name) if old is None else pa.array([old[k] + new.get(k, []) for k in range(j - i)], _ARROW))
+                yield pa.RecordBatch.from_arrays([part.column("__row"), part.column("__text"), *[x.cast(_ARROW) for x in both]], names=["__row", "__text", "found", "hints"])
 
     return rows.mapInArrow(run, rows.schema)
 

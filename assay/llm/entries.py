@@ -85,6 +85,7 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         F.array_sort(found["item_id"]).alias("item_ids"),
         F.coalesce(F.array_max(found["n_words"]), F.lit(0)).alias("matched_words"),
         F.exists(found, lambda x: x["kind"] == "reparameterised").alias("reparameterised"),
+        *[F.array_sort(F.filter("hints", lambda x: x["kind"] == kind)["item_id"]).alias(f"{kind}_ids") for kind in decontaminate.HINTS],  # noqa: B023
     )
 
 

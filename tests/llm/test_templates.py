@@ -65,6 +65,30 @@ def test_a_long_copy_with_one_edited_value_is_found(spark):
     assert [x["kind"] for x in got[1]] == ["reparameterised"]
 
 
+def hints(spark, texts, items):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame([(100 + i, t) for i, t in enumerate(items)], "item_id long, text string")
+    return {r["doc_id"]: (r["found"], r["hints"]) for r in decontaminate.find(docs, bench, ["doc_id"]).collect()}, docs, bench
+
+
+def test_short_items_inside_lines_are_hints(spark):
+    texts = ["he asked: is water wet?", "is\nwater wet?", "Is water wet?\nhe asked: is water wet", "water is wet", None, "", "so is water wet and is water wet", "Oslo"]
+    got, docs, bench = hints(spark, texts, ["Is water wet?", "Oslo"])
+    assert {d: [(x["item_id"], x["kind"], x["from_word"], x["to_word"]) for x in h] for d, (_, h) in got.items() if h} == {0: [(100, "mention", 2, 5)], 6: [(100, "mention", 1, 4)]}
+    assert {d for d, (f, _) in got.items() if f} == {2, 7}
+    assert {r["doc_id"] for r in decontaminate.clean(docs, bench).collect()} == {0, 1, 3, 4, 5, 6}
+
+
+def test_a_copy_of_some_length_with_an_edited_value_is_a_hint(spark):
+    item = "The red barn holds 7 cows and " + " ".join(f"word{i}" for i in range(8)) + " while 7 goats"
+    edited = item.replace("while 7", "while 9")
+    got, _, _ = hints(spark, [edited, f"{edited} . {item}", item.replace("7", "9"), "The red barn holds 7 cows"], [item])
+    assert {d: len(f) for d, (f, _) in got.items()} == {0: 0, 1: 1, 2: 1, 3: 0}
+    assert [x["kind"] for x in got[0][1]] == ["edited"]
+    assert decontaminate.COVER <= got[0][1][0]["n_words"] < decontaminate.VERBATIM
+    assert not got[1][1] and not got[2][1] and not got[3][1]
+
+
 def test_items_that_share_a_window_are_all_named(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "PAIRS", 10)
     stem = "what is the capital of the land that lies to the north of the river"
@@ -81,7 +105,7 @@ def test_clash_repeated_rows_long_text_and_empty_table(spark):
     docs = spark.createDataFrame([(1, item, "x"), (1, item, "x"), (2, "word " * 300_000 + item, "y"), (None, None, None)], "doc_id long, text string, found string")
     bench = spark.createDataFrame([(5, item)], "item_id long, text string")
     out = decontaminate.find(docs, bench, ["doc_id", "found"])
-    assert out.columns == ["doc_id", "found"]
+    assert out.columns == ["doc_id", "found", "hints"]
     assert sorted((str(r["doc_id"]), len(r["found"])) for r in out.collect()) == [("1", 1), ("1", 1), ("2", 1), ("None", 0)]
     assert decontaminate.clean(docs, bench).columns == docs.columns
     assert decontaminate.find(docs.limit(0), bench, ["doc_id"]).count() == 0
