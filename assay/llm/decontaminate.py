@@ -25,7 +25,7 @@ is held at a time. The hits of a document are looked at PAIRS at a time, however
 
 Defined results: null or empty text contains nothing; items without words are not looked for, items shorter than WINDOW are
 one window; equal items are all named; repeated rows get equal results; an empty benchmark finds nothing, an empty table
-gives an empty result. Extra columns pass through; those named `found` or `hints` are replaced. Of an item that is found in a
+gives an empty result. Extra columns pass through; one named `found` is replaced, and one named `hints` if hints are asked for. Of an item that is found in a
 text no hint is given. Memory is bounded by the longest text.
 """
 
@@ -350,9 +350,10 @@ def blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", l
         yield Templates(ids, texts)
 
 
-def find(docs: DataFrame, benchmark: DataFrame, keep: list[str], text: str = "text", limit: int = BLOCK_WINDOWS) -> DataFrame:
-    """The columns `keep` of docs and `found`, one entry for each benchmark item in the text, and `hints`, likewise."""
-    spark, keep = docs.sparkSession, [c for c in keep if c not in ("found", "hints")]
+def find(docs: DataFrame, benchmark: DataFrame, keep: list[str], text: str = "text", limit: int = BLOCK_WINDOWS, hints: bool = False) -> DataFrame:
+    """The columns `keep` of docs and `found`, one entry for each benchmark item in the text; on request `hints`, likewise."""
+    made = ["found", "hints"] if hints else ["found"]
+    spark, keep = docs.sparkSession, [c for c in keep if c not in made]
     none = F.array().cast(FOUND)
     out = docs.select(F.struct(*keep).alias("__row"), F.col(text).alias("__text"), none.alias("found"), none.alias("hints"))
     shared, path = None, None
@@ -365,7 +366,7 @@ def find(docs: DataFrame, benchmark: DataFrame, keep: list[str], text: str = "te
                 release(spark, old)
         shared = spark.sparkContext.broadcast(block)
         out = _searched(out, shared)
-    return out.select(*[F.col("__row")[c].alias(c) for c in keep], "found", "hints")
+    return out.select(*[F.col("__row")[c].alias(c) for c in keep], *made)
 
 
 def _searched(rows: DataFrame, shared) -> DataFrame:

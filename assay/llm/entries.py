@@ -77,7 +77,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"])
+    out = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"], hints=True)
     found = F.col("found")
     return out.select(
         "doc_id",
