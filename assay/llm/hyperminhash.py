@@ -12,11 +12,13 @@ With 42 bands of 6 registers a pair at similarity 0.8 is missed with probability
 Work is kept in proportion to the rows. Documents with equal sets are one class from the start, so copies are never paired.
 Then rounds follow: in each bucket that spans several components a centre is drawn, and every class outside the centre's
 component tries one centre of its buckets, later up to TRIES, so rounds test a few pairs a class, while links join large groups of near
-copies to one component within a few rounds. What is still open is then tested in full: in each bucket that spans several
+copies to one component within a few rounds. A round's links are kept as links between the labels of components, which it then
+joins; links of earlier rounds are not walked again. What is still open is then tested in full: in each bucket that spans several
 components each class outside the first one with all classes of other components. That is exact: every pair of a bucket is
 either tested or already connected.
 
-Growth: the rounds test a bounded number of pairs a class. The last step tests classes that share a band without being alike
+Growth: the rounds test a bounded number of pairs a class and yield at most as many links; the last step yields fewer links
+than rows of guests and hosts, as each group of them passes on one link at most for each of its labels. The last step tests classes that share a band without being alike
 enough (pages of one template at similarity 0.5 to 0.79) with all of each other: for m such classes in one bucket m * m / 2
 estimates of registers, in blocks over many tasks. It is the price of losing no link; a million such classes cost some 40 core hours.
 
@@ -197,7 +199,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int, doc_id: str, text: str)
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) with 100 * |intersection| >= percent * |union|.
+    """The labels, as (u, v), of the pairs (u, v, label_u, label_v) with 100 * |intersection| >= percent * |union|.
 
     The corrected estimate drops pairs that are six standard deviations below; the others are decided by their full sets.
     """
@@ -216,24 +218,32 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                     both.sort()
                     common = int((both[1:] == both[:-1]).sum())
                     keep[k] = 100 * common >= percent * (len(both) - common)
-                yield part.select(["u", "v"]).filter(pa.array(keep))
+                keep = pa.array(keep)
+                yield pa.RecordBatch.from_arrays([part.column("label_u").filter(keep), part.column("label_v").filter(keep)], names=["u", "v"])
 
     return pairs.join(of("u"), "u").join(of("v"), "v").mapInArrow(run, "u long, v long")
 
 
-def _tested_in_blocks(left: DataFrame, bucket: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (u, v) between components, from the buckets (key, rep, n, label, low) that still span several.
+def _joined(state: DataFrame, links: DataFrame) -> DataFrame:
+    """(rep, label) after links between labels have joined components."""
+    step = components(links).withColumnsRenamed({"label": "least", "node": "label"})
+    return state.join(step, "label", "left").select("rep", F.coalesce("least", "label").alias("label"))
+
+
+def _tested_in_blocks(left: DataFrame, bucket: DataFrame, state: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, str]:
+    """Links (u, v) between the labels of components, from the buckets (key, rep, n, label, low) that still span several.
 
     Classes are dealt to blocks of bounded size by the least class they share a bucket with. A class outside its bucket's
     first component meets every block that has a member in one of its buckets, and there all members: a superset of its
     candidates, tested without a row for each pair. The classes that meet a block are dealt to parts of bounded size, too.
     Registers meet first; sets of shingles are sent only for classes that the estimate lets pass in that block, on either side.
+    A group of guests and hosts joins labels as it finds links, and what it has joined is not tested again: it yields fewer
+    links than it has labels, from each to the least that it is joined with.
     """
     least = bucket.groupBy("key").agg(F.min("rep").alias("family"))
     family = bucket.join(least, "key").groupBy("rep", "n").agg(F.min("family").alias("family"))
     parts = family.groupBy("family").agg(F.ceil(F.sum(F.col("n") + 64) / F.lit(float(BLOCK_SHINGLES))).alias("parts"))
     block = family.join(parts, "family").select("rep", "n", F.xxhash64("family", F.pmod(F.xxhash64("rep"), "parts")).alias("block"))
-    label = left.select("rep", "label").distinct()
     here = left.join(block.select("rep", "block"), "rep").select("key", "block").distinct()
     meets = left.where("label <> low").select("key", "rep").join(here, "key").select("rep", "block").distinct()
 
@@ -241,7 +251,7 @@ def _tested_in_blocks(left: DataFrame, bucket: DataFrame, sets: DataFrame, perce
         """Guests and hosts (rep, block), grouped by block and part, with labels and the named columns of their sets."""
         salts = guests.groupBy("block").agg(F.ceil(F.count("*") / F.lit(float(BLOCK_CLASSES))).alias("salts"))
         own = sets.select(F.col("id").alias("rep"), *columns)
-        of = lambda d: d.join(label, "rep", "left").join(own, "rep").select(F.coalesce("label", "rep").alias("label"), *[F.col(c).alias(c) for c in ("block", "salt", "rep", *columns)]).groupBy("block", "salt")
+        of = lambda d: d.join(state, "rep").join(own, "rep").select(*[F.col(c).alias(c) for c in ("label", "block", "salt", "rep", *columns)]).groupBy("block", "salt")
         dealt = guests.join(salts, "block").withColumn("salt", F.pmod(F.xxhash64("rep"), "salts"))
         copied = hosts.join(salts, "block").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
         return of(dealt).cogroup(of(copied))
@@ -270,11 +280,12 @@ def _tested_in_blocks(left: DataFrame, bucket: DataFrame, sets: DataFrame, perce
         value, owner = np.concatenate(own), np.repeat(np.arange(len(own)), size)
         by = np.argsort(value)
         value, owner = value[by], owner[by]
-        host_id, host_label = host.column("rep").to_numpy(), host.column("label").to_numpy()
+        was = np.concatenate([guest.column("label").to_numpy(), host.column("label").to_numpy()])
+        now = was.copy()
+        guest_label, host_label = now[: guest.num_rows], now[guest.num_rows :]
         matrix = _matrix(host.column("registers"))
-        u, v = [], []
-        for rep, lab, cell, row in zip(guest.column("rep").to_pylist(), guest.column("label").to_pylist(), guest.column("shingles"), _matrix(guest.column("registers")), strict=True):
-            x = np.frombuffer(cell.as_buffer(), np.uint64)
+        for i, (cell, row) in enumerate(zip(guest.column("shingles"), _matrix(guest.column("registers")), strict=True)):
+            x, lab = np.frombuffer(cell.as_buffer(), np.uint64), guest_label[i]
             other = passing(row, len(x), lab, host_label, size, matrix)
             if not len(other):
                 continue
@@ -282,13 +293,15 @@ def _tested_in_blocks(left: DataFrame, bucket: DataFrame, sets: DataFrame, perce
             times = high - low
             common = np.bincount(owner[np.repeat(low - (np.cumsum(times) - times), times) + np.arange(int(times.sum()))], minlength=len(own))[other]
             other = other[100 * common >= percent * (len(x) + size[other] - common)]
-            one = other[np.unique(host_label[other], return_index=True)[1]]
-            u += [rep] * len(one)
-            v += host_id[one].tolist()
-        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+            if len(other):
+                met = np.append(host_label[other], lab)
+                now[np.isin(now, met)] = met.min()
+        label, at = np.unique(was, return_index=True)
+        joined = now[at] != label
+        return pa.table({"u": label[joined], "v": now[at][joined]})
 
     part = lambda guest: sifted.where(F.col("guest") == guest).select("rep", "block")
-    return sides(part(True), part(False), "shingles", "registers").applyInArrow(_nonempty(run, PAIRS), "u long, v long").distinct(), p_sifted
+    return sides(part(True), part(False), "shingles", "registers").applyInArrow(_nonempty(run, PAIRS), "u long, v long"), p_sifted
 
 
 PAIRS = pa.schema([("u", pa.int64()), ("v", pa.int64())])
@@ -322,43 +335,41 @@ def _labelled(docs: DataFrame, size: int, percent: int, doc_id: str, text: str,
     shared = bands.groupBy("key").count().where("count > 1").select("key")
     bucket, p_bucket = materialise(bands.join(shared, "key", "left_semi"), "sketch-buckets")
     release(spark, p_bands)
-    wanted = classes.select("rep", "k", "tag", "f1", "f2", "n").join(bucket.select("rep").distinct(), "rep", "left_semi")
+    # the label of each class's component: a round's links join labels, so that links of earlier rounds are not walked again
+    state, p_first = materialise(bucket.select("rep").distinct().withColumn("label", F.col("rep")), "sketch-labels")
+    wanted = classes.select("rep", "k", "tag", "f1", "f2", "n").join(state.select("rep"), "rep", "left_semi")
     sets, p_sets = materialise(_sets(docs, wanted, size, doc_id, text), "shingle-sets")
     fits = lambda a, b: F.least(a, b) * 100 >= F.greatest(a, b) * percent
-    place = lambda labels: bucket.withColumn("label", F.col("rep")) if labels is None else bucket.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-    labels, links, paths = None, None, []
     for r in range(rounds):
-        placed, p_placed = materialise(place(labels), "sketch-placed")
+        placed, p_placed = materialise(bucket.join(state, "rep"), "sketch-placed")
         rank = F.col("rep") if r == 0 else F.xxhash64(F.lit(r), "rep")
         center = placed.groupBy("key").agg(F.min(F.struct(rank.alias("rank"), "rep", "n", "label")).alias("c"), F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
         center = center.select("key", F.col("c.rep").alias("v"), F.col("c.n").alias("n_v"), F.col("c.label").alias("label_v"))
-        tries = placed.join(center, "key").where((F.col("label") != F.col("label_v")) & fits(F.col("n"), F.col("n_v"))).select(F.col("rep").alias("u"), "v")
+        tries = placed.join(center, "key").where((F.col("label") != F.col("label_v")) & fits(F.col("n"), F.col("n_v"))).select(F.col("rep").alias("u"), F.col("label").alias("label_u"), "v", "label_v")
         rank = F.col("v") if r == 0 else F.xxhash64(F.lit(r), "u", "v")
-        some = F.slice(F.array_sort(F.collect_set(F.struct(rank.alias("rank"), "v"))), 1, 1 if r == 0 else TRIES)
-        tries = tries.groupBy("u").agg(some.alias("c")).select("u", F.explode(F.col("c.v")).alias("v"))
+        some = F.slice(F.array_sort(F.collect_set(F.struct(rank.alias("rank"), "v", "label_v"))), 1, 1 if r == 0 else TRIES)
+        tries = tries.groupBy("u", "label_u").agg(some.alias("c")).select("u", "label_u", F.inline("c")).drop("rank")
         found, p_found = materialise(_confirmed(tries, sets, percent), "near-links")
-        release(spark, p_placed)
-        paths.append(p_found)
-        if not found.limit(1).count():
+        linked = found.limit(1).count()
+        if linked:
+            state = _joined(state, found)
+        release(spark, p_placed, p_found)
+        if not linked:
             break
-        links = found if links is None else links.unionByName(found)
-        labels = components(links)
     # what the rounds left open: every class outside a bucket's first component with all classes of other components there
-    placed, p_placed = materialise(place(labels), "sketch-placed")
+    state, _ = materialise(state, "sketch-labels")
+    release(spark, p_first)
+    placed, p_placed = materialise(bucket.join(state, "rep"), "sketch-placed")
     open_keys = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key", "low")
     left, p_left = materialise(placed.join(open_keys, "key"), "sketch-open")
-    tested, p_sifted = _tested_in_blocks(left, bucket, sets, percent)
+    tested, p_sifted = _tested_in_blocks(left, bucket, state, sets, percent)
     found, p_found = materialise(tested, "near-links")
     if found.limit(1).count():
-        labels = components(found if links is None else links.unionByName(found))
-    release(spark, p_bucket, p_sets, p_placed, p_left, p_sifted, p_found, *paths)
-    known = classes.select("f1", "f2", "n", "k", "tag", "rep")
-    if labels is None:
-        known = known.select("f1", "f2", "n", F.col("k").alias("least"), F.col("tag").alias("least_tag"))
-    else:
-        known = known.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-        least = known.groupBy("label").agg(F.min(F.struct("k", "tag")).alias("least"))
-        known = known.join(least, "label").select("f1", "f2", "n", F.col("least.k").alias("least"), F.col("least.tag").alias("least_tag"))
+        state = _joined(state, found)
+    release(spark, p_bucket, p_sets, p_placed, p_left, p_sifted, p_found)
+    known = classes.select("f1", "f2", "n", "k", "tag", "rep").join(state, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    least = known.groupBy("label").agg(F.min(F.struct("k", "tag")).alias("least"))
+    known = known.join(least, "label").select("f1", "f2", "n", F.col("least.k").alias("least"), F.col("least.tag").alias("least_tag"))
     out = rows.select("k", "tag", "n", "f1", "f2").join(known, ["f1", "f2", "n"], "left")
     return out.select("k", "tag", "n", F.coalesce("least", "k").alias("least"), F.coalesce("least_tag", "tag").alias("least_tag"))
 

@@ -170,3 +170,24 @@ def test_sets_are_sent_only_where_registers_pass(spark, monkeypatch):
     got = {r["doc_id"]: r["component_id"] for r in hyperminhash.near_duplicates(frame(spark, docs), 2, rounds=0).collect()}
     assert got == near_components(docs, 2)[0]
     assert counts["sketch-open"] > 0 and counts["sketch-sifted"] == 0
+
+
+def test_links_of_a_group_of_near_copies_do_not_grow_with_its_square(spark, monkeypatch):
+    """Near copies that all link with each other: the last step yields a forest, not one link for each class and label."""
+    rng, docs = random.Random(12), []
+    for d in range(120):
+        t = [f"v{i}" for i in range(200)]
+        for k in rng.sample(range(200), 3):
+            t[k] = f"n{rng.randrange(10_000)}"
+        docs.append((d, " ".join(t)))
+    counts, plain = {}, hyperminhash.materialise
+
+    def counted(df, name):
+        table, path = plain(df, name)
+        counts[name] = table.count()
+        return table, path
+
+    monkeypatch.setattr(hyperminhash, "materialise", counted)
+    got = {r["doc_id"]: r["component_id"] for r in hyperminhash.near_duplicates(frame(spark, docs), 2, rounds=0).collect()}
+    assert got == near_components(docs, 2)[0] and len(set(got.values())) == 1
+    assert len(docs) <= counts["near-links"] + 1 < 3 * len(docs)
