@@ -1,12 +1,12 @@
-"""Audit of how far the sources of one language differ in their words (operator 11), as plain relational steps.
+"""Audit of how far the sources of one language differ in their words (operator 11), as relational steps over counts.
 
 Terms are runs of ASCII letters and of all characters beyond ASCII, with A-Z in lower case. A language keeps the terms that at
 least LEAST of its documents hold; each of its sources, and the language itself, gives each kept term a smoothed share in
 billionths, p = 1 + floor(10^9 * (count + 1) / (all counts + kept terms)). Where q is another share of the same term, the
 term counts f = floor((p - q)^2 / q). All of it is integer arithmetic: products that a long may not hold are decimals.
 
-1. One pass over the texts explodes each document's matches, and its different matches once more, and adds up occurrences and
-   documents by (lang, source, term); tasks add up first. A row without a term keeps groups that have no terms at all.
+1. One pass over the texts counts occurrences and documents by (lang, source, term) within each Arrow batch; the counts of all
+   batches are added up by a grouping. A row without a term keeps groups that have no terms at all.
 2. The vocabulary of each language, its sums, and the sums of each group.
 3. Groups are crossed with the vocabulary of their language by an equi-join on (lang, part of the vocabulary), of which there
    are PARTS, so that no language lands in one task; counts that are missing are 0.
@@ -24,12 +24,22 @@ part; very long texts count whole.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import kernels as K
 from .storage import materialise, release
 
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[ord("A") : ord("Z") + 1] += 32
+#: Bytes of terms: [^\x00-\x40\x5B-\x60\x7B-\x7F] in UTF-8.
+LETTERS = (LOWER >= 0x80) | ((LOWER >= ord("a")) & (LOWER <= ord("z")))
+#: Bytes of text that are counted at once.
+CHUNK = 8 << 20
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LEAST = 3
 TOP = 200
@@ -44,14 +54,38 @@ def ascii_lower(text: str | Column) -> Column:
     return F.when(F.octet_length(t) == F.char_length(t), F.lower(t)).otherwise(F.translate(t, CAPITALS, SMALL))
 
 
+def _counted(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The counts of one batch (lang, source, text), whole texts of about CHUNK bytes at a time; strings are compared, not hashes."""
+    raw, offsets = K.string_parts(batch.column("text"))
+    for i, j, r, o in K.chunks(raw, offsets, CHUNK):
+        lang, source = (batch.column(c).slice(i, j - i).dictionary_encode() for c in ("lang", "source"))
+        group = lang.indices.to_numpy().astype(np.int64) * len(source.dictionary) + source.indices.to_numpy()
+        inside = LETTERS[r]
+        start, end = K.runs(inside, o)
+        ends = np.append(0, np.cumsum(end - start)).astype(np.int32)
+        found = pa.StringArray.from_buffers(len(start), pa.py_buffer(ends), pa.py_buffer(LOWER[r[inside]])).dictionary_encode()
+        size = max(1, len(found.dictionary))
+        doc = np.searchsorted(o, start, "right") - 1
+        held, times = np.unique(doc * size + found.indices.to_numpy(), return_counts=True)
+        key, at = np.unique(group[held // size] * size + held % size, return_inverse=True)
+        n, df = np.bincount(at, times, len(key)).astype(np.int64), np.bincount(at, minlength=len(key))
+        marks = np.unique(group)
+        term = pa.concat_arrays([found.dictionary.take(pa.array(key % size)), pa.array([""] * len(marks), pa.string())])
+        group, zero = np.append(key // size, marks), np.zeros(len(marks), np.int64)
+        names = [x.dictionary.take(pa.array(k)) for x, k in ((lang, group // len(source.dictionary)), (source, group % len(source.dictionary)))]
+        yield pa.RecordBatch.from_arrays([*names, term, pa.array(np.append(n, zero)), pa.array(np.append(df, zero))], names=["lang", "source", "term", "n", "df"])
+
+
 def term_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """(lang, source, term, n, df): occurrences in a group, and how many of its documents hold the term. Term '' marks groups."""
     blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
-    found = docs.select(blank("lang"), blank("source"), F.regexp_extract_all(ascii_lower(F.coalesce(F.col(text), F.lit(""))), F.lit(TERM), F.lit(0)).alias("_t"))
-    once = found.withColumn("_d", F.array_distinct("_t")).withColumn("_n", F.size("_d"))
-    # first '', then the different terms, then all occurrences: the place of an entry says what it counts
-    rows = once.select("lang", "source", "_n", F.posexplode(F.concat(F.array(F.lit("")), "_d", "_t")).alias("_at", "term"))
-    return rows.groupBy("lang", "source", "term").agg(F.sum((F.col("_at") > F.col("_n")).cast("long")).alias("n"), F.sum(F.col("_at").between(F.lit(1), F.col("_n")).cast("long")).alias("df"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from _counted(batch)
+
+    found = docs.select(blank("lang"), blank("source"), F.col(text).alias("text")).mapInArrow(run, "lang string, source string, term string, n long, df long")
+    return found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
 
 
 def share(n: str, total: str, terms: str) -> Column:

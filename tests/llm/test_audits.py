@@ -7,6 +7,7 @@ import re
 from collections import Counter, defaultdict
 from itertools import permutations
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from assay.llm import divergence, filter_lattice, url_rules
@@ -64,6 +65,29 @@ def test_divergence_without_kept_terms_and_without_rows(spark):
     assert divergence.audit(table.limit(0)).count() == 0
 
 
+def test_terms_are_counted_within_batches(spark, monkeypatch):
+    """No row for each match: the counts of a batch are what the grouping gets, also where a batch goes in several parts."""
+    docs = [("Aa é\u00c9x a", "en", "s"), (None, "en", None), ("a " * 500 + "aa", "en", "s"), ("", None, "t"), ("aa-b\U0001f600C\x7fd", "", "t")] * 3
+    table = spark.createDataFrame([(i, t, la, s, 0) for i, (t, la, s) in enumerate(docs)], DOCS)
+    want = defaultdict(lambda: [0, 0])
+    for text, lang, source in docs:
+        found = TERM.findall((text or "").translate(LOWER))
+        for t in [*found, ""]:
+            want[lang or "", source or "", t][0] += t != ""
+        for t in set(found):
+            want[lang or "", source or "", t][1] += 1
+    counts = divergence.term_counts(table)
+    assert "Generate" not in counts._jdf.queryExecution().executedPlan().toString()
+    assert {(r.lang, r.source, r.term): [r.n, r.df] for r in counts.collect()} == want
+    monkeypatch.setattr(divergence, "CHUNK", 1)
+    batch = pa.RecordBatch.from_pylist([{"lang": la or "", "source": s or "", "text": t} for t, la, s in docs])
+    got = defaultdict(lambda: [0, 0])
+    for part in divergence._counted(batch):
+        for r in part.to_pylist():
+            got[r["lang"], r["source"], r["term"]] = [got[r["lang"], r["source"], r["term"]][k] + r[c] for k, c in enumerate(("n", "df"))]
+    assert got == want
+
+
 def test_divergence_is_exact_beyond_a_long(spark):
     got = spark.range(1).select(F.lit(4_000_000_000_000).alias("n"), F.lit(9_000_000_000_000).alias("t"), F.lit(7).alias("v")).select(divergence.share("n", "t", "v").alias("p")).first().p
     assert got == 1 + 10**9 * (4_000_000_000_000 + 1) // (9_000_000_000_000 + 7)
