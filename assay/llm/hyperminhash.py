@@ -230,7 +230,7 @@ def _joined(state: DataFrame, links: DataFrame) -> DataFrame:
     return state.join(step, "label", "left").select("rep", F.coalesce("least", "label").alias("label"))
 
 
-def _tested_in_blocks(left: DataFrame, bucket: DataFrame, state: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, str]:
+def _tested_in_blocks(left: DataFrame, bucket: DataFrame, state: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, list[str]]:
     """Links (u, v) between the labels of components, from the buckets (key, rep, n, label, low) that still span several.
 
     Classes are dealt to blocks of bounded size by the least class they share a bucket with. A class outside its bucket's
@@ -239,13 +239,16 @@ def _tested_in_blocks(left: DataFrame, bucket: DataFrame, state: DataFrame, sets
     Registers meet first; sets of shingles are sent only for classes that the estimate lets pass in that block, on either side.
     A group of guests and hosts joins labels as it finds links, and what it has joined is not tested again: it yields fewer
     links than it has labels, from each to the least that it is joined with.
+
+    Families, blocks and meetings are tables of their own: in one plan each use of them starts its scans and broadcasts anew,
+    all at once, and each of these takes some MB of the driver.
     """
     least = bucket.groupBy("key").agg(F.min("rep").alias("family"))
-    family = bucket.join(least, "key").groupBy("rep", "n").agg(F.min("family").alias("family"))
+    family, p_family = materialise(bucket.join(least, "key").groupBy("rep", "n").agg(F.min("family").alias("family")), "sketch-families")
     parts = family.groupBy("family").agg(F.ceil(F.sum(F.col("n") + 64) / F.lit(float(BLOCK_SHINGLES))).alias("parts"))
-    block = family.join(parts, "family").select("rep", "n", F.xxhash64("family", F.pmod(F.xxhash64("rep"), "parts")).alias("block"))
-    here = left.join(block.select("rep", "block"), "rep").select("key", "block").distinct()
-    meets = left.where("label <> low").select("key", "rep").join(here, "key").select("rep", "block").distinct()
+    block, p_block = materialise(family.join(parts, "family").select("rep", F.xxhash64("family", F.pmod(F.xxhash64("rep"), "parts")).alias("block")), "sketch-blocks")
+    here = left.join(block, "rep").select("key", "block").distinct()
+    meets, p_meets = materialise(left.where("label <> low").select("key", "rep").join(here, "key").select("rep", "block").distinct(), "sketch-meetings")
 
     def sides(guests: DataFrame, hosts: DataFrame, *columns: str):
         """Guests and hosts (rep, block), grouped by block and part, with labels and the named columns of their sets."""
@@ -272,7 +275,7 @@ def _tested_in_blocks(left: DataFrame, bucket: DataFrame, state: DataFrame, sets
         rep = np.concatenate([guest.column("rep").to_numpy()[some], host.column("rep").to_numpy()[met]])
         return pa.table({"block": np.full(len(rep), guest.column("block")[0].as_py(), np.int64), "rep": rep, "guest": np.arange(len(rep)) < some.sum()})
 
-    sifted, p_sifted = materialise(sides(meets, block.select("rep", "block"), "n", "registers").applyInArrow(_nonempty(sift, SIFTED), "block long, rep long, guest boolean").distinct(), "sketch-sifted")
+    sifted, p_sifted = materialise(sides(meets, block, "n", "registers").applyInArrow(_nonempty(sift, SIFTED), "block long, rep long, guest boolean").distinct(), "sketch-sifted")
 
     def run(guest: pa.Table, host: pa.Table) -> pa.Table:
         own = [np.frombuffer(x.as_buffer(), np.uint64) for x in host.column("shingles")]
@@ -301,7 +304,7 @@ def _tested_in_blocks(left: DataFrame, bucket: DataFrame, state: DataFrame, sets
         return pa.table({"u": label[joined], "v": now[at][joined]})
 
     part = lambda guest: sifted.where(F.col("guest") == guest).select("rep", "block")
-    return sides(part(True), part(False), "shingles", "registers").applyInArrow(_nonempty(run, PAIRS), "u long, v long"), p_sifted
+    return sides(part(True), part(False), "shingles", "registers").applyInArrow(_nonempty(run, PAIRS), "u long, v long"), [p_family, p_block, p_meets, p_sifted]
 
 
 PAIRS = pa.schema([("u", pa.int64()), ("v", pa.int64())])
@@ -362,11 +365,11 @@ def _labelled(docs: DataFrame, size: int, percent: int, doc_id: str, text: str,
     placed, p_placed = materialise(bucket.join(state, "rep"), "sketch-placed")
     open_keys = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key", "low")
     left, p_left = materialise(placed.join(open_keys, "key"), "sketch-open")
-    tested, p_sifted = _tested_in_blocks(left, bucket, state, sets, percent)
+    tested, p_tested = _tested_in_blocks(left, bucket, state, sets, percent)
     found, p_found = materialise(tested, "near-links")
     if found.limit(1).count():
         state = _joined(state, found)
-    release(spark, p_bucket, p_sets, p_placed, p_left, p_sifted, p_found)
+    release(spark, p_bucket, p_sets, p_placed, p_left, *p_tested, p_found)
     known = classes.select("f1", "f2", "n", "k", "tag", "rep").join(state, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     least = known.groupBy("label").agg(F.min(F.struct("k", "tag")).alias("least"))
     known = known.join(least, "label").select("f1", "f2", "n", F.col("least.k").alias("least"), F.col("least.tag").alias("least_tag"))

@@ -142,18 +142,20 @@ def _choose(sizes: DataFrame) -> DataFrame:
     sizes = sizes.withColumn("e", expect).withColumn("total", F.sum("e").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     extra = lambda u: F.least(F.col("n"), F.greatest(F.lit(0), F.floor(F.col("total") + u) - F.floor(F.col("total") - F.col("e") + u)))
     offsets = [(j + 0.5) / OFFSETS for j in range(OFFSETS)]
-    taken = [F.sum(F.col("size") * (F.col("n") * F.col("base") + extra(F.lit(u)))).alias(f"t{j}") for j, u in enumerate(offsets)]
+    taken = [F.sum(F.col("size") * (F.col("n") * F.col("base") + extra(F.lit(u)))) for u in offsets]
+    # windows of one partitioning and not joins with sums: one shuffle, where each join doubled the plan and its broadcasts
+    source = Window.partitionBy("s")
     best = F.array_min(F.array(*[F.struct(F.abs(F.col(f"t{j}") - F.col("target")).alias("off"), F.lit(u).alias("u"), (F.col("target") - F.col(f"t{j}")).alias("gap")) for j, u in enumerate(offsets)]))
-    chosen = sizes.groupBy("s", "target").agg(*taken).select("s", best.alias("best")).select("s", F.col("best.u").alias("u"), F.col("best.gap").alias("gap"))
-    sizes = sizes.join(chosen, "s").withColumn("extra", extra(F.col("u")).cast("long")).drop("e", "total", "u")
+    sizes = sizes.select("*", *[t.over(source).alias(f"t{j}") for j, t in enumerate(taken)]).select("s", "size", "n", "base", "rate", "total", "e", best.alias("best"))
+    sizes = sizes.select("s", "size", "n", "base", "rate", extra(F.col("best.u")).cast("long").alias("extra"), F.col("best.gap").alias("gap"))
     for _ in range(2):
         move = lambda delta: F.struct(F.abs(F.col("gap") - delta * F.col("size")).alias("off"), F.col("size").alias("size"), F.lit(delta).alias("delta"))
         up = F.when((F.col("extra") < F.col("n")) & (F.col("base") < CAP) & (F.col("gap") > 0), move(1))
         down = F.when((F.col("extra") > 0) & (F.col("gap") < 0), move(-1))
-        moves = sizes.groupBy("s").agg(F.min(F.coalesce(up, down)).alias("m")).where(F.col("m").isNotNull()).select("s", F.col("m.off").alias("m_off"), F.col("m.size").alias("m_size"), F.col("m.delta").alias("m_delta"))
-        better = F.coalesce(F.col("m_off") < F.abs(F.col("gap")), F.lit(False))
-        here = better & (F.col("m_size") == F.col("size"))
-        sizes = sizes.join(moves, "s", "left").withColumn("extra", F.col("extra") + F.when(here, F.col("m_delta")).otherwise(0)).withColumn("gap", F.when(better, F.col("gap") - F.col("m_delta") * F.col("m_size")).otherwise(F.col("gap"))).drop("m_off", "m_size", "m_delta")
+        sizes = sizes.withColumn("m", F.min(F.coalesce(up, down)).over(source))
+        better = F.coalesce(F.col("m.off") < F.abs(F.col("gap")), F.lit(False))
+        here = better & (F.col("m.size") == F.col("size"))
+        sizes = sizes.select("s", "size", "n", "base", "rate", (F.col("extra") + F.when(here, F.col("m.delta")).otherwise(0)).alias("extra"), F.when(better, F.col("gap") - F.col("m.delta") * F.col("m.size")).otherwise(F.col("gap")).alias("gap"))
     return sizes.select("s", "size", "n", "base", "rate", "extra")
 
 
