@@ -62,12 +62,29 @@ def suite_name(folder: Text, least: Text, greatest: Text) -> Column:
     return title_case(F.when(F.length(prefix) >= 4, F.translate(prefix, "-", " ")).otherwise(F.translate(bare, "_-", "  ")))
 
 
+def one_decimal(x: Column) -> Column:
+    """A double with one decimal as C prints it: its exact binary value rounded, ties to even. Java's format rounds the digits it prints.
+
+    Below 2^53 all steps are exact: the fraction is counted in units of 2^-57; what that cuts off lies far from a tie.
+    """
+    unit = 1 << 57
+    size = F.abs(x)
+    whole = F.floor(size)
+    tenfold = ((size - whole) * float(unit)).cast("long") * 10
+    tenth, rest = F.shiftright(tenfold, 57), tenfold.bitwiseAND(F.lit(unit - 1))
+    up = (rest > unit // 2) | ((rest == unit // 2) & (tenth % 2 == 1))
+    tenth = tenth + up.cast("long")
+    sign = F.when(x.cast("string").startswith("-"), "-").otherwise("")
+    exact = F.format_string("%s%d.%d", sign, whole + F.floor(tenth / 10), tenth % 10)
+    return F.when(size < float(1 << 53), exact).otherwise(F.format_string("%.1f", x))
+
+
 def duration(seconds: Text) -> Column:
-    """Seconds, minutes or hours with one or no decimal."""
+    """Seconds, minutes or hours with one or no decimal; null for none."""
     s = col(seconds).cast("double")
     whole = F.floor(s)
     return (
-        F.when(s < 60, F.format_string("%.1fs", s))
+        F.when(s < 60, F.concat(one_decimal(s), F.lit("s")))
         .when(s < 3600, F.format_string("%dm %ds", F.floor(whole / 60), whole % 60))
-        .otherwise(F.format_string("%dh %dm", F.floor(whole / 3600), F.floor((whole % 3600) / 60)))
+        .when(s.isNotNull(), F.format_string("%dh %dm", F.floor(whole / 3600), F.floor((whole % 3600) / 60)))
     )

@@ -175,3 +175,10 @@ def test_catalog_references(spark, tmp_path):
     assert {(r["node"], r["depth"]) for r in reach.collect()} == {("cards.x", 0), ("tasks.qa.open", 1), ("metrics.f1", 2)}
     assert [tuple(r)[:2] for r in files.repository_index(entries).collect()] == [("o/x", "cards.x")]
     assert [r["name"] for r in files.card_names(entries).collect()] == ["x"]
+
+
+def test_seconds_are_rounded_as_sql_does(spark):
+    """Ties of the exact binary value go to the even digit, 0.35 lies below one, and no time is none."""
+    some = [0.35, 0.95, 6.85, 37.25, 37.75, 41.05, -0.04, -37.25, 59.96, 59.94, 0.05, 1e-300, 60.0, 3599.999, 3600.0, None]
+    got = [r.t for r in spark.createDataFrame([(i, x) for i, x in enumerate(some)], "i int, s double").select("i", names.duration("s").alias("t")).orderBy("i").collect()]
+    assert got == [f"{x:.1f}s" for x in some[:12]] + ["1m 0s", "59m 59s", "1h 0m", None]
