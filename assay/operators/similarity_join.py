@@ -12,7 +12,8 @@ nothing it answers for; only names that a step leaves open go on to the next:
    come in order of the pairs that they would make, so common ones stay out. Names too short for the guarantee are met by
    single characters. A name is settled at the first threshold that it reaches.
 
-Candidates are compared in Arrow batches. Grams that most names share make many candidates only where names are so alike that
+Candidates are compared in Arrow batches. All joins are hinted to shuffle: names that are alike take little room in a file, and
+exploded keys are not in Spark's estimate at all, so a side that seems small enough for a broadcast need not be. Grams that most names share make many candidates only where names are so alike that
 most pairs have to be looked at.
 """
 
@@ -35,15 +36,18 @@ LEVELS = (92.0, 86.0)
 GRAM = 2
 
 
-def deletions(x: Column, most: int) -> Column:
-    """The different strings that x becomes by the loss of at most `most` characters."""
+def deletions(x: Column, most: int, lengths: list[int] | None = None) -> Column:
+    """The different strings that x becomes by the loss of at most `most` characters; only those of some lengths, if given."""
     without = lambda s: F.transform(F.sequence(F.lit(1), F.char_length(s)), lambda i: F.concat(F.substr(s, F.lit(1), i - 1), F.substr(s, i + 1)))
-    some = lambda s: F.when(F.char_length(s) > 0, without(s)).otherwise(F.array().cast("array<string>"))
-    found = step = F.array(x)
-    for _ in range(most):
-        step = F.array_distinct(F.flatten(F.transform(step, some)))
-        found = F.concat(found, step)
-    return found
+    none = F.array().cast("array<string>")
+    some = lambda s: F.when(F.char_length(s) > 0, without(s)).otherwise(none)
+    found = []
+    step = F.array(x)
+    for lost in range(most + 1):
+        if lost:
+            step = F.array_distinct(F.flatten(F.transform(step, some)))
+        found.append(step if lengths is None else F.when((F.char_length(x) - lost).isin(lengths), step).otherwise(none))
+    return F.concat(*found)
 
 
 def settled_above(length: Column) -> Column:
@@ -97,9 +101,14 @@ def near(a: DataFrame, b: DataFrame, least: float) -> DataFrame:
     """Candidates within the deletion neighbourhood, compared."""
     # a few names make many keys, so they are dealt to all tasks first
     tasks = int(a.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = lambda d, n, most, longest: d.where(F.char_length(n) <= longest).repartition(tasks, n).select("*", F.explode(F.transform(deletions(F.col(n), most), lambda s: F.xxhash64(s))).alias("_s"))
+    size = F.char_length("na")
+    # at most NEAR + 1 numbers; partners' keys of other lengths meet nothing and are not made
+    met = sorted({n - lost for (n,) in a.where(size <= NEAR).select(size).distinct().collect() for lost in (0, 1)})
+    keys = lambda d, n, most, longest, lengths: d.where(F.char_length(n) <= longest).repartition(tasks, n).select("*", F.explode(F.transform(deletions(F.col(n), most, lengths), lambda s: F.xxhash64(s))).alias("_s"))
     # a partner may be longer by what it loses
-    return _compared(keys(a, "na", 1, NEAR).join(keys(b, "nb", 2, NEAR + 2), "_s").drop("_s"), least)
+    pairs = keys(a.select("na").distinct(), "na", 1, NEAR, None).hint("merge").join(keys(b, "nb", 2, NEAR + 2, met), "_s").select("na", "b", "nb")
+    found = _compared(pairs.withColumn("a", F.col("na")), least).select("na", "b", "similarity")
+    return a.hint("merge").join(found, "na").select("a", "na", "b", "similarity")
 
 
 def _met(a: DataFrame, b: DataFrame, least: float, q: int, fits: Callable[[Column], Column]) -> DataFrame:
@@ -107,16 +116,16 @@ def _met(a: DataFrame, b: DataFrame, least: float, q: int, fits: Callable[[Colum
     slope, _ = needed(least, q)
     grams = {c: d.where(fits(F.char_length(f"n{c}"))).select(c, f"n{c}", F.explode(numbered_grams(q)(F.col(f"n{c}"))).alias("gram")) for c, d in (("a", a), ("b", b))}
     counts = {c: g.groupBy("gram").agg(F.count("*").alias(f"_{c}")) for c, g in grams.items()}
-    weight = counts["a"].join(counts["b"], "gram", "full").select("gram", (F.coalesce("_a", F.lit(0)) * F.coalesce("_b", F.lit(0))).alias("_w"))
+    weight = counts["a"].hint("merge").join(counts["b"], "gram", "full").select("gram", (F.coalesce("_a", F.lit(0)) * F.coalesce("_b", F.lit(0))).alias("_w"))
 
     def prefix(c: str) -> DataFrame:
         n = F.char_length(f"n{c}")
         first = (n - q + 1) - F.ceil(F.lit(slope) * n - (q - 1) - F.lit(1e-9)) + 1
-        ordered = grams[c].join(weight, "gram").withColumn("_i", F.row_number().over(Window.partitionBy(c).orderBy("_w", "gram")))
+        ordered = grams[c].hint("merge").join(weight, "gram").withColumn("_i", F.row_number().over(Window.partitionBy(c).orderBy("_w", "gram")))
         # grams that only one side has count in the order, but meet nothing
         return ordered.where((F.col("_i") <= first) & (F.col("_w") > 0)).select(c, f"n{c}", "gram")
 
-    return prefix("a").join(prefix("b"), "gram").drop("gram")
+    return prefix("a").hint("merge").join(prefix("b"), "gram").drop("gram")
 
 
 def by_grams(a: DataFrame, b: DataFrame, least: float, q: int = GRAM) -> DataFrame:
@@ -138,18 +147,18 @@ def best_partners(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
     spark = left.sparkSession
     a, p_a = materialise(left.where("na IS NOT NULL"), "names-left")
     b, p_b = materialise(right.where("nb IS NOT NULL"), "names-right")
-    exact, p_exact = materialise(_best(a.join(b, F.col("na") == F.col("nb")).select("a", "b", F.lit(101.0).alias("similarity"))), "names-equal")
-    found, paths, open_ = [exact], [p_exact], a.join(exact, "a", "left_anti")
+    exact, p_exact = materialise(_best(a.hint("merge").join(b, F.col("na") == F.col("nb")).select("a", "b", F.lit(101.0).alias("similarity"))), "names-equal")
+    found, paths, open_ = [exact], [p_exact], a.hint("merge").join(exact, "a", "left_anti")
     step, p_step = materialise(_best(near(open_, b, least)), "names-near")
     done = step.where(F.col("similarity") > settled_above(F.char_length("na"))).select("a", "b", "similarity")
-    found, paths, open_ = [*found, done], [*paths, p_step], open_.join(done, "a", "left_anti")
+    found, paths, open_ = [*found, done], [*paths, p_step], open_.hint("merge").join(done, "a", "left_anti")
     for level in [*[x for x in LEVELS if x > least], least]:
         open_, p_open = materialise(open_, "names-open")
         paths.append(p_open)
         if not open_.limit(1).count():
             break
         step, p_step = materialise(_best(by_grams(open_, b, level)).select("a", "b", "similarity"), "names-grams")
-        found, paths, open_ = [*found, step], [*paths, p_step], open_.join(step, "a", "left_anti")
+        found, paths, open_ = [*found, step], [*paths, p_step], open_.hint("merge").join(step, "a", "left_anti")
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)

@@ -73,3 +73,17 @@ def test_candidates_do_not_grow_with_the_square(spark):
     a, b = frames(spark, [n.replace("#0", "#-") for n in names], names)
     met = J.near(a, b, 0.0).count()
     assert met <= 4 * len(names)
+
+
+def test_no_side_is_broadcast_by_the_size_of_its_file(spark, tmp_path):
+    """Names that are alike make a small file and many keys."""
+    at = f"file://{tmp_path}/names"
+    spark.range(3000).select(F.format_string("name-%09d", "id").alias("n")).write.parquet(at)
+    a, b = (spark.read.parquet(at).select(F.col("n").alias(c), F.col("n").alias(f"n{c}")) for c in "ab")
+    for found in (J.near(a, b, 80.0), J.by_grams(a, b, 80.0)):
+        assert "Broadcast" not in found._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_only_keys_that_can_meet_are_made(spark):
+    some = spark.createDataFrame([("abca",)], "x string").select(F.explode(J.deletions(F.col("x"), 2, [4, 3])).alias("s"))
+    assert {r.s for r in some.collect()} == {"abca", "bca", "aca", "aba", "abc"}
