@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens
+from . import blocks
 
 K1, B = 1.5, 0.75
 SEPARATORS = ("\n\n", "\n", ". ", " ", "")
@@ -114,17 +115,41 @@ def cosine(a: str, b: str) -> Column:
 def dense_search(vectors: DataFrame, queries: DataFrame, key: str = "vec_id", query: str = "query_id", top: int = 15, rows_bound: int = 100_000) -> DataFrame:
     """(query, key, rank, score): the most similar vectors of each query.
 
-    Every query meets every vector; the queries go to the vectors in blocks of bounded size, and each block keeps `top` hits.
+    Every query meets every vector, block by block (see blocks); the queries' blocks go to the vectors' at most `rows_bound` queries at
+    a time, and each pair of blocks keeps `top` hits. Null vectors, and those of another length than the queries or with elements that
+    are no usual numbers, are scored pair by pair, null last.
     """
-    n = queries.count()
-    blocks = max(1, -(-n // rows_bound))
-    out = None
-    for b in range(blocks):
-        some = queries.where(F.pmod(F.xxhash64(query), F.lit(blocks)) == b) if blocks > 1 else queries
-        hits = vectors.select(key, "embedding").crossJoin(F.broadcast(some.select(query, F.col("embedding").alias("_q")))).select(query, key, cosine("embedding", "_q").alias("score"))
-        best = ranked(hits, query, [F.desc("score"), F.col(key)], top)
+    doubles = tuple("array<double>" in dict(d.dtypes)["embedding"] for d in (vectors, queries))
+    n, size, nulls = queries.agg(F.count("*"), F.coalesce(F.max(F.size("embedding")), F.lit(0)), F.count_if(F.col("embedding").isNull())).first()
+    usual, given = blocks.plain("embedding", size), F.col("embedding").isNotNull()
+    odd = lambda d: d.where(given & ~usual)
+    counted = lambda d: d.agg(F.count_if(~given), F.count_if(given & ~usual)).first()
+    null_vectors, odd_vectors = counted(vectors)
+    odd_queries = counted(queries)[1]
+    tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # the products take much longer than reading, so the blocks are dealt to all tasks
+    many = blocks.packed(vectors.where(usual).select(key, "embedding"), key, copies=top).repartition(tasks)
+    out, parts = None, max(1, -(-n // rows_bound))
+    for b in range(parts):
+        some = queries.where(F.pmod(F.xxhash64(query), F.lit(parts)) == b) if parts > 1 else queries
+        asked = blocks.packed(some.where(usual).select(query, "embedding").repartition(max(1, -(-min(n, rows_bound) // blocks.BLOCK))), query)
+        best = ranked(blocks.nearest(many.crossJoin(F.broadcast(asked.withColumnRenamed("embedding", "_q"))), key, query, top, doubles), query, [F.desc("score"), F.col(key)], top)
         out = best if out is None else out.unionByName(best)
-    return out
+    further = []
+    least = lambda d: d.select(key).orderBy(key).limit(top)
+    if null_vectors:
+        further.append(least(vectors.where(~given)).crossJoin(queries.where(given).select(query)).select(query, key, F.lit(None).cast("double").alias("score")))
+    if nulls:
+        further.append(least(vectors).crossJoin(queries.where(~given).select(query)).select(query, key, F.lit(None).cast("double").alias("score")))
+    for v, q, any_ in ((odd(vectors), queries.where(given), odd_vectors), (vectors.where(usual), odd(queries), odd_queries)):
+        if any_:
+            further.append(v.select(key, "embedding").crossJoin(q.select(query, F.col("embedding").alias("_q"))).select(query, key, cosine("embedding", "_q").alias("score")))
+    if not further:
+        return out
+    every = out.drop("rank")
+    for d in further:
+        every = every.unionByName(d)
+    return ranked(every, query, [F.desc("score"), F.col(key)], top).select(*out.columns)
 
 
 def mmr(candidates: DataFrame, query: str, key: str, k: int, weight: float = 0.8) -> DataFrame:

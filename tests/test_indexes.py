@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from assay.operators import bm25_index, retrieval, vector_index
+from assay.operators import blocks, bm25_index, retrieval, vector_index
 
 WORDS = [f"w{i}" for i in range(60)]
 
@@ -117,3 +117,35 @@ def test_recall_of_probing_is_over_nine_tenths(spark, index):
     recall = sum(len(want[k].keys() & got[k].keys()) for k in want) / sum(map(len, want.values()))
     assert recall >= 0.9
     assert len(list(Path(path.removeprefix("file://"), "lists").glob("list=*"))) <= 32
+
+
+def all_pairs(v, q, top):
+    """The best by the column expression on every pair."""
+    pairs = v.crossJoin(q.withColumnRenamed("embedding", "_q")).select("query_id", "vec_id", retrieval.cosine("embedding", "_q").alias("score"))
+    return pairs, retrieval.ranked(pairs, "query_id", [F.desc("score"), F.col("vec_id")], top)
+
+
+@pytest.mark.parametrize(("kind", "n"), [("long", 400), ("string", 400), ("long", 6)])
+def test_dense_search_by_blocks_equals_all_pairs(spark, kind, n):
+    """Copies, null ids and vectors, vectors of another length, and elements that are no numbers; scores are the same to the last bit."""
+    rng = np.random.default_rng(2)
+    made = rng.normal(size=(n // 3, 7)).astype(np.float32)
+    rows = [(i, made[i % len(made)].tolist()) for i in range(n)] + [(n, None), (n + 1, None), (None, made[0].tolist()), (n + 3, [float("nan")] * 7), (n + 4, [1.0] * 3), (n + 5, [1.0, None, *[0.0] * 5]), (n + 6, [float("inf")] * 7), (n + 7, [])]
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("vec_id", F.col("vec_id").cast(kind)).repartition(3)
+    q = spark.createDataFrame([(f"q{i}", x) for i, x in rows if i is None or i % 5 == 0 or i >= n], "query_id string, embedding array<float>")
+    _, want = all_pairs(v, q, 15)
+    as_rows = lambda d: {(r.query_id, r.vec_id, r["rank"], repr(r.score)) for r in d.collect()}
+    assert as_rows(retrieval.dense_search(v, q)) == as_rows(want)
+    assert as_rows(retrieval.dense_search(v, q, rows_bound=7)) == as_rows(want)
+    assert retrieval.dense_search(v.limit(0), q).count() == retrieval.dense_search(v, q.limit(0)).count() == 0
+
+
+def test_dense_search_hands_on_few_pairs(spark):
+    """A task hands on the best of its blocks, also of a group of copies, not a row for each pair."""
+    x = [[1.0, 0.0], [0.6, 0.8]]
+    v = spark.createDataFrame([(i, x[i % 10 == 0]) for i in range(2000)], "vec_id long, embedding array<float>").coalesce(1)
+    q = v.where("vec_id < 20").select(F.col("vec_id").alias("query_id"), "embedding")
+    pairs = blocks.packed(v, "vec_id", copies=15).crossJoin(blocks.packed(q.coalesce(1), "query_id").withColumnRenamed("embedding", "_q"))
+    assert blocks.nearest(pairs, "vec_id", "query_id", 15, (False, False)).count() == 20 * 15
+    plan = retrieval.dense_search(v, q)._jdf.queryExecution().toString()
+    assert "zip_with" not in plan and "MapInArrow" in plan
