@@ -149,3 +149,15 @@ def test_dense_search_hands_on_few_pairs(spark):
     assert blocks.nearest(pairs, "vec_id", "query_id", 15, (False, False)).count() == 20 * 15
     plan = retrieval.dense_search(v, q)._jdf.queryExecution().toString()
     assert "zip_with" not in plan and "MapInArrow" in plan
+
+
+def test_marginal_relevance_starts_from_the_block_search(spark):
+    """Its candidates are the best of all pairs, without a row for each pair."""
+    from assay import catalog
+
+    got = catalog.QUERIES["l2_mmr"](spark, "/root/testdata/sf0.001")
+    assert "zip_with" not in got._jdf.queryExecution().toString()
+    v = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").select("vec_id", "embedding")
+    _, near = all_pairs(v, v.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), "embedding"), 23)
+    want = retrieval.mmr(near.join(v, "vec_id"), "query_id", "vec_id", 9)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
