@@ -87,18 +87,22 @@ def bm25(docs: DataFrame, queries: DataFrame, doc: str = "doc_id", query: str =
     """(query, doc, rank, score): the best `top` documents of each query, of them those with a positive score.
 
     idf is ln((N - df + 0.5) / (df + 0.5)) and may be negative, so scores are filtered after the cut. Postings are reduced to
-    the queries' terms before they are counted; the terms are broadcast only if they are few.
+    the queries' terms before they are counted. Up to `terms_bound` terms of all queries are broadcast; else all joins shuffle.
     """
     wanted = query_terms(queries, query, text)
     terms = wanted.select("term").distinct()
-    side = F.broadcast(terms) if terms.count() <= terms_bound else terms
+    few = wanted.count() <= terms_bound
     words = docs.select(doc, tokens(text).alias("_w")).withColumn("dl", F.size("_w"))
     corpus = words.agg(F.count("*").alias("n_docs"), F.avg("dl").alias("avgdl"))
-    tf = words.select(doc, "dl", F.explode("_w").alias("term")).join(side, "term", "left_semi").groupBy(doc, "dl", "term").agg(F.count("*").alias("tf"))
-    df = tf.groupBy("term").agg(F.count("*").alias("df"))
+    tf = words.select(doc, "dl", F.explode("_w").alias("term")).join(F.broadcast(terms) if few else terms, "term", "left_semi").groupBy(doc, "dl", "term").agg(F.count("*").alias("tf"))
+    # reading tf keeps the columns, and so the shuffle, the same as those of the postings themselves
+    df = tf.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
     idf = F.log((F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    part = F.col("times") * idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
-    hits = tf.join(df, "term").join(wanted, "term").crossJoin(F.broadcast(corpus)).groupBy(query, doc).agg(F.sum(part).alias("score"))
+    weighted = wanted.join(df, "term").crossJoin(F.broadcast(corpus)).select(query, "term", "avgdl", (F.col("times") * idf).alias("_weight"))
+    part = F.col("_weight") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
+    # all terms of a document in one task: it sums up and ranks there, and hands on its best only
+    own = tf.repartition(doc).join(F.broadcast(weighted), "term") if few else tf.join(weighted, "term")
+    hits = own.groupBy(query, doc).agg(F.sum(part).alias("score"))
     return ranked(hits, query, [F.round("score", 9).desc(), F.col(doc)], top).where("score > 0")
 
 

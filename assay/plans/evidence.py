@@ -44,20 +44,25 @@ def candidates(chunks: DataFrame, statements: DataFrame, k: int, pool: int = 20,
     asked, p_asked = materialise(queried.select("atom_id", "query", "_q", "_words", "_k"), "evidence-queries")
 
     pick = lambda c: asked.select(F.col("atom_id").alias("query_id"), F.col(c).alias("embedding"))
-    wide = R.dense_search(vectors, pick("_q"), top=2 * k + 5)
-    near = R.mmr(wide.join(vectors, "vec_id"), "query_id", "vec_id", k).select(F.col("query_id").alias("atom_id"), F.col("vec_id").alias("chunk_id"), F.col("step").alias("rank"))
-    terms = R.bm25(texts.withColumnRenamed("chunk_id", "doc_id"), asked.select(F.col("atom_id").alias("item_id"), F.col("query").alias("text"))).select(F.col("item_id").alias("atom_id"), F.col("doc_id").alias("chunk_id"), "rank")
-    holds = R.dense_search(vectors, pick("_k").join(asked.where(F.size("_words") > 0).select(F.col("atom_id").alias("query_id")), "query_id", "left_semi"), top=2 * lexical).select(F.col("query_id").alias("atom_id"), F.col("vec_id").alias("chunk_id"), "rank")
-    holds = holds.join(texts, "chunk_id").join(asked.select("atom_id", "_words"), "atom_id").where(F.exists("_words", lambda w: F.contains(F.lower("text"), F.lower(w))))
-    holds = R.ranked(holds.drop("_words").withColumnRenamed("rank", "_r"), "atom_id", [F.col("_r")], lexical).drop("_r")
-
-    ways = {"vector": near.join(texts, "chunk_id"), "bm25": terms.join(texts, "chunk_id"), "keyword": holds}
-    columns = ["atom_id", "chunk_id", "rank", "text"]
-    fused, p_fused = materialise(R.fuse([d.select(*columns, F.lit(way).alias("way")) for way, d in ways.items()], "atom_id", "text", pool).select("atom_id", "chunk_id", "place", "text", "way"), "evidence-candidates")
+    as_hit = lambda way, d, chunk, rank: d.select("atom_id", F.col(chunk).alias("chunk_id"), F.col(rank).alias("rank"), F.lit(way).alias("way"))
+    # few rows for each statement; as tables of their own they have a size that Spark knows before it joins them with the corpus
+    wide, p_wide = materialise(R.dense_search(vectors, pick("_q"), top=2 * k + 5), "evidence-near")
+    near = R.mmr(wide.join(vectors, "vec_id"), "query_id", "vec_id", k).withColumnRenamed("query_id", "atom_id")
+    terms = R.bm25(texts.withColumnRenamed("chunk_id", "doc_id"), asked.select(F.col("atom_id").alias("item_id"), F.col("query").alias("text"))).withColumnRenamed("item_id", "atom_id")
+    holds = R.dense_search(vectors, pick("_k").join(asked.where(F.size("_words") > 0).select(F.col("atom_id").alias("query_id")), "query_id", "left_semi"), top=2 * lexical).withColumnRenamed("query_id", "atom_id")
+    hits, p_hits = materialise(as_hit("vector", near, "vec_id", "step").unionByName(as_hit("bm25", terms, "doc_id", "rank")).unionByName(as_hit("keyword", holds, "vec_id", "rank")), "evidence-hits")
+    # the corpus is read once for the texts of all hits
+    own, p_own = materialise(texts.join(hits.select("chunk_id").distinct(), "chunk_id", "left_semi"), "evidence-texts")
+    told = hits.join(own, "chunk_id")
+
+    ways = {way: told.where(F.col("way") == way).select("atom_id", "chunk_id", "rank", "text", "way") for way in ("vector", "bm25", "keyword")}
+    worded = ways["keyword"].join(asked.select("atom_id", "_words"), "atom_id").where(F.exists("_words", lambda w: F.contains(F.lower("text"), F.lower(w))))
+    ways["keyword"] = R.ranked(worded.drop("_words").withColumnRenamed("rank", "_r"), "atom_id", [F.col("_r")], lexical).drop("_r")
+    fused, p_fused = materialise(R.fuse(list(ways.values()), "atom_id", "text", pool).select("atom_id", "chunk_id", "place", "text", "way"), "evidence-candidates")
     few = fused.groupBy("atom_id").count().where(F.col("count") < least).select("atom_id")
     alone = ways["vector"].join(few, "atom_id", "left_semi").select("atom_id", "chunk_id", F.col("rank").alias("place"), "text", F.lit("vector").alias("way"))
     out, _ = materialise(fused.join(few, "atom_id", "left_anti").unionByName(alone), "evidence-found")
-    release(chunks.sparkSession, p_vectors, p_asked, p_fused)
+    release(chunks.sparkSession, p_vectors, p_asked, p_wide, p_hits, p_own, p_fused)
     return out
 
 

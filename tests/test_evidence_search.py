@@ -124,3 +124,32 @@ def test_match_takes_the_first_by_id_or_text(spark):
     variables = spark.createDataFrame([("z_a2", 0.1, 0), ("v_q", 0.2, 1), ("x" * 50 + "a10", 0.3, 2), ("a1", 0.4, 3)], "variable string, p_true double, ord int")
     got = {r.atom_id: r.p_true for r in factuality.match(atoms, variables, "compat").collect()}
     assert got == {"a1": 0.3, "a2": 0.1, "a3": 0.1, None: 0.2, "none": None}
+
+
+def test_bm25_hands_on_the_best_of_each_task_only(spark):
+    """Documents are summed up where all their terms are; a pair of query and document is no row of a shuffle."""
+    docs = spark.createDataFrame([(i, f"a b w{i % 7}" if i % 5 == 0 else f"c w{i % 7}") for i in range(400)], "doc_id long, text string")
+    asked = spark.createDataFrame([(i, f"a w{i % 7} b") for i in range(50)], "item_id long, text string")
+    few = retrieval.bm25(docs, asked)
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(item_id, doc_id" not in re.sub(r"#\d+L?", "", plan)
+    as_rows = lambda d: sorted((r.item_id, r.doc_id, r["rank"], round(r.score, 9)) for r in d.collect())
+    assert len(as_rows(few)) == 50 * 15 and as_rows(few) == as_rows(retrieval.bm25(docs, asked, terms_bound=3))
+
+
+def test_the_corpus_is_joined_with_few_hits(spark, tables):
+    """Texts and vectors of the corpus meet tables of hits, whose size is known, so neither is shuffled for them."""
+    chunks, statements = tables
+    seen = []
+    real = evidence.materialise
+
+    def told(df, name):
+        seen.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return real(df, name)
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(evidence, "materialise", told)
+        evidence.candidates(chunks, statements, 3)
+    plans = dict(seen)
+    assert "SortMergeJoin" not in plans["evidence-texts"] and "BroadcastHashJoin" in plans["evidence-texts"]
+    assert all("text" not in line for name in ("evidence-candidates", "evidence-found") for line in plans[name].split("\n") if "Scan ExistingRDD" in line)
