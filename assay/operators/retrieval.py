@@ -62,14 +62,14 @@ def recursive_chunks(docs: DataFrame, key: str, text: str = "text", parent: tupl
     return docs.select(key, F.explode(cut(text)).alias("c")).select(key, "c.*")
 
 
-def split_chunks(docs: DataFrame, key: str, size: int = 1000, overlap: int = 200, separators: tuple[str, ...] = ("\n\n", "\n", " ", ""), text: str = "text") -> DataFrame:
+def split_chunks(docs: DataFrame, key: str | list[str], size: int = 1000, overlap: int = 200, separators: tuple[str, ...] = ("\n\n", "\n", " ", ""), text: str = "text") -> DataFrame:
     """(key, chunk, text): pieces of whole parts, cut at the coarsest separator that serves."""
 
     @F.pandas_udf("array<string>")
     def cut(x: pd.Series) -> pd.Series:
         return x.map(lambda t: split_text(t or "", size, overlap, separators))
 
-    return docs.select(key, F.posexplode(cut(text)).alias("chunk", "text"))
+    return docs.select(*([key] if isinstance(key, str) else key), F.posexplode(cut(text)).alias("chunk", "text"))
 
 
 def postings(docs: DataFrame, key: str, text: str = "text") -> DataFrame:

@@ -20,6 +20,7 @@ from ..functions.text import targeted_paragraphs
 from ..operators import cards as C
 from ..operators import factuality, retrieval
 from ..providers import Provider, hashed_vectors
+from ..storage import materialise, release
 
 # The sections of a card in order, the fields that are lists, and how much of a source is read.
 SECTIONS = ("benchmark_details", "purpose_and_intended_users", "data", "methodology", "ethical_and_legal_considerations")
@@ -65,14 +66,26 @@ def fact_lines(rows: DataFrame, facts: str = "facts") -> DataFrame:
     says that the source has no information.
     """
     others = [c for c in rows.columns if c != facts]
-    lines = rows.select(*others, F.posexplode(F.split(facts, "\n")).alias("_i", "line")).withColumn("_row", F.struct(*others))
-    name = F.regexp_extract(strip("line"), r"^(?:##\s*(.+?)|\*\*(.+?)\*\*)\s*$", 1)
-    bold = F.regexp_extract(strip("line"), r"^\*\*(.+?)\*\*\s*$", 1)
-    heading = F.nullif(F.translate(F.lower(strip(F.when(name != "", name).otherwise(bold))), " ", "_"), F.lit(""))
-    under = F.last(heading, ignorenulls=True).over(Window.partitionBy(*others).orderBy("_i").rowsBetween(Window.unboundedPreceding, 0))
-    found = lines.withColumn("section", under).where(F.col("section").isin(*SECTIONS) & strip("line").rlike(r"^-\s*\w+\s*:"))
+    none = F.array().cast("array<struct<section:string,line:string>>")
+
+    def heading(line: Column) -> Column:
+        name, bold = (F.regexp_extract(strip(line), p, 1) for p in (r"^(?:##\s*(.+?)|\*\*(.+?)\*\*)\s*$", r"^\*\*(.+?)\*\*\s*$"))
+        return F.nullif(F.translate(F.lower(strip(F.when(name != "", name).otherwise(bold))), " ", "_"), F.lit(""))
+
+    def under(text: Column) -> Column:
+        """The facts between each heading and the next. No line meets a row of its own, with a copy of the others, before it is one."""
+        lines, heads = text["lines"], text["heads"]
+        after = lambda h, k: F.slice(lines, h["at"] + 2, F.coalesce(F.get(heads, k + 1)["at"], F.size(lines)) - h["at"] - 1)
+        own = lambda h, k: F.transform(F.filter(after(h, k), lambda x: strip(x).rlike(r"^-\s*\w+\s*:")), lambda x: F.struct(h["section"].alias("section"), x.alias("line")))
+        return F.flatten(F.transform(heads, lambda h, k: F.when(h["section"].isin(*SECTIONS), own(h, k)).otherwise(none)))
+
+    lines = F.split(facts, "\n")
+    heads = F.filter(F.transform(lines, lambda x, i: F.struct(i.alias("at"), heading(x).alias("section"))), lambda h: h["section"].isNotNull())
+    # an array of one, so that lines and headings are found once
+    found = F.flatten(F.transform(F.array(F.struct(lines.alias("lines"), heads.alias("heads"))), under))
+    rows = rows.select(*others, F.explode(found).alias("_f")).select(*others, "_f.section", "_f.line")
     value = strip(F.regexp_replace(strip("line"), r"^-\s*\w+\s*:", ""))
-    return found.select(*others, "section", F.regexp_extract(strip("line"), r"^-\s*(\w+)\s*:", 1).alias("field"), value.alias("value"), F.lower("line").contains(NO_INFORMATION).alias("missing"), "line")
+    return rows.select(*others, "section", F.regexp_extract(strip("line"), r"^-\s*(\w+)\s*:", 1).alias("field"), value.alias("value"), F.lower("line").contains(NO_INFORMATION).alias("missing"), "line")
 
 
 def extracted(texts: DataFrame, extract: Provider = listed) -> DataFrame:
@@ -86,9 +99,9 @@ def extracted(texts: DataFrame, extract: Provider = listed) -> DataFrame:
     return lines.where(note.isNull() & ~F.col("line").contains("[UNVERIFIED]")).select("card_id", "source", "section", "field", "value", "missing")
 
 
-def paper_chunks(papers: DataFrame, size: int = 1000, overlap: int = 200) -> DataFrame:
-    """(card_id, chunk, text) of papers (card_id, text)."""
-    return retrieval.split_chunks(papers, "card_id", size, overlap, ("\n\n", "\n", " "))
+def paper_chunks(papers: DataFrame, size: int = 1000, overlap: int = 200, others: tuple[str, ...] = ()) -> DataFrame:
+    """(card_id, others, chunk, text) of papers (card_id, others, text)."""
+    return retrieval.split_chunks(papers, ["card_id", *others], size, overlap, ("\n\n", "\n", " "))
 
 
 def gaps(facts: DataFrame) -> DataFrame:
@@ -104,16 +117,18 @@ def fill_gaps(facts: DataFrame, papers: DataFrame, extract: Callable[[DataFrame]
     extract adds `value` to rows (card_id, section, field, text); without one the chunks' own lines for the field count.
     """
     embed = embed or hashed_vectors()
-    wanted = embed(gaps(facts)).withColumnRenamed("embedding", "_q").drop("text")
-    chunks = embed(paper_chunks(papers))
-    score = retrieval.cosine("embedding", "_q")
-    near = retrieval.ranked(chunks.join(wanted, "card_id").withColumn("_s", score), "card_id, section, field".split(", "), [F.desc("_s"), F.col("chunk")], top)
+    wanted = embed(gaps(facts)).groupBy("card_id").agg(F.collect_list(F.struct("section", "field", F.col("embedding").alias("_q"))).alias("_gaps"))
+    # whole papers meet their searches and are cut then, so that a shuffle has each text once. By a hint, as searches that are
+    # alike seem much smaller than they are
+    chunks = embed(paper_chunks(papers.hint("merge").join(wanted, "card_id").select("card_id", "_gaps", "text"), others=("_gaps",)))
+    rows = chunks.select("card_id", "chunk", "text", "embedding", F.explode("_gaps").alias("_g")).select("card_id", "_g.section", "_g.field", "chunk", "text", retrieval.cosine("embedding", "_g._q").alias("_s"))
+    near = retrieval.ranked(rows, ["card_id", "section", "field"], [F.desc("_s"), F.col("chunk")], top)
     texts = near.groupBy("card_id", "section", "field").agg(F.substring(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "text"))), lambda s: s["text"]), "\n"), 1, most).alias("text"))
     lines = F.expr(r"regexp_extract_all(text, concat('(?mi)^-\\s*', field, ':\\s*(.+)$'), 1)")
     own = F.get(F.filter(lines, lambda v: ~F.contains(F.lower(v), F.lit(NO_INFORMATION))), F.lit(0))
     read = extract(texts) if extract else texts.withColumn("value", F.nullif(own, F.lit("")))
     new = read.where(F.col("value").isNotNull() & ~F.lower("value").contains(NO_INFORMATION)).select("card_id", F.lit("PAPER").alias("source"), "section", "field", F.col("value").alias("_v"))
-    joined = facts.join(new, ["card_id", "source", "section", "field"], "left")
+    joined = facts.hint("merge").join(new, ["card_id", "source", "section", "field"], "left")
     fill = F.col("missing") & F.col("_v").isNotNull()
     return joined.withColumn("value", F.when(fill, F.col("_v")).otherwise(F.col("value"))).withColumn("missing", F.col("missing") & ~fill).drop("_v")
 
@@ -133,11 +148,15 @@ def tag_facts(tags: DataFrame) -> DataFrame:
 def compose(sources: DataFrame, deterministic: DataFrame | None = None, values: DataFrame | None = None, addresses: DataFrame | None = None, extract: Provider = listed) -> tuple[DataFrame, DataFrame]:
     """(card, provenance) of sources (card_id, name, anchor, paper, html, readme).
 
+    The facts that are read out of the sources are written to a table, which the result reads.
+
     deterministic: facts of structured metadata; values: what overrides the card's fields, see cards.override; addresses
     (card_id, value ARRAY): resources to append. Every card has every field that any of its sources mentions, and its name.
     """
-    facts = extracted(source_texts(sources), extract)
-    facts = fill_gaps(facts, sources.where("paper IS NOT NULL").select("card_id", F.col("paper").alias("text")))
+    # facts are few beside their texts and are read several times
+    read, p_read = materialise(extracted(source_texts(sources), extract), "facts-read")
+    facts, _ = materialise(fill_gaps(read, sources.where("paper IS NOT NULL").select("card_id", F.col("paper").alias("text"))), "facts-filled")
+    release(sources.sparkSession, p_read)
     found = facts.where("NOT missing").select("card_id", "section", "field", "source", "value")
     names = sources.select("card_id", F.lit("benchmark_details").alias("section"), F.lit("name").alias("field"), F.lit("DETERMINISTIC").alias("source"), F.col("name").alias("value"))
     found = found.unionByName(names) if deterministic is None else found.unionByName(names).unionByName(deterministic.select("card_id", "section", "field", "source", "value"))
@@ -145,7 +164,7 @@ def compose(sources: DataFrame, deterministic: DataFrame | None = None, values:
     fields = facts.select("card_id", "section", "field").unionByName(found.select("card_id", "section", "field")).distinct()
     is_list = F.col("field").isin(*LIST_FIELDS)
     value = F.when(is_list, F.transform(F.split("value", r"\s*[,;]\s*"), strip)).otherwise(F.array("value"))
-    card = fields.join(merged, ["card_id", "section", "field"], "left").select("card_id", "section", "field", F.when(F.col("value").isNotNull(), value).alias("value"), is_list.alias("is_list"))
+    card = fields.hint("merge").join(merged, ["card_id", "section", "field"], "left").select("card_id", "section", "field", F.when(F.col("value").isNotNull(), value).alias("value"), is_list.alias("is_list"))
     if values is not None:
         card = C.override(card, values).drop("overridden")
     if addresses is not None:

@@ -202,3 +202,25 @@ def test_pages_and_papers(spark):
     wanted = spark.createDataFrame([("x",), ("y",), ("z",)], "name string")
     assert {r["name"]: r["ref_id"] for r in files.in_catalog(entries, wanted).collect()} == {"x": "benchmarks.x", "y": "cards.y"}
     assert artifacts.as_text({"a_b": True, "c": None, "d": {"e": 1.5, "f": ["x", 2]}}) == "A B: True\nE: 1.5\nx\n2"
+
+
+def test_fact_lines_are_found_within_their_row(spark):
+    """No shuffle for lines with copies of their text; headings hold up to the next one, also in rows that are alike."""
+    texts = ["- loose: x\n## Data\n- size: 3\nno line\n-  format : csv\n**Other**\n- size: 9\n  ## ethical and_legal considerations \n- privacy: No Information Found\n## data\n- size: 4\n##\n- source: s", "**methodology**\n- metrics: a, b\n- metrics: c", "## data\n## methodology\n- methods: m", "none", "", None]
+    rows = spark.createDataFrame([(1, t) for t in texts], "card_id int, facts string")
+    found = P.fact_lines(rows)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    got = sorted((r.section, r.field, r.value, r.missing) for r in found.collect())
+    assert got == sorted([("data", "size", "3", False), ("data", "format", "csv", False), ("ethical_and_legal_considerations", "privacy", "No Information Found", True), ("data", "size", "4", False), ("data", "source", "s", False), ("methodology", "metrics", "a, b", False), ("methodology", "metrics", "c", False), ("methodology", "methods", "m", False)])
+
+
+def test_papers_meet_their_searches_whole(spark):
+    """Chunks and their vectors are made after the only shuffle that texts are in."""
+    facts = spark.createDataFrame([(i, "PAPER", "data", "source", None, True) for i in range(3)], "card_id int, source string, section string, field string, value string, missing boolean")
+    papers = spark.createDataFrame([(i, "filler\n\n" * 300 + f"- source: collected in {i}") for i in range(3)], "card_id int, text string")
+    filled = P.fill_gaps(facts, papers, top=40, most=90_000)
+    plan = filled._jdf.queryExecution().optimizedPlan().toString()
+    lines = [line for line in plan.split("\n") if "Join" in line or "posexplode(" in line]
+    # deeper lines stand below: the texts' join is the last one
+    assert lines.index(next(x for x in lines if "posexplode(" in x)) < len(lines) - 1 and "Join" in lines[-1]
+    assert sorted((r.card_id, r.value, r.missing) for r in filled.collect()) == [(i, f"collected in {i}", False) for i in range(3)]
