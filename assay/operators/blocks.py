@@ -75,6 +75,27 @@ def summed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def open_to(q: np.ndarray, least: np.ndarray, centre: pa.Scalar, radius: pa.Scalar, slack: float) -> np.ndarray:
+    """Which queries can find a score of at least `least` within a radius: angles between unit vectors keep the triangle inequality."""
+    angle = np.arccos(np.clip(q @ np.array(centre.as_py()), -1, 1))
+    return np.flatnonzero(np.cos(np.maximum(0.0, angle - radius.as_py() - slack)) >= least)
+
+
+def reached(pairs: DataFrame, by: str, double: bool, slack: float) -> DataFrame:
+    """The values of `by`, each with a centre and a radius, that are open to a query of a block (packed _q and floor)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for n in range(batch.num_rows):
+                row = {c: batch.column(c)[n] for c in batch.schema.names}
+                q = np.frombuffer(row["_q"].as_buffer(), np.float64 if double else np.float32).reshape(len(row["floor"].values), -1).astype(np.float64)
+                found.append(len(open_to(q, row["floor"].values.fill_null(-np.inf).to_numpy(), row["centre"], row["radius"], slack)) > 0)
+            yield pa.RecordBatch.from_arrays([batch.column(by).filter(pa.array(found, pa.bool_()))], names=[by])
+
+    return pairs.mapInArrow(run, f"`{by}` {dict(pairs.dtypes)[by]}").distinct()
+
+
 def nearest(pairs: DataFrame, key: str, query: str, top: int, double: tuple[bool, bool], slack: float = 0.0) -> DataFrame:
     """(query, key, score): of each pair of blocks the `top` best of each query, and what equals the last of them.
 
@@ -91,10 +112,7 @@ def nearest(pairs: DataFrame, key: str, query: str, top: int, double: tuple[bool
         ids, asked = row[key].values, row[query].values
         v, q = (np.frombuffer(row[c].as_buffer(), t).reshape(n, -1).astype(np.float64) for c, t, n in (("embedding", types[0], len(ids)), ("_q", types[1], len(asked))))
         least = row["floor"].values.fill_null(-np.inf).to_numpy() if floors else np.full(len(asked), -np.inf)
-        which = np.arange(len(asked))
-        if ball:
-            angle = np.arccos(np.clip(q @ np.array(row["centre"].as_py()), -1, 1))
-            which = np.flatnonzero(np.cos(np.maximum(0.0, angle - row["radius"].as_py() - slack)) >= least)
+        which = open_to(q, least, row["centre"], row["radius"], slack) if ball else np.arange(len(asked))
         # both sums are this far from the true one at most, with room to spare
         error = 4 * v.shape[1] * np.finfo(float).eps * np.sqrt((v * v).sum(1).max(initial=0.0)) * np.sqrt((q * q).sum(1))
         for at in range(0, len(which), SLICE):

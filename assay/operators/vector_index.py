@@ -21,7 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..storage import materialise, release
-from .retrieval import cosine, ranked
+from . import blocks
+from .retrieval import ranked
 
 #: Vectors that the quantiser is fitted on, and lists for each of a million vectors.
 SAMPLE = 50_000
@@ -54,7 +55,7 @@ def nearest(embedding: str, at: np.ndarray, n: int) -> Column:
         if not len(x):
             return pd.Series([], dtype=object)
         angle = np.arccos(np.clip(np.stack(x.to_numpy()).astype(np.float64) @ matrix, -1, 1))
-        order = np.argsort(angle, axis=1, kind="stable")[:, :n]
+        order = angle.argmin(axis=1)[:, None] if n == 1 else np.argsort(angle, axis=1, kind="stable")[:, :n]
         return pd.Series([[{"list": int(k), "angle": float(row[k])} for k in some] for row, some in zip(angle, order, strict=True)])
 
     return find(embedding)
@@ -83,25 +84,35 @@ def add(vectors: DataFrame, path: str, key: str = "vec_id", at: np.ndarray | Non
 
 
 def search(spark: SparkSession, path: str, queries: DataFrame, key: str = "vec_id", query: str = "query_id", top: int = 15, probes: int = PROBES, exact: bool = False) -> DataFrame:
-    """(query, key, rank, score): the best `top` vectors of each query's lists, or of all if `exact`."""
+    """(query, key, rank, score): the best `top` vectors of each query's lists, or of all if `exact`.
+
+    Lists and queries meet in blocks (see blocks). The driver gets the numbers of the lists that are read, at most one for each
+    centre that it holds.
+    """
     at = load(spark, path)
     vectors = spark.read.parquet(f"{path}/lists")
-    asked = queries.where("embedding IS NOT NULL").select(query, F.col("embedding").alias("_q"), nearest("embedding", at, len(at) if exact else probes).alias("_l"))
-    asked, p_asked = materialise(asked.select(query, "_q", F.posexplode("_l").alias("_at", "_l")).select(query, "_q", "_at", F.col("_l.list").alias("list"), F.col("_l.angle").alias("to_centre")), "vector-queries")
+    asked, p_asked = materialise(queries.where("embedding IS NOT NULL").select(query, "embedding", F.transform(nearest("embedding", at, probes), lambda c: c["list"]).alias("_lists")), "vector-queries")
+    doubles = tuple("array<double>" in dict(d.dtypes)["embedding"] for d in (vectors, asked))
+    order = [F.desc("score"), F.col(key)]
 
-    def scored(some: DataFrame) -> DataFrame:
-        return some.select(query, "_q", "list").join(vectors, "list").select(query, key, cosine("embedding", "_q").alias("score"))
+    def filed(lists: DataFrame) -> DataFrame:
+        wanted = sorted(r[0] for r in lists.select("list").distinct().collect())
+        some = vectors if len(wanted) == len(at) else vectors.where(F.col("list").isin(wanted))
+        return blocks.packed(some.select("list", key, "embedding"), key, "list", top)
 
-    order = [F.desc("score"), F.col(key)]
-    near, p_near = materialise(ranked(scored(asked.where(F.col("_at") < probes)), query, order, top), "vector-near")
+    probed = asked.select(query, "embedding", F.explode("_lists").alias("list"))
+    own = blocks.packed(probed.repartition("list").sortWithinPartitions("list"), query, "list").withColumnRenamed("embedding", "_q")
+    near, p_near = materialise(ranked(blocks.nearest(filed(probed).join(own, "list"), key, query, top, doubles), query, order, top).select(query, key, "score", "rank"), "vector-near")
     if not exact:
         release(spark, p_asked)
         return near
-    radius = vectors.groupBy("list").agg(F.max("angle").alias("radius"))
-    floor = near.groupBy(query).agg(F.min("score").alias("floor"), F.count("*").alias("n")).where(F.col("n") == top)
-    rest = asked.where(F.col("_at") >= probes).join(radius, "list").join(floor, query, "left")
-    reach = F.greatest(F.lit(0.0), F.col("to_centre") - F.col("radius") - SLACK)
-    open_ = rest.where(F.col("floor").isNull() | (F.cos(reach) >= F.col("floor")))
-    out, _ = materialise(ranked(near.drop("rank").unionByName(scored(open_)), query, order, top), "vector-hits")
-    release(spark, p_asked, p_near)
+    floor = near.groupBy(query).agg(F.min("score").alias("floor"), F.count("*").alias("n")).where(F.col("n") == top).drop("n")
+    parts = max(1, -(-asked.count() // blocks.BLOCK))
+    every, p_every = materialise(blocks.packed(asked.drop("_lists").join(floor, query, "left").repartition(parts), query).withColumnRenamed("embedding", "_q"), "vector-asked")
+    balls, p_balls = materialise(vectors.groupBy("list").agg(F.max("angle").alias("radius")).join(spark.read.parquet(f"{path}/centres"), "list"), "vector-lists")
+    # the lists are dealt to all tasks, and the queries' blocks go to each
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    open_ = filed(blocks.reached(balls.crossJoin(every.select("_q", "floor")), "list", doubles[1], SLACK)).repartition(tasks).join(F.broadcast(balls), "list")
+    out, _ = materialise(ranked(blocks.nearest(open_.crossJoin(every), key, query, top, doubles, SLACK), query, order, top).select(query, key, "score", "rank"), "vector-hits")
+    release(spark, p_asked, p_near, p_every, p_balls)
     return out

@@ -161,3 +161,20 @@ def test_marginal_relevance_starts_from_the_block_search(spark):
     _, near = all_pairs(v, v.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), "embedding"), 23)
     want = retrieval.mmr(near.join(v, "vec_id"), "query_id", "vec_id", 9)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_lists_meet_queries_in_blocks(spark, index):
+    """Neither search has a row for each pair of a query and a vector, and lists that are open to no query are not read."""
+    v, q, path = index
+    at = vector_index.load(spark, path)
+    cut = spark.createDataFrame([(k, row.tolist(), 0.0) for k, row in enumerate(at)], "list int, centre array<double>, radius double")
+    one = spark.createDataFrame([(1, [float(x) for x in at[3]], 0.9999), (2, None, None)], "query_id long, embedding array<float>, floor double").where("query_id = 1")
+    asked = blocks.packed(one, "query_id").withColumnRenamed("embedding", "_q")
+    assert [r.list for r in blocks.reached(cut.crossJoin(asked), "list", False, vector_index.SLACK).collect()] == [3]
+    seen = []
+    real = vector_index.materialise
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(vector_index, "materialise", lambda df, name: (seen.append((name, df._jdf.queryExecution().toString())), real(df, name))[1])
+        got = found(vector_index.search(spark, path, q, exact=True))
+    assert got == found(retrieval.dense_search(v.where("embedding IS NOT NULL"), q))
+    assert {"vector-near", "vector-hits"} <= {name for name, _ in seen} and not any("zip_with" in plan for _, plan in seen)
