@@ -2,7 +2,7 @@
 
 Tables below the index's folder, each with a folder for a batch and in it one for a bucket of terms:
 
-* postings (term, key, tf, dl, block), sorted by term; term '' has one row for each document.
+* postings (term, key, tf, dl, block), files sorted by term; term '' has one row for each document.
 * dictionary (term, df), of one batch.
 * blocks (term, block, max_tf, min_dl): the best that a term can do in a block, whatever average length and idf become later.
   A block holds documents of one batch and of like length.
@@ -20,6 +20,11 @@ count as documents without a length. `compact` makes one batch of all.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -33,6 +38,8 @@ BUCKETS = 32
 PARTS = 16
 #: Blocks of each query that are scored first.
 FIRST = 4
+#: Documents that are counted at once; terms of queries, and blocks of queries, up to which they are broadcast.
+COUNTED, FEW = 512, 500_000
 SLACK = 1e-6
 
 
@@ -59,9 +66,30 @@ def _commit(spark: SparkSession, path: str, version: int, rows: list[tuple]) ->
     spark.createDataFrame(rows, "batch int, n_docs long, n_dl long, total long").coalesce(1).write.mode("overwrite").parquet(f"{path}/versions/version={version}")
 
 
-def _write(rows: DataFrame, path: str, table: str, batch: int) -> None:
+def _write(rows: DataFrame, path: str, table: str, batch: int, deal: bool = True) -> None:
+    rows = rows.withColumn("bucket", bucket())
     # rebalance: small buckets go together, a bucket with a frequent term is split over several tasks and files
-    rows.withColumn("bucket", bucket()).hint("rebalance", "bucket").sortWithinPartitions("bucket", "term").write.mode("overwrite").option("compression", "zstd").partitionBy("bucket").parquet(f"{path}/{table}/batch={batch}")
+    rows = rows.hint("rebalance", "bucket") if deal else rows
+    rows.sortWithinPartitions("bucket", "term").write.mode("overwrite").option("compression", "zstd").partitionBy("bucket").parquet(f"{path}/{table}/batch={batch}")
+
+
+def counted(words: DataFrame) -> DataFrame:
+    """Every other column with (term, tf) of each document's words `_w`, counted within Arrow batches, so nothing is shuffled."""
+    kinds = dict(words.dtypes)
+    others = [c for c in words.columns if c != "_w"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, COUNTED):
+                part = batch.slice(at, COUNTED)
+                terms = part.column("_w").flatten().dictionary_encode()
+                rows = np.repeat(np.arange(part.num_rows), pc.list_value_length(part.column("_w")).to_numpy(zero_copy_only=False))
+                n = max(1, len(terms.dictionary))
+                both, tf = np.unique(rows * n + terms.indices.to_numpy(), return_counts=True)
+                of = pa.array(both // n)
+                yield pa.RecordBatch.from_arrays([*[part.column(c).take(of) for c in others], terms.dictionary.take(pa.array(both % n)), pa.array(tf, pa.int64())], names=[*others, "term", "tf"])
+
+    return words.mapInArrow(run, ", ".join([*[f"`{c}` {kinds[c]}" for c in others], "term string, tf bigint"]))
 
 
 def read(spark: SparkSession, path: str, table: str, batches: list[int], buckets: list[int] | None = None) -> DataFrame:
@@ -74,8 +102,9 @@ def _summaries(spark: SparkSession, path: str, batch: int) -> tuple[int, int, in
     """Writes dictionary and blocks of a batch from its postings; its (n_docs, n_dl, total)."""
     made = spark.read.parquet(f"{path}/postings/batch={batch}")
     words = made.where("term <> ''")
-    _write(words.groupBy("term").agg(F.count("*").alias("df")), path, "dictionary", batch)
-    _write(words.groupBy("term", "block").agg(F.max("tf").alias("max_tf"), F.min("dl").alias("min_dl")), path, "blocks", batch)
+    # the groups are dealt by their keys already, in as many tasks as their size asks for
+    _write(words.groupBy("term").agg(F.count("*").alias("df")), path, "dictionary", batch, deal=False)
+    _write(words.groupBy("term", "block").agg(F.max("tf").alias("max_tf"), F.min("dl").alias("min_dl")), path, "blocks", batch, deal=False)
     n, n_dl, total = made.where("term = ''").agg(F.count("*"), F.count("dl"), F.sum("dl")).first()
     return n, n_dl, total or 0
 
@@ -89,11 +118,15 @@ def add(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") ->
     if live:
         new = new.join(read(spark, path, "postings", [r.batch for r in live], [_bucket_of_documents(spark)]).where("term = ''").select("key"), "key", "left_anti")
     words = new.select("key", tokens(text).alias("_w")).withColumn("dl", F.size("_w"))
-    entries = words.select("key", "dl", F.explode(F.concat(F.array(F.lit("")), F.coalesce("_w", F.array().cast("array<string>")))).alias("term"))
-    tf = entries.groupBy("key", "dl", "term").agg(F.count("*").alias("tf"))
     length = F.floor(F.log2(F.coalesce("dl", F.lit(0)) + F.lit(1)))
     block = (F.lit(batch) * 10_000 + length * 100 + F.pmod(F.xxhash64("key"), F.lit(PARTS))).cast("long")
-    _write(tf.withColumn("block", block), path, "postings", batch)
+    # each task writes a file for a bucket; `compact` deals them anew
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    every = F.concat(F.array(F.lit("")), F.coalesce("_w", F.array().cast("array<string>")))
+    tf = counted(words.coalesce(tasks).select("key", "dl", block.alias("block"), every.alias("_w")))
+    if new.groupBy("key").count().where("count > 1").limit(1).count():
+        tf = tf.groupBy("key", "dl", "block", "term").agg(F.sum("tf").alias("tf"))
+    _write(tf.select("key", "dl", "term", "tf", "block"), path, "postings", batch, deal=False)
     sizes = _summaries(spark, path, batch)
     _commit(spark, path, version + 1, [*[tuple(r[c] for c in ("batch", "n_docs", "n_dl", "total")) for r in live], (batch, *sizes)])
     return version + 1
@@ -134,8 +167,13 @@ def search(spark: SparkSession, path: str, queries: DataFrame, query: str = "ite
     limit = F.sum(F.greatest(F.lit(0.0), F.col("weight") * gain("max_tf", "min_dl", avgdl)))
     bounds, p_bounds = materialise(read(spark, path, "blocks", batches, touched).join(weighted, keys).groupBy(query, "block").agg(limit.alias("bound")).where("bound > 0"), "bm25-bounds")
 
+    small = weighted.count() <= FEW and bounds.count() <= FEW
+    side = F.broadcast if small else lambda d: d
+
     def scored(blocks: DataFrame) -> DataFrame:
-        hits = read(spark, path, "postings", batches, touched).join(weighted, keys).join(blocks.select(query, "block"), [query, "block"])
+        # the postings of the queries' terms in blocks that count go to the tasks of their documents, which sum up and rank
+        own = read(spark, path, "postings", batches, touched).join(side(weighted.select(*keys).distinct()), keys, "left_semi").join(side(blocks.select("block").distinct()), "block", "left_semi").select("key", "block", "bucket", "term", "tf", "dl")
+        hits = (own.repartition("key") if small else own).join(side(weighted), keys).join(side(blocks.select(query, "block")), [query, "block"])
         scores = hits.groupBy(query, F.col("key").alias(doc)).agg(F.sum(F.col("weight") * gain("tf", "dl", avgdl)).alias("score"))
         return ranked(scores, query, [F.round("score", 9).desc(), F.col(doc)], top)
 

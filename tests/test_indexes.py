@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 import shutil
 from pathlib import Path
 
@@ -178,3 +179,31 @@ def test_lists_meet_queries_in_blocks(spark, index):
         got = found(vector_index.search(spark, path, q, exact=True))
     assert got == found(retrieval.dense_search(v.where("embedding IS NOT NULL"), q))
     assert {"vector-near", "vector-hits"} <= {name for name, _ in seen} and not any("zip_with" in plan for _, plan in seen)
+
+
+def test_words_are_counted_without_a_shuffle(spark):
+    words = spark.createDataFrame([(1, ["b", "a", "b", ""]), (2, []), (3, [""]), (None, ["é", "b", "é"])] + [(k, ["w"] * k) for k in range(4, 700)], "key long, _w array<string>").coalesce(1)
+    got = bm25_index.counted(words)
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString().replace("ReusedExchange", "Exchange")
+    want = words.select("key", F.explode("_w").alias("term")).groupBy("key", "term").agg(F.count("*").alias("tf"))
+    assert sorted(map(str, got.select("key", "term", "tf").collect())) == sorted(map(str, want.collect()))
+    assert bm25_index.counted(words.limit(0)).count() == 0
+
+
+def test_a_key_that_comes_twice_in_a_batch_has_one_posting_a_term(spark, tmp_path):
+    """Rows of one key and length are counted together, as a group would."""
+    docs = spark.createDataFrame([(7, "w5 w5 w59"), (7, "w5 w3 w59"), (8, "w5"), (9, None)], "doc_id long, text string")
+    path = indexed(spark, tmp_path, docs, ["true"])
+    got = spark.read.parquet(f"{path}/postings").select("key", "dl", "term", "tf").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(7, 3, "", 2), (7, 3, "w5", 3), (7, 3, "w59", 2), (7, 3, "w3", 1), (8, 1, "", 1), (8, 1, "w5", 1), (9, None, "", 1)], key=str)
+
+
+def test_postings_are_dealt_by_document_before_queries_meet_them(spark, tmp_path):
+    """A pair of a query and a posting is no row of a shuffle."""
+    path = indexed(spark, tmp_path, corpus(spark), ["true"])
+    seen = {}
+    real = bm25_index.materialise
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(bm25_index, "materialise", lambda df, name: (seen.update({name: df._jdf.queryExecution().executedPlan().toString()}), real(df, name))[1])
+        bm25_index.search(spark, path, asked(spark))
+    assert "hashpartitioning(key" in seen["bm25-hits"] and not re.search(r"hashpartitioning\(item_id#\d+L?, (key|doc_id|block)", seen["bm25-hits"])
